@@ -67,15 +67,18 @@ def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str
 
 
 def rolling(df: DataFrame, keys: Sequence[str], seq: str,
-            build: Callable[[Window], list[Column]],
+            build: Callable[[Window], list[Column]] | Sequence[Callable[[Window], list[Column]]],
             lookback: int = 0, lookahead: int = 0,
             block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Evaluate bounded-frame window columns per key without a per-key partition.
 
     ``build(w)`` receives ``Window.partitionBy(keys, block).orderBy(seq)`` and
     returns the columns to add; frames must reach at most ``lookback`` rows
-    back and ``lookahead`` rows ahead.  Window functions that look further
-    (unbounded frames) are not exact here; use ``running``/``fill_*``.
+    back and ``lookahead`` rows ahead.  ``build`` may be a list of stages,
+    each seeing the columns of the previous ones (same partitioning, so no
+    extra shuffle); ``lookback`` must then cover the summed reach.  Window
+    functions that look further (unbounded frames) are not exact here; use
+    ``running``/``fill_*``.
     """
     if block_rows < max(lookback, lookahead, 1):
         raise ValueError("block_rows must be at least the frame reach")
@@ -93,8 +96,9 @@ def rolling(df: DataFrame, keys: Sequence[str], seq: str,
     copies = (df.withColumn("_t", F.explode(targets))
               .withColumn("_blk", F.col("_t.b")).withColumn("_home", F.col("_t.h")).drop("_t"))
     w = Window.partitionBy(*keys, "_blk").orderBy(seq)
-    added = build(w)
-    return copies.select("*", *added).filter(F.col("_home")).drop("_blk", "_home")
+    for stage in (build if isinstance(build, (list, tuple)) else [build]):
+        copies = copies.select("*", *stage(w))
+    return copies.filter(F.col("_home")).drop("_blk", "_home")
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
