@@ -206,7 +206,7 @@ def q_buckets(spark, sf):
 def _bt_sql(cond: str, cmp: str) -> str:
     return "WITH " + fx.SQL_TICKS + ",\n" + SQL_BUCKETS + f""",
 sig AS (SELECT *, lead(close_price, {C.BACKTEST_LEAD}) OVER (PARTITION BY symbol ORDER BY bucket) AS later
-        FROM buckets WHERE {cond})
+        FROM buckets WHERE {cond}),
 agg AS (SELECT symbol, count(*) AS total_signals,
        CAST(sum(CASE WHEN close_price {cmp} later THEN 1 ELSE 0 END) AS BIGINT) AS winning_trades
        FROM sig GROUP BY symbol)
