@@ -61,6 +61,11 @@ def round_doubles(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
+def spark_round_sql(expr: str, digits: int) -> str:
+    """SQL for Spark's ``round(double, d)``: HALF_UP on the shortest decimal form of the double."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def rounded_sql(q: Query) -> str:
     if not q.doubles:
         return q.sql

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quantsilo import config as C
 from quantsilo.operators import analysis, backtest, bars, indicators, silver
-from quantsilo.plans.catalog import register
+from quantsilo.plans.catalog import register, spark_round_sql
 from quantsilo.plans.queries_market import SQL_WINDOWS
 from quantsilo.sources import fixtures as fx
 
@@ -211,8 +211,8 @@ agg AS (SELECT symbol, count(*) AS total_signals,
        CAST(sum(CASE WHEN close_price {cmp} later THEN 1 ELSE 0 END) AS BIGINT) AS winning_trades
        FROM sig GROUP BY symbol)
 SELECT k.symbol, coalesce(total_signals, 0) AS total_signals, coalesce(winning_trades, 0) AS winning_trades,
-       CASE WHEN coalesce(total_signals, 0) > 0 THEN CAST(round(CAST(winning_trades / total_signals * 100.0
-            AS DECIMAL(38, 9)), 2) AS DOUBLE) ELSE 0.0 END AS win_rate
+       CASE WHEN coalesce(total_signals, 0) > 0 THEN {spark_round_sql("winning_trades / total_signals * 100.0", 2)}
+            ELSE 0.0 END AS win_rate
 FROM (SELECT DISTINCT symbol FROM buckets) k LEFT JOIN agg USING (symbol)"""
 
 

@@ -118,7 +118,7 @@ SQL_MESSAGES = """messages AS (
          value AS p_num,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS q_num,
          event_id % 2 = 1 AS m,
-         epoch_ms(ts) AS T,
+         epoch_us(ts) // 1000 AS T,
          value * (1 + event_id % 7) AS bid_wall,
          value * (1 + event_id % 5) AS ask_wall,
          (event_id % 13 - 6) / 10000.0 AS r,
@@ -165,19 +165,24 @@ SQL_BARS = """bars AS (
 
 # ----------------------------------------------------------- venue quotes ----
 def venue_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(symbol, venue, price): symbol = part, venue = supplier, unit price."""
+    """(symbol, venue, price, quote_id): symbol = part, venue = supplier, unit price.
+
+    ``quote_id`` (order key, line number) orders quotes of the same venue.
+    """
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
         F.concat(F.lit("V"), F.col("l_suppkey").cast("string")).alias("venue"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("quote_id"),
     )
 
 
 SQL_QUOTES = """quotes AS (
   SELECT 'P' || CAST(l_partkey AS VARCHAR) AS symbol,
          'V' || CAST(l_suppkey AS VARCHAR) AS venue,
-         l_extendedprice / l_quantity AS price
+         l_extendedprice / l_quantity AS price,
+         l_orderkey * 1000 + l_linenumber AS quote_id
   FROM lineitem)"""
 
 
@@ -203,6 +208,20 @@ SQL_OPTIONS = """options AS (
   FROM part WHERE p_size > 0)"""
 
 
+# ----------------------------------------------------------------- supply ----
+def coin_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Circulating supply per symbol 'S<n>' for even nation keys (odd ones are unknown)."""
+    n = table(spark, sf_dir, "nation")
+    return (n.filter(F.col("n_nationkey") % 2 == 0)
+            .select(F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("symbol"),
+                    ((F.col("n_nationkey") + 1) * 1000000.0).alias("supply")))
+
+
+SQL_SUPPLY = """supply AS (
+  SELECT 'S' || CAST(n_nationkey AS VARCHAR) AS symbol, (n_nationkey + 1) * 1000000.0 AS supply
+  FROM nation WHERE n_nationkey % 2 = 0)"""
+
+
 # ----------------------------------------------------------------- alarms ----
 _ALARM_SYMBOL = ("click", "error", "purchase", "signup", "view")
 
