@@ -227,12 +227,14 @@ _ALARM_SYMBOL = ("click", "error", "purchase", "signup", "view")
 
 
 def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price alarms: one per customer, symbol by nation, target from balance."""
+    """Price alarms: one per customer row, owned by user c_custkey % 97 (so users hold many),
+    symbol by nation, target from balance, direction by key parity."""
     c = table(spark, sf_dir, "customer")
     sym = F.element_at(F.array(*[F.lit(s) for s in _ALARM_SYMBOL]),
                        (F.col("c_nationkey") % 5 + 1).cast("int"))
     return c.select(
-        F.col("c_custkey").alias("user_id"),
+        F.col("c_custkey").alias("alarm_id"),
+        (F.col("c_custkey") % 97).alias("user_id"),
         sym.alias("symbol"),
         F.round(F.abs(F.col("c_acctbal")) / 20.0, 2).alias("target"),
         F.when(F.col("c_custkey") % 2 == 0, "up").otherwise("down").alias("direction"),
@@ -242,10 +244,10 @@ def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_ALARMS = """alarms AS (
-  SELECT c_custkey AS user_id,
+  SELECT c_custkey AS alarm_id, c_custkey % 97 AS user_id,
          CASE c_nationkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
                               WHEN 3 THEN 'signup' ELSE 'view' END AS symbol,
-         round(abs(c_acctbal) / 20.0, 2) AS target,
+         CAST(round(CAST(CAST(abs(c_acctbal) / 20.0 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS target,
          CASE WHEN c_custkey % 2 = 0 THEN 'up' ELSE 'down' END AS direction,
          TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 45 AS INTEGER)) AS created_at
   FROM customer)"""
@@ -317,8 +319,9 @@ def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("symbol"),
         F.when(k % 11 == 0, F.lit(None))
          .when(k % 13 == 0, F.lit("n/a"))
-         .otherwise(F.format_string("%.6f", F.abs(F.col("s_acctbal")) / 1000.0)).alias("rmse"),
-        F.format_string("%.6f", F.lit(1.0) - F.abs(F.col("s_acctbal")) / 20000.0).alias("r2"),
+         .otherwise(F.concat((k % 50).cast("string"), F.lit("."),
+                             F.lpad((k * 104729 % 10000).cast("string"), 4, "0"))).alias("rmse"),
+        F.concat(F.lit("0."), F.lpad((k * 7919 % 1000000).cast("string"), 6, "0")).alias("r2"),
         start.alias("start_time"),
         F.timestamp_add("MILLISECOND", (k % 97 * 1000 + 250).cast("int"), start).alias("end_time"),
     )
@@ -337,8 +340,8 @@ SQL_RUNS = """runs AS (
          CASE s_suppkey % 3 WHEN 0 THEN 'XGBoost_Pro' WHEN 1 THEN 'LightGBM_Fast' ELSE 'GradientBoost_Base' END,
          CAST(NULL AS VARCHAR),
          CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 13 = 0 THEN 'n/a'
-              ELSE printf('%.6f', abs(s_acctbal) / 1000.0) END,
-         printf('%.6f', 1.0 - abs(s_acctbal) / 20000.0),
+              ELSE CAST(s_suppkey % 50 AS VARCHAR) || '.' || lpad(CAST(s_suppkey * 104729 % 10000 AS VARCHAR), 4, '0') END,
+         '0.' || lpad(CAST(s_suppkey * 7919 % 1000000 AS VARCHAR), 6, '0'),
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(s_suppkey AS INTEGER)),
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(s_suppkey AS INTEGER))
            + to_milliseconds(CAST(s_suppkey % 97 * 1000 + 250 AS BIGINT))
