@@ -7,10 +7,12 @@ reference used pandas: ``rolling(n)`` is NULL until n rows exist,
 ``std`` is the sample deviation, ``ewm(adjust=False)`` seeds with the
 first value and ``cummax`` is a running maximum.
 
-EMA has no built-in; it is an ordered fold (``aggregate``) over a bounded
-``collect_list`` frame whose length makes the dropped weight (1-a)^K fall
-below 1e-17 - under double precision, so it equals the full-history
-recursion - with O(K) memory per row and no per-symbol task.
+EMA has no built-in.  ``ema_columns`` runs pandas ``ewm(adjust=False)`` per
+(symbol, block) through ``applyInPandas``; each block is seeded K rows
+early, where the dropped weight (1-a)^K falls below 1e-17 - under double
+precision, so it equals the full-history recursion - and no task ever holds
+a whole symbol.  ``ema`` is the pure-JVM fold over a bounded
+``collect_list`` frame (same result, interpreted lambda, slower).
 """
 
 from __future__ import annotations
@@ -33,7 +35,11 @@ def ema_reach(span: int, tol: float = EMA_TOLERANCE) -> int:
 
 
 def ema(col: str, span: int, w) -> Column:
-    """``ewm(span, adjust=False).mean()`` as a fold over a bounded frame."""
+    """``ewm(span, adjust=False).mean()`` as a fold over a bounded frame (pure JVM form).
+
+    Interpreted lambda per frame element: O(K) per row.  ``ema_columns`` is
+    the vectorized equivalent used by the pipelines.
+    """
     a = 2.0 / (span + 1)
     k = ema_reach(span)
     arr = F.collect_list(F.col(col)).over(w.rowsBetween(-(k - 1), 0))
@@ -41,6 +47,29 @@ def ema(col: str, span: int, w) -> Column:
                        lambda acc, x: acc * (1 - a) + x * a)
 
 
+def ema_columns(df: DataFrame, key: str, seq: str, price: str, names=("EMA12", "EMA26", "MACD", "Signal"),
+                block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """W8 with pandas ``ewm(adjust=False)`` per (key, block), seeded ``ema_reach`` rows back.
+
+    Blocks carry ``reach(26) + reach(9)`` context rows, so every home row's
+    MACD signal sees an exact MACD history (ignored weight below 1e-17).
+    """
+    fast, slow, macd, sig = names
+    reach = ema_reach(C.EMA_SLOW) + ema_reach(C.EMA_SIGNAL)
+
+    def fn(pdf):
+        x = pdf[price].astype("float64")
+        e_fast = x.ewm(span=C.EMA_FAST, adjust=False).mean()
+        e_slow = x.ewm(span=C.EMA_SLOW, adjust=False).mean()
+        m = e_fast - e_slow
+        pdf[fast], pdf[slow], pdf[macd] = e_fast, e_slow, m
+        pdf[sig] = m.ewm(span=C.EMA_SIGNAL, adjust=False).mean()
+        return pdf
+
+    fields = ", ".join(f"`{n}` double" for n in names)
+    return ordered.block_apply(df, [key], seq, fn, fields, lookback=reach, block_rows=block_rows)
+
+
 def rolling_mean(col: str, n: int, w) -> Column:
     f = w.rowsBetween(-(n - 1), 0)
     return F.when(F.count(F.col(col)).over(f) == n, F.avg(col).over(f))
@@ -67,8 +96,9 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
                        price: str = "close", chunk_seconds: int = 365 * 86400,
                        block_rows: int = ordered.DEFAULT_BLOCK_ROWS, dropna: bool = True) -> DataFrame:
     """History page: returns, MA7/25/99, RSI14, Bollinger 20/2, MACD 12/26/9, drawdown."""
-    k26, k12, k9 = ema_reach(C.EMA_SLOW), ema_reach(C.EMA_FAST), ema_reach(C.EMA_SIGNAL)
     df = _sequenced(bars, key, [order], chunk_seconds)
+    df = ema_columns(df, key, "_seq", price, names=("_e12", "_e26", "MACD", "Signal"),
+                     block_rows=block_rows).drop("_e12", "_e26")                         # W8
 
     def stage1(w):
         prev = F.lag(price, 1).over(w)
@@ -80,18 +110,14 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
             F.when(delta < 0, -delta).otherwise(F.lit(0.0)).alias("_loss"),
             rolling_mean(price, C.BOLLINGER_PERIOD, w).alias("BB_mid"),                    # W6
             rolling_std(price, C.BOLLINGER_PERIOD, w).alias("BB_std"),
-            (ema(price, C.EMA_FAST, w) - ema(price, C.EMA_SLOW, w)).alias("MACD"),         # W8
         ]
 
     def stage2(w):
-        return [
-            rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
-                           rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI"),           # W7
-            ema("MACD", C.EMA_SIGNAL, w).alias("Signal"),
-        ]
+        return [rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
+                               rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]       # W7
 
     r = ordered.rolling(df, [key], "_seq", [stage1, stage2],
-                        lookback=max(k26, k12) + k9 + max(C.MA_PERIODS), block_rows=block_rows)
+                        lookback=max(C.MA_PERIODS) + C.RSI_PERIOD, block_rows=block_rows)
     r = (r.withColumn("BB_upper", F.col("BB_mid") + F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("BB_lower", F.col("BB_mid") - F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("MACD_Hist", F.col("MACD") - F.col("Signal")))
@@ -105,8 +131,9 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
                     price: str = "average_price", chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS,
                     block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Live page: SMA20, sample std, Bollinger bands, RSI14, EMA12/26, MACD, signal; NULL -> 0 (P5)."""
-    k26, k9 = ema_reach(C.EMA_SLOW), ema_reach(C.EMA_SIGNAL)
     df = _sequenced(rows, key, list(order), chunk_seconds)
+    df = ema_columns(df, key, "_seq", price, names=("EMA12", "EMA26", "MACD", "Signal_Line"),
+                     block_rows=block_rows)
 
     def stage1(w):
         delta = F.col(price) - F.lag(price, 1).over(w)
@@ -115,22 +142,14 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
             rolling_std(price, C.BOLLINGER_PERIOD, w).alias("Std_Dev"),
             F.when(delta > 0, delta).otherwise(F.lit(0.0)).alias("_gain"),
             F.when(delta < 0, -delta).otherwise(F.lit(0.0)).alias("_loss"),
-            ema(price, C.EMA_FAST, w).alias("EMA12"),
-            ema(price, C.EMA_SLOW, w).alias("EMA26"),
         ]
 
     def stage2(w):
-        return [
-            rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
-                           rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI"),
-            (F.col("EMA12") - F.col("EMA26")).alias("MACD"),
-        ]
-
-    def stage3(w):
-        return [ema("MACD", C.EMA_SIGNAL, w).alias("Signal_Line")]
+        return [rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
+                               rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]
 
-    r = ordered.rolling(df, [key], "_seq", [stage1, stage2, stage3],
-                        lookback=k26 + k9 + C.BOLLINGER_PERIOD, block_rows=block_rows)
+    r = ordered.rolling(df, [key], "_seq", [stage1, stage2],
+                        lookback=C.BOLLINGER_PERIOD + C.RSI_PERIOD, block_rows=block_rows)
     r = (r.withColumn("Bollinger_Upper", F.col("SMA_20") + F.col("Std_Dev") * C.BOLLINGER_K)
           .withColumn("Bollinger_Lower", F.col("SMA_20") - F.col("Std_Dev") * C.BOLLINGER_K)
           .drop("_gain", "_loss", "_chunk", "_seq"))

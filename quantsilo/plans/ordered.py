@@ -66,6 +66,28 @@ def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str
             .drop("_rn", "_off"))
 
 
+def _copies(df: DataFrame, seq: str, lookback: int, lookahead: int, block_rows: int) -> DataFrame:
+    """Assign each row to its block (``_blk``, ``_home`` = True) plus context copies.
+
+    The last ``lookback`` rows of a block are copied into the next block and
+    the first ``lookahead`` rows into the previous one (``_home`` = False).
+    """
+    if block_rows < max(lookback, lookahead, 1):
+        raise ValueError("block_rows must be at least the frame reach")
+    blk = F.floor(F.col(seq) / F.lit(block_rows)).cast("long")
+    pos = F.col(seq) - blk * F.lit(block_rows)
+    home = F.array(F.struct(blk.alias("b"), F.lit(True).alias("h")))
+    nxt = F.when(pos >= F.lit(block_rows - lookback),
+                 F.array(F.struct((blk + 1).alias("b"), F.lit(False).alias("h")))) if lookback else None
+    prv = F.when((pos < F.lit(lookahead)) & (blk > 0),
+                 F.array(F.struct((blk - 1).alias("b"), F.lit(False).alias("h")))) if lookahead else None
+    empty = F.array().cast("array<struct<b:bigint,h:boolean>>")
+    parts = [home] + [F.coalesce(x, empty) for x in (nxt, prv) if x is not None]
+    targets = F.concat(*parts) if len(parts) > 1 else home
+    return (df.withColumn("_t", F.explode(targets))
+            .withColumn("_blk", F.col("_t.b")).withColumn("_home", F.col("_t.h")).drop("_t"))
+
+
 def rolling(df: DataFrame, keys: Sequence[str], seq: str,
             build: Callable[[Window], list[Column]] | Sequence[Callable[[Window], list[Column]]],
             lookback: int = 0, lookahead: int = 0,
@@ -80,27 +102,37 @@ def rolling(df: DataFrame, keys: Sequence[str], seq: str,
     functions that look further (unbounded frames) are not exact here; use
     ``running``/``fill_*``.
     """
-    if block_rows < max(lookback, lookahead, 1):
-        raise ValueError("block_rows must be at least the frame reach")
     keys = list(keys)
-    blk = F.floor(F.col(seq) / F.lit(block_rows)).cast("long")
-    pos = F.col(seq) - blk * F.lit(block_rows)
-    home = F.array(F.struct(blk.alias("b"), F.lit(True).alias("h")))
-    nxt = F.when(pos >= F.lit(block_rows - lookback),
-                 F.array(F.struct((blk + 1).alias("b"), F.lit(False).alias("h")))) if lookback else None
-    prv = F.when((pos < F.lit(lookahead)) & (blk > 0),
-                 F.array(F.struct((blk - 1).alias("b"), F.lit(False).alias("h")))) if lookahead else None
-    empty = F.array().cast("array<struct<b:bigint,h:boolean>>")
-    parts = [home] + [F.coalesce(x, empty) for x in (nxt, prv) if x is not None]
-    targets = F.concat(*parts) if len(parts) > 1 else home
-    copies = (df.withColumn("_t", F.explode(targets))
-              .withColumn("_blk", F.col("_t.b")).withColumn("_home", F.col("_t.h")).drop("_t"))
+    copies = _copies(df, seq, lookback, lookahead, block_rows)
     w = Window.partitionBy(*keys, "_blk").orderBy(seq)
     for stage in (build if isinstance(build, (list, tuple)) else [build]):
         copies = copies.select("*", *stage(w))
     return copies.filter(F.col("_home")).drop("_blk", "_home")
 
 
+def block_apply(df: DataFrame, keys: Sequence[str], seq: str, fn, new_fields: str,
+                lookback: int = 0, lookahead: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Sequential per-key computations (recursions) with pandas, block by block.
+
+    Rows are grouped by (keys, block) with the same context copies as
+    ``rolling``; ``fn(pdf)`` gets one block sorted by ``seq`` and returns it
+    with the columns named in ``new_fields`` (a DDL string) added.  Groups
+    are bounded by ``block_rows + lookback + lookahead`` rows whatever the
+    key skew.
+    """
+    keys = list(keys)
+    copies = _copies(df, seq, lookback, lookahead, block_rows)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", " + new_fields
+    out_cols = [f.name for f in df.schema.fields] + [x.strip().split()[0].strip("`") for x in new_fields.split(",")]
+
+    def run(pdf):
+        pdf = pdf.sort_values(seq, kind="stable").reset_index(drop=True)
+        res = fn(pdf)
+        return res.loc[pdf["_home"].values, out_cols]
+
+    return copies.groupBy(*keys, "_blk").applyInPandas(run, schema)
+
+
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
                  cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Last non-null value of each column at or before the row (as-of backward)."""
