@@ -347,3 +347,28 @@ SELECT day, coalesce(total_signals, 0) AS total_signals, coalesce(whale_events,
 FROM market FULL OUTER JOIN models USING (day)""", doubles="champion_r2")
 def q_daily_digest(spark, sf):
     return ops.daily_digest(silver.silver(fx.ticks(spark, sf)), _children(spark, sf))
+
+
+# -------------------------------------------------------------------- ML ----
+@register("prediction_metrics", "A27",
+          sql=with_ctes(fx.SQL_TICKS) + """
+SELECT symbol, count(*) AS n, sqrt(sum((price - mark_price) * (price - mark_price)) / count(*)) AS rmse,
+       1.0 - sum((price - mark_price) * (price - mark_price))
+             / (sum(price * price) - sum(price) * sum(price) / count(*)) AS r2
+FROM ticks GROUP BY symbol""", doubles="rmse r2", digits=4)
+def q_prediction_metrics(spark, sf):
+    from quantsilo.operators import ml
+    return ml.regression_metrics(fx.ticks(spark, sf), ["symbol"], label="price", prediction="mark_price")
+
+
+@register("model_league", "M4 M5 M6 J10 A18 A19")
+def q_model_league(spark, sf):
+    """Train the league on the silver features of every trainable symbol; the run table (M6)."""
+    from quantsilo.operators import ml
+    w = silver.window_metrics(fx.ticks(spark, sf))
+    ready = ops.rows_per_symbol(w)
+    feats = indicators.chronological_split(indicators.training_features(ops.trainable_rows(w), order="window_start"),
+                                           order="window_start")
+    symbols = sorted(r.symbol for r in ready.select("symbol").collect())   # the gate's small symbol list
+    runs_df, _ = ml.train_league(feats, symbols)
+    return runs_df
