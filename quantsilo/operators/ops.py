@@ -137,3 +137,18 @@ def daily_digest(silver_rows: DataFrame, children: DataFrame) -> DataFrame:
         F.min_by("r2", F.struct("rmse", "run_id")).alias("champion_r2"))
     return (market.join(models, "day", "full")
             .na.fill(0, ["total_signals", "whale_events", "ml_update_count"]))
+
+
+def free_panel(ticks: DataFrame, price: str = "price", time_col: str = "ts") -> DataFrame:
+    """24 h average / high / low and the price as of one minute ago, per symbol.
+
+    'Now' is the newest tick; one aggregate with conditional inputs (no self-join).
+    """
+    from quantsilo.plans.joins import with_stats
+    t = with_stats(ticks, ticks.agg(F.max(time_col).alias("_now")))
+    recent = F.col(time_col) > F.col("_now") - F.expr("INTERVAL 24 HOURS")
+    delayed = F.col(time_col) <= F.col("_now") - F.expr("INTERVAL 1 MINUTE")
+    return t.groupBy("symbol").agg(
+        F.avg(F.when(recent, F.col(price))).alias("avg_p"), F.max(F.when(recent, F.col(price))).alias("max_p"),
+        F.min(F.when(recent, F.col(price))).alias("min_p"),
+        F.max_by(price, F.when(delayed, F.struct(time_col, "event_id"))).alias("delayed_price"))

@@ -157,7 +157,7 @@ def q_live_indicators(spark, sf):
 _LAST_SQL = ", ".join(f'arg_max("{c}", (processed_time, event_id)) AS "{c}"' for c in _LAST)
 
 
-@register("live_candles_1m", "A8 A9 P5",
+@register("live_candles_1m", "A8 A9 P5 J7",
           sql=SQL_LIVE + f"""
 SELECT symbol, time_bucket(INTERVAL '1 minute', processed_time) AS processed_time,
        arg_min(average_price, (processed_time, event_id)) AS open, max(average_price) AS high,

@@ -372,3 +372,73 @@ def q_model_league(spark, sf):
     symbols = sorted(r.symbol for r in ready.select("symbol").collect())   # the gate's small symbol list
     runs_df, _ = ml.train_league(feats, symbols)
     return runs_df
+
+
+# ----------------------------------------------------- exports / panels ----
+@register("recent_export_premium", "P18 S19",
+          sql=with_ctes(fx.SQL_TICKS, SQL_WINDOWS) + """
+SELECT symbol, average_price AS price, volume_usd, cvd, vpin_score AS vpin FROM win
+WHERE processed_time >= (SELECT max(processed_time) FROM win) - INTERVAL 12 HOURS""",
+          doubles="price volume_usd cvd vpin")
+def q_recent_export(spark, sf):
+    from quantsilo.sources import io
+    return io.recent_export(silver.window_metrics(fx.ticks(spark, sf)), "PREMIUM")
+
+
+@register("free_panel", "A29",
+          sql=with_ctes(fx.SQL_TICKS) + """,
+now_t AS (SELECT max(ts) AS now_ts FROM ticks)
+SELECT t.symbol,
+       avg(price) FILTER (WHERE ts > now_ts - INTERVAL 24 HOURS) AS avg_p,
+       max(price) FILTER (WHERE ts > now_ts - INTERVAL 24 HOURS) AS max_p,
+       min(price) FILTER (WHERE ts > now_ts - INTERVAL 24 HOURS) AS min_p,
+       arg_max(price, (ts, event_id)) FILTER (WHERE ts <= now_ts - INTERVAL 1 MINUTE) AS delayed_price
+FROM ticks t, now_t GROUP BY t.symbol""", doubles="avg_p max_p min_p delayed_price")
+def q_free_panel(spark, sf):
+    return ops.free_panel(fx.ticks(spark, sf))
+
+
+_PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@register("bar_union", "U1 F3 F4 S17",
+          sql=with_ctes(fx.SQL_BARS) + """
+SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$', 'USDT') AS symbol,
+       open, high, low, close, volume, year("timestamp") AS year FROM bars""",
+          doubles="open high low close volume")
+def q_bar_union(spark, sf):
+    from quantsilo.operators import bars
+    b = fx.daily_bars(spark, sf)
+    # vendor frames, one per instrument, as the ETL fetches them (fixed instrument list)
+    frames = [b.filter(F.col("symbol") == p).select(
+        F.col("timestamp").alias("Date"), F.lit(f"C{p[0]}-USD").alias("ticker"),
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")]) for p in _PRIO]
+    return bars.normalize_bars(bars.union_bars(frames)).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+_TR_HEADERS = ["Müşteri No", "Adı Soyadı", "Ülke Kodu", "Bakiye (₺)", "Sektör"]
+
+
+@register("clean_headers", "P7 S3",
+          sql="""
+SELECT c_custkey AS "musteri_no", c_name AS "adi_soyadi", c_nationkey AS "ulke_kodu", c_acctbal AS "bakiye____",
+       lower(regexp_replace(translate(trim(c_mktsegment), 'ığüşöçİĞÜŞÖÇ', 'igusocIGUSOC'), '[^a-zA-Z0-9]', '_', 'g'))
+         AS "sektor"
+FROM customer""", doubles="bakiye____")
+def q_clean_headers(spark, sf):
+    from quantsilo.sources import io
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    raw = c.toDF(*_TR_HEADERS)                      # an upload with local-language headers
+    clean = raw.toDF(*[io.clean_name(h) for h in raw.columns])
+    return clean.withColumn("sektor", io.clean_values("sektor"))
+
+
+@register("adhoc_sql", "S21 S22 S24",
+          sql=with_ctes(fx.SQL_TICKS) + """
+SELECT symbol, count(*) AS trades, sum(volume_usd) AS notional FROM ticks GROUP BY symbol""",
+          doubles="notional")
+def q_adhoc_sql(spark, sf):
+    from quantsilo.sources import io
+    io.materialize(fx.ticks(spark, sf), "qs_ticks")                         # S21: view
+    return io.run_sql(spark, "SELECT symbol, count(*) AS trades, sum(volume_usd) AS notional "
+                             "FROM qs_ticks GROUP BY symbol")               # S22 / S24
