@@ -36,7 +36,7 @@ def backtest(buckets: DataFrame, strategy: str, key: str = "symbol", lead: int =
     """Per symbol: total signals, winning trades, win rate (A13: rounded to 2, 0 without signals)."""
     base = buckets if calendar else signals(buckets, strategy)
     s = base.withColumn("_chunk", ordered.time_chunk("bucket", chunk_seconds))
-    s = ordered.add_sequence(s, [key], ["bucket"], "_chunk", out="_seq")
+    s = ordered.add_sequence(s, [key], ["bucket"], "_chunk", out="_seq", keep_blocks=True)
     r = ordered.rolling(s, [key], "_seq",
                         lambda w: [F.lead("close_price", lead).over(w).alias("_later")],  # W3
                         lookahead=lead)

@@ -87,16 +87,17 @@ def rsi_from_means(gain: Column, loss: Column) -> Column:
             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)))
 
 
-def _sequenced(df: DataFrame, key: str, order: list, chunk_seconds: int) -> DataFrame:
+def _sequenced(df: DataFrame, key: str, order: list, chunk_seconds: int,
+               block_rows: int = ordered.DEFAULT_BLOCK_ROWS, keep: bool = True) -> DataFrame:
     df = df.withColumn("_chunk", ordered.time_chunk(order[0], chunk_seconds))
-    return ordered.add_sequence(df, [key], order, "_chunk", out="_seq")
+    return ordered.add_sequence(df, [key], order, "_chunk", out="_seq", block_rows=block_rows, keep_blocks=keep)
 
 
 def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "timestamp",
                        price: str = "close", chunk_seconds: int = 365 * 86400,
                        block_rows: int = ordered.DEFAULT_BLOCK_ROWS, dropna: bool = True) -> DataFrame:
     """History page: returns, MA7/25/99, RSI14, Bollinger 20/2, MACD 12/26/9, drawdown."""
-    df = _sequenced(bars, key, [order], chunk_seconds)
+    df = _sequenced(bars, key, [order], chunk_seconds, block_rows)
     df = ema_columns(df, key, "_seq", price, names=("_e12", "_e26", "MACD", "Signal"),
                      block_rows=block_rows).drop("_e12", "_e26")                         # W8
 
@@ -123,7 +124,7 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
           .withColumn("MACD_Hist", F.col("MACD") - F.col("Signal")))
     r = ordered.running(r, [key], ["_seq"], "_chunk", price, "max", "rolling_max")       # W11
     r = r.withColumn("drawdown", F.try_divide(F.col(price) - F.col("rolling_max"), F.col("rolling_max")))
-    r = r.drop("_gain", "_loss", "_chunk", "_seq")
+    r = ordered.drop_plan(r.drop("_gain", "_loss", "_chunk", "_seq"))
     return r.dropna() if dropna else r
 
 
@@ -131,7 +132,7 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
                     price: str = "average_price", chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS,
                     block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Live page: SMA20, sample std, Bollinger bands, RSI14, EMA12/26, MACD, signal; NULL -> 0 (P5)."""
-    df = _sequenced(rows, key, list(order), chunk_seconds)
+    df = _sequenced(rows, key, list(order), chunk_seconds, block_rows)
     df = ema_columns(df, key, "_seq", price, names=("EMA12", "EMA26", "MACD", "Signal_Line"),
                      block_rows=block_rows)
 
@@ -152,7 +153,7 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
                         lookback=C.BOLLINGER_PERIOD + C.RSI_PERIOD, block_rows=block_rows)
     r = (r.withColumn("Bollinger_Upper", F.col("SMA_20") + F.col("Std_Dev") * C.BOLLINGER_K)
           .withColumn("Bollinger_Lower", F.col("SMA_20") - F.col("Std_Dev") * C.BOLLINGER_K)
-          .drop("_gain", "_loss", "_chunk", "_seq"))
+          .drop("_gain", "_loss", "_chunk", "_seq", *ordered.PLAN_COLS))
     return r.na.fill(0)
 
 
@@ -162,7 +163,7 @@ def training_features(rows: DataFrame, key: str = "symbol", order: str = "proces
                       block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """M3: lags 1/3 (W1), means 5/10 (W4), momentum and volatility change (W10),
     next price as target (W2); rows with any NULL dropped (P6)."""
-    df = _sequenced(rows, key, [order], chunk_seconds)
+    df = _sequenced(rows, key, [order], chunk_seconds, block_rows)
 
     def build(w):
         lag3 = F.lag(price, 3).over(w)
@@ -177,14 +178,14 @@ def training_features(rows: DataFrame, key: str = "symbol", order: str = "proces
 
     r = ordered.rolling(df, [key], "_seq", build, lookback=max(C.FEATURE_MA_PERIODS), lookahead=1,
                         block_rows=block_rows)
-    return r.drop("_chunk", "_seq").dropna()
+    return ordered.drop_plan(r.drop("_chunk", "_seq")).dropna()
 
 
 def chronological_split(features: DataFrame, key: str = "symbol", order: str = "processed_time",
                         fraction: float = C.TRAIN_FRACTION,
                         chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """First floor(n * fraction) rows of each symbol are training rows."""
-    df = _sequenced(features, key, [order], chunk_seconds)
+    df = _sequenced(features, key, [order], chunk_seconds, keep=False)
     n = features.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     out = df.join(n, key)   # one row per symbol: AQE broadcasts it
     return (out.withColumn("is_train", F.col("_seq") < F.floor(F.col("_n") * fraction))
@@ -197,5 +198,5 @@ def change_points(df: DataFrame, key: str, order: list, payload: str,
     s = _sequenced(df.withColumn("payload_hash", F.md5(F.col(payload))), key, order, chunk_seconds)
     r = ordered.rolling(s, [key], "_seq",
                         lambda w: [F.lag("payload_hash", 1).over(w).alias("_prev")], lookback=1)
-    return (r.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("payload_hash")))
-            .drop("_prev", "_chunk", "_seq"))
+    return ordered.drop_plan(r.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("payload_hash")))
+                             .drop("_prev", "_chunk", "_seq"))

@@ -54,12 +54,12 @@ def free_daily_bans(requests: DataFrame, users: DataFrame, cap: int = C.FREE_DAI
 def _episodes(events: DataFrame, key: str, ttl_seconds: int) -> DataFrame:
     """Split each key's history where consecutive attempts are more than ``ttl_seconds`` apart."""
     e = events.withColumn("_chunk", ordered.time_chunk("ts", 86400))
-    e = ordered.add_sequence(e, [key], ["ts", "event_id"], "_chunk", out="_seq")
+    e = ordered.add_sequence(e, [key], ["ts", "event_id"], "_chunk", out="_seq", keep_blocks=True)
     e = ordered.rolling(e, [key], "_seq", lambda w: [F.lag("ts", 1).over(w).alias("_prev")], lookback=1)
     gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_prev").cast("timestamp"))
     e = e.withColumn("_new", F.when(F.col("_prev").isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0))
     e = ordered.running(e, [key], ["_seq"], "_chunk", "_new", "sum", "episode")
-    return e.drop("_prev", "_new", "_chunk")
+    return ordered.drop_plan(e.drop("_prev", "_new", "_chunk"))
 
 
 _OUT = "key string, episode long, ts timestamp_ntz, event_id long, blocked boolean, count_after int"

@@ -113,7 +113,7 @@ def anomaly_flags(windows: DataFrame, key: str = "symbol", order: str = "window_
     wash = vol_z > z; spoof = |imb_z| > z and volume < half the mean; score = max |z|.
     """
     df = windows.withColumn("_chunk", ordered.time_chunk(order, chunk_seconds))
-    df = ordered.add_sequence(df, [key], [order], "_chunk", out="_seq")
+    df = ordered.add_sequence(df, [key], [order], "_chunk", out="_seq", block_rows=block_rows, keep_blocks=True)
 
     def build(w):
         f = w.rowsBetween(-(history - 1), 0)
@@ -132,7 +132,7 @@ def anomaly_flags(windows: DataFrame, key: str = "symbol", order: str = "window_
                         .otherwise(F.lit(False)))
             .withColumn("anomaly_score",
                         F.when(enough, F.greatest(F.abs(F.col("_vz")), F.abs(F.col("_iz")))).otherwise(F.lit(0.0)))
-            .drop("_chunk", "_seq", "_n", "_vm", "_vs", "_im", "_is", "_vz", "_iz"))
+            .drop("_chunk", "_seq", "_n", "_vm", "_vs", "_im", "_is", "_vz", "_iz", *ordered.PLAN_COLS))
 
 
 def silver(ticks: DataFrame, predictions: DataFrame | None = None, **kw) -> DataFrame:

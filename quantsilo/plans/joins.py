@@ -12,9 +12,10 @@ BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 def plan_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # Spark Connect or an unsized plan
         return None
+    return int(size if isinstance(size, int) else str(size))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -2,36 +2,57 @@
 
 Market data has few keys (symbols) and one may hold a third of all rows, so a
 window ``partitionBy(symbol)`` would put that third in one task.  The helpers
-here never partition by the key alone on row-scale data:
-
-* ``chunk`` - a coarse time bucket (default one day).  Every row-scale window
-  is partitioned by ``(key, chunk)`` or ``(key, block)``; state that crosses
-  chunk borders travels through a *summary table* with one row per
-  ``(key, chunk)`` - its size is #keys x #chunks, independent of row count.
-* ``add_sequence`` - exact 0-based row ordinal per key: ``row_number`` within
-  the chunk plus the prefix sum of earlier chunk counts.
-* ``rolling`` - bounded row frames (lags, leads, moving averages) over blocks
-  of ``block_rows`` ordinals; the last ``lookback`` rows of each block are
-  copied into the next block (and the first ``lookahead`` rows into the
-  previous one) so frames at block borders are exact.
+here never partition row-scale data by the key alone:
+
+* ``chunk`` - a time bucket (default one day) that is non-decreasing in the
+  order.  A *block plan* is computed from row counts per ``(key, chunk)``
+  (one partial aggregate; #keys x #chunks rows): chunk offsets by prefix
+  sums, and chunks merged into *blocks* of about ``block_rows`` rows.  The
+  plan is cached, counted (one small job) and broadcast only when that
+  measured size is small; otherwise it is shuffle-joined.
+* ``add_sequence`` - exact 0-based ordinal per key: every row learns its
+  block from the plan *before* the shuffle, then one shuffle by
+  ``(key, block)`` and ``row_number`` + the block's start offset.
+* ``rolling`` - bounded row frames (lags, leads, moving averages, z-scores)
+  in the same ``(key, block)`` partitioning.  Only the rows within
+  ``lookback`` of the next block (``lookahead`` of the previous one) are
+  copied and shuffled; they are unioned with the already partitioned rows,
+  which Spark keeps co-partitioned, so the frames need no second full
+  shuffle.  Since blocks start in distinct ``block_rows`` intervals, a row
+  is context for at most two neighbouring blocks.
+* ``block_apply`` - the same blocks for sequential recursions in pandas.
 * ``fill_forward`` / ``fill_backward`` - last / next non-null value (as-of
-  semantics) with the carry across chunks from the summary table.
-* ``running`` - running max / min / sum with carry across chunks.
-
-All summary joins go to ``(key, chunk)`` on a side that is already hash
-partitioned by ``(key, chunk)``: only the small side moves, and AQE turns the
-join into a broadcast when the summary is measured to be small.
+  semantics) per ``(key, chunk)`` with the carry across chunks from a
+  summary table; ``running`` - running max / min / sum likewise.
+
+A task never holds more than one block plus its context (bounded by
+``block_rows`` and the largest chunk), whatever the key skew.  Inputs that
+Catalyst estimates below ``SMALL_INPUT_BYTES`` use one block per key (the
+plain per-key window, one shuffle, no plan job).  Keys and the
+chunk are matched null-safely, so no row is lost.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_SECONDS = 86400
 DEFAULT_BLOCK_ROWS = 262144
+# plan rows above which the plan is shuffle-joined instead of broadcast (~80 bytes a row)
+PLAN_BROADCAST_ROWS = 400_000
+# inputs estimated below this size (Catalyst's file-size based estimate) take one block per
+# key: every key fits a task, and the block plan's extra job would cost more than it saves
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
+
+_PLANS: deque = deque(maxlen=32)   # cached block plans, oldest released first
+
+PLAN_COLS = ["_blk", "_bs", "_n1b", "_n1s", "_n2b", "_n2s", "_p1b", "_p1s", "_p2b"]
 
 _U = Window.unboundedPreceding
 _F = Window.unboundedFollowing
@@ -41,51 +62,110 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _ns_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``on`` with NULL-safe equality; keeps the left copy of the key columns."""
+    r = right.select(*[F.col(c).alias(f"_jk{i}") for i, c in enumerate(on)],
+                     *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_jk{i}"]) for i, c in enumerate(on)]
+    return left.join(r, cond, how).drop(*[f"_jk{i}" for i in range(len(on))])
+
+
 def time_chunk(ts: str | Column, seconds: int = DEFAULT_CHUNK_SECONDS) -> Column:
     """Integer time bucket of ``seconds`` width (works for timestamp and timestamp_ntz)."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def block_plan(df: DataFrame, keys: Sequence[str], chunk: str, block_rows: int) -> DataFrame:
+    """Per (key, chunk): its block and the block's neighbours (start offsets and ids).
+
+    The plan is small (#keys x #chunks rows) and cached, so its measured size
+    decides the join strategy and it is computed once; a lost cache block is
+    recomputed from lineage.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_cn"))
+    wk = Window.partitionBy(*keys).orderBy(chunk)
+    off = counts.select(*keys, chunk, F.coalesce(F.sum("_cn").over(wk.rowsBetween(_U, -1)),
+                                                 F.lit(0)).cast("long").alias("_coff"))
+    off = off.withColumn("_blk", F.floor(F.col("_coff") / F.lit(block_rows)).cast("long"))
+    blocks = off.groupBy(*keys, "_blk").agg(F.min("_coff").alias("_bs"))
+    wb = Window.partitionBy(*keys).orderBy("_blk")
+    blocks = blocks.select(
+        *keys, "_blk", "_bs",
+        F.lead("_blk", 1).over(wb).alias("_n1b"), F.lead("_bs", 1).over(wb).alias("_n1s"),
+        F.lead("_blk", 2).over(wb).alias("_n2b"), F.lead("_bs", 2).over(wb).alias("_n2s"),
+        F.lag("_blk", 1).over(wb).alias("_p1b"), F.lag("_bs", 1).over(wb).alias("_p1s"),
+        F.lag("_blk", 2).over(wb).alias("_p2b"))
+    plan = _ns_join(off.select(*keys, chunk, "_blk"), blocks, [*keys, "_blk"]).persist(StorageLevel.MEMORY_AND_DISK)
+    if len(_PLANS) == _PLANS.maxlen:
+        _PLANS[0].unpersist(blocking=False)      # a later use recomputes it from lineage
+    _PLANS.append(plan)
+    return plan
+
+
+def _join_plan(df: DataFrame, plan: DataFrame, on: list[str]) -> DataFrame:
+    small = F.broadcast(plan) if plan.count() <= PLAN_BROADCAST_ROWS else plan
+    return _ns_join(df, small.select(*on, *PLAN_COLS), on)
+
+
 def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
-                 out: str = "seq") -> DataFrame:
+                 out: str = "seq", block_rows: int = DEFAULT_BLOCK_ROWS,
+                 keep_blocks: bool = False) -> DataFrame:
     """Add an exact 0-based ordinal per ``keys`` in ``order`` (order must be total).
 
-    ``chunk`` names a column that is non-decreasing in ``order``.
+    ``chunk`` names a column that is non-decreasing in ``order``.  With
+    ``keep_blocks`` the block columns stay on the rows (and the rows stay
+    partitioned by (key, block)) for ``rolling`` / ``block_apply``.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
-    ranked = df.withColumn("_rn", F.row_number().over(w))
-    counts = ranked.groupBy(*keys, chunk).agg(F.max("_rn").alias("_n"))
-    offsets = counts.select(
-        *keys, chunk,
-        F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(chunk).rowsBetween(_U, -1)),
-                   F.lit(0)).alias("_off"))
-    return (ranked.join(offsets, [*keys, chunk])
-            .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long"))
-            .drop("_rn", "_off"))
-
-
-def _copies(df: DataFrame, seq: str, lookback: int, lookahead: int, block_rows: int) -> DataFrame:
-    """Assign each row to its block (``_blk``, ``_home`` = True) plus context copies.
-
-    The last ``lookback`` rows of a block are copied into the next block and
-    the first ``lookahead`` rows into the previous one (``_home`` = False).
-    """
-    if block_rows < max(lookback, lookahead, 1):
-        raise ValueError("block_rows must be at least the frame reach")
-    blk = F.floor(F.col(seq) / F.lit(block_rows)).cast("long")
-    pos = F.col(seq) - blk * F.lit(block_rows)
-    home = F.array(F.struct(blk.alias("b"), F.lit(True).alias("h")))
-    nxt = F.when(pos >= F.lit(block_rows - lookback),
-                 F.array(F.struct((blk + 1).alias("b"), F.lit(False).alias("h")))) if lookback else None
-    prv = F.when((pos < F.lit(lookahead)) & (blk > 0),
-                 F.array(F.struct((blk - 1).alias("b"), F.lit(False).alias("h")))) if lookahead else None
-    empty = F.array().cast("array<struct<b:bigint,h:boolean>>")
-    parts = [home] + [F.coalesce(x, empty) for x in (nxt, prv) if x is not None]
-    targets = F.concat(*parts) if len(parts) > 1 else home
-    return (df.withColumn("_t", F.explode(targets))
-            .withColumn("_blk", F.col("_t.b")).withColumn("_home", F.col("_t.h")).drop("_t"))
+    from quantsilo.plans.joins import plan_size_bytes
+    est = plan_size_bytes(df)
+    if est is not None and est <= SMALL_INPUT_BYTES:
+        none = F.lit(None).cast("long")
+        x = df.select("*", F.lit(0).cast("long").alias("_blk", metadata={"single_block": True}),
+                      F.lit(0).cast("long").alias("_bs"), *[none.alias(c) for c in PLAN_COLS[2:]])
+    else:
+        plan = block_plan(df, keys, chunk, block_rows)
+        x = _join_plan(df, plan, [*keys, chunk])
+        x = x.withColumn("_blk", F.col("_blk").alias("_blk", metadata={"block_rows": block_rows}))
+    w = Window.partitionBy(*keys, "_blk").orderBy(*_cols(order))
+    x = x.withColumn(out, (F.col("_bs") + F.row_number().over(w) - 1).cast("long"))
+    return x if keep_blocks else x.drop(*PLAN_COLS)
+
+
+def drop_plan(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in PLAN_COLS if c in df.columns])
+
+
+def _with_context(df: DataFrame, keys: list[str], seq: str, lookback: int, lookahead: int) -> DataFrame:
+    """Rows of ``df`` (``_home`` = True) plus the context copies neighbouring blocks need."""
+    if "_blk" not in df.columns:
+        raise ValueError("rows need block columns: add_sequence(..., keep_blocks=True)")
+    meta = df.schema["_blk"].metadata
+    if meta.get("single_block"):
+        return df.withColumn("_home", F.lit(True))      # one block per key: no context needed
+    planned = meta.get("block_rows")
+    if planned is not None and max(lookback, lookahead) > planned:
+        raise ValueError("frame reach exceeds the block size of the plan")
+    s = F.col(seq)
+    targets = []
+    if lookback:
+        targets.append(F.when(s >= F.col("_n1s") - lookback, F.col("_n1b")))
+        targets.append(F.when(s >= F.col("_n2s") - lookback, F.col("_n2b")))
+    if lookahead:
+        targets.append(F.when(s < F.col("_bs") + lookahead, F.col("_p1b")))
+        targets.append(F.when(s < F.col("_p1s") + lookahead, F.col("_p2b")))
+    home = df.withColumn("_home", F.lit(True))
+    if not targets:
+        return home
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # one pass picks the (at most four) neighbour blocks each row is context for; only
+    # those copies move, and the union keeps the (key, block) partitioning of the rest
+    pick = F.filter(F.array(*targets), lambda b: b.isNotNull())
+    ctx = (df.select("*", F.explode(pick).alias("_to")).withColumn("_blk", F.col("_to")).drop("_to")
+           .withColumn("_home", F.lit(False)).repartition(n, *keys, "_blk"))
+    return home.unionByName(ctx)
 
 
 def rolling(df: DataFrame, keys: Sequence[str], seq: str,
@@ -94,34 +174,34 @@ def rolling(df: DataFrame, keys: Sequence[str], seq: str,
             block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Evaluate bounded-frame window columns per key without a per-key partition.
 
-    ``build(w)`` receives ``Window.partitionBy(keys, block).orderBy(seq)`` and
-    returns the columns to add; frames must reach at most ``lookback`` rows
-    back and ``lookahead`` rows ahead.  ``build`` may be a list of stages,
-    each seeing the columns of the previous ones (same partitioning, so no
-    extra shuffle); ``lookback`` must then cover the summed reach.  Window
-    functions that look further (unbounded frames) are not exact here; use
-    ``running``/``fill_*``.
+    ``df`` comes from ``add_sequence(..., keep_blocks=True)``.  ``build(w)``
+    receives ``Window.partitionBy(keys, block).orderBy(seq)`` and returns the
+    columns to add; frames may reach ``lookback`` rows back and
+    ``lookahead`` rows ahead (at most the plan's ``block_rows``).  ``build``
+    may be a list of stages, each seeing the columns of the previous ones
+    (same partitioning, no extra shuffle); ``lookback`` must then cover the
+    summed reach.  Unbounded frames are not exact here; use ``running`` /
+    ``fill_*``.
     """
     keys = list(keys)
-    copies = _copies(df, seq, lookback, lookahead, block_rows)
+    rows = _with_context(df, keys, seq, lookback, lookahead)
     w = Window.partitionBy(*keys, "_blk").orderBy(seq)
     for stage in (build if isinstance(build, (list, tuple)) else [build]):
-        copies = copies.select("*", *stage(w))
-    return copies.filter(F.col("_home")).drop("_blk", "_home")
+        rows = rows.select("*", *stage(w))
+    return rows.filter(F.col("_home")).drop("_home")
 
 
 def block_apply(df: DataFrame, keys: Sequence[str], seq: str, fn, new_fields: str,
                 lookback: int = 0, lookahead: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Sequential per-key computations (recursions) with pandas, block by block.
 
-    Rows are grouped by (keys, block) with the same context copies as
+    Rows are grouped by (keys, block) with the same context rows as
     ``rolling``; ``fn(pdf)`` gets one block sorted by ``seq`` and returns it
     with the columns named in ``new_fields`` (a DDL string) added.  Groups
-    are bounded by ``block_rows + lookback + lookahead`` rows whatever the
-    key skew.
+    are bounded by one block plus its context whatever the key skew.
     """
     keys = list(keys)
-    copies = _copies(df, seq, lookback, lookahead, block_rows)
+    rows = _with_context(df, keys, seq, lookback, lookahead)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", " + new_fields
     out_cols = [f.name for f in df.schema.fields] + [x.strip().split()[0].strip("`") for x in new_fields.split(",")]
 
@@ -130,7 +210,7 @@ def block_apply(df: DataFrame, keys: Sequence[str], seq: str, fn, new_fields: st
         res = fn(pdf)
         return res.loc[pdf["_home"].values, out_cols]
 
-    return copies.groupBy(*keys, "_blk").applyInPandas(run, schema)
+    return rows.groupBy(*keys, "_blk").applyInPandas(run, schema)
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
@@ -159,7 +239,7 @@ def _fill(df, keys, order, chunk, cols, suffix, forward):
     w_c = w_c.rowsBetween(_U, -1) if forward else w_c.rowsBetween(1, _F)
     carry = summ.select(*keys, chunk,
                         *[pick(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
-    out = filled.join(carry, [*keys, chunk], "left")
+    out = _ns_join(filled, carry, [*keys, chunk], "left")
     value = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}")) for c in cols}
     if suffix:
         return out.select(*df.columns, *[value[c].alias(f"{c}{suffix}") for c in cols])
@@ -183,7 +263,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
     summ = df.groupBy(*keys, chunk).agg(outer(col).alias("_tot"))
     carry = summ.select(*keys, chunk, outer("_tot").over(
         Window.partitionBy(*keys).orderBy(chunk).rowsBetween(_U, -1)).alias("_carry"))
-    res = part.join(carry, [*keys, chunk], "left")
+    res = _ns_join(part, carry, [*keys, chunk], "left")
     val = F.when(F.col("_carry").isNull(), F.col("_run_in")).otherwise(
         combine(F.col("_carry"), F.col("_run_in")))
     return res.withColumn(out, val).drop("_run_in", "_carry")

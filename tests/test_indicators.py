@@ -51,8 +51,7 @@ def test_history_indicators_match_pandas(spark):
 
 def test_ema_exact_across_blocks(spark):
     prices = [float(100 + (i * 37) % 23) for i in range(2500)]
-    df = _bars(spark, prices).withColumn("_seq", F.row_number().over(
-        Window.partitionBy("symbol").orderBy("timestamp")) - 1)
+    df = indicators._sequenced(_bars(spark, prices), "symbol", ["timestamp"], 86400 * 7, block_rows=700)
     got = indicators.ema_columns(df, "symbol", "_seq", "close", block_rows=700).orderBy("_seq").toPandas()
     s = pd.Series(prices)
     e12, e26 = s.ewm(span=12, adjust=False).mean(), s.ewm(span=26, adjust=False).mean()

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,25 +21,29 @@ def _data(spark, n=400, keys=3, seed=7):
 
 
 def _rows(df, cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-def test_add_sequence_matches_row_number(spark):
-    df = _data(spark)
-    got = ordered.add_sequence(df, ["k"], ["t", "i"], "chunk", out="seq")
+@pytest.mark.parametrize("block_rows", [3, 50, 1000])
+def test_add_sequence_matches_row_number(spark, block_rows):
+    df = _data(spark).union(spark.createDataFrame([(None, 3, 999, 1.0)], "k string, t int, i int, v double")
+                            .withColumn("chunk", F.floor(F.col("t") / 7)))      # a NULL key is kept
+    got = ordered.add_sequence(df, ["k"], ["t", "i"], "chunk", out="seq", block_rows=block_rows)
     want = df.withColumn("seq", F.row_number().over(Window.partitionBy("k").orderBy("t", "i")) - 1)
     assert _rows(got, ["k", "i", "seq"]) == _rows(want, ["k", "i", "seq"])
 
 
-def test_rolling_small_blocks_equal_plain_window(spark):
-    df = ordered.add_sequence(_data(spark), ["k"], ["t", "i"], "chunk", out="seq")
+@pytest.mark.parametrize("block_rows", [5, 9, 40])
+def test_rolling_small_blocks_equal_plain_window(spark, block_rows):
+    df = ordered.add_sequence(_data(spark), ["k"], ["t", "i"], "chunk", out="seq",
+                              block_rows=block_rows, keep_blocks=True)
 
     def build(w):
         return [F.avg("v").over(w.rowsBetween(-4, 0)).alias("ma"), F.lag("v", 2).over(w).alias("lag2"),
                 F.lead("v", 3).over(w).alias("lead3"), F.count("v").over(w.rowsBetween(-4, 0)).alias("n")]
 
-    got = ordered.rolling(df, ["k"], "seq", build, lookback=4, lookahead=3, block_rows=5)
-    want = df.select("*", *build(Window.partitionBy("k").orderBy("seq")))
+    got = ordered.rolling(df, ["k"], "seq", build, lookback=4, lookahead=3, block_rows=block_rows)
+    want = ordered.drop_plan(df).select("*", *build(Window.partitionBy("k").orderBy("seq")))
     cols = ["k", "i", "ma", "lag2", "lead3", "n"]
     assert _rows(got, cols) == _rows(want, cols)
 
