@@ -135,7 +135,8 @@ def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str
 
 
 def drop_plan(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in PLAN_COLS if c in df.columns])
+    """Remove the helper columns (block plan and surrogate keys) once a pipeline is done."""
+    return drop_surrogates(df.drop(*[c for c in PLAN_COLS if c in df.columns]))
 
 
 def _with_context(df: DataFrame, keys: list[str], seq: str, lookback: int, lookahead: int) -> DataFrame:
@@ -225,25 +226,55 @@ def fill_backward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: st
     return _fill(df, list(keys), order, chunk, list(cols), suffix, forward=False)
 
 
+def _surrogates(df: DataFrame, keys: list[str], chunk: str) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the key and chunk columns (value as string + is-null flag).
+
+    Windows partition by them and carry tables join on them with plain
+    equality, so NULL keys keep their carry and the join reuses the
+    windows' hash partitioning (NULL-safe join keys would not).  They stay on
+    the output so a following step over the same keys needs no new shuffle;
+    ``drop_plan`` removes them.
+    """
+    src = [*keys, chunk]
+    names = [n for i in range(len(src)) for n in (f"_sk{i}", f"_sn{i}")]
+    if all(n in df.columns for n in names) and \
+            [df.schema[f"_sk{i}"].metadata.get("src") for i in range(len(src))] == src and \
+            f"_sk{len(src)}" not in df.columns:
+        return df, names           # same keys as the previous step: keep its partitioning
+    df = drop_surrogates(df)
+    cols = []
+    for i, c in enumerate(src):
+        cols += [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_sk{i}", metadata={"src": c}),
+                 F.col(c).isNull().alias(f"_sn{i}")]
+    return df.select("*", *cols), names
+
+
+def drop_surrogates(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c[:3] in ("_sk", "_sn") and c[3:].isdigit()])
+
+
 def _fill(df, keys, order, chunk, cols, suffix, forward):
     order_cols = _cols(order)
-    w_in = Window.partitionBy(*keys, chunk).orderBy(*order_cols)
+    x, sk = _surrogates(df, keys, chunk)
+    part_keys, chunk_keys = sk[:-2], sk[-2:]
+    w_in = Window.partitionBy(*sk).orderBy(*order_cols)
     w_in = w_in.rowsBetween(_U, 0) if forward else w_in.rowsBetween(0, _F)
     pick = F.last if forward else F.first
-    filled = df.select("*", *[pick(c, ignorenulls=True).over(w_in).alias(f"_in_{c}") for c in cols])
-    # chunk summary: the chunk's own last (first) non-null value
+    filled = x.select("*", *[pick(c, ignorenulls=True).over(w_in).alias(f"_in_{c}") for c in cols])
+    # chunk summary: the chunk's own last (first) non-null value; carried in chunk order
     take = F.max_by if forward else F.min_by
-    summ = df.groupBy(*keys, chunk).agg(
+    summ = x.groupBy(*sk).agg(
+        F.first(chunk).alias("_ch"),
         *[take(c, F.when(F.col(c).isNotNull(), F.struct(*order_cols))).alias(f"_s_{c}") for c in cols])
-    w_c = Window.partitionBy(*keys).orderBy(chunk)
+    w_c = Window.partitionBy(*part_keys).orderBy("_ch")
     w_c = w_c.rowsBetween(_U, -1) if forward else w_c.rowsBetween(1, _F)
-    carry = summ.select(*keys, chunk,
-                        *[pick(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
-    out = _ns_join(filled, carry, [*keys, chunk], "left")
+    carry = summ.select(*sk, *[pick(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
+    out = filled.join(carry, sk, "left")
     value = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}")) for c in cols}
+    base = [c for c in x.columns if c not in sk]
     if suffix:
-        return out.select(*df.columns, *[value[c].alias(f"{c}{suffix}") for c in cols])
-    return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns])
+        return out.select(*base, *[value[c].alias(f"{c}{suffix}") for c in cols], *sk)
+    return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in base], *sk)
 
 
 _RUN = {
@@ -257,13 +288,15 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
             col: str, how: str, out: str) -> DataFrame:
     """Running max / min / sum of ``col`` per key in ``order`` (inclusive)."""
     inner, outer, combine = _RUN[how]
-    keys = list(keys)
-    w_in = Window.partitionBy(*keys, chunk).orderBy(*_cols(order)).rowsBetween(_U, 0)
-    part = df.withColumn("_run_in", inner(col).over(w_in))
-    summ = df.groupBy(*keys, chunk).agg(outer(col).alias("_tot"))
-    carry = summ.select(*keys, chunk, outer("_tot").over(
-        Window.partitionBy(*keys).orderBy(chunk).rowsBetween(_U, -1)).alias("_carry"))
-    res = _ns_join(part, carry, [*keys, chunk], "left")
+    x, sk = _surrogates(df, list(keys), chunk)
+    part_keys = sk[:-2]
+    w_in = Window.partitionBy(*sk).orderBy(*_cols(order)).rowsBetween(_U, 0)
+    part = x.withColumn("_run_in", inner(col).over(w_in))
+    summ = x.groupBy(*sk).agg(F.first(chunk).alias("_ch"), outer(col).alias("_tot"))
+    carry = summ.select(*sk, outer("_tot").over(
+        Window.partitionBy(*part_keys).orderBy("_ch").rowsBetween(_U, -1)).alias("_carry"))
+    res = part.join(carry, sk, "left")
     val = F.when(F.col("_carry").isNull(), F.col("_run_in")).otherwise(
         combine(F.col("_carry"), F.col("_run_in")))
-    return res.withColumn(out, val).drop("_run_in", "_carry")
+    base = [c for c in x.columns if c not in sk and c != out]
+    return res.withColumn(out, val).select(*base, out, *sk)
