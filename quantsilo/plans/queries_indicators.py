@@ -102,9 +102,6 @@ def q_seasonality(spark, sf):
     return analysis.seasonality(indicators.history_indicators(fx.daily_bars(spark, sf)))
 
 
-_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
-
 @register("return_correlation", "A23 J8 W9",
           sql=SQL_HISTORY + """
 SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, corr(a."returns", b."returns") AS corr
@@ -112,7 +109,9 @@ FROM hist_clean a JOIN hist_clean b ON a."timestamp" = b."timestamp" AND a.symbo
 GROUP BY 1, 2""", doubles="corr", digits=4)
 def q_return_correlation(spark, sf):
     h = indicators.history_indicators(fx.daily_bars(spark, sf))
-    return analysis.correlation_matrix(h, _PRIORITIES)
+    # the series to correlate: the distinct symbols (a small list, like a pivot's values)
+    symbols = sorted(r.symbol for r in fx.daily_bars(spark, sf).select("symbol").distinct().collect())
+    return analysis.correlation_matrix(h, symbols)
 
 
 # ------------------------------------------------------- live candles -------

@@ -398,9 +398,6 @@ def q_free_panel(spark, sf):
     return ops.free_panel(fx.ticks(spark, sf))
 
 
-_PRIO = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-
-
 @register("bar_union", "U1 F3 F4 S17",
           sql=with_ctes(fx.SQL_BARS) + """
 SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$', 'USDT') AS symbol,
@@ -409,10 +406,11 @@ SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$
 def q_bar_union(spark, sf):
     from quantsilo.operators import bars
     b = fx.daily_bars(spark, sf)
-    # vendor frames, one per instrument, as the ETL fetches them (fixed instrument list)
+    # vendor frames, one per instrument, as the ETL fetches them
+    instruments = sorted(r.symbol for r in b.select("symbol").distinct().collect())
     frames = [b.filter(F.col("symbol") == p).select(
         F.col("timestamp").alias("Date"), F.lit(f"C{p[0]}-USD").alias("ticker"),
-        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")]) for p in _PRIO]
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")]) for p in instruments]
     return bars.normalize_bars(bars.union_bars(frames)).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 

@@ -26,6 +26,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from quantsilo import config as C
 from quantsilo.operators import alerts, silver
 from quantsilo.plans import topk
+from quantsilo.plans.joins import broadcast_if_small
 from quantsilo.sources import io
 
 
@@ -123,7 +124,7 @@ def latest_state(silver_rows: DataFrame, max_pain: DataFrame | None = None) -> D
     """S18 + J9: newest window per symbol as a JSON document; max pain joined when known."""
     last = io.latest_per_key(silver_rows, ["symbol"], ["processed_time", "window_start"])
     if max_pain is not None:
-        last = last.join(F.broadcast(max_pain.select("symbol", "max_pain")), "symbol", "left")
+        last = last.join(broadcast_if_small(max_pain.select("symbol", "max_pain")), "symbol", "left")
     else:
         last = last.withColumn("max_pain", F.lit(None).cast("double"))
     doc = F.to_json(F.struct(
