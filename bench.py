@@ -2,7 +2,7 @@
 
 Each query is materialized through the ``noop`` sink, which executes the full
 plan (scan, shuffles, aggregation, windows) without moving rows to the driver.
-Every query runs ``BENCH_REPEAT`` times (default 2) and the best (warm) time
+Every query runs ``BENCH_REPEAT`` times (default 3) and the best (warm) time
 is reported: the first run of a plan shape also pays for code generation.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
@@ -33,12 +33,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus * 2, app_name="quantsilo-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=parts, app_name="quantsilo-bench",
                       extra={"spark.driver.memory": "16g"})
     qs = catalog.queries()
     # warm-up: JVM, parquet footers, Python workers
     qs["minute_summary"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times = {}
     for name in names:
         best = None

@@ -211,7 +211,9 @@ def block_apply(df: DataFrame, keys: Sequence[str], seq: str, fn, new_fields: st
         res = fn(pdf)
         return res.loc[pdf["_home"].values, out_cols]
 
-    return rows.groupBy(*keys, "_blk").applyInPandas(run, schema)
+    out = rows.groupBy(*keys, "_blk").applyInPandas(run, schema)
+    # the pandas output schema carries no column metadata: restore the block plan's
+    return out.withColumn("_blk", F.col("_blk").alias("_blk", metadata=df.schema["_blk"].metadata))
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
