@@ -86,15 +86,38 @@ class SilverSink:
         self.history = history
 
     def _history(self, spark: SparkSession, batch: DataFrame) -> DataFrame | None:
+        """Stored windows each batch symbol needs: its last ``history - 1`` before the batch, and later ones.
+
+        Only partitions from the day before the batch's first window are read;
+        symbols that find fewer earlier windows there (a quiet symbol) are
+        read again over all days - restricted to those symbols - so the
+        result stays exact without scanning the whole table every trigger.
+        """
         try:
-            stored = spark.read.parquet(self.silver_path).select(*batch.columns)
+            table = spark.read.parquet(self.silver_path)
         except Exception:
             return None
+        cols = batch.columns
         first = batch.groupBy("symbol").agg(F.min("window_start").alias("_first"))
-        stored = stored.join(batch.select(*self.KEYS), self.KEYS, "left_anti")
-        before = stored.join(first, "symbol").filter(F.col("window_start") < F.col("_first")).drop("_first")
-        back = topk.top_k_per_key(before, ["symbol"], [F.col("window_start").desc()], self.history - 1)
-        after = stored.join(first, "symbol").filter(F.col("window_start") >= F.col("_first")).drop("_first")
+        since = batch.agg(F.date_sub(F.to_date(F.min("window_start")), 1).alias("d")).first().d
+
+        def pick(stored):
+            stored = stored.select(*cols).join(batch.select(*self.KEYS), self.KEYS, "left_anti")
+            s = stored.join(F.broadcast(first), "symbol")        # one row per batch symbol
+            before = s.filter(F.col("window_start") < F.col("_first")).drop("_first")
+            after = s.filter(F.col("window_start") >= F.col("_first")).drop("_first")
+            back = topk.top_k_per_key(before, ["symbol"], [F.col("window_start").desc()], self.history - 1)
+            return back, after
+
+        back, after = pick(table.filter(F.col("day") >= F.lit(since)))
+        short = (first.join(back.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")), "symbol", "left")
+                 .filter(F.coalesce(F.col("_n"), F.lit(0)) < self.history - 1).select("symbol"))
+        quiet = [r.symbol for r in short.collect()]               # symbols only, a short list
+        if quiet:
+            old = table.filter((F.col("day") < F.lit(since)) & F.col("symbol").isin(quiet))
+            back2, _ = pick(old.unionByName(table.filter((F.col("day") >= F.lit(since))
+                                                         & F.col("symbol").isin(quiet))))
+            back = back.filter(~F.col("symbol").isin(quiet)).unionByName(back2)
         return back.unionByName(after)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
