@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantsilo.llm import bpe, content_sort, langid_zstd, license_scan, toxicity
+from quantsilo.llm import bpe, chat_windows, content_sort, langid_zstd, license_scan, packing, toxicity, vptree
 from quantsilo.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,41 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@query
+def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                 "conv_id long, turn long, role string, text string")
+    return chat_windows.read_back(chat_windows.format_windows(turns.unionByName(more)))
+
+
+@query
+def op7_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+SQL["op7_vptree"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank, vec_id, score FROM p
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
