@@ -26,7 +26,8 @@ from quantsilo.llm.common import plain_text, reliable, small_batches
 SIZE = 1024
 END_ID = 0
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-#: Column generation ends when the program's cost is this close to its bound, relatively, or after so many columns.
+#: Column generation ends when the program's cost is this close to its bound, relatively, or within
+#: one sequence of it, or after so many columns.
 GAP = 5e-4
 MAX_COLUMNS = 2000
 #: Rows of one length that one task ranks, about.
@@ -218,10 +219,10 @@ def column_generation(lengths: np.ndarray, counts: np.ndarray, size: int = SIZE,
     inverse = np.linalg.inv(matrix)
     totals = np.arange(1, size + 1)
     price = np.where(totals & (totals - 1) == 0, totals, size).astype(float)
-    bound = float(lengths @ b)
+    bound = float(lengths @ b)      # a sequence costs at least its ids
     for step in range(max_columns):
         z = float(cost @ x)
-        if z <= bound * (1 + gap):
+        if z - bound <= max(gap * bound, size):
             break
         y = cost @ inverse
         best, last = knapsack(lengths, y, size)
@@ -242,13 +243,13 @@ def column_generation(lengths: np.ndarray, counts: np.ndarray, size: int = SIZE,
         for n, k in items.items():
             column[place[n]] = k
         d = inverse @ column
-        ok = d > 1e-9
+        ok = d > 1e-7
         if not ok.any():
             break
         rate = np.full(m, np.inf)
         rate[ok] = np.maximum(x[ok], 0) / d[ok]
-        out = int(rate.argmin())
-        theta = rate[out]
+        theta = rate.min()
+        out = int(np.where(rate <= theta + 1e-12, d, -np.inf).argmax())     # of ties the steadiest pivot
         x -= theta * d
         x[out] = theta
         matrix[:, out], cost[out], basis[out] = column, price[c - 1], items
