@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from quantsilo.llm.common import plain_text, reliable, shuffle_partitions, small_batches
 
+#: What normalisation deletes.
+SPACES = r"[ \t\n\x0B\f\r]+"
 #: Characters of the normalised text that splitters may hold.
 SPLIT_BYTES = 32
 
@@ -87,7 +89,7 @@ def _merged(batches_of, schema):
 
 
 def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 spaces: str = r"[ \t\n\x0B\f\r]+") -> DataFrame:
+                 spaces: str = SPACES) -> DataFrame:
     """One row per input row: which row of its group of equal texts stays.
 
     Texts are equal when identical after deleting ``spaces``; null counts as empty.  The row with
@@ -95,7 +97,7 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows that are the same in id and text exactly one has ``kept``.  Other columns are ignored,
     whatever their names.  An empty table gives no rows.
 
-    Returns ``id_col``, keep_id, group_size, kept, text_sha256 (of the normalised UTF-8).
+    Returns ``id_col``, keep_id, group_size, kept, text_sha256 (of the normalised UTF-8), n_chars.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -123,7 +125,7 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(F.col("id").alias(id_col),
                     F.when(F.col("lead").isNull(), F.col("keep_id")).otherwise(F.col("lead.keep_id")).alias("keep_id"),
                     F.coalesce("all_rows", "run_rows").alias("group_size"),
-                    (F.col("first") & (F.col("part") == lead)).alias("kept"), "text_sha256"))
+                    (F.col("first") & (F.col("part") == lead)).alias("kept"), "text_sha256", "n_chars"))
 
 
 def _arrow(df: DataFrame, name: str) -> pa.DataType:

@@ -20,9 +20,11 @@ TRAIN_DOCS = 64
 TRAIN_CHARS = 8000
 DICT_BYTES = 1 << 16
 LEVEL = 6
-#: Used as well where the margin of the first is below ``min_margin``.
+#: Where the margin is below ``min_margin``, sizes are added up over a slower level and over so many
+#: parts of the dictionary as well: sizes are whole bytes, and short texts often tie.
 SLOW_LEVEL = 12
-#: A text is rejected when the best language wins by fewer bytes than this at both levels.
+PARTS = 8
+#: A text is rejected when the best language wins by fewer bytes than this in that sum too.
 MIN_MARGIN = 1
 
 
@@ -41,18 +43,22 @@ class Compressors:
     def __getstate__(self):
         return {"samples": self.samples, "min_margin": self.min_margin, "_ready": {}}
 
-    def _sizes(self, text: bytes, level: int) -> list[int]:
-        if level not in self._ready:
+    def _sizes(self, text: bytes, level: int, part: int | None = None) -> list[int]:
+        """Compressed size for each language, with its dictionary or a part of it."""
+        if (level, part) not in self._ready:
             made = []
             for raw in self.samples.values():
+                if part is not None:
+                    step = -(-len(raw) // PARTS)
+                    raw = raw[part * step:(part + 1) * step]
                 kind = dict(level=level, write_content_size=False, write_checksum=False, write_dict_id=False)
                 if raw:
                     d = zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT)
                     d.precompute_compress(level=level)
                     kind["dict_data"] = d
                 made.append(zstd.ZstdCompressor(**kind))
-            self._ready[level] = made
-        return [len(c.compress(text)) for c in self._ready[level]]
+            self._ready[level, part] = made
+        return [len(c.compress(text)) for c in self._ready[level, part]]
 
     def classify(self, text: str) -> tuple[str, float, bool]:
         """(language, confidence, rejected) of a text that ``letters`` has prepared."""
@@ -67,11 +73,11 @@ class Compressors:
         gap = sizes[rank[1]] - sizes[rank[0]]
         rejected = False
         if gap < self.min_margin:
-            slow = self._sizes(raw, SLOW_LEVEL)
-            both = [a + b for a, b in zip(sizes, slow)]
-            rank = sorted(range(len(names)), key=both.__getitem__)
-            gap = both[rank[1]] - both[rank[0]]
-            sizes, rejected = both, gap < self.min_margin
+            more = [self._sizes(raw, SLOW_LEVEL), *(self._sizes(raw, LEVEL, k) for k in range(PARTS))]
+            sizes = [sum(x) for x in zip(sizes, *more)]
+            rank = sorted(range(len(names)), key=sizes.__getitem__)
+            gap = sizes[rank[1]] - sizes[rank[0]]
+            rejected = gap < self.min_margin
         return names[rank[0]], gap / sizes[rank[1]], rejected
 
 

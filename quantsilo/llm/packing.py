@@ -30,6 +30,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: one sequence of it, or after so many columns.
 GAP = 5e-4
 MAX_COLUMNS = 2000
+#: It also ends when so many columns have not lowered the cost by GAP, relatively.
+STALL = 100
 #: Rows of one length that one task ranks, about.
 RANK_ROWS = 50_000
 #: Words whose ids a worker remembers.
@@ -220,10 +222,15 @@ def column_generation(lengths: np.ndarray, counts: np.ndarray, size: int = SIZE,
     totals = np.arange(1, size + 1)
     price = np.where(totals & (totals - 1) == 0, totals, size).astype(float)
     bound = float(lengths @ b)      # a sequence costs at least its ids
+    before = np.inf
     for step in range(max_columns):
         z = float(cost @ x)
         if z - bound <= max(gap * bound, size):
             break
+        if step % STALL == 0:
+            if before - z < gap * z:
+                break
+            before = z
         y = cost @ inverse
         best, last = knapsack(lengths, y, size)
         reach = np.isfinite(best[1:])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantsilo.llm import bpe, chat_windows, content_sort, langid_zstd, license_scan, ngram_join, packing, toxicity, vptree
+from quantsilo.llm import bpe, chat_windows, content_sort, langid_zstd, license_scan, lm_scoring, ngram_join, packing, toxicity, vptree
 from quantsilo.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +29,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_sort.content_sort(table(spark, sf_dir, "documents"))
+    return content_sort.content_sort(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
 SQL["op4_content_sort"] = r"""
@@ -107,3 +107,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm_scoring.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")

@@ -185,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
                chosen, ratios, buckets, ngrams)
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
+          prefix: str = "") -> DataFrame:
     """Columns ``keep`` of every row with score (0 to 1) and predicted (1 from 0.5) of its whole text.
 
     Null counts as empty, whose score is the bias alone.  Only the text is an input; repeated rows
@@ -195,7 +196,8 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)   # of a fixed size: BUCKETS weights
     fields = [docs.schema[c] for c in keep]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["score double", "predicted int"])
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+                    + [f"{prefix}score double", f"{prefix}predicted int"])
 
     def run(batches):
         m = shared.value
@@ -204,6 +206,6 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
             s = np.array([m.score(data[off[i]:off[i + 1]]) for i in range(b.num_rows)], float)
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
-                                             [*keep, "score", "predicted"])
+                                             [*keep, f"{prefix}score", f"{prefix}predicted"])
 
     return docs.select(*keep, plain_text(text_col).alias("__text")).mapInArrow(run, ddl)
