@@ -20,12 +20,15 @@ TRAIN_DOCS = 64
 TRAIN_CHARS = 8000
 DICT_BYTES = 1 << 16
 LEVEL = 6
-#: Where the margin is below ``min_margin``, sizes are added up over a slower level and over so many
+#: Where the best two differ by less than MIN_GAP bytes, sizes are added up over a slower level and over so many
 #: parts of the dictionary as well: sizes are whole bytes, and short texts often tie.
 SLOW_LEVEL = 12
 PARTS = 8
-#: A text is rejected when the best language wins by fewer bytes than this in that sum too.
-MIN_MARGIN = 1
+MIN_GAP = 1
+#: A text is rejected when the best language saves less than this part of the runner-up's size.
+#: Texts under SHORT bytes of letters are not: one byte, the least difference there is, is more.
+MIN_MARGIN = 0.005
+SHORT = 48
 
 
 def letters(text: Column) -> Column:
@@ -36,7 +39,7 @@ def letters(text: Column) -> Column:
 class Compressors:
     """A classifier made of raw-content dictionaries; it pickles as those and is set up on first use."""
 
-    def __init__(self, samples: dict[str, bytes], min_margin: int = MIN_MARGIN):
+    def __init__(self, samples: dict[str, bytes], min_margin: float = MIN_MARGIN):
         #: in the order that settles ties
         self.samples, self.min_margin, self._ready = samples, min_margin, {}
 
@@ -70,19 +73,16 @@ class Compressors:
         rank = sorted(range(len(names)), key=sizes.__getitem__)
         if len(names) == 1:
             return names[0], 1.0, False
-        gap = sizes[rank[1]] - sizes[rank[0]]
-        rejected = False
-        if gap < self.min_margin:
+        if sizes[rank[1]] - sizes[rank[0]] < MIN_GAP:
             more = [self._sizes(raw, SLOW_LEVEL), *(self._sizes(raw, LEVEL, k) for k in range(PARTS))]
             sizes = [sum(x) for x in zip(sizes, *more)]
             rank = sorted(range(len(names)), key=sizes.__getitem__)
-            gap = sizes[rank[1]] - sizes[rank[0]]
-            rejected = gap < self.min_margin
-        return names[rank[0]], gap / sizes[rank[1]], rejected
+        margin = 1 - sizes[rank[0]] / sizes[rank[1]]
+        return names[rank[0]], margin, margin < self.min_margin and len(raw) >= SHORT
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          train_docs: int = TRAIN_DOCS, dict_bytes: int = DICT_BYTES, min_margin: int = MIN_MARGIN) -> Compressors:
+          train_docs: int = TRAIN_DOCS, dict_bytes: int = DICT_BYTES, min_margin: float = MIN_MARGIN) -> Compressors:
     """Dictionaries from the rows where ``learn`` holds and text and language are known.
 
     The documents of a language are chosen by the order of a hash of the id: a partition passes on
