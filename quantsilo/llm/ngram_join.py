@@ -297,8 +297,20 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
 
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, words: int, num: int, den: int,
               fragments: int) -> DataFrame:
-    """The pairs (a, b) that link, by partial overlaps of fragments summed for each pair."""
-    pairs = reliable(pairs)
+    """The pairs (a, b) that link, by partial overlaps of fragments summed for each pair.
+
+    Prefixes come first: elements of the prefix that ends earlier which the other prefix lacks are not
+    in the other set at all, so a pair that lacks too many of them cannot link.  Whole sets are read
+    again from the texts, only for pairs that pass.
+    """
+    heads = classes.select("node", "prefix")
+    c = F.size(F.array_intersect("pa", "pb"))
+    a_ends_first = F.element_at("pa", -1) <= F.element_at("pb", -1)
+    most = F.when(a_ends_first, F.col("na") - F.size("pa") + c).otherwise(F.col("nb") - F.size("pb") + c)
+    pairs = reliable(
+        pairs.join(heads.select(F.col("node").alias("a"), F.col("prefix").alias("pa")), "a")
+        .join(heads.select(F.col("node").alias("b"), F.col("prefix").alias("pb")), "b")
+        .where(most * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = reliable(classes.join(wanted, "node", "left_semi").select(F.col("min_id").alias("id")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -322,12 +334,14 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, wor
                                               pa.array(tokens, pa.list_(pa.int64()))], ["node", "part", "tokens"])
 
     segments = (fetched.select("id", "t").mapInArrow(cut, "node long, part int, tokens array<long>")
-                .join(wanted, "node", "left_semi").groupBy("node", "part").agg(F.first("tokens").alias("tokens")))
+                .join(wanted, "node", "left_semi"))
     segments = reliable(segments)
     one = segments.select(F.col("node").alias("a"), "part", F.col("tokens").alias("ta"))
     two = segments.select(F.col("node").alias("b"), "part", F.col("tokens").alias("tb"))
     overlap = (pairs.withColumn("part", F.explode(F.array(*map(F.lit, range(fragments)))))
                .join(one, ["a", "part"]).join(two, ["b", "part"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("k")))
+               .select("a", "b", "na", "nb", "part", F.size(F.array_intersect("ta", "tb")).cast("long").alias("k")))
+    # rows that repeat an id give their set more than once, and the same overlaps
+    overlap = overlap.groupBy("a", "b", "na", "nb", "part").agg(F.max("k").alias("k"))
     return reliable(overlap.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
                     .where(den * F.col("k") >= num * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b"))
