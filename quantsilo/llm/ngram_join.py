@@ -8,8 +8,8 @@ candidates few.  The order is cut into fragments of equal mass.
    at least ``need(n, m)`` of them, so they share one among the first ``n - need + 1`` of either.
    Only those prefixes, which lie in the fragments of rare shingles, are shuffled.
 2. Prefix rows are range-partitioned by (shingle, position), so that a shingle of any frequency is
-   split.  The first row of a run has the fewest private shingles; the others are paired with it:
-   as many candidates as rows, however large a group of near copies is.
+   split.  The first row of a run has the fewest private shingles; every node is paired with the
+   one that it meets most often, so a group of near copies has as many candidates as members.
 3. Candidates are checked exactly: overlaps are counted in each fragment apart and summed by pair.
 4. What shares a prefix shingle and is not connected yet is checked as well, so no link between
    different components is lost; components follow by alternating large-star and small-star steps.
@@ -262,7 +262,11 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
                          F.when(a < b, m).otherwise(n).alias("nb")).distinct()
 
     c = F.col
-    stars = runs.where((c("node") != c("c_node")) & may_link(c("n"), c("p"), c("c_n"), c("c_p")))
+    # each node tries the one first row that it meets in most runs: as many candidates as nodes
+    stars = (runs.where((c("node") != c("c_node")) & may_link(c("n"), c("p"), c("c_n"), c("c_p")))
+             .groupBy("node", "n", "c_node", "c_n").agg(F.count("*").alias("k"))
+             .groupBy("node", "n").agg(F.max(F.struct("k", "c_node", "c_n")).alias("x"))
+             .select("node", "n", "x.c_node", "x.c_n"))
     found = _verified(texts, classes, as_pairs(stars, c("node"), c("n"), c("c_node"), c("c_n")), order, words, num, den,
                       fragments)
     labels = components(found)
