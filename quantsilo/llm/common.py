@@ -12,6 +12,8 @@ from quantsilo.session import ensure_checkpoint_dir
 #: Words are runs of characters outside these (space, \t, \n, \v, \f, \r).
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Spark's own bound of an Arrow batch, too much for several copies of a batch in a Python worker.
+DEFAULT_BATCH = "67108864b"
 #: Text bytes hashed at once: bounds the scratch arrays of ``word_hashes``.
 SEGMENT = 1 << 20
 
@@ -30,9 +32,9 @@ def reliable(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches handed to Python by bytes, unless the session already does."""
+    """Bound the Arrow batches handed to Python by bytes, unless the session sets its own bound."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key) in ("268435456", "268435456b", "256MB", "256m"):   # Spark's default
+    if spark.conf.get(key) == DEFAULT_BATCH:
         spark.conf.set(key, str(8 << 20))
 
 
