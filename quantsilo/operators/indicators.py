@@ -122,6 +122,8 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
     r = (r.withColumn("BB_upper", F.col("BB_mid") + F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("BB_lower", F.col("BB_mid") - F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("MACD_Hist", F.col("MACD") - F.col("Signal")))
+    if dropna:      # the running maximum starts with the first complete row
+        r = r.dropna(subset=[c for c in r.columns if not c.startswith("_")])
     r = ordered.running(r, [key], ["_seq"], "_chunk", price, "max", "rolling_max")       # W11
     r = r.withColumn("drawdown", F.try_divide(F.col(price) - F.col("rolling_max"), F.col("rolling_max")))
     r = ordered.drop_plan(r.drop("_gain", "_loss", "_chunk", "_seq"))

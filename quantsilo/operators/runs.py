@@ -40,9 +40,13 @@ def folder_champions(children: DataFrame) -> DataFrame:
     return topk.top_k_per_key(children, ["coin_folder"], ["rmse", "run_id"], 1)
 
 
-def folder_ranks(children: DataFrame, k: int | None = None) -> DataFrame:
-    """W14 per folder: rank by RMSE inside each symbol's folder."""
-    return topk.top_k_per_key(children, ["coin_folder"], ["rmse", "run_id"], k or 1 << 30, rank_col="folder_rank")
+def folder_ranks(children: DataFrame, k: int | None = None, bucket_width: float = 0.01) -> DataFrame:
+    """W14 per folder: rank by RMSE inside each symbol's folder, all rows or the best ``k``."""
+    if k:
+        return topk.top_k_per_key(children, ["coin_folder"], ["rmse", "run_id"], k, rank_col="folder_rank")
+    df = children.withColumn("_chunk", F.floor(F.col("rmse") / bucket_width).cast("long"))
+    ranked = ordered.add_sequence(df, ["coin_folder"], ["rmse", "run_id"], "_chunk", out="_seq")
+    return ranked.withColumn("folder_rank", (F.col("_seq") + 1).cast("int")).drop("_seq", "_chunk")
 
 
 def leaderboard(children: DataFrame, bucket_width: float = 0.01) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check, constant-key joins for 1-row stats."""
+"""Join helpers: broadcast only behind a size check, scalar subqueries for 1-row stats."""
 
 from __future__ import annotations
 
@@ -31,11 +31,5 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> Dat
 
 
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame (global aggregate) to every row.
-
-    The global aggregate runs with partial aggregation; the single row is
-    broadcast via a hash join on a constant key instead of a cartesian product.
-    """
-    left = df.withColumn("_one", F.lit(1))
-    right = F.broadcast(stats.withColumn("_one", F.lit(1)))
-    return left.join(right, "_one").drop("_one")
+    """Attach a one-row statistics frame (global aggregate) to every row, as scalar subqueries: no join."""
+    return df.withColumns({c: stats.select(c).scalar() for c in stats.columns})

@@ -63,21 +63,22 @@ f AS (
     {_ma('close', 7)} AS "MA7", {_ma('close', 25)} AS "MA25", {_ma('close', 99)} AS "MA99",
     CASE WHEN close - lag(close) OVER w > 0 THEN close - lag(close) OVER w ELSE 0.0 END AS gain,
     CASE WHEN close - lag(close) OVER w < 0 THEN -(close - lag(close) OVER w) ELSE 0.0 END AS loss,
-    {_ma('close', 20)} AS "BB_mid", {_sd('close', 20)} AS "BB_std",
-    max(close) OVER (PARTITION BY symbol ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rolling_max
+    {_ma('close', 20)} AS "BB_mid", {_sd('close', 20)} AS "BB_std"
   FROM ms WINDOW w AS (PARTITION BY symbol ORDER BY seq)),
 r AS (SELECT *, {_ma('gain', 14)} AS g, {_ma('loss', 14)} AS l FROM f),
 hist AS (
   SELECT symbol, "timestamp", open, high, low, close, volume, "returns", "MA7", "MA25", "MA99",
          "BB_mid", "BB_std", "MACD", {_RSI} AS "RSI", sig AS "Signal",
          "BB_mid" + "BB_std" * 2.0 AS "BB_upper", "BB_mid" - "BB_std" * 2.0 AS "BB_lower",
-         "MACD" - sig AS "MACD_Hist", rolling_max,
-         CASE WHEN rolling_max = 0 THEN NULL ELSE (close - rolling_max) / rolling_max END AS drawdown
+         "MACD" - sig AS "MACD_Hist"
   FROM r),
+hist_full AS (
+  SELECT *, max(close) OVER (PARTITION BY symbol ORDER BY "timestamp"
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rolling_max
+  FROM hist WHERE "returns" IS NOT NULL AND "MA7" IS NOT NULL AND "MA25" IS NOT NULL
+    AND "MA99" IS NOT NULL AND "BB_mid" IS NOT NULL AND "BB_std" IS NOT NULL AND "RSI" IS NOT NULL),
 hist_clean AS (
-  SELECT * FROM hist WHERE "returns" IS NOT NULL AND "MA7" IS NOT NULL AND "MA25" IS NOT NULL
-    AND "MA99" IS NOT NULL AND "BB_mid" IS NOT NULL AND "BB_std" IS NOT NULL AND "RSI" IS NOT NULL
-    AND drawdown IS NOT NULL)
+  SELECT *, (close - rolling_max) / rolling_max AS drawdown FROM hist_full WHERE rolling_max <> 0)
 """
 
 _HIST_DOUBLES = ("open high low close volume returns MA7 MA25 MA99 BB_mid BB_std MACD RSI Signal "

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,20 @@ def write_lake(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite
     w.save(path)
 
 
+#: What Spark says when there is no table yet; any other failure of a read is an error.
+NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is none; other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in NOT_THERE:
+            raise
+        return None
+
+
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
            partition_by: list[str] | None = None) -> None:
     """MERGE update-all / insert-all on ``keys`` without Delta.
@@ -98,10 +113,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
     are read from the very files being replaced.
     """
     partition_by = partition_by or []
-    try:
-        current = spark.read.parquet(path)
-    except Exception:
-        current = None
+    current = read_if_there(spark, path)
     if current is None:
         write_lake(batch, path, partition_by, "overwrite", "parquet")
         return

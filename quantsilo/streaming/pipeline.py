@@ -93,9 +93,8 @@ class SilverSink:
         read again over all days - restricted to those symbols - so the
         result stays exact without scanning the whole table every trigger.
         """
-        try:
-            table = spark.read.parquet(self.silver_path)
-        except Exception:
+        table = io.read_if_there(spark, self.silver_path)
+        if table is None:
             return None
         cols = batch.columns
         first = batch.groupBy("symbol").agg(F.min("window_start").alias("_first"))
@@ -229,11 +228,9 @@ class AlarmSink:
                 return
             as_of = batch.agg(F.max("ts").alias("as_of"))
             live = alerts.live_alarms(self.alarms, as_of)
-            try:
-                done = spark.read.parquet(self.fired_path).select("alarm_id")
-                live = live.join(done, "alarm_id", "left_anti")
-            except Exception:
-                pass
+            done = io.read_if_there(spark, self.fired_path)
+            if done is not None:
+                live = live.join(done.select("alarm_id"), "alarm_id", "left_anti")
             fired = alerts.triggered(live, alerts.current_prices(batch)).withColumn("batch_id", F.lit(batch_id))
             fired.write.mode("append").parquet(self.fired_path)
         finally:
