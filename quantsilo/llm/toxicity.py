@@ -29,18 +29,17 @@ SAMPLE_PARTS = 16
 SLICES = 16
 L2 = 1.0
 #: Bytes hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += np.uint64(32)
 _FOLD = mix(_FOLD * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
 
 
-def _hashes(data: np.ndarray, ngrams: tuple[int, ...], buckets: int) -> np.ndarray:
-    """Buckets of all n-grams of one text's bytes, overlapping blocks at a time."""
-    out = []
+def _hashes(data: np.ndarray, ngrams: tuple[int, ...], buckets: int):
+    """Buckets of all n-grams of one text's bytes, block by block (blocks overlap by an n-gram)."""
     top = max(ngrams)
-    for a in range(0, max(len(data), 1), BLOCK):
+    for a in range(0, len(data), BLOCK):
         v = _FOLD[data[a:a + BLOCK + top - 1]]
         h = v.copy()
         for n in range(2, top + 1):
@@ -48,13 +47,16 @@ def _hashes(data: np.ndarray, ngrams: tuple[int, ...], buckets: int) -> np.ndarr
                 break
             h = h[:len(v) - n + 1] * np.uint64(0x100000001B3) + v[n - 1:]
             if n in ngrams:
-                out.append(((mix(h[:BLOCK]) >> np.uint64(7)) % np.uint64(buckets)).astype(np.int64))
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+                yield ((mix(h[:BLOCK]) >> np.uint64(7)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
 
 
 def features(data: np.ndarray, ngrams: tuple[int, ...] = NGRAMS, buckets: int = BUCKETS) -> np.ndarray:
-    """The set of n-gram buckets of a text, sorted."""
-    return np.unique(_hashes(data, ngrams, buckets))
+    """The set of n-gram buckets of a text, sorted; never more than one block of repeats in memory."""
+    return _distinct([np.unique(h) for h in _hashes(data, ngrams, buckets)])
 
 
 @dataclass
@@ -70,11 +72,8 @@ class Model:
         """Probability of a text's bytes being toxic."""
         if not self.known:
             return 0.0
-        h = _hashes(data, self.ngrams, len(self.weights))
-        w = self.weights[h]
-        hit = w != 0
-        _, first = np.unique(h[hit], return_index=True)
-        z = self.bias + float(w[hit][first].sum())
+        hits = _distinct([h[self.weights[h] != 0] for h in _hashes(data, self.ngrams, len(self.weights))])
+        z = self.bias + float(self.weights[hits].sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
