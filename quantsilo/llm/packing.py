@@ -10,6 +10,7 @@ length, so that every task places its pieces by itself.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from dataclasses import dataclass, field
@@ -35,7 +36,7 @@ STALL = 100
 #: Rows of one length that one task ranks, about.
 RANK_ROWS = 50_000
 #: Words whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 100_000
 
 
 # ---- tokens ------------------------------------------------------------------------------------
@@ -53,6 +54,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str = TOKENIZER, memory: int = MEMORY):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads hold memory of their own
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         self.limit, self.known = memory, {}
@@ -75,8 +77,9 @@ class WordEncoder:
             self.known.clear()
         known = self.known
         new = list({w for p in parts for w in p if w not in known})
-        for a in range(0, len(new), 8192):
-            known.update(zip(new[a:a + 8192], self._ids(new[a:a + 8192])))
+        for a in range(0, len(new), 2048):
+            some = new[a:a + 2048]
+            known.update(zip(some, self._ids(some)))
         out = [b"".join([known[w] for w in p]) for p in parts]
         if whole:
             for k, ids in zip(whole, self._ids(list(whole.values()))):
@@ -86,7 +89,7 @@ class WordEncoder:
 
 _ENCODERS: dict[str, WordEncoder] = {}
 #: Characters of text handed to the encoder at once.
-_CHUNK = 1 << 21
+_CHUNK = 1 << 18
 
 
 def tokenise(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text",
