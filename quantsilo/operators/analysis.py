@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantsilo.functions.scalar import month_name, weekday_name
+from quantsilo.plans import ordered
+from quantsilo.plans.joins import with_stats
+from quantsilo.session import ensure_checkpoint_dir
 
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August",
@@ -28,22 +31,39 @@ def seasonality(returns: DataFrame, key: str = "symbol", ts: str = "timestamp",
             .groupBy(key, "month").pivot("_wd", WEEKDAYS).agg(F.avg(F.col(value) * 100.0)))
 
 
-def correlation_matrix(returns: DataFrame, symbols: list[str], key: str = "symbol",
-                       ts: str = "timestamp", value: str = "returns", block: int = 32) -> DataFrame:
-    """Pearson correlation of returns over common timestamps, pairs a <= b.
+def close_returns(bars: DataFrame, key: str = "symbol", ts: str = "timestamp", price: str = "close",
+                  chunk_seconds: int = 365 * ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Change of each bar's raw close against the series' bar before (null for the first)."""
+    b = bars.select(key, ts, price).withColumn("_chunk", ordered.time_chunk(ts, chunk_seconds))
+    b = ordered.add_sequence(b, [key], [ts], "_chunk", out="_seq", keep_blocks=True)
+    b = ordered.rolling(b, [key], "_seq", lambda w: [F.lag(price, 1).over(w).alias("_before")], lookback=1)
+    change = F.try_divide(F.col(price), F.col("_before")) - 1
+    return ordered.drop_plan(b).select(key, ts, change.alias("returns"))
 
-    ``symbols`` is the (small) list of series to correlate.
+
+def correlation_matrix(bars: DataFrame, symbols: list[str], key: str = "symbol",
+                       ts: str = "timestamp", price: str = "close", block: int = 32) -> DataFrame:
+    """Pearson correlation of the returns of raw closes over all timestamps, pairs a <= b.
+
+    A series without a bar at a timestamp keeps its last close there, so its return is 0 from its
+    first bar on and missing before.  ``symbols`` is the (small) list of series to correlate.
     """
-    wide = returns.groupBy(ts).pivot(key, symbols).agg(F.first(value))
+    wide = close_returns(bars, key, ts, price).groupBy(ts).pivot(key, symbols).agg(F.max("returns"))
+    began = bars.agg(*[F.min(F.when(F.col(key) == s, F.col(ts))).alias(f"_t{i}") for i, s in enumerate(symbols)])
+    wide = with_stats(wide, began)
+    wide = wide.select(*[F.when(F.col(f"`{s}`").isNull() & (F.col(ts) > F.col(f"_t{i}")), 0.0)
+                         .otherwise(F.col(f"`{s}`")).alias(s) for i, s in enumerate(symbols)])
     groups = [symbols[i:i + block] for i in range(0, len(symbols), block)]
+    if len(groups) > 1:
+        ensure_checkpoint_dir(bars.sparkSession)
+        wide = wide.checkpoint()        # read once for each pair of blocks
     parts = []
     for gi, ga in enumerate(groups):
         for gb in groups[gi:]:
             pairs = [(a, b) for a in ga for b in gb if a <= b]
-            if not pairs:
-                continue
             agg = wide.agg(*[F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}")
                              for i, (a, b) in enumerate(pairs)])
-            stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-            parts.append(agg.selectExpr(f"stack({len(pairs)}, {stack}) AS (symbol_a, symbol_b, corr)"))
+            rows = F.inline(F.array(*[F.struct(F.lit(a).alias("symbol_a"), F.lit(b).alias("symbol_b"),
+                                               F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]))
+            parts.append(agg.select(rows))
     return reduce(DataFrame.unionByName, parts)

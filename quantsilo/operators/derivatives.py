@@ -44,9 +44,8 @@ def pain_curve(options: DataFrame) -> DataFrame:
                 F.sum(F.when(is_c, F.col("strike") * F.col("oi")).otherwise(0.0)).alias("c_soi"),
                 F.sum(F.when(is_p, F.col("oi")).otherwise(0.0)).alias("p_oi"),
                 F.sum(F.when(is_p, F.col("strike") * F.col("oi")).otherwise(0.0)).alias("p_soi")))
-    w = Window.partitionBy("coin").orderBy("strike")
-    below = w.rowsBetween(Window.unboundedPreceding, -1)
-    above = w.rowsBetween(1, Window.unboundedFollowing)
+    below = Window.partitionBy("coin").orderBy("strike").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("coin").orderBy(F.desc("strike")).rowsBetween(Window.unboundedPreceding, -1)
     z = F.lit(0.0)
     k = F.col("strike")
     pain = (k * F.coalesce(F.sum("c_oi").over(below), z) - F.coalesce(F.sum("c_soi").over(below), z)
@@ -78,7 +77,7 @@ def arbitrage(venue_prices: DataFrame, min_venues: int = 2,
                 F.min("price").alias("min_price"), F.max("price").alias("max_price"))
            .filter(F.col("venues") >= min_venues))
     spread = F.col("max_price") - F.col("min_price")
-    pct = spread / F.col("min_price") * 100
+    pct = F.try_divide(spread, F.col("min_price")) * 100
     return agg.select(
         "symbol", "venues", "min_exchange", "max_exchange", "min_price", "max_price",
         F.round(spread, 4).alias("spread_usd"), F.round(pct, 4).alias("spread_pct"),

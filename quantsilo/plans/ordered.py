@@ -26,10 +26,9 @@ here never partition row-scale data by the key alone:
   summary table; ``running`` - running max / min / sum likewise.
 
 A task never holds more than one block plus its context (bounded by
-``block_rows`` and the largest chunk), whatever the key skew.  Inputs that
-Catalyst estimates below ``SMALL_INPUT_BYTES`` use one block per key (the
-plain per-key window, one shuffle, no plan job).  Keys and the
-chunk are matched null-safely, so no row is lost.
+``block_rows`` and the largest chunk), whatever the key skew.  Inputs of
+every size take this one path.  Keys and the chunk are matched null-safely,
+so no row is lost.
 """
 
 from __future__ import annotations
@@ -46,16 +45,12 @@ DEFAULT_CHUNK_SECONDS = 86400
 DEFAULT_BLOCK_ROWS = 262144
 # plan rows above which the plan is shuffle-joined instead of broadcast (~80 bytes a row)
 PLAN_BROADCAST_ROWS = 400_000
-# inputs estimated below this size (Catalyst's file-size based estimate) take one block per
-# key: every key fits a task, and the block plan's extra job would cost more than it saves
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 _PLANS: deque = deque(maxlen=32)   # cached block plans, oldest released first
 
 PLAN_COLS = ["_blk", "_bs", "_n1b", "_n1s", "_n2b", "_n2s", "_p1b", "_p1s", "_p2b"]
 
 _U = Window.unboundedPreceding
-_F = Window.unboundedFollowing
 
 
 def _cols(xs) -> list[Column]:
@@ -119,16 +114,9 @@ def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str
     partitioned by (key, block)) for ``rolling`` / ``block_apply``.
     """
     keys = list(keys)
-    from quantsilo.plans.joins import plan_size_bytes
-    est = plan_size_bytes(df)
-    if est is not None and est <= SMALL_INPUT_BYTES:
-        none = F.lit(None).cast("long")
-        x = df.select("*", F.lit(0).cast("long").alias("_blk", metadata={"single_block": True}),
-                      F.lit(0).cast("long").alias("_bs"), *[none.alias(c) for c in PLAN_COLS[2:]])
-    else:
-        plan = block_plan(df, keys, chunk, block_rows)
-        x = _join_plan(df, plan, [*keys, chunk])
-        x = x.withColumn("_blk", F.col("_blk").alias("_blk", metadata={"block_rows": block_rows}))
+    plan = block_plan(df, keys, chunk, block_rows)
+    x = _join_plan(df, plan, [*keys, chunk])
+    x = x.withColumn("_blk", F.col("_blk").alias("_blk", metadata={"block_rows": block_rows}))
     w = Window.partitionBy(*keys, "_blk").orderBy(*_cols(order))
     x = x.withColumn(out, (F.col("_bs") + F.row_number().over(w) - 1).cast("long"))
     return x if keep_blocks else x.drop(*PLAN_COLS)
@@ -143,10 +131,7 @@ def _with_context(df: DataFrame, keys: list[str], seq: str, lookback: int, looka
     """Rows of ``df`` (``_home`` = True) plus the context copies neighbouring blocks need."""
     if "_blk" not in df.columns:
         raise ValueError("rows need block columns: add_sequence(..., keep_blocks=True)")
-    meta = df.schema["_blk"].metadata
-    if meta.get("single_block"):
-        return df.withColumn("_home", F.lit(True))      # one block per key: no context needed
-    planned = meta.get("block_rows")
+    planned = df.schema["_blk"].metadata.get("block_rows")
     if planned is not None and max(lookback, lookahead) > planned:
         raise ValueError("frame reach exceeds the block size of the plan")
     s = F.col(seq)
@@ -258,19 +243,18 @@ def drop_surrogates(df: DataFrame) -> DataFrame:
 def _fill(df, keys, order, chunk, cols, suffix, forward):
     order_cols = _cols(order)
     x, sk = _surrogates(df, keys, chunk)
-    part_keys, chunk_keys = sk[:-2], sk[-2:]
-    w_in = Window.partitionBy(*sk).orderBy(*order_cols)
-    w_in = w_in.rowsBetween(_U, 0) if forward else w_in.rowsBetween(0, _F)
-    pick = F.last if forward else F.first
-    filled = x.select("*", *[pick(c, ignorenulls=True).over(w_in).alias(f"_in_{c}") for c in cols])
+    part_keys = sk[:-2]
+    # backward is forward in descending order: a frame that grows, never one that shrinks (quadratic)
+    turn = (lambda c: c.asc()) if forward else (lambda c: c.desc())
+    w_in = Window.partitionBy(*sk).orderBy(*map(turn, order_cols)).rowsBetween(_U, 0)
+    filled = x.select("*", *[F.last(c, ignorenulls=True).over(w_in).alias(f"_in_{c}") for c in cols])
     # chunk summary: the chunk's own last (first) non-null value; carried in chunk order
     take = F.max_by if forward else F.min_by
     summ = x.groupBy(*sk).agg(
         F.first(chunk).alias("_ch"),
         *[take(c, F.when(F.col(c).isNotNull(), F.struct(*order_cols))).alias(f"_s_{c}") for c in cols])
-    w_c = Window.partitionBy(*part_keys).orderBy("_ch")
-    w_c = w_c.rowsBetween(_U, -1) if forward else w_c.rowsBetween(1, _F)
-    carry = summ.select(*sk, *[pick(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
+    w_c = Window.partitionBy(*part_keys).orderBy(turn(F.col("_ch"))).rowsBetween(_U, -1)
+    carry = summ.select(*sk, *[F.last(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
     out = filled.join(carry, sk, "left")
     value = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}")) for c in cols}
     base = [c for c in x.columns if c not in sk]

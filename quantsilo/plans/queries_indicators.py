@@ -9,6 +9,7 @@ from quantsilo.operators import analysis, backtest, bars, indicators, silver
 from quantsilo.plans.catalog import register, spark_round_sql
 from quantsilo.plans.queries_market import SQL_WINDOWS
 from quantsilo.sources import fixtures as fx
+from quantsilo.sources.fixtures import with_ctes
 
 
 def _a(span: int) -> tuple[str, str]:
@@ -104,15 +105,23 @@ def q_seasonality(spark, sf):
 
 
 @register("return_correlation", "A23 J8 W9",
-          sql=SQL_HISTORY + """
-SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, corr(a."returns", b."returns") AS corr
-FROM hist_clean a JOIN hist_clean b ON a."timestamp" = b."timestamp" AND a.symbol <= b.symbol
+          sql=with_ctes(fx.SQL_BARS) + """,
+began AS (SELECT symbol, min("timestamp") AS t0 FROM bars GROUP BY symbol),
+times AS (SELECT DISTINCT "timestamp" FROM bars),
+held AS (
+  SELECT s.symbol, t."timestamp", last_value(b.close IGNORE NULLS) OVER (
+           PARTITION BY s.symbol ORDER BY t."timestamp" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+  FROM began s CROSS JOIN times t LEFT JOIN bars b ON b.symbol = s.symbol AND b."timestamp" = t."timestamp"),
+changes AS (
+  SELECT symbol, "timestamp", c / nullif(lag(c) OVER (PARTITION BY symbol ORDER BY "timestamp"), 0) - 1 AS r FROM held)
+SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, corr(a.r, b.r) AS corr
+FROM changes a JOIN changes b ON a."timestamp" = b."timestamp" AND a.symbol <= b.symbol
 GROUP BY 1, 2""", doubles="corr", digits=4)
 def q_return_correlation(spark, sf):
-    h = indicators.history_indicators(fx.daily_bars(spark, sf))
+    bars = fx.daily_bars(spark, sf)
     # the series to correlate: the distinct symbols (a small list, like a pivot's values)
-    symbols = sorted(r.symbol for r in fx.daily_bars(spark, sf).select("symbol").distinct().collect())
-    return analysis.correlation_matrix(h, symbols)
+    symbols = sorted(r.symbol for r in bars.select("symbol").distinct().collect())
+    return analysis.correlation_matrix(bars, symbols)
 
 
 # ------------------------------------------------------- live candles -------

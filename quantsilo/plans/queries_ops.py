@@ -406,12 +406,11 @@ SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$
 def q_bar_union(spark, sf):
     from quantsilo.operators import bars
     b = fx.daily_bars(spark, sf)
-    # vendor frames, one per instrument, as the ETL fetches them
-    instruments = sorted(r.symbol for r in b.select("symbol").distinct().collect())
-    frames = [b.filter(F.col("symbol") == p).select(
-        F.col("timestamp").alias("Date"), F.lit(f"C{p[0]}-USD").alias("ticker"),
-        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")]) for p in instruments]
-    return bars.normalize_bars(bars.union_bars(frames)).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    # the vendor's frames of all instruments in one scan: each row carries its own ticker
+    frames = b.select(
+        F.col("timestamp").alias("Date"), F.concat(F.lit("C"), F.substring("symbol", 1, 1), F.lit("-USD")).alias("ticker"),
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")])
+    return bars.normalize_bars(frames).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 _TR_HEADERS = ["Müşteri No", "Adı Soyadı", "Ülke Kodu", "Bakiye (₺)", "Sektör"]

@@ -25,8 +25,9 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from quantsilo import config as C
 from quantsilo.operators import alerts, silver
-from quantsilo.plans import topk
+from quantsilo.plans import ordered, topk
 from quantsilo.plans.joins import broadcast_if_small
+from quantsilo.session import ensure_checkpoint_dir
 from quantsilo.sources import io
 
 
@@ -102,7 +103,7 @@ class SilverSink:
 
         def pick(stored):
             stored = stored.select(*cols).join(batch.select(*self.KEYS), self.KEYS, "left_anti")
-            s = stored.join(F.broadcast(first), "symbol")        # one row per batch symbol
+            s = stored.join(broadcast_if_small(first), "symbol")
             before = s.filter(F.col("window_start") < F.col("_first")).drop("_first")
             after = s.filter(F.col("window_start") >= F.col("_first")).drop("_first")
             back = topk.top_k_per_key(before, ["symbol"], [F.col("window_start").desc()], self.history - 1)
@@ -111,16 +112,29 @@ class SilverSink:
         back, after = pick(table.filter(F.col("day") >= F.lit(since)))
         short = (first.join(back.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")), "symbol", "left")
                  .filter(F.coalesce(F.col("_n"), F.lit(0)) < self.history - 1).select("symbol"))
-        quiet = [r.symbol for r in short.collect()]               # symbols only, a short list
-        if quiet:
-            old = table.filter((F.col("day") < F.lit(since)) & F.col("symbol").isin(quiet))
-            back2, _ = pick(old.unionByName(table.filter((F.col("day") >= F.lit(since))
-                                                         & F.col("symbol").isin(quiet))))
-            back = back.filter(~F.col("symbol").isin(quiet)).unionByName(back2)
+        if not short.isEmpty():
+            old = table.filter(F.col("day") < F.lit(since)).join(broadcast_if_small(short), "symbol", "left_semi")
+            late = table.filter(F.col("day") >= F.lit(since)).join(broadcast_if_small(short), "symbol", "left_semi")
+            back2, _ = pick(old.unionByName(late))
+            back = back.join(broadcast_if_small(short), "symbol", "left_anti").unionByName(back2)
         return back.unionByName(after)
 
+    def _touched(self, batch: DataFrame, hist: DataFrame | None) -> DataFrame:
+        """Keys of the batch's windows and of the stored ones whose history holds one of them."""
+        if hist is None:
+            return batch.select(*self.KEYS)
+        keys = batch.select(*self.KEYS, F.lit(1).alias("_new")).unionByName(
+            hist.select(*self.KEYS, F.lit(0).alias("_new")))
+        keys = keys.withColumn("_chunk", ordered.time_chunk("window_start"))
+        keys = ordered.add_sequence(keys, ["symbol"], ["window_start"], "_chunk", out="_seq", keep_blocks=True)
+        reach = self.history - 1
+        keys = ordered.rolling(keys, ["symbol"], "_seq", lambda w: [
+            F.max("_new").over(w.rowsBetween(-reach, 0)).alias("_hit")], lookback=reach)
+        return ordered.drop_plan(keys.filter("_hit = 1")).select(*self.KEYS)
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
+        ensure_checkpoint_dir(spark)
         batch = batch_df.persist()
         try:
             if batch.isEmpty():
@@ -128,16 +142,16 @@ class SilverSink:
             hist = self._history(spark, batch)
             rows = batch if hist is None else batch.unionByName(hist)
             rows = silver.liquidation_bands(rows.withColumn("predicted_price", F.col("average_price")))
-            flagged = silver.anomaly_flags(rows)                                         # R5
-            out = (flagged.join(batch.select(*self.KEYS), self.KEYS, "left_semi")
-                   .select("window_start", "window_end", *silver.SILVER_COLUMNS)
-                   .withColumn("day", F.to_date("window_start")))
-            out = out.persist()
+            # written out before the tables that it is read from are replaced
+            flagged = (silver.anomaly_flags(rows).select("window_start", "window_end", *silver.SILVER_COLUMNS)  # R5
+                       .withColumn("day", F.to_date("window_start")).checkpoint())
+            # a late window changes the history of those that follow it: they are flagged anew as well
+            out = flagged.join(self._touched(batch, hist), self.KEYS, "left_semi").checkpoint()
             io.upsert(spark, out, self.silver_path, self.KEYS, ["symbol", "day"])         # S11 S12
             io.upsert(spark, silver.serving_projection(out), self.serving_path,           # S13
                       self.KEYS, ["day"])
-            io.upsert(spark, latest_state(out, self.max_pain), self.state_path, ["symbol"])  # S18
-            out.unpersist()
+            # every stored window from the batch's first on is in ``flagged``, so its newest is the newest of all
+            io.upsert(spark, latest_state(flagged, self.max_pain), self.state_path, ["symbol"])  # S18
         finally:
             batch.unpersist()
 

@@ -1,11 +1,10 @@
-"""Large-input path check: multi-block ordered plans (tiny blocks, hourly chunks) must equal the one-block path.
+"""Ordered plans in many tiny blocks must equal those in blocks of the default size.
 
 usage: python scripts/check_block_path.py   (reads /root/testdata/sf0.1)
 """
 import sys
 sys.path.insert(0, "/root/repo")
 from quantsilo.session import get_spark
-from quantsilo.plans import ordered
 from quantsilo.sources import fixtures as fx
 from quantsilo.operators import silver, indicators
 from quantsilo.plans.queries_indicators import _live_rows
@@ -18,7 +17,6 @@ w = silver.window_metrics(fx.ticks(spark, sf))
 base = {"anomaly": rows(silver.anomaly_flags(w)),
         "live": rows(indicators.live_indicators(_live_rows(spark, sf))),
         "history": rows(indicators.history_indicators(fx.daily_bars(spark, sf)))}
-ordered.SMALL_INPUT_BYTES = 0
 multi = {"anomaly": rows(silver.anomaly_flags(w, block_rows=500, chunk_seconds=3600)),
          "live": rows(indicators.live_indicators(_live_rows(spark, sf), block_rows=1000, chunk_seconds=3600)),
          "history": rows(indicators.history_indicators(fx.daily_bars(spark, sf), block_rows=800, chunk_seconds=30 * 86400))}

@@ -7,11 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-# tests always take the multi-block (large input) path of the ordered helpers
-from quantsilo.plans import ordered  # noqa: E402
-
-ordered.SMALL_INPUT_BYTES = 0
-
 
 @pytest.fixture(scope="session")
 def spark():

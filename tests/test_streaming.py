@@ -87,3 +87,18 @@ def test_alarm_stream_fires_once(spark):
     bad = fired.filter(((F.col("direction") == "up") & (F.col("current_price") < F.col("target")))
                        | ((F.col("direction") == "down") & (F.col("current_price") > F.col("target"))))
     assert bad.count() == 0
+
+
+def test_late_window_flags_its_followers_anew_and_keeps_the_newest_state(spark, tmp_path):
+    windows = silver.window_metrics(fx.ticks(spark, SF_SMALL))
+    symbol = windows.groupBy("symbol").count().orderBy(F.desc("count"), "symbol").first().symbol
+    rows = windows.where(F.col("symbol") == symbol).orderBy("window_start").limit(60).checkpoint()
+    starts = [r.window_start for r in rows.select("window_start").orderBy("window_start").collect()]
+    late = F.col("window_start") == F.lit(starts[35])
+    in_order, out_of_order = P.SilverSink(str(tmp_path / "a")), P.SilverSink(str(tmp_path / "b"))
+    in_order(rows, 0)
+    out_of_order(rows.where(~late), 0)
+    out_of_order(rows.where(late), 1)
+    for name in ("silver", "latest_state"):
+        a, b = (spark.read.parquet(f"{tmp_path}/{k}/{name}") for k in "ab")
+        assert a.count() == b.count() and _cmp(a, b, [])
