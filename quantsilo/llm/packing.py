@@ -35,7 +35,7 @@ MAX_COLUMNS = 2000
 STALL = 100
 #: Rows of one length that one task ranks, about.
 RANK_ROWS = 50_000
-#: Words whose ids a worker remembers.
+#: Words whose ids a worker remembers, in each of two generations.
 MEMORY = 100_000
 
 
@@ -57,7 +57,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads hold memory of their own
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.limit, self.known = memory, {}
+        self.limit, self.known, self.older = memory, {}, {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -74,9 +74,11 @@ class WordEncoder:
             words = t.split(" ")
             parts.append([words[0], *[" " + w for w in words[1:]]] if t else [])
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        new = list({w for p in parts for w in p if w not in known})
+            self.known, self.older = {}, self.known     # frequent words come back, the others go
+        known, older = self.known, self.older
+        missing = {w for p in parts for w in p if w not in known}
+        known.update({w: older[w] for w in missing if w in older})
+        new = [w for w in missing if w not in known]
         for a in range(0, len(new), 2048):
             some = new[a:a + 2048]
             known.update(zip(some, self._ids(some)))
