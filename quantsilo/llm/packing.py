@@ -43,6 +43,8 @@ MEMORY = 100_000
 
 #: White space that a space follows: there a text may not be cut before the space.
 _UNSAFE = re.compile(r"[\s\x85] ")
+#: Words encoded in one call.
+_TOGETHER = 512
 
 
 class WordEncoder:
@@ -51,6 +53,10 @@ class WordEncoder:
     The pre-tokenizer's pattern never joins a character that is no white space with white space
     after it, so a text falls apart before every space that follows such a character, and each
     part has the same ids alone.  Other texts are encoded whole.
+
+    The memory's keys are words without their space; a text's first part, which has none, is kept
+    under a space and itself.  New words are encoded many at a time, as one text that falls apart
+    at the same places; the tokens' byte lengths tell which ids are whose.
     """
 
     def __init__(self, path: str = TOKENIZER, memory: int = MEMORY):
@@ -58,31 +64,52 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         self.limit, self.known, self.older = memory, {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)   # a character stands for a byte
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of memory keys."""
+        together = [w for w in words if w and w[0] != " " and not w[-1].isspace()]   # a space may follow these
+        alone = set(words).difference(together)
+        out = {}
+        for a in range(0, len(together), _TOGETHER):
+            some = together[a:a + _TOGETHER]
+            raw = self._ids([" " + " ".join(some)])[0]
+            ends = np.cumsum([len(w.encode()) + 1 for w in some])
+            reached = np.cumsum(self.width[np.frombuffer(raw, "<u4")])
+            last = np.searchsorted(reached, ends)
+            if last[-1] >= len(reached) or (reached[last] != ends).any():   # a tokenizer that joins words
+                alone.update(some)
+                continue
+            at = [0, *(4 * last + 4).tolist()]
+            out.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:]))))
+        rest = list(alone)
+        out.update(zip(rest, self._ids([w[1:] if w[:1] == " " else " " + w for w in rest])))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts, whole = [], {}
         for k, t in enumerate(texts):
+            words = []
             if _UNSAFE.search(t):
                 whole[k] = t
-                parts.append([])
-                continue
-            words = t.split(" ")
-            parts.append([words[0], *[" " + w for w in words[1:]]] if t else [])
+            elif t:
+                words = t.split(" ")
+                words[0] = " " + words[0]
+            parts.append(words)
         if len(self.known) > self.limit:
             self.known, self.older = {}, self.known     # frequent words come back, the others go
         known, older = self.known, self.older
-        missing = {w for p in parts for w in p if w not in known}
+        missing = set().union(*parts).difference(known)
         known.update({w: older[w] for w in missing if w in older})
-        new = [w for w in missing if w not in known]
-        for a in range(0, len(new), 2048):
-            some = new[a:a + 2048]
-            known.update(zip(some, self._ids(some)))
-        out = [b"".join([known[w] for w in p]) for p in parts]
+        known.update(self._words([w for w in missing if w not in older]))
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
         if whole:
             for k, ids in zip(whole, self._ids(list(whole.values()))):
                 out[k] = ids

@@ -1,6 +1,7 @@
 """Training-data operators against brute-force versions, round trips and held-out accuracy."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
