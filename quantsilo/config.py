@@ -26,6 +26,7 @@ SPOOF_VOLUME_FRACTION = 0.5
 # backtests: 5 minute buckets, 6 buckets ahead
 BACKTEST_BUCKET = "5 minutes"
 BACKTEST_LEAD = 6
+BACKTEST_DAYS = 7
 CVD_BULLISH_MIN = 100000.0
 VPIN_TOXIC_MIN = 0.80
 

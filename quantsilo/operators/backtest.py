@@ -14,10 +14,23 @@ from pyspark.sql import functions as F
 
 from quantsilo import config as C
 from quantsilo.plans import ordered
+from quantsilo.plans.joins import with_stats
 
 STRATEGIES = ("cvd_bullish", "vpin_toxic")
 
 
+def recent(rows: DataFrame, days: int = C.BACKTEST_DAYS, symbol: str | None = None, key: str = "symbol",
+           time_col: str = "processed_time") -> DataFrame:
+    """Rows of ``symbol`` (None: of all) that are less than ``days`` older than the table's newest row.
+
+    Both are filters ahead of the buckets, so they reach the scan; 'now' is a scalar subquery.
+    """
+    now = rows.agg(F.max(time_col).alias("_now"))
+    found = rows if symbol is None else rows.filter(F.col(key) == symbol)
+    return (with_stats(found, now).filter(F.col(time_col) > F.col("_now") - F.expr(f"INTERVAL {int(days)} DAYS"))
+            .drop("_now"))
+
+
 def signals(buckets: DataFrame, strategy: str) -> DataFrame:
     if strategy == "cvd_bullish":           # A11
         return buckets.filter((F.col("total_cvd") > C.CVD_BULLISH_MIN)

@@ -22,12 +22,16 @@ def route(events: DataFrame, data_type: str, col: str = "data_type") -> DataFram
 
 # ----------------------------------------------------------- bronze ---------
 def to_kafka_records(ticks: DataFrame) -> DataFrame:
-    """Ticks as Kafka-like records: binary key/value, broker timestamp (producer side of S1/S2)."""
+    """Ticks as Kafka-like records: binary key/value, partition and offset, broker timestamp (producer side of S1/S2).
+
+    A symbol's ticks share a partition, as with a keyed producer; offsets grow with the event id.
+    """
     payload = F.to_json(F.struct(
         *[F.col(f.name) for f in TICK_SCHEMA.fields if f.name != "timestamp"],
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")))
     return ticks.select(F.col("symbol").cast("binary").alias("key"), payload.cast("binary").alias("value"),
-                        F.col("ts").alias("timestamp"))
+                        F.pmod(F.crc32(F.col("symbol").cast("binary")), F.lit(8)).cast("int").alias("partition"),
+                        F.col("event_id").cast("long").alias("offset"), F.col("ts").alias("timestamp"))
 
 
 def bronze(records: DataFrame) -> DataFrame:

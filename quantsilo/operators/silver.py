@@ -40,15 +40,19 @@ LAST_COLUMNS = ["is_buyer_maker", "trade_side", "buy_wall_usd", "sell_wall_usd",
 
 
 def parse_ticks(raw: DataFrame, value_col: str = "value", event_time: bool = True) -> DataFrame:
-    """JSON payload -> flat tick columns.
+    """JSON payload -> the tick columns that ``window_metrics`` takes.
 
     With ``event_time`` the ISO ``timestamp`` field becomes the event time;
-    otherwise arrival time is used, as the reference does.
+    otherwise arrival time is used, as the reference does.  ``event_id``, the
+    order of ticks of one instant, is the broker's (partition, offset); records
+    without them (bronze rows) are ordered by their payload.
     """
-    v = F.from_json(F.col(value_col).cast("string"), TICK_SCHEMA).alias("v")
-    flat = raw.select(v).select("v.*")
+    broker = [c for c in ("partition", "offset") if c in raw.columns]
+    payload = F.col(value_col).cast("string")
+    tie = F.struct(*broker) if len(broker) == 2 else F.struct(payload.alias("payload"))
+    flat = raw.select(F.from_json(payload, TICK_SCHEMA).alias("v"), tie.alias("event_id")).select("v.*", "event_id")
     ts = F.to_timestamp("timestamp") if event_time else F.current_timestamp()
-    return flat.withColumnRenamed("price", "average_price").withColumn("ts", ts).drop("timestamp")
+    return flat.withColumn("ts", ts.cast("timestamp_ntz")).drop("timestamp")
 
 
 def signed_volume(df: DataFrame, side: str = "trade_side", volume: str = "volume_usd") -> DataFrame:

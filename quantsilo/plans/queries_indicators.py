@@ -212,8 +212,8 @@ def q_buckets(spark, sf):
     return _buckets(spark, sf)
 
 
-def _bt_sql(cond: str, cmp: str) -> str:
-    return "WITH " + fx.SQL_TICKS + ",\n" + SQL_BUCKETS + f""",
+def _bt_sql(cond: str, cmp: str, buckets: str = SQL_BUCKETS) -> str:
+    return "WITH " + fx.SQL_TICKS + ",\n" + buckets + f""",
 sig AS (SELECT *, lead(close_price, {C.BACKTEST_LEAD}) OVER (PARTITION BY symbol ORDER BY bucket) AS later
         FROM buckets WHERE {cond}),
 agg AS (SELECT symbol, count(*) AS total_signals,
@@ -237,6 +237,15 @@ def q_bt_vpin(spark, sf):
     return backtest.backtest(_buckets(spark, sf), "vpin_toxic")
 
 
+@register("backtest_recent_symbol", "A11 A13 W3",
+          sql=_bt_sql(f"total_cvd > {C.CVD_BULLISH_MIN} AND avg_buy_wall > avg_sell_wall", "<", SQL_BUCKETS.replace(
+              "FROM win GROUP BY", f"""FROM win WHERE symbol = 'purchase' AND processed_time >
+    (SELECT max(processed_time) FROM win) - INTERVAL '{C.BACKTEST_DAYS} days' GROUP BY""")))
+def q_bt_recent(spark, sf):
+    rows = backtest.recent(silver.window_metrics(fx.ticks(spark, sf)), symbol="purchase")
+    return backtest.backtest(bars.five_minute_buckets(rows, tie="window_start"), "cvd_bullish")
+
+
 # ------------------------------------------------ features / split ----------
 SQL_FEATURES = SQL_WINDOWS + """,
 feat AS (

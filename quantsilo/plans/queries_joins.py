@@ -49,7 +49,7 @@ def _enriched(spark, sf):
     return exchange.enrich_trades(fx.exchange_messages(spark, sf))
 
 
-@register("enriched_trades", "J1 J2 P10 P12 P13 F14 R6",
+@register("enriched_trades", "J1 J2 P10 P12 P13 F14",
           sql=SQL_ENRICHED + "\nSELECT * FROM enriched", doubles=_ENR_DOUBLES)
 def q_enriched(spark, sf):
     return _enriched(spark, sf)

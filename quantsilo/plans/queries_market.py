@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantsilo import config as C
-from quantsilo.operators import gold, silver
+from quantsilo.operators import gold, ops, silver
 from quantsilo.plans.catalog import register
 from quantsilo.sources import fixtures as fx
 from quantsilo.sources.fixtures import with_ctes
@@ -28,7 +28,7 @@ SQL_MARKET = """market AS (
 
 
 # ---------------------------------------------------------------- A6 -------
-@register("minute_summary", "A6 F2 T6",
+@register("minute_summary", "A6 F2",
           sql=with_ctes(fx.SQL_TICKS, SQL_MARKET) + """
 SELECT symbol, date_trunc('minute', processed_time) AS minute,
        avg(average_price) AS avg_price, max(average_price) AS max_price,
@@ -73,6 +73,14 @@ def q_silver_windows(spark, sf):
     return silver.window_metrics(fx.ticks(spark, sf))
 
 
+@register("silver_from_records", "P1 P2 A1 A5 F13 R2",
+          sql=with_ctes(fx.SQL_TICKS, SQL_WINDOWS) + "SELECT * FROM win",
+          doubles=_WIN_DOUBLES)
+def q_silver_from_records(spark, sf):
+    """Raw broker records to silver windows: the batch form of the streaming chain."""
+    return silver.window_metrics(silver.parse_ticks(ops.to_kafka_records(fx.ticks(spark, sf))))
+
+
 _BANDS_SQL = ", ".join(
     f"average_price * {1 + f!r} AS liq_up_{lev}x, average_price * {1 - f!r} AS liq_dn_{lev}x"
     for lev, f in C.LIQ_BANDS)
@@ -101,7 +109,7 @@ _SILVER_DOUBLES = (_WIN_DOUBLES + " predicted_price liq_up_10x liq_dn_10x liq_up
                    "liq_up_50x liq_dn_50x liq_up_100x liq_dn_100x anomaly_score")
 
 
-@register("silver_enriched", "M1 M2 P9 W12 W13 F10 R5",
+@register("silver_enriched", "M1 M2 P9 W12 W13 F10",
           sql=with_ctes(fx.SQL_TICKS, SQL_SILVER) + "SELECT * FROM silver",
           doubles=_SILVER_DOUBLES)
 def q_silver_enriched(spark, sf):

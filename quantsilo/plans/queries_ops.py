@@ -181,7 +181,7 @@ _TICK_COLS = ("symbol price quantity volume_usd is_buyer_maker trade_side buy_wa
               "imbalance_ratio mark_price funding_rate liq_buy_usd liq_sell_usd").split()
 
 
-@register("bronze_roundtrip", "P1 P2 F13 S1",
+@register("bronze_roundtrip", "P1 P2 F13",
           sql=with_ctes(fx.SQL_TICKS) + f"""
 SELECT symbol AS kafka_key, ts AS ingest_time, {", ".join(_TICK_COLS[1:])}, ts FROM ticks""",
           doubles=" ".join(_TICK_COLS[1:]).replace("is_buyer_maker ", "").replace("trade_side ", ""))
@@ -361,7 +361,7 @@ def q_prediction_metrics(spark, sf):
     return ml.regression_metrics(fx.ticks(spark, sf), ["symbol"], label="price", prediction="mark_price")
 
 
-@register("model_league", "M4 M5 M6 J10 A18 A19")
+@register("model_league", "M4 M6 J10 A18 A19")
 def q_model_league(spark, sf):
     """Train the league on the silver features of every trainable symbol; the run table (M6)."""
     from quantsilo.operators import ml
@@ -375,7 +375,7 @@ def q_model_league(spark, sf):
 
 
 # ----------------------------------------------------- exports / panels ----
-@register("recent_export_premium", "P18 S19",
+@register("recent_export_premium", "P18",
           sql=with_ctes(fx.SQL_TICKS, SQL_WINDOWS) + """
 SELECT symbol, average_price AS price, volume_usd, cvd, vpin_score AS vpin FROM win
 WHERE processed_time >= (SELECT max(processed_time) FROM win) - INTERVAL 12 HOURS""",
@@ -398,7 +398,7 @@ def q_free_panel(spark, sf):
     return ops.free_panel(fx.ticks(spark, sf))
 
 
-@register("bar_union", "U1 F3 F4 S17",
+@register("bar_union", "U1 F3 F4",
           sql=with_ctes(fx.SQL_BARS) + """
 SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$', 'USDT') AS symbol,
        open, high, low, close, volume, year("timestamp") AS year FROM bars""",
@@ -416,7 +416,7 @@ def q_bar_union(spark, sf):
 _TR_HEADERS = ["Müşteri No", "Adı Soyadı", "Ülke Kodu", "Bakiye (₺)", "Sektör"]
 
 
-@register("clean_headers", "P7 S3",
+@register("clean_headers", "P7",
           sql="""
 SELECT c_custkey AS "musteri_no", c_name AS "adi_soyadi", c_nationkey AS "ulke_kodu", c_acctbal AS "bakiye____",
        lower(regexp_replace(translate(trim(c_mktsegment), 'ığüşöçİĞÜŞÖÇ', 'igusocIGUSOC'), '[^a-zA-Z0-9]', '_', 'g'))

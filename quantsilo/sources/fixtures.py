@@ -286,7 +286,7 @@ SQL_REQUESTS = """requests AS (
 
 
 # ------------------------------------------------------------- model runs ----
-_RUN_NAMES = ("XGBoost_Pro", "LightGBM_Fast", "GradientBoost_Base")
+_RUN_NAMES = ("Deep_Forest", "Quick_Forest", "Plain_Line")
 
 
 def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,7 +337,7 @@ SQL_RUNS = """runs AS (
   UNION ALL
   SELECT 'c' || CAST(s_suppkey AS VARCHAR),
          'p' || CAST(CASE WHEN s_suppkey % 9 = 0 THEN s_nationkey + 100 ELSE s_nationkey END AS VARCHAR),
-         CASE s_suppkey % 3 WHEN 0 THEN 'XGBoost_Pro' WHEN 1 THEN 'LightGBM_Fast' ELSE 'GradientBoost_Base' END,
+         CASE s_suppkey % 3 WHEN 0 THEN 'Deep_Forest' WHEN 1 THEN 'Quick_Forest' ELSE 'Plain_Line' END,
          CAST(NULL AS VARCHAR),
          CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 13 = 0 THEN 'n/a'
               ELSE CAST(s_suppkey % 50 AS VARCHAR) || '.' || lpad(CAST(s_suppkey * 104729 % 10000 AS VARCHAR), 4, '0') END,

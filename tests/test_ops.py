@@ -81,14 +81,14 @@ def test_free_daily_ban_and_per_second(spark):
 
 def test_leaderboard_badges(spark):
     rows = [("p1", None, "COIN_A", "A", None, None, T0, T0),
-            ("c1", "p1", "XGBoost_Pro", None, "0.5", "0.99", T0, T0 + dt.timedelta(milliseconds=300)),
-            ("c2", "p1", "LightGBM_Fast", None, "n/a", "0.5", T0, T0 + dt.timedelta(milliseconds=100)),
-            ("c3", "p9", "GradientBoost_Base", None, "0.1", "0.2", T0, T0)]     # orphan: dropped
+            ("c1", "p1", "Deep_Forest", None, "0.5", "0.99", T0, T0 + dt.timedelta(milliseconds=300)),
+            ("c2", "p1", "Quick_Forest", None, "n/a", "0.5", T0, T0 + dt.timedelta(milliseconds=100)),
+            ("c3", "p9", "Plain_Line", None, "0.1", "0.2", T0, T0)]     # orphan: dropped
     r = spark.createDataFrame(rows, "run_id string, parent_run_id string, run_name string, symbol string, "
                                     "rmse string, r2 string, start_time timestamp_ntz, end_time timestamp_ntz")
     lb = {x.run_id: x for x in runs.leaderboard(runs.child_runs(r)).collect()}
     assert set(lb) == {"c1", "c2"}
-    assert lb["c2"].rmse == 9999.0 and lb["c2"].model_name == "LIGHTGBM FAST"
+    assert lb["c2"].rmse == 9999.0 and lb["c2"].model_name == "QUICK FOREST"
     assert lb["c1"].badges == f"{runs.BADGE_CHAMPION} {runs.BADGE_PRECISE}"
     assert lb["c2"].badges == runs.BADGE_FASTEST
 

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from quantsilo.operators import exchange, silver
+from quantsilo.operators import exchange, ops, silver
 from quantsilo.sources import fixtures as fx
 from quantsilo.streaming import pipeline as P
 
@@ -60,6 +60,26 @@ def test_silver_stream_equals_batch_then_late_row_and_restart(spark):
     assert again.filter(F.col("average_price") > 90000).count() == 0
 
 
+def test_raw_records_stream_to_windows(spark, tmp_path):
+    ticks = fx.ticks(spark, SF_SMALL).limit(200).checkpoint()
+    records = ops.to_kafka_records(ticks)
+    records.coalesce(1).write.parquet(f"{tmp_path}/records")
+    stream = P.file_stream(spark, f"{tmp_path}/records", records.schema)
+    q = (P.silver_windows_stream(silver.parse_ticks(stream)).writeStream.format("memory").queryName("raw_windows")
+         .option("checkpointLocation", f"{tmp_path}/ckpt").outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got, want = spark.table("raw_windows"), silver.window_metrics(ticks)
+    assert got.count() == want.count() > 0 and _cmp(got, want, [])
+
+
+def test_ticks_of_one_instant_go_by_offset_or_payload(spark):
+    row = '{"symbol":"X","price":%d.0,"volume_usd":1.0,"trade_side":"BUY","buy_wall_usd":%d.0,"timestamp":"2024-01-01T00:00:01"}'
+    raw = spark.createDataFrame([(row % (1, 9), 0, 5), (row % (2, 3), 0, 6)], "value string, partition int, offset long")
+    for records, wall in ((raw, 3.0), (raw.select("value"), 3.0)):
+        found = silver.window_metrics(silver.parse_ticks(records)).collect()
+        assert {r.buy_wall_usd for r in found} == {wall} and {r.average_price for r in found} == {1.5}
+
+
 def test_exchange_state_stream_equals_batch_asof(spark):
     base = tempfile.mkdtemp(prefix="qs-r6-")
     msgs = fx.exchange_messages(spark, SF_SMALL)
