@@ -2,7 +2,9 @@
 
 Each language gets a zstandard compressor whose dictionary is raw text of that language.  A text
 belongs to the language whose compressor makes it smallest; where two are too close to call even
-for a slower compressor, the text is rejected.
+for a slower compressor, the text is rejected.  Long texts are compressed in blocks, each on its
+own against the dictionaries, and the sizes added up: a dictionary saves a bounded number of bytes
+on one piece, so the margin of a whole text would shrink with its length.
 """
 
 from __future__ import annotations
@@ -25,12 +27,20 @@ LEVEL = 6
 SLOW_LEVEL = 12
 PARTS = 8
 MIN_GAP = 1
+#: Bytes of letters that are compressed at once, about.
+BLOCK = 1 << 14
 #: A text is rejected when the best language saves less than this part of the runner-up's size.
 #: Texts under SHORT bytes of letters are not: one byte, the least difference there is, is more.
 MIN_MARGIN = 0.005
 SHORT = 48
 
 
+def blocks(raw: bytes) -> list[bytes]:
+    """Consecutive pieces of the whole text, of equal length but for a byte."""
+    n = max(1, (len(raw) + BLOCK // 2) // BLOCK)
+    return [raw[len(raw) * k // n:len(raw) * (k + 1) // n] for k in range(n)]
+
+
 def letters(text: Column) -> Column:
     """Lower-cased words of letters, joined by single spaces, with one at either end."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}]+", " "))
@@ -46,8 +56,8 @@ class Compressors:
     def __getstate__(self):
         return {"samples": self.samples, "min_margin": self.min_margin, "_ready": {}}
 
-    def _sizes(self, text: bytes, level: int, part: int | None = None) -> list[int]:
-        """Compressed size for each language, with its dictionary or a part of it."""
+    def _sizes(self, texts: list[bytes], level: int, part: int | None = None) -> list[int]:
+        """Compressed size of all blocks for each language, with its dictionary or a part of it."""
         if (level, part) not in self._ready:
             made = []
             for raw in self.samples.values():
@@ -61,7 +71,7 @@ class Compressors:
                     kind["dict_data"] = d
                 made.append(zstd.ZstdCompressor(**kind))
             self._ready[level, part] = made
-        return [len(c.compress(text)) for c in self._ready[level, part]]
+        return [sum(len(c.compress(t)) for t in texts) for c in self._ready[level, part]]
 
     def classify(self, text: str) -> tuple[str, float, bool]:
         """(language, confidence, rejected) of a text that ``letters`` has prepared."""
@@ -69,12 +79,13 @@ class Compressors:
             return "und", 0.0, True
         raw = f" {text} ".encode()
         names = list(self.samples)
-        sizes = self._sizes(raw, LEVEL)
+        pieces = blocks(raw)
+        sizes = self._sizes(pieces, LEVEL)
         rank = sorted(range(len(names)), key=sizes.__getitem__)
         if len(names) == 1:
             return names[0], 1.0, False
         if sizes[rank[1]] - sizes[rank[0]] < MIN_GAP:
-            more = [self._sizes(raw, SLOW_LEVEL), *(self._sizes(raw, LEVEL, k) for k in range(PARTS))]
+            more = [self._sizes(pieces, SLOW_LEVEL), *(self._sizes(pieces, LEVEL, k) for k in range(PARTS))]
             sizes = [sum(x) for x in zip(sizes, *more)]
             rank = sorted(range(len(names)), key=sizes.__getitem__)
         margin = 1 - sizes[rank[0]] / sizes[rank[1]]

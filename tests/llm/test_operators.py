@@ -245,6 +245,25 @@ def test_langid_held_out_accuracy_and_odd_rows(spark, odd):
     assert {r["lang_pred"] for r in rows(langid_zstd.classify(odd, nothing))} == {"und"}
 
 
+@pytest.mark.parametrize("size", [1 << 17, 1 << 20, 1 << 22])
+def test_langid_keeps_long_clean_texts(spark, size):
+    d = table(spark, "/root/testdata/sf0.01", "documents")
+    m = langid_zstd.train(d, fold("doc_id", 4) != 2)
+    held = defaultdict(list)
+    for r in rows(d.where(fold("doc_id", 4) == 2).select("lang", "doc_id", langid_zstd.letters(F.col("text")).alias("t"))
+                  .orderBy("doc_id")):
+        held[r["lang"]] += r["t"].split()
+    assert len(held) == 4
+    rng = random.Random(11)
+    for lang, words in held.items():
+        runs = [" ".join(words[k:k + 12]) for k in range(0, len(words), 12)]
+        text = ""
+        while len(text) < size:
+            text += " ".join(rng.sample(runs, len(runs))) + " "
+        got, margin, rejected = m.classify(text.strip())
+        assert (got, rejected) == (lang, False), (lang, size, margin)
+
+
 # ---- 9 -----------------------------------------------------------------------------------------
 
 def components_of(texts, words, num, den):
