@@ -32,8 +32,7 @@ DIM = 24
 NOISE = 24
 RATE = 0.1
 BATCH = 512
-#: Share of the training targets that one round of training uses, and rounds (each averages all partitions).
-SAMPLE = 1 / 16
+#: Rounds of training over every target (each averages all partitions).
 ROUNDS = 2
 #: Text bytes of a block, about.
 BLOCK_BYTES = 16 << 20
@@ -101,6 +100,14 @@ def contexts(classes: np.ndarray, to: np.ndarray, start: int) -> tuple[np.ndarra
     return one, two
 
 
+def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, and the sums of the values that belong to each."""
+    order = np.argsort(rows, kind="stable")
+    s = rows[order]
+    first = np.append(0, np.flatnonzero(s[1:] != s[:-1]) + 1)
+    return s[first], np.add.reduceat(values.take(order, 0), first, axis=0)
+
+
 class LogBilinear:
     def __init__(self, vocabulary: Vocabulary, dim: int = DIM, seed: int = 1):
         v, rng = vocabulary.size, np.random.default_rng(seed)
@@ -111,7 +118,10 @@ class LogBilinear:
 
     def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, rng: np.random.Generator,
               squares: dict[str, np.ndarray]) -> None:
-        """One pass of noise-contrastive estimation with Adagrad; the noise words of a batch are shared."""
+        """One pass of noise-contrastive estimation with Adagrad; the noise words of a batch are shared.
+
+        Only rows with a gradient are touched: Adagrad leaves the others as they are.
+        """
         p, k = self.p, NOISE
         log_kp = np.log(k * self.noise)
         cdf = np.cumsum(self.noise)
@@ -124,17 +134,18 @@ class LogBilinear:
             gt = 1 / (1 + np.exp(-np.clip((h * qw).sum(1) + p["b"][w] - log_kp[w], -30, 30))) - 1
             gn = 1 / (1 + np.exp(-np.clip(h @ qn.T + (p["b"] - log_kp)[ns], -30, 30)))
             dh = gt[:, None] * qw + gn @ qn
-            grad = {n: np.zeros_like(x) for n, x in p.items()}
-            np.add.at(grad["Q"], w, gt[:, None] * h)
-            np.add.at(grad["Q"], ns, gn.T @ h)
-            grad["b"] += np.bincount(w, gt, self.v) + np.bincount(ns, gn.sum(0), self.v)
-            np.add.at(grad["R"], c1, dh @ p["C1"].T)
-            np.add.at(grad["R"], c2, dh @ p["C2"].T)
-            grad["C1"], grad["C2"] = r1.T @ dh, r2.T @ dh
-            for n, g in grad.items():
-                g /= len(w)
-                squares[n] += g * g
-                p[n] = p[n] - RATE * g / np.sqrt(squares[n] + 1e-8)
+            wide = np.empty((len(w) + k, h.shape[1] + 1))         # gradients of Q and, last, of b
+            np.multiply(h, gt[:, None], out=wide[:len(w), :-1])
+            wide[:len(w), -1], wide[len(w):, -1] = gt, gn.sum(0)
+            np.matmul(gn.T, h, out=wide[len(w):, :-1])
+            rows, by_row = _row_sums(np.concatenate([w, ns]), wide)
+            context, by_context = _row_sums(np.concatenate([c1, c2]), np.concatenate([dh @ p["C1"].T, dh @ p["C2"].T]))
+            for n, at, g in (("Q", rows, by_row[:, :-1]), ("b", rows, by_row[:, -1]), ("R", context, by_context),
+                             ("C1", slice(None), r1.T @ dh), ("C2", slice(None), r2.T @ dh)):
+                g = g / len(w)
+                sq = squares[n][at] + g * g
+                squares[n][at] = sq
+                p[n][at] -= RATE * g / np.sqrt(sq + 1e-8)
 
     def normalisers(self) -> np.ndarray:
         """log sum exp of all words' scores for every pair of contexts, by batched matrix products."""
@@ -226,8 +237,8 @@ def _vocabulary(facts: list, top_words: int) -> Vocabulary:
                       distinct_of - np.bincount(group[times > 0], minlength=GROUPS))
 
 
-def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int, sample: float) -> LogBilinear:
-    """Rounds of training on every partition's own sample of targets, averaged by the targets seen."""
+def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> LogBilinear:
+    """Rounds of training on every target of the learning texts, averaged over partitions by the targets seen."""
     spark = texts.sparkSession
     model = LogBilinear(vocabulary)
     names, shapes = list(model.p), {n: x.shape for n, x in model.p.items()}
@@ -247,14 +258,13 @@ def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int, sample: floa
                 h, to = tokens(*text_buffer(b.column(0)))
                 if not len(h):
                     continue
-                key = int(np.bitwise_xor.reduce(mix(h)))       # the sample depends on the texts alone
+                key = int(np.bitwise_xor.reduce(mix(h)))       # order and noise depend on the texts alone
                 rng = np.random.default_rng([step, key & 0x7FFFFFFF, len(h)])
                 w = voc.classes(h)
                 one, two = contexts(w, to, voc.size)
-                pick = np.flatnonzero(rng.random(len(w)) < sample)
-                rng.shuffle(pick)
-                m.train(one[pick], two[pick], w[pick], rng, squares)
-                used += len(pick)
+                order = rng.permutation(len(w))
+                m.train(one[order], two[order], w[order], rng, squares)
+                used += len(w)
             if used:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key % _AVERAGES], pa.int32()), pa.array([(flat(m.p) * used).tobytes()], pa.binary()),
@@ -279,7 +289,7 @@ def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int, sample: floa
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", top_words: int = TOP_WORDS,
-          rounds: int = ROUNDS, sample: float = SAMPLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Base and model log10 probabilities of every whole text, one row for each input row.
 
     ``learn`` marks the rows to learn from.  Returns ``id_col``, learned, n_tokens (words and one
@@ -305,7 +315,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         .groupBy("shard").applyInArrow(_shard_totals(top_words), "block int, words binary, counts binary, facts binary"))
     facts = [pickle.loads(r["facts"]) for r in totals.where("facts IS NOT NULL").select("facts").toLocalIterator()]
     vocabulary = _vocabulary(facts, top_words)
-    model = _trained(texts, vocabulary, rounds, sample)
+    model = _trained(texts, vocabulary, rounds)
     shared = spark.sparkContext.broadcast((vocabulary, model, model.normalisers()))
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:

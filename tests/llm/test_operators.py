@@ -64,6 +64,21 @@ def test_lm_probabilities_add_up_to_one():
     assert p.sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_lm_learns_from_every_target(spark, monkeypatch):
+    made, inner = [], lm_scoring._trained
+
+    def trained(*args):
+        made.append((args[1], inner(*args)))
+        return made[-1][1]
+
+    monkeypatch.setattr(lm_scoring, "_trained", trained)
+    pairs = spark.createDataFrame([(i, f"left{i} right{i}") for i in range(300)], "doc_id long, text string")
+    assert lm_scoring.score(pairs, F.lit(True)).count() == 300
+    voc, m = made[0]
+    moved = np.abs(m.p["R"] - lm_scoring.LogBilinear(voc).p["R"]).max(1) > 1e-6
+    assert len(voc.top) == 601 and moved[:601][voc.top != lm_scoring.END].all()
+
+
 def test_lm_odd_rows(odd):
     got = rows(lm_scoring.score(odd, fold("doc_id", 7) != 2))
     assert len(got) == odd.count() and all(np.isfinite(r["score"]) for r in got)
