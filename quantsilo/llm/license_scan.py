@@ -37,55 +37,55 @@ class Rule:
 LICENSES = [
     ("mit", r"mit", r"mit(?:/x11| \(expat\))?|expat|x11", "", r"opensource\.org/licenses?/mit"),
     ("mit-0", r"mit-0", r"mit no attribution", "mit no attribution", r"opensource\.org/license/mit-0"),
-    ("apache-1.0", r"apache-1\.0", r"apache(?: software)? licen[sc]e,? v(?:ersion |\.? ?)?1\.0", "apache", r"apache\.org/licenses/license-1\.0"),
-    ("apache-1.1", r"apache-1\.1", r"apache(?: software)? licen[sc]e,? v(?:ersion |\.? ?)?1\.1", "apache", r"apache\.org/licenses/license-1\.1"),
-    ("apache-2.0", r"apache-2\.0", r"apache(?: software)? licen[sc]e,? v(?:ersion |\.? ?)?2(?:\.0)?", "apache", r"apache\.org/licenses/license-2\.0"),
-    ("gpl-1.0", r"gpl-1\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? v(?:ersion |\.? ?)?1(?:\.0)?", "general public", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
-    ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? v(?:ersion |\.? ?)?2(?:\.0)?", "general public", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
-    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? v(?:ersion |\.? ?)?3(?:\.0)?", "general public", r"gnu\.org/licenses/gpl-3\.0"),
-    ("lgpl-2.0", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?library general public licen[sc]e(?:,? v(?:ersion |\.? ?)?2(?:\.0)?)?", "library general public", r"gnu\.org/licenses/old-licenses/lgpl-2\.0"),
-    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", r"(?:gnu )?lesser general public licen[sc]e,? v(?:ersion |\.? ?)?2\.1", "lesser general public", r"gnu\.org/licenses/old-licenses/lgpl-2\.1"),
-    ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?lesser general public licen[sc]e,? v(?:ersion |\.? ?)?3(?:\.0)?", "lesser general public", r"gnu\.org/licenses/lgpl-3\.0"),
-    ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?affero general public licen[sc]e(?:,? v(?:ersion |\.? ?)?3(?:\.0)?)?", "affero", r"gnu\.org/licenses/agpl-3\.0"),
-    ("gfdl-1.3", r"gfdl-1\.3(?:-only|-or-later)?", r"(?:gnu )?free documentation licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.3)?", "free documentation", r"gnu\.org/licenses/fdl-1\.3"),
+    ("apache-1.0", r"apache-1\.0", r"apache(?: software)? licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.0", "apache", r"apache\.org/licenses/license-1\.0"),
+    ("apache-1.1", r"apache-1\.1", r"apache(?: software)? licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.1", "apache", r"apache\.org/licenses/license-1\.1"),
+    ("apache-2.0", r"apache-2\.0", r"apache(?: software)? licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2(?:\.0)?", "apache", r"apache\.org/licenses/license-2\.0"),
+    ("gpl-1.0", r"gpl-1\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1(?:\.0)?", "general public", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
+    ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2(?:\.0)?", "general public", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?3(?:\.0)?", "general public", r"gnu\.org/licenses/gpl-3\.0"),
+    ("lgpl-2.0", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?library general public licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?2(?:\.0)?)?", "library general public", r"gnu\.org/licenses/old-licenses/lgpl-2\.0"),
+    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", r"(?:gnu )?lesser general public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2\.1", "lesser general public", r"gnu\.org/licenses/old-licenses/lgpl-2\.1"),
+    ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?lesser general public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?3(?:\.0)?", "lesser general public", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?affero general public licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?3(?:\.0)?)?", "affero", r"gnu\.org/licenses/agpl-3\.0"),
+    ("gfdl-1.3", r"gfdl-1\.3(?:-only|-or-later)?", r"(?:gnu )?free documentation licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.3)?", "free documentation", r"gnu\.org/licenses/fdl-1\.3"),
     ("bsd-2-clause", r"bsd-2-clause", r"(?:simplified bsd|bsd 2-clause|2-clause bsd|freebsd)", "bsd", r"opensource\.org/licenses?/bsd-2-clause"),
     ("bsd-3-clause", r"bsd-3-clause", r"(?:new bsd|modified bsd|revised bsd|bsd 3-clause|3-clause bsd)", "bsd", r"opensource\.org/licenses?/bsd-3-clause"),
     ("bsd-4-clause", r"bsd-4-clause", r"(?:original bsd|bsd 4-clause|4-clause bsd)", "bsd", r"spdx\.org/licenses/bsd-4-clause"),
     ("0bsd", r"0bsd", r"(?:zero-clause bsd|bsd zero clause|0-clause bsd)", "bsd", r"opensource\.org/licenses?/0bsd"),
     ("isc", r"isc", r"isc|internet systems consortium", "", r"opensource\.org/licenses?/isc"),
-    ("mpl-1.1", r"mpl-1\.1", r"mozilla public licen[sc]e,? v(?:ersion |\.? ?)?1\.1", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/1\.1"),
-    ("mpl-2.0", r"mpl-2\.0", r"mozilla public licen[sc]e,? v(?:ersion |\.? ?)?2(?:\.0)?", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
-    ("epl-1.0", r"epl-1\.0", r"eclipse public licen[sc]e,? v(?:ersion |\.? ?)?1(?:\.0)?", "eclipse", r"eclipse\.org/legal/epl-v10"),
-    ("epl-2.0", r"epl-2\.0", r"eclipse public licen[sc]e,? v(?:ersion |\.? ?)?2(?:\.0)?", "eclipse", r"eclipse\.org/legal/epl-(?:2\.0|v20)"),
+    ("mpl-1.1", r"mpl-1\.1", r"mozilla public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.1", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/1\.1"),
+    ("mpl-2.0", r"mpl-2\.0", r"mozilla public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2(?:\.0)?", "mozilla", r"mozilla\.org/(?:en-us/)?mpl/2\.0"),
+    ("epl-1.0", r"epl-1\.0", r"eclipse public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1(?:\.0)?", "eclipse", r"eclipse\.org/legal/epl-v10"),
+    ("epl-2.0", r"epl-2\.0", r"eclipse public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2(?:\.0)?", "eclipse", r"eclipse\.org/legal/epl-(?:2\.0|v20)"),
     ("edl-1.0", r"edl-1\.0", r"eclipse distribution licen[sc]e", "eclipse distribution", r"eclipse\.org/org/documents/edl-v10"),
-    ("cddl-1.0", r"cddl-1\.0", r"common development and distribution licen[sc]e,? v(?:ersion |\.? ?)?1\.0", "common development and distribution", r"opensource\.org/licenses?/cddl-1\.0"),
-    ("cddl-1.1", r"cddl-1\.1", r"common development and distribution licen[sc]e,? v(?:ersion |\.? ?)?1\.1", "common development and distribution", r"spdx\.org/licenses/cddl-1\.1"),
-    ("cpl-1.0", r"cpl-1\.0", r"common public licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.0)?", "common public", r"opensource\.org/licenses?/cpl-?1\.0"),
-    ("eupl-1.1", r"eupl-1\.1", r"european union public licen[sc]e,? v(?:ersion |\.? ?)?1\.1", "european union public", r"joinup\.ec\.europa\.eu/\S*eupl-?v?1\.1"),
-    ("eupl-1.2", r"eupl-1\.2", r"european union public licen[sc]e,? v(?:ersion |\.? ?)?1\.2", "european union public", r"joinup\.ec\.europa\.eu/\S*eupl-?v?1\.2"),
-    ("artistic-1.0", r"artistic-1\.0(?:-perl)?", r"artistic licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.0)?", "artistic", r"opensource\.org/licenses?/artistic-?1\.0"),
-    ("artistic-2.0", r"artistic-2\.0", r"artistic licen[sc]e,? v?(?:ersion |\.? ?)?2\.0", "artistic", r"opensource\.org/licenses?/artistic-?2\.0"),
-    ("bsl-1.0", r"bsl-1\.0", r"boost software licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.0)?", "boost software", r"boost\.org/license_1_0"),
-    ("busl-1.1", r"busl-1\.1", r"business source licen[sc]e(?:,? v?(?:ersion |\.? ?)?1\.1)?", "business source", r"mariadb\.com/bsl11"),
+    ("cddl-1.0", r"cddl-1\.0", r"common development and distribution licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.0", "common development and distribution", r"opensource\.org/licenses?/cddl-1\.0"),
+    ("cddl-1.1", r"cddl-1\.1", r"common development and distribution licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.1", "common development and distribution", r"spdx\.org/licenses/cddl-1\.1"),
+    ("cpl-1.0", r"cpl-1\.0", r"common public licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.0)?", "common public", r"opensource\.org/licenses?/cpl-?1\.0"),
+    ("eupl-1.1", r"eupl-1\.1", r"european union public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.1", "european union public", r"joinup\.ec\.europa\.eu/\S*eupl-?v?1\.1"),
+    ("eupl-1.2", r"eupl-1\.2", r"european union public licen[sc]e,? (?:v(?:ersion |\.? ?)?)?1\.2", "european union public", r"joinup\.ec\.europa\.eu/\S*eupl-?v?1\.2"),
+    ("artistic-1.0", r"artistic-1\.0(?:-perl)?", r"artistic licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.0)?", "artistic", r"opensource\.org/licenses?/artistic-?1\.0"),
+    ("artistic-2.0", r"artistic-2\.0", r"artistic licen[sc]e,? (?:v(?:ersion |\.? ?)?)?2\.0", "artistic", r"opensource\.org/licenses?/artistic-?2\.0"),
+    ("bsl-1.0", r"bsl-1\.0", r"boost software licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.0)?", "boost software", r"boost\.org/license_1_0"),
+    ("busl-1.1", r"busl-1\.1", r"business source licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.1)?", "business source", r"mariadb\.com/bsl11"),
     ("zlib", r"zlib", r"zlib(?:/libpng)?", "zlib", r"opensource\.org/licenses?/zlib"),
     ("libpng", r"libpng(?:-2\.0)?", r"libpng", "libpng", r"libpng\.org/pub/png/src/libpng-license"),
     ("unlicense", r"unlicense", r"(?:the )?unlicense", "unlicense", r"unlicense\.org"),
     ("wtfpl", r"wtfpl", r"do what the fuck you want to public licen[sc]e", "do what the", r"wtfpl\.net"),
     ("postgresql", r"postgresql", r"postgresql", "postgresql", r"opensource\.org/licenses?/postgresql"),
     ("python-2.0", r"(?:python|psf)-2\.0", r"(?:python software foundation|psf)", "", r"docs\.python\.org/\d/license"),
-    ("php-3.01", r"php-3\.01", r"php licen[sc]e,? v(?:ersion |\.? ?)?3\.01", "php", r"php\.net/license/3_01"),
+    ("php-3.01", r"php-3\.01", r"php licen[sc]e,? (?:v(?:ersion |\.? ?)?)?3\.01", "php", r"php\.net/license/3_01"),
     ("ruby", r"ruby", r"ruby", "ruby", r"ruby-lang\.org/en/about/license"),
     ("ncsa", r"ncsa", r"university of illinois/ncsa(?: open source)?", "university of illinois", r"opensource\.org/licenses?/ncsa"),
     ("ms-pl", r"ms-pl", r"microsoft public licen[sc]e", "microsoft public", r"opensource\.org/licenses?/ms-pl"),
     ("ms-rl", r"ms-rl", r"microsoft reciprocal licen[sc]e", "microsoft reciprocal", r"opensource\.org/licenses?/ms-rl"),
-    ("osl-3.0", r"osl-3\.0", r"open software licen[sc]e(?:,? v(?:ersion |\.? ?)?3\.0)?", "open software", r"opensource\.org/licenses?/osl-3\.0"),
-    ("afl-3.0", r"afl-3\.0", r"academic free licen[sc]e(?:,? v(?:ersion |\.? ?)?3\.0)?", "academic free", r"opensource\.org/licenses?/afl-3\.0"),
-    ("ecl-2.0", r"ecl-2\.0", r"educational community licen[sc]e(?:,? v(?:ersion |\.? ?)?2\.0)?", "educational community", r"opensource\.org/licenses?/ecl-2\.0"),
-    ("upl-1.0", r"upl-1\.0", r"universal permissive licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.0)?", "universal permissive", r"oss\.oracle\.com/licenses/upl"),
-    ("ofl-1.1", r"ofl-1\.1", r"(?:sil )?open font licen[sc]e(?:,? v(?:ersion |\.? ?)?1\.1)?", "open font", r"scripts\.sil\.org/ofl"),
+    ("osl-3.0", r"osl-3\.0", r"open software licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?3\.0)?", "open software", r"opensource\.org/licenses?/osl-3\.0"),
+    ("afl-3.0", r"afl-3\.0", r"academic free licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?3\.0)?", "academic free", r"opensource\.org/licenses?/afl-3\.0"),
+    ("ecl-2.0", r"ecl-2\.0", r"educational community licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?2\.0)?", "educational community", r"opensource\.org/licenses?/ecl-2\.0"),
+    ("upl-1.0", r"upl-1\.0", r"universal permissive licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.0)?", "universal permissive", r"oss\.oracle\.com/licenses/upl"),
+    ("ofl-1.1", r"ofl-1\.1", r"(?:sil )?open font licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1\.1)?", "open font", r"scripts\.sil\.org/ofl"),
     ("blueoak-1.0.0", r"blueoak-1\.0\.0", r"blue oak model licen[sc]e(?: 1\.0\.0)?", "blue oak", r"blueoakcouncil\.org/license/1\.0\.0"),
-    ("mulanpsl-2.0", r"mulanpsl-2\.0", r"mulan (?:psl|permissive software licen[sc]e)(?:,? v(?:ersion |\.? ?)?2)?", "mulan", r"license\.coscl\.org\.cn/mulanpsl2"),
-    ("sspl-1.0", r"sspl-1\.0", r"server side public licen[sc]e(?:,? v(?:ersion |\.? ?)?1)?", "server side public", r"mongodb\.com/licensing/server-side-public-license"),
+    ("mulanpsl-2.0", r"mulanpsl-2\.0", r"mulan (?:psl|permissive software licen[sc]e)(?:,? (?:v(?:ersion |\.? ?)?)?2)?", "mulan", r"license\.coscl\.org\.cn/mulanpsl2"),
+    ("sspl-1.0", r"sspl-1\.0", r"server side public licen[sc]e(?:,? (?:v(?:ersion |\.? ?)?)?1)?", "server side public", r"mongodb\.com/licensing/server-side-public-license"),
     ("elastic-2.0", r"elastic-2\.0", r"elastic licen[sc]e(?: 2\.0)?", "elastic", r"elastic\.co/licensing/elastic-license"),
     ("polyform-nc-1.0.0", r"polyform-noncommercial-1\.0\.0", r"polyform noncommercial licen[sc]e", "polyform noncommercial", r"polyformproject\.org/licenses/noncommercial"),
     ("cc0-1.0", r"cc0-1\.0", r"(?:creative commons )?(?:cc0(?: 1\.0)?|public domain dedication)", "", r"creativecommons\.org/publicdomain/zero/1\.0"),
@@ -123,12 +123,12 @@ PHRASES = [
     ("cc-by-sa", r"creative commons attribution[ -]share ?alike(?: \d\.\d)?", "creative commons attribution", 3, 0.8),
     ("cc-by-nc", r"creative commons attribution[ -]non-?commercial(?: \d\.\d)?", "creative commons attribution", 3, 0.8),
     ("cc-by-nd", r"creative commons attribution[ -]no-?derivatives?(?: \d\.\d)?", "creative commons attribution", 3, 0.8),
-    ("public-domain", r"(?:released|placed|dedicated)? ?(?:in|into|to) the public domain", "public domain", 1, 0.6),
+    ("public-domain", r"(?:(?:released|placed|dedicated) )?(?:in|into|to) the public domain", "public domain", 1, 0.6),
     ("proprietary", r"all rights reserved", "all rights reserved", 0, 0.3),
     ("proprietary", r"proprietary and confidential", "proprietary and confidential", 2, 0.8),
     ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|distribution)", "unauthori", 1, 0.6),
-    ("copyright", r"copyright (?:\(c\) |© ?)?(?:19|20)\d\d", "copyright", 0, 0.3),
-    ("copyright", r"©? ?© ?(?:19|20)\d\d", "©", 0, 0.3),
+    ("copyright", r"copyright (?:(?:\(c\)|©) ?)?(?:19|20)\d\d", "copyright", 0, 0.3),
+    ("copyright", r"© ?(?:19|20)\d\d", "©", 0, 0.3),
     ("mit", r"permission is hereby granted, free of charge, to any person obtaining a copy", "permission is hereby granted", 4, 1.0),
     ("isc", r"permission to use, copy, modify, and/or distribute this software for any purpose", "permission to use", 4, 1.0),
     ("bsd", r"redistribution and use in source and binary forms, with or without modification", "redistribution and use", 4, 1.0),
@@ -149,7 +149,8 @@ _SPDX = "spdx-license-identifier"
 
 
 def _flex(pattern: str) -> str:
-    return pattern.replace(" ", r"\s+")
+    """A space stands for any white space, an optional one also for none, one beside a hyphen in brackets for one."""
+    return re.sub(r"\[ -\]| \?| ", lambda m: {"[ -]": r"[\s-]", " ?": r"\s*"}.get(m[0], r"\s+"), pattern)
 
 
 def _longest(words: str) -> str:

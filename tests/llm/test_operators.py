@@ -362,3 +362,60 @@ def test_license_rules_settle_by_priority():
     assert found("the cat sat on the mat") == []
     for r in license_scan.RULES:
         assert r.keyword and " " not in r.keyword
+
+
+#: A usual spelling of every license and phrase, in the order of the rules.
+NAMES = """MIT|MIT No Attribution|Apache License 1.0|Apache Software License, Version 1.1|Apache License v.2.0
+GNU General Public License, version 1|GNU General Public License v.2|General Public License 3.0
+GNU Library General Public License v2|GNU Lesser General Public License v 2.1|GNU Lesser General Public License 3
+GNU Affero General Public License v. 3|GNU Free Documentation License 1.3|BSD 2-Clause|New BSD|4-Clause BSD|Zero-Clause BSD
+ISC|Mozilla Public License 1.1|Mozilla Public License v.2.0|Eclipse Public License v 1.0|Eclipse Public License 2.0
+Eclipse Distribution License|Common Development and Distribution License 1.0
+Common Development and Distribution License v.1.1|Common Public License 1.0|European Union Public License 1.1
+European Union Public Licence v.1.2|Artistic License 1.0|Artistic License v2.0|Boost Software License 1.0
+Business Source License 1.1|zlib/libpng|libpng|The Unlicense|Do What The Fuck You Want To Public License|PostgreSQL
+Python Software Foundation|PHP License 3.01|Ruby|University of Illinois/NCSA Open Source|Microsoft Public License
+Microsoft Reciprocal License|Open Software License v.3.0|Academic Free License 3.0|Educational Community License v. 2.0
+Universal Permissive License 1.0|SIL Open Font License 1.1|Blue Oak Model License 1.0.0
+Mulan Permissive Software License v2|Server Side Public License v1|Elastic License 2.0|PolyForm Noncommercial License
+CC0 1.0|CC BY 3.0|CC-BY-4.0|CC BY-SA 3.0|CC BY-SA 4.0|CC BY-NC 3.0|CC BY-NC 4.0|CC BY-ND 4.0|CC BY-NC-SA 4.0|CC BY-NC-ND 4.0
+Open Database License|Open Data Commons Attribution License|Open Data Commons Public Domain Dedication
+CreativeML OpenRAIL-M|Vim|OpenSSL|curl""".replace("\n", "|").split("|")
+PHRASES = """Apache Software License|GNU General Public License|GNU GPL3|GPLv3+|GNU Lesser General Public License
+Mozilla Public License|Eclipse Public License|BSD-style license|MIT-style license|Creative Commons Zero License
+Creative Commons Attribution 4.0|Creative Commons Attribution-ShareAlike 4.0|Creative Commons Attribution NonCommercial 4.0
+Creative Commons Attribution-NoDerivatives 4.0|this work is in the public domain|All rights reserved
+proprietary and confidential|unauthorized copying|copyright ©2020|© 2020
+Permission is hereby granted, free of charge, to any person obtaining a copy
+Permission to use, copy, modify, and/or distribute this software for any purpose
+Redistribution and use in source and binary forms, with or without modification
+you may not use this file except in compliance with the License|This Source Code Form is subject to the terms of the Mozilla Public
+This program is free software; you can redistribute it|This library is free software; you can redistribute it
+This software is provided 'as-is', without any express or implied warranty
+This is free and unencumbered software released into the public domain
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy
+To the extent possible under law, somebody has waived all copyright""".replace("\n", "|").split("|")
+
+
+def test_license_rules_find_usual_spellings():
+    s = license_scan.Scanner()
+    found = lambda t: [r.label for *_, r in s.detect(t.lower())]
+    assert (len(NAMES), len(PHRASES)) == (len(license_scan.LICENSES), len(license_scan.PHRASES))
+    used, wrong = set(), []
+    for (label, spdx, _, _, link), name in zip(license_scan.LICENSES, NAMES):
+        plain = [re.sub(r"\\S\*|\w\?|-\?", "", re.sub(r"\(\?:([^|)]*)[^)]*\)\??", r"\1", x).replace(r"\d", "3"))
+                 .replace("\\", "") for x in (spdx, link)]
+        alone = name if re.search(r"\blicen[sc]e", name.lower()) else f"{name} license"
+        for text in (f"SPDX-License-Identifier: {plain[0]}", alone, f"{name}.\n{alone}", f"Licensed under the {name}.",
+                     f"see https://{plain[1]}"):
+            if label not in found(text) or text == alone and set(found(text)) != {label}:
+                wrong.append((label, text, found(text)))
+            used |= {r for *_, r in s.detect(text.lower())}
+    for (label, *_), text in zip(license_scan.PHRASES, PHRASES):
+        if label not in found(text):
+            wrong.append((label, text, found(text)))
+        used |= {r for *_, r in s.detect(text.lower())}
+    assert not wrong
+    assert [r for r in license_scan.RULES if r not in used] == []
+    assert found("openrail license") == ["openrail"]
+    assert found("the apache license, 2004") == ["apache"] and found("apache license 2.1") == ["apache"]
