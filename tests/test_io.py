@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quantsilo.operators import gold, ops
 from quantsilo.sources import fixtures as fx
 from quantsilo.sources import io

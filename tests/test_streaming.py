@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quantsilo.operators import exchange, ops, silver
 from quantsilo.sources import fixtures as fx
 from quantsilo.streaming import pipeline as P
