@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantsilo.llm import bpe, chat_windows, content_sort, langid_zstd, license_scan, lm_scoring, ngram_join, packing, toxicity, vptree
+from quantsilo.llm import (bpe, chat_windows, content_sort, hard_negatives, langid_zstd, license_scan, lm_scoring, ngram_join,
+                           packing, simhash_trie, sparse_balls, toxicity, vptree)
 from quantsilo.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,77 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lm_scoring.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                       "base_score", "score")
+
+
+@query
+def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_balls.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op12_lexical_search"] = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), f AS (
+  SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL
+), d AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY ALL
+), s AS (
+  SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM d
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM f, s GROUP BY term
+), p AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN d USING (doc_id), s
+  GROUP BY ALL
+), r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM p WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+  WHERE a.vec_id % 100 = 0
+), pos AS (
+  SELECT * FROM (SELECT anchor_id, id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k
+                 FROM p WHERE same) WHERE k <= 5
+), neg AS (
+  SELECT q.anchor_id, q.id AS positive_id, q.score AS positive_score, p.id AS negative_id, p.score AS negative_score,
+         row_number() OVER (PARTITION BY q.anchor_id, q.id ORDER BY p.score DESC, p.id) AS rank
+  FROM pos q JOIN p ON p.anchor_id = q.anchor_id AND NOT p.same
+   AND 30 * q.score <= 100 * p.score AND 100 * p.score <= 90 * q.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 10
+"""

@@ -281,28 +281,6 @@ def test_langid_keeps_long_clean_texts(spark, size):
 
 # ---- 9 -----------------------------------------------------------------------------------------
 
-def components_of(texts, words, num, den):
-    sets = {}
-    for i, t in texts.items():
-        w = WORDS.findall(lower(t))
-        sets[i] = {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
-    up = {i: i for i in sets}
-
-    def top(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    for i in sets:
-        for j in sets:
-            if j < i and sets[i] and sets[j]:
-                k = len(sets[i] & sets[j])
-                if den * k >= num * (len(sets[i]) + len(sets[j]) - k):
-                    a, b = sorted((top(i), top(j)))
-                    up[b] = a
-    return {i: (len(s), top(i)) for i, s in sets.items()}
-
-
 def near_copies(seed=5):
     rng = np.random.default_rng(seed)
     base = [f"w{i}" for i in rng.integers(0, 500, 120)]
@@ -318,7 +296,7 @@ def near_copies(seed=5):
 
 
 @pytest.mark.parametrize("words,num", [(3, 90), (5, 80), (2, 60)])
-def test_ngram_join_equals_all_pairs(spark, words, num):
+def test_ngram_join_equals_all_pairs(spark, components_of, words, num):
     texts = near_copies()
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(ngram_join.jaccard_components(d, words, num, 100))}

@@ -5,12 +5,11 @@ import re
 
 import corpus_pipeline as C
 from quantsilo.llm.common import table
-from test_operators import components_of
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages_keep_documents_and_take_effect(spark, tmp_path):
+def test_stages_keep_documents_and_take_effect(spark, components_of, tmp_path):
     docs = table(spark, SF, "documents")
     columns = docs.columns
     for k, (name, stage) in enumerate(C.STAGES):
