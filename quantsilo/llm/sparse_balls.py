@@ -3,8 +3,9 @@
 Queries go in blocks of bounded size.  One pass over all documents counts the terms of the block's
 queries in each (other terms cannot add to an inner product), which also gives the corpus statistics.
 Every task then builds ball trees over the document vectors it holds.  A ball has a centroid c and a
-radius r, so no vector in it has a product with q above <q, c> + |q| r; this bound is rounded up.  A
-query opens balls best-first and stops at the first bound below its current last score; leaves are
+radius r, so no vector in it has a product with q above <q, c> + |q| r; it also knows the radius along
+each single term, whose sum over the query's terms is the smaller one for sparse text.  Bounds are
+rounded up.  A query opens balls best-first and stops at the first bound below its current last score; leaves are
 scored in 64-bit integers.  Both sides are scaled by the root of the term weights, which leaves
 products as they are and keeps frequent terms from widening the balls.
 """
@@ -32,7 +33,7 @@ SEGMENT = 1 << 20
 #: Bytes of the terms of a block of queries (broadcast); one query is never divided.
 BLOCK_BYTES = 4 << 20
 #: Documents and stored terms of a tree, documents of a leaf.
-TREE_ROWS, TREE_TERMS, LEAF = 8192, 1 << 22, 16
+TREE_ROWS, TREE_TERMS, LEAF = 8192, 1 << 22, 4
 
 
 def terms(text: bytes):
@@ -66,93 +67,109 @@ class Weights:
 
 
 class BallTree:
-    """Balls over sparse rows; a node is (first row, last row, left child or -1, centroid, radius)."""
+    """Balls over sparse rows; a node is (first row, last row, left child or -1)."""
 
     def __init__(self, at: np.ndarray, term: np.ndarray, value: np.ndarray, scale: np.ndarray, leaf: int = LEAF):
         """Rows are term[at[i]:at[i+1]] with integer values; ``scale`` is the root of each term's weight."""
         self._scale = scale
         real = value * scale[term]
-        square = self._sums(real * real, at)
+        square = _sums(real * real, at)
         rows = np.arange(len(at) - 1)
-        todo, self.nodes = [(0, len(rows), rows)], []
+        todo, self.nodes, balls, radius = [(0, len(rows), rows)], [], [], []
         order = np.empty(len(rows), np.int64)
         made, k = 1, 0
         while k < len(todo):                        # level by level, so that two children stand side by side
             lo, hi, own = todo[k]
-            k += 1
-            t, v, a = self._take(at, term, real, own)
+            t, v, a = _take(at, term, real, own)
             ct, back = np.unique(t, return_inverse=True)
             c = np.bincount(back, v, len(ct)) / max(1, len(own))
+            most = np.zeros(len(ct))
+            np.maximum.at(most, back, v)
             cc = float(c @ c)
-            r2 = square[own] - 2 * self._sums(v * c[back], a) + cc + 1e-11 * (square[own] + cc)
-            radius = math.sqrt(max(0.0, float(r2.max(initial=0.0)))) * (1 + 1e-11)
+            r2 = square[own] - 2 * _sums(v * c[back], a) + cc + 1e-11 * (square[own] + cc)
+            radius.append(math.sqrt(max(0.0, float(r2.max(initial=0.0)))) * (1 + 1e-11))
+            balls.append((np.full(len(ct), k), ct, c, most - c))
+            k += 1
             if len(own) <= leaf:
                 order[lo:hi] = own
-                self.nodes.append((lo, hi, -1, ct, c, radius))
+                self.nodes.append((lo, hi, -1))
                 continue
             # two rows far apart; the others go by which of them is nearer, half to each side
-            one = self._distances(a, back, v, len(ct), square[own], int(np.argmax(r2)))
-            two = self._distances(a, back, v, len(ct), square[own], int(np.argmax(one)))
+            one = _distances(a, back, v, len(ct), square[own], int(np.argmax(r2)))
+            two = _distances(a, back, v, len(ct), square[own], int(np.argmax(one)))
             by = np.argsort(one - two, kind="stable")
             half = len(own) // 2
             todo += [(lo, lo + half, own[by[:half]]), (lo + half, hi, own[by[half:]])]
-            self.nodes.append((lo, hi, made, ct, c, radius))
+            self.nodes.append((lo, hi, made))
             made += 2
         self.rows = order
-        self.term, self.value, self.at = self._take(at, term, value, order)
-
-    @staticmethod
-    def _sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)]) if x.dtype == np.int64 else None
-        if total is not None:
-            return total[at[1:]] - total[at[:-1]]
-        row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-        return np.bincount(row, x, len(at) - 1)
-
-    @staticmethod
-    def _take(at, term, value, rows):
-        n = at[rows + 1] - at[rows]
-        to = np.concatenate([[0], np.cumsum(n)])
-        pick = np.arange(to[-1]) + np.repeat(at[rows] - to[:-1], n)
-        return term[pick], value[pick], to
-
-    def _distances(self, a, back, v, size, square, row):
-        dense = np.zeros(size)
-        dense[back[a[row]:a[row + 1]]] = v[a[row]:a[row + 1]]
-        return square + square[row] - 2 * self._sums(v * dense[back], a)
-
-    def bound(self, node: int, q: np.ndarray, norm: float) -> int:
-        """No row of the node scores above this; ``q`` holds the scaled query by term."""
-        _, _, _, ct, c, radius = self.nodes[node]
-        near, far = float(c @ q[ct]), norm * radius
-        return math.floor((near + far) * (1 + 1e-9)) + 1
-
-    def search(self, weight: np.ndarray, q: np.ndarray, norm: float, least, offer) -> int:
-        """Offers (row, score) of every leaf that may hold one of the first; returns how many rows were scored.
-
-        ``least()`` is the score below which nothing matters any more, which ``offer`` may raise.
+        self.term, self.value, self.at = _take(at, term, value, order)
+        # the balls by term: the nodes that have it, the centroid there, and how far the farthest row is above it
+        node, ct, c, above = (np.concatenate(x) for x in zip(*balls))
+        by = np.argsort(ct, kind="stable")
+        self._node, self._c, self._above = node[by], c[by], above[by]
+        self._first = np.searchsorted(ct[by], np.arange(len(scale) + 1))
+        self._radius = np.array(radius)
+
+    def bounds(self, own: np.ndarray, norm: float) -> np.ndarray:
+        """For every node an integer that no row in it can exceed, for a query of the terms ``own``.
+
+        <q, c> plus what a row can lie above c in the direction of q: |q| times the radius, or, where
+        that is less, the radii along the query's terms.
+        """
+        first, n = self._first[own], self._first[own + 1] - self._first[own]
+        pick = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        q, node = np.repeat(self._scale[own], n), self._node[pick]
+        near = np.bincount(node, q * self._c[pick], len(self.nodes))
+        along = np.bincount(node, q * self._above[pick], len(self.nodes))
+        return np.floor((near + np.minimum(norm * self._radius, along)) * (1 + 1e-9)).astype(np.int64) + 1
+
+    def search(self, own: np.ndarray, weight: np.ndarray, norm: float, first: "First", ids) -> int:
+        """Offers the rows that may be among the first; returns how many were scored.
+
+        ``own`` are the query's terms, ``weight`` their integer weights by term, ``ids`` the rows' ids.
         """
-        scored = 0
-        heap = [(-self.bound(0, q, norm), 0)]
+        scored, bound = 0, self.bounds(own, norm).tolist()
+        heap = [(-bound[0], 0)]
         while heap:
             up, node = heapq.heappop(heap)
-            if -up < least():
+            if -up < first.least():
                 break
-            lo, hi, left, *_ = self.nodes[node]
+            lo, hi, left = self.nodes[node]
             if left >= 0:
                 for child in (left, left + 1):
-                    b = self.bound(child, q, norm)
-                    if b >= least():
-                        heapq.heappush(heap, (-b, child))
+                    if bound[child] >= first.least():
+                        heapq.heappush(heap, (-bound[child], child))
                 continue
             a = self.at[lo:hi + 1]
-            s = self._sums(self.value[a[0]:a[-1]] * weight[self.term[a[0]:a[-1]]], a - a[0])
+            s = _sums(self.value[a[0]:a[-1]] * weight[self.term[a[0]:a[-1]]], a - a[0])
             scored += hi - lo
-            for i in np.flatnonzero(s >= max(1, least())).tolist():
-                offer(int(self.rows[lo + i]), int(s[i]))
+            for i in np.flatnonzero(s >= max(1, first.least())).tolist():
+                first.offer(int(s[i]), ids[self.rows[lo + i]])
         return scored
 
 
+def _sums(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of x[at[i]:at[i+1]]; exact for integers."""
+    if x.dtype == np.int64:
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(x)])
+        return total[at[1:]] - total[at[:-1]]
+    return np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at)), x, len(at) - 1)
+
+
+def _take(at, term, value, rows):
+    n = at[rows + 1] - at[rows]
+    to = np.concatenate([[0], np.cumsum(n)])
+    pick = np.arange(to[-1]) + np.repeat(at[rows] - to[:-1], n)
+    return term[pick], value[pick], to
+
+
+def _distances(a, back, v, size, square, row):
+    dense = np.zeros(size)
+    dense[back[a[row]:a[row + 1]]] = v[a[row]:a[row + 1]]
+    return square + square[row] - 2 * _sums(v * dense[back], a)
+
+
 class First:
     """The first ``k`` (score, id) of a query: highest score, then smallest id, null ids last."""
 
@@ -259,7 +276,7 @@ def _searcher(block, k, item_type):
         weights, items, asked = block.value
         scale = np.sqrt(weights.w.astype(float))
         best = [First(k) for _ in items]
-        weight, q = np.zeros(len(scale), np.int64), np.zeros(len(scale))
+        weight = np.zeros(len(scale), np.int64)
         held, rows, size, id_type = [], 0, 0, None
 
         def search_held():
@@ -272,10 +289,9 @@ def _searcher(block, k, item_type):
                 at.append(at[-1][-1] + np.cumsum(lengths))
             tree = BallTree(np.concatenate(at), np.concatenate(term), np.concatenate(value), scale)
             for mine, own in zip(best, asked):
-                weight[own], q[own] = weights.w[own], scale[own]
-                tree.search(weight, q, math.sqrt(float(weights.w[own].sum())), mine.least,
-                            lambda row, s: mine.offer(s, ids[row]))
-                weight[own], q[own] = 0, 0
+                weight[own] = weights.w[own]
+                tree.search(own, weight, math.sqrt(float(weights.w[own].sum())), mine, ids)
+                weight[own] = 0
 
         for b in batches:
             id_type = b.schema.field(0).type

@@ -205,16 +205,16 @@ def test_balls_bound_every_row_and_searches_leave_most_rows_out():
     visited = 0
     for topic in range(20):
         own = np.unique(np.concatenate([rng.integers(0, 12, 3), 12 + topic * 14 + rng.integers(0, 14, 8)]))
-        weight, q = np.zeros(terms, np.int64), np.zeros(terms)
-        weight[own], q[own] = w[own], np.sqrt(w[own].astype(float))
+        weight = np.zeros(terms, np.int64)
+        weight[own] = w[own]
         scores, norm = full @ weight, math.sqrt(float(w[own].sum()))
-        for node, (lo, hi, *_) in enumerate(tree.nodes):
-            assert scores[tree.rows[lo:hi]].max() <= tree.bound(node, q, norm)
+        bounds = tree.bounds(own, norm)
+        for (lo, hi, _), most in zip(tree.nodes, bounds):
+            assert scores[tree.rows[lo:hi]].max() <= most
         first = sparse_balls.First(10)
-        visited += tree.search(weight, q, norm, first.least, lambda row, s: first.offer(s, row))
-        want = sorted((-int(s), False, i) for i, s in enumerate(scores) if s > 0)[:10]
-        assert first.held == want
-    assert visited < 0.5 * 20 * docs, visited
+        visited += tree.search(own, weight, norm, first, list(range(docs)))
+        assert first.held == sorted((-int(s), False, i) for i, s in enumerate(scores) if s > 0)[:10]
+    assert visited < 0.2 * 20 * docs, visited
 
 
 def test_terms_of_a_long_text_are_those_of_its_pieces():
