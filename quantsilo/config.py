@@ -62,6 +62,7 @@ FEATURE_MA_PERIODS = (5, 10)
 # quotas: requests per second by tier, free daily cap, login and registration guards
 QUOTA_PER_SECOND = (("VIP", 50), ("PREMIUM", 10))
 FREE_DAILY_CAP = 1000
+EXPORT_HOURS = (("PREMIUM", 12), ("VIP", 24))
 LOGIN_MAX_FAILURES = 5
 LOGIN_LOCK_SECONDS = 900
 REGISTRATION_MAX_PER_IP = 3

@@ -26,19 +26,25 @@ MONTHS = ["January", "February", "March", "April", "May", "June", "July", "Augus
 
 def seasonality(returns: DataFrame, key: str = "symbol", ts: str = "timestamp",
                 value: str = "returns") -> DataFrame:
-    """Mean return x 100 by month (rows) and weekday (fixed column order)."""
-    return (returns.withColumn("month", month_name(ts)).withColumn("_wd", weekday_name(ts))
-            .groupBy(key, "month").pivot("_wd", WEEKDAYS).agg(F.avg(F.col(value) * 100.0)))
+    """Mean return x 100 by month (rows) and weekday (fixed column order).
+
+    Every key has all twelve months, numbered from 1 in ``month_no``; those without returns hold nulls.
+    """
+    found = (returns.withColumn("month", month_name(ts)).withColumn("_wd", weekday_name(ts))
+             .groupBy(key, "month").pivot("_wd", WEEKDAYS).agg(F.avg(F.col(value) * 100.0)))
+    row = F.struct(*[F.col(d) for d in WEEKDAYS])
+    table = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("month", row))).alias("_by"))   # 12 at most
+    months = F.array(*map(F.lit, MONTHS))
+    return (table.select(key, "_by", F.posexplode(months).alias("_at", "month"))
+            .select(key, "month", (F.col("_at") + 1).alias("month_no"), *[F.col("_by")[F.col("month")][d].alias(d) for d in WEEKDAYS]))
 
 
 def close_returns(bars: DataFrame, key: str = "symbol", ts: str = "timestamp", price: str = "close",
-                  chunk_seconds: int = 365 * ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                  block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Change of each bar's raw close against the series' bar before (null for the first)."""
-    b = bars.select(key, ts, price).withColumn("_chunk", ordered.time_chunk(ts, chunk_seconds))
-    b = ordered.add_sequence(b, [key], [ts], "_chunk", out="_seq", keep_blocks=True)
-    b = ordered.rolling(b, [key], "_seq", lambda w: [F.lag(price, 1).over(w).alias("_before")], lookback=1)
-    change = F.try_divide(F.col(price), F.col("_before")) - 1
-    return ordered.drop_plan(b).select(key, ts, change.alias("returns"))
+    b = ordered.arrange(bars.select(key, ts, price), [key], [ts], block_rows)
+    b = ordered.rolling(b, lambda w: [F.lag(price, 1).over(w).alias("_before")], lookback=1)
+    return b.select(key, ts, (F.try_divide(F.col(price), F.col("_before")) - 1).alias("returns"))
 
 
 def correlation_matrix(bars: DataFrame, symbols: list[str], key: str = "symbol",

@@ -1,7 +1,7 @@
 """Backtests over 5-minute buckets.
 
 The reference nests ``lead`` inside ``SUM`` (rejected by most engines); here
-the lead is a window over the *filtered* signal buckets (literal meaning: six
+the lead is a window over the signal buckets alone (literal meaning: six
 signal buckets ahead) or, with ``calendar=True``, six calendar buckets.  The
 lead is a bounded frame, evaluated through ``plans.ordered.rolling`` so a hot
 symbol is split in blocks.
@@ -9,7 +9,7 @@ symbol is split in blocks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantsilo import config as C
@@ -31,13 +31,15 @@ def recent(rows: DataFrame, days: int = C.BACKTEST_DAYS, symbol: str | None = No
             .drop("_now"))
 
 
-def signals(buckets: DataFrame, strategy: str) -> DataFrame:
+def signal(strategy: str) -> Column:
+    """Whether a bucket is a signal of the strategy; never null."""
     if strategy == "cvd_bullish":           # A11
-        return buckets.filter((F.col("total_cvd") > C.CVD_BULLISH_MIN)
-                              & (F.col("avg_buy_wall") > F.col("avg_sell_wall")))
-    if strategy == "vpin_toxic":            # A12
-        return buckets.filter(F.col("peak_vpin") > C.VPIN_TOXIC_MIN)
-    raise ValueError(f"unknown strategy {strategy}")
+        hit = (F.col("total_cvd") > C.CVD_BULLISH_MIN) & (F.col("avg_buy_wall") > F.col("avg_sell_wall"))
+    elif strategy == "vpin_toxic":          # A12
+        hit = F.col("peak_vpin") > C.VPIN_TOXIC_MIN
+    else:
+        raise ValueError(f"unknown strategy {strategy}")
+    return F.coalesce(hit, F.lit(False))
 
 
 def _win(strategy: str, now, later):
@@ -45,23 +47,19 @@ def _win(strategy: str, now, later):
 
 
 def backtest(buckets: DataFrame, strategy: str, key: str = "symbol", lead: int = C.BACKTEST_LEAD,
-             calendar: bool = False, chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Per symbol: total signals, winning trades, win rate (A13: rounded to 2, 0 without signals)."""
-    base = buckets if calendar else signals(buckets, strategy)
-    s = base.withColumn("_chunk", ordered.time_chunk("bucket", chunk_seconds))
-    s = ordered.add_sequence(s, [key], ["bucket"], "_chunk", out="_seq", keep_blocks=True)
-    r = ordered.rolling(s, [key], "_seq",
-                        lambda w: [F.lead("close_price", lead).over(w).alias("_later")],  # W3
-                        lookahead=lead)
-    if calendar:
-        # six calendar buckets on: lead over every bucket, then keep signal rows
-        r = signals(r, strategy)
-    won = F.coalesce(_win(strategy, F.col("close_price"), F.col("_later")), F.lit(False))
-    agg = r.groupBy(key).agg(F.count(F.lit(1)).alias("total_signals"),
+             calendar: bool = False, block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Per symbol: total signals, winning trades, win rate (A13: rounded to 2, 0 without signals).
+
+    Signal buckets are a series of their own next to the others of the symbol, so one arrangement gives
+    the lead over signals and every symbol reports, with zero counts where it has no signal.
+    """
+    rows = buckets.select(key, "bucket", "close_price", signal(strategy).alias("_signal"))
+    series = [key] if calendar else [key, "_signal"]
+    s = ordered.arrange(rows, series, ["bucket"], block_rows)
+    r = ordered.rolling(s, lambda w: [F.lead("close_price", lead).over(w).alias("_later")], lookahead=lead)  # W3
+    won = F.col("_signal") & F.coalesce(_win(strategy, F.col("close_price"), F.col("_later")), F.lit(False))
+    out = r.groupBy(key).agg(F.sum(F.col("_signal").cast("long")).alias("total_signals"),
                              F.sum(won.cast("long")).alias("winning_trades"))
-    # every symbol reports, with zero counts when it produced no signal
-    keys = buckets.select(key).distinct()
-    out = keys.join(agg, key, "left").na.fill(0, ["total_signals", "winning_trades"])
     return win_rate(out)
 
 

@@ -48,18 +48,18 @@ def wall_imbalance(buy: Column, sell: Column) -> Column:
     return F.when(total > 0, (buy - sell) / total).otherwise(F.lit(0.0))
 
 
-def enrich_trades(messages: DataFrame, chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+def enrich_trades(messages: DataFrame, block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """J1 + J2 + P10 + P12 + P13: the producer's 16-field trade tick from the message log."""
     kind = F.col("kind")
     m = (messages.withColumn("symbol", F.upper("raw_symbol"))
-         .withColumn("_chunk", ordered.time_chunk("ts", chunk_seconds))
          .withColumn("bw", F.when(kind == "depth", F.col("bid_wall")))
          .withColumn("aw", F.when(kind == "depth", F.col("ask_wall")))
          .withColumn("mp", F.when(kind == "mark", F.col("p").cast("double")))
          .withColumn("fr", F.when(kind == "mark", F.col("r")))
          .withColumn("next_trade", F.when(kind == "trade", F.col("event_id"))))
-    m = ordered.fill_forward(m, ["symbol"], ORDER, "_chunk", ["bw", "aw", "mp", "fr"])     # J1
-    m = ordered.fill_backward(m, ["symbol"], ORDER, "_chunk", ["next_trade"])              # J2
+    m = ordered.arrange(m, ["symbol"], ORDER, block_rows)
+    m = ordered.fill_forward(m, ["bw", "aw", "mp", "fr"])     # J1
+    m = ordered.fill_backward(m, ["next_trade"])              # J2
     liq = (liquidation_notional(m.filter((kind == "liquidation") & F.col("next_trade").isNotNull()))
            .groupBy("symbol", F.col("next_trade").alias("event_id"))
            .agg(F.sum("liq_buy").alias("liq_buy_usd"), F.sum("liq_sell").alias("liq_sell_usd")))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from quantsilo.functions.scalar import trunc_time
+from quantsilo.plans import ordered
+from quantsilo.sources import io
 
 
 def minute_summary(market: DataFrame, price: str = "average_price",
@@ -17,6 +18,12 @@ def minute_summary(market: DataFrame, price: str = "average_price",
                  F.min(price).alias("min_price"), F.count(F.lit(1)).alias("trade_count")))
 
 
+def newest_first(summary: DataFrame, bucket: str = "minute", tie: str = "symbol") -> DataFrame:
+    """Buckets with their place in the order newest first, ties by symbol (``position`` from 1)."""
+    placed = ordered.arrange(summary, [], [F.col(bucket).desc(), F.col(tie)])
+    return ordered.drop_helpers(placed.withColumn("position", F.col("_g") + 1))
+
+
 def staging(market: DataFrame) -> DataFrame:
     """Staging view with the absolute prediction error."""
     return market.select(
@@ -64,9 +71,6 @@ def quality_report(silver: DataFrame, price: str = "average_price") -> DataFrame
 
 
 def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """Missing table -> None (callers exit cleanly); an empty table is checked with isEmpty."""
-    try:
-        df = spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
-    return None if df.isEmpty() else df
+    """A missing or empty table -> None (callers exit cleanly); any other failure of the read is raised."""
+    df = io.read_if_there(spark, path, fmt)
+    return None if df is None or df.isEmpty() else df

@@ -1,73 +1,23 @@
 """Technical indicators and model features as window functions.
 
-All per-symbol series are evaluated through ``plans.ordered``: an exact
-ordinal per symbol, then bounded row frames over fixed-size blocks, so no
+All per-symbol series are evaluated through ``plans.ordered``: rows are
+arranged once, then bounded row frames run over blocks of equal size, so no
 task ever holds a whole symbol.  pandas semantics are kept where the
 reference used pandas: ``rolling(n)`` is NULL until n rows exist,
 ``std`` is the sample deviation, ``ewm(adjust=False)`` seeds with the
-first value and ``cummax`` is a running maximum.
-
-EMA has no built-in.  ``ema_columns`` runs pandas ``ewm(adjust=False)`` per
-(symbol, block) through ``applyInPandas``; each block is seeded K rows
-early, where the dropped weight (1-a)^K falls below 1e-17 - under double
-precision, so it equals the full-history recursion - and no task ever holds
-a whole symbol.  ``ema`` is the pure-JVM fold over a bounded
-``collect_list`` frame (same result, interpreted lambda, slower).
+first value and ``cummax`` is a running maximum.  Averages by recursion
+(EMA, MACD) are a scan over blocks, ``plans.recursion``.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantsilo import config as C
-from quantsilo.plans import ordered
-
-EMA_TOLERANCE = 1e-17  # below double precision: the bounded fold equals the full recursion
-
-
-def ema_reach(span: int, tol: float = EMA_TOLERANCE) -> int:
-    """Rows an EMA of ``span`` needs so the ignored weight is below ``tol``."""
-    a = 2.0 / (span + 1)
-    return int(math.ceil(math.log(tol) / math.log(1 - a))) + 1
-
+from quantsilo.plans import ordered, recursion
 
-def ema(col: str, span: int, w) -> Column:
-    """``ewm(span, adjust=False).mean()`` as a fold over a bounded frame (pure JVM form).
-
-    Interpreted lambda per frame element: O(K) per row.  ``ema_columns`` is
-    the vectorized equivalent used by the pipelines.
-    """
-    a = 2.0 / (span + 1)
-    k = ema_reach(span)
-    arr = F.collect_list(F.col(col)).over(w.rowsBetween(-(k - 1), 0))
-    return F.aggregate(F.slice(arr, 2, k), F.element_at(arr, 1),
-                       lambda acc, x: acc * (1 - a) + x * a)
-
-
-def ema_columns(df: DataFrame, key: str, seq: str, price: str, names=("EMA12", "EMA26", "MACD", "Signal"),
-                block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """W8 with pandas ``ewm(adjust=False)`` per (key, block), seeded ``ema_reach`` rows back.
-
-    Blocks carry ``reach(26) + reach(9)`` context rows, so every home row's
-    MACD signal sees an exact MACD history (ignored weight below 1e-17).
-    """
-    fast, slow, macd, sig = names
-    reach = ema_reach(C.EMA_SLOW) + ema_reach(C.EMA_SIGNAL)
-
-    def fn(pdf):
-        x = pdf[price].astype("float64")
-        e_fast = x.ewm(span=C.EMA_FAST, adjust=False).mean()
-        e_slow = x.ewm(span=C.EMA_SLOW, adjust=False).mean()
-        m = e_fast - e_slow
-        pdf[fast], pdf[slow], pdf[macd] = e_fast, e_slow, m
-        pdf[sig] = m.ewm(span=C.EMA_SIGNAL, adjust=False).mean()
-        return pdf
-
-    fields = ", ".join(f"`{n}` double" for n in names)
-    return ordered.block_apply(df, [key], seq, fn, fields, lookback=reach, block_rows=block_rows)
+EMA_SPANS = (C.EMA_FAST, C.EMA_SLOW, C.EMA_SIGNAL)
 
 
 def rolling_mean(col: str, n: int, w) -> Column:
@@ -87,19 +37,11 @@ def rsi_from_means(gain: Column, loss: Column) -> Column:
             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)))
 
 
-def _sequenced(df: DataFrame, key: str, order: list, chunk_seconds: int,
-               block_rows: int = ordered.DEFAULT_BLOCK_ROWS, keep: bool = True) -> DataFrame:
-    df = df.withColumn("_chunk", ordered.time_chunk(order[0], chunk_seconds))
-    return ordered.add_sequence(df, [key], order, "_chunk", out="_seq", block_rows=block_rows, keep_blocks=keep)
-
-
 def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "timestamp",
-                       price: str = "close", chunk_seconds: int = 365 * 86400,
-                       block_rows: int = ordered.DEFAULT_BLOCK_ROWS, dropna: bool = True) -> DataFrame:
+                       price: str = "close", block_rows: int = ordered.DEFAULT_BLOCK_ROWS,
+                       dropna: bool = True) -> DataFrame:
     """History page: returns, MA7/25/99, RSI14, Bollinger 20/2, MACD 12/26/9, drawdown."""
-    df = _sequenced(bars, key, [order], chunk_seconds, block_rows)
-    df = ema_columns(df, key, "_seq", price, names=("_e12", "_e26", "MACD", "Signal"),
-                     block_rows=block_rows).drop("_e12", "_e26")                         # W8
+    df = ordered.arrange(bars, [key], [order], block_rows)
 
     def stage1(w):
         prev = F.lag(price, 1).over(w)
@@ -117,26 +59,23 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
         return [rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
                                rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]       # W7
 
-    r = ordered.rolling(df, [key], "_seq", [stage1, stage2],
-                        lookback=max(C.MA_PERIODS) + C.RSI_PERIOD, block_rows=block_rows)
+    r = ordered.rolling(df, [stage1, stage2], lookback=max(C.MA_PERIODS) + C.RSI_PERIOD)
+    r = recursion.ema_columns(r, price, EMA_SPANS, names=("_e12", "_e26", "MACD", "Signal")).drop("_e12", "_e26")  # W8
     r = (r.withColumn("BB_upper", F.col("BB_mid") + F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("BB_lower", F.col("BB_mid") - F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("MACD_Hist", F.col("MACD") - F.col("Signal")))
     if dropna:      # the running maximum starts with the first complete row
         r = r.dropna(subset=[c for c in r.columns if not c.startswith("_")])
-    r = ordered.running(r, [key], ["_seq"], "_chunk", price, "max", "rolling_max")       # W11
+    r = ordered.running(r, price, "max", "rolling_max")                                   # W11
     r = r.withColumn("drawdown", F.try_divide(F.col(price) - F.col("rolling_max"), F.col("rolling_max")))
-    r = ordered.drop_plan(r.drop("_gain", "_loss", "_chunk", "_seq"))
+    r = ordered.drop_helpers(r.drop("_gain", "_loss"))
     return r.dropna() if dropna else r
 
 
 def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("processed_time", "event_id"),
-                    price: str = "average_price", chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS,
-                    block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
+                    price: str = "average_price", block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Live page: SMA20, sample std, Bollinger bands, RSI14, EMA12/26, MACD, signal; NULL -> 0 (P5)."""
-    df = _sequenced(rows, key, list(order), chunk_seconds, block_rows)
-    df = ema_columns(df, key, "_seq", price, names=("EMA12", "EMA26", "MACD", "Signal_Line"),
-                     block_rows=block_rows)
+    df = ordered.arrange(rows, [key], list(order), block_rows)
 
     def stage1(w):
         delta = F.col(price) - F.lag(price, 1).over(w)
@@ -151,21 +90,23 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
         return [rsi_from_means(rolling_mean("_gain", C.RSI_PERIOD, w),
                                rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]
 
-    r = ordered.rolling(df, [key], "_seq", [stage1, stage2],
-                        lookback=C.BOLLINGER_PERIOD + C.RSI_PERIOD, block_rows=block_rows)
+    r = ordered.rolling(df, [stage1, stage2], lookback=C.BOLLINGER_PERIOD + C.RSI_PERIOD)
+    r = recursion.ema_columns(r, price, EMA_SPANS, names=("EMA12", "EMA26", "MACD", "Signal_Line"))
     r = (r.withColumn("Bollinger_Upper", F.col("SMA_20") + F.col("Std_Dev") * C.BOLLINGER_K)
           .withColumn("Bollinger_Lower", F.col("SMA_20") - F.col("Std_Dev") * C.BOLLINGER_K)
-          .drop("_gain", "_loss", "_chunk", "_seq", *ordered.PLAN_COLS))
+          .drop("_gain", "_loss", *ordered.HELPERS))
     return r.na.fill(0)
 
 
 def training_features(rows: DataFrame, key: str = "symbol", order: str = "processed_time",
                       price: str = "average_price", vol: str = "volatility",
-                      chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS,
-                      block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
+                      block_rows: int = ordered.DEFAULT_BLOCK_ROWS, keep: bool = False) -> DataFrame:
     """M3: lags 1/3 (W1), means 5/10 (W4), momentum and volatility change (W10),
-    next price as target (W2); rows with any NULL dropped (P6)."""
-    df = _sequenced(rows, key, [order], chunk_seconds, block_rows)
+    next price as target (W2); rows with any NULL dropped (P6).
+
+    With ``keep`` the columns of ``ordered.arrange`` stay, for ``chronological_split``.
+    """
+    df = ordered.arrange(rows, [key], [order], block_rows)
 
     def build(w):
         lag3 = F.lag(price, 3).over(w)
@@ -178,27 +119,28 @@ def training_features(rows: DataFrame, key: str = "symbol", order: str = "proces
             F.lead(price, 1).over(w).alias("target_price"),
         ]
 
-    r = ordered.rolling(df, [key], "_seq", build, lookback=max(C.FEATURE_MA_PERIODS), lookahead=1,
-                        block_rows=block_rows)
-    return ordered.drop_plan(r.drop("_chunk", "_seq")).dropna()
+    r = ordered.rolling(df, build, lookback=max(C.FEATURE_MA_PERIODS), lookahead=1).dropna()
+    return r if keep else ordered.drop_helpers(r)
 
 
-def chronological_split(features: DataFrame, key: str = "symbol", order: str = "processed_time",
-                        fraction: float = C.TRAIN_FRACTION,
-                        chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """First floor(n * fraction) rows of each symbol are training rows."""
-    df = _sequenced(features, key, [order], chunk_seconds, keep=False)
-    n = features.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    out = df.join(n, key)   # one row per symbol: AQE broadcasts it
-    return (out.withColumn("is_train", F.col("_seq") < F.floor(F.col("_n") * fraction))
-            .drop("_chunk", "_seq", "_n"))
+def chronological_split(features: DataFrame, fraction: float = C.TRAIN_FRACTION) -> DataFrame:
+    """First floor(n * fraction) rows of each symbol are training rows.
+
+    ``features`` are rows of ``training_features(..., keep=True)``; their order and partitioning serve
+    here as well.  What enters a block, and the rows of a symbol, come from one summary by block.
+    """
+    by = Window.partitionBy("_key").orderBy("_blk")
+    counts = features.groupBy("_key", "_blk").agg(F.count(F.lit(1)).alias("_in")).select(
+        "_key", "_blk", F.coalesce(F.sum("_in").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_in").over(Window.partitionBy("_key")).alias("_n"))
+    placed = ordered.carry(features.withColumn("_place", F.row_number().over(ordered.block_window())), counts)
+    train = F.col("_before") + F.col("_place") <= F.floor(F.col("_n") * fraction)
+    return ordered.drop_helpers(placed.withColumn("is_train", train).drop("_place", "_before", "_n"))
 
 
 def change_points(df: DataFrame, key: str, order: list, payload: str,
-                  chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                  block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Keep rows whose payload hash differs from the previous row of the same key."""
-    s = _sequenced(df.withColumn("payload_hash", F.md5(F.col(payload))), key, order, chunk_seconds)
-    r = ordered.rolling(s, [key], "_seq",
-                        lambda w: [F.lag("payload_hash", 1).over(w).alias("_prev")], lookback=1)
-    return ordered.drop_plan(r.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("payload_hash")))
-                             .drop("_prev", "_chunk", "_seq"))
+    s = ordered.arrange(df.withColumn("payload_hash", F.md5(F.col(payload))), [key], order, block_rows)
+    r = ordered.rolling(s, lambda w: [F.lag("payload_hash", 1).over(w).alias("_prev")], lookback=1)
+    return ordered.drop_helpers(r.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("payload_hash"))).drop("_prev"))

@@ -43,14 +43,15 @@ def league_estimators(seed: int = 42) -> dict:
 
 def regression_metrics(pred: DataFrame, keys: list[str], label: str = TARGET,
                        prediction: str = "prediction") -> DataFrame:
-    """RMSE and R2 per key in one aggregate: sqrt(mean sq err), 1 - SS_res / SS_tot."""
+    """RMSE and R2 per key in one aggregate: sqrt(mean sq err), 1 - SS_res / SS_tot.
+
+    SS_tot comes from the variance, whose centred sums do not cancel for large labels.
+    """
     err = F.col(label) - F.col(prediction)
     agg = pred.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("_ssr"),
-        F.sum(F.col(label)).alias("_sy"), F.sum(F.col(label) * F.col(label)).alias("_syy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
-    return agg.select(*keys, "n", F.sqrt(F.col("_ssr") / F.col("n")).alias("rmse"),
-                      (F.lit(1.0) - F.try_divide(F.col("_ssr"), sst)).alias("r2"))
+        F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("_mse"), F.var_pop(label).alias("_var"))
+    return agg.select(*keys, "n", F.sqrt("_mse").alias("rmse"),
+                      (F.lit(1.0) - F.try_divide(F.col("_mse"), F.col("_var"))).alias("r2"))
 
 
 def train_league(split_features: DataFrame, symbols: list[str], estimators: dict | None = None,

@@ -75,16 +75,18 @@ def sentiment(df: DataFrame, imb: str = "imbalance_ratio") -> DataFrame:
 
 
 def dashboard_signals(df: DataFrame) -> DataFrame:
-    """P24 + P25: model, RSI, VPIN and CVD signals and Bollinger band proximity per row."""
-    delta = F.when(F.col("trade_side") == "BUY", F.col("volume_usd")).otherwise(-F.col("volume_usd"))
-    vpin = F.abs(delta) / (F.col("volume_usd") + 1)
+    """P24 + P25: model, RSI, VPIN and CVD signals and Bollinger band proximity per silver window.
+
+    ``vpin_score`` and ``cvd`` are the window's; missing ones count as 0.
+    """
+    vpin, cvd = F.coalesce("vpin_score", F.lit(0.0)), F.coalesce("cvd", F.lit(0.0))
     return df.select(
         "*",
         F.when(F.col("predicted_price") > F.col("average_price"), "BUY").otherwise("SELL").alias("model_signal"),
         F.when(F.col("RSI") > C.RSI_OVERBOUGHT, "OVERBOUGHT").when(F.col("RSI") < C.RSI_OVERSOLD, "OVERSOLD")
          .otherwise("NEUTRAL").alias("rsi_state"),
         F.when(vpin > C.VPIN_FLOW_RISK, "TOXIC").otherwise("CLEAN").alias("vpin_state"),
-        F.when(delta > 0, "BUY_PRESSURE").otherwise("SELL_PRESSURE").alias("cvd_state"),
+        F.when(cvd > 0, "BUY_PRESSURE").otherwise("SELL_PRESSURE").alias("cvd_state"),
         F.when(F.col("Bollinger_Upper") - F.col("average_price") < F.col("average_price") - F.col("Bollinger_Lower"),
                "NEAR_UPPER").otherwise("NEAR_LOWER").alias("band_side"))
 
@@ -124,8 +126,11 @@ def users_per_tier(users: DataFrame) -> DataFrame:
     return users.groupBy("tier").agg(F.count(F.lit(1)).alias("users"))
 
 
-def daily_digest(silver_rows: DataFrame, children: DataFrame) -> DataFrame:
-    """Per day - signals, whale events, busiest symbol, model updates and the day's champion."""
+def daily_digest(silver_rows: DataFrame, children: DataFrame, spreads: DataFrame | None = None) -> DataFrame:
+    """Per day - signals, whale events, busiest symbol, model updates, the day's champion, the best spread.
+
+    ``spreads`` are rows of ``derivatives.daily_best_spread``.
+    """
     day = trunc_time("day", "window_start")
     sig = ((F.col("vpin_score") > C.VPIN_FLOW_RISK) | F.col("anomaly_wash_trading") | F.col("anomaly_spoofing"))
     whale = ((F.col("buy_wall_usd") > F.col("sell_wall_usd") * C.WHALE_WALL_RATIO)
@@ -139,8 +144,10 @@ def daily_digest(silver_rows: DataFrame, children: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("ml_update_count"),
         F.min_by("model_name", F.struct("rmse", "run_id")).alias("champion_model"),
         F.min_by("r2", F.struct("rmse", "run_id")).alias("champion_r2"))
-    return (market.join(models, "day", "full")
-            .na.fill(0, ["total_signals", "whale_events", "ml_update_count"]))
+    digest = market.join(models, "day", "full")
+    if spreads is not None:
+        digest = digest.join(spreads, "day", "full")
+    return digest.na.fill(0, ["total_signals", "whale_events", "ml_update_count"])
 
 
 def free_panel(ticks: DataFrame, price: str = "price", time_col: str = "ts") -> DataFrame:

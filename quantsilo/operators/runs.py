@@ -1,7 +1,7 @@
 """Model-run analytics.
 
-Global leaderboard ranks use ``plans.ordered.add_sequence`` with an RMSE
-bucket as chunk: an exact global ordinal without a single-partition window.
+Global leaderboard ranks are the ordinals of ``plans.ordered.arrange``: sampled range
+partitions, sorted, with the sizes of the partitions before; no window without a key.
 """
 
 from __future__ import annotations
@@ -40,21 +40,22 @@ def folder_champions(children: DataFrame) -> DataFrame:
     return topk.top_k_per_key(children, ["coin_folder"], ["rmse", "run_id"], 1)
 
 
-def folder_ranks(children: DataFrame, k: int | None = None, bucket_width: float = 0.01) -> DataFrame:
+def folder_ranks(children: DataFrame, k: int | None = None) -> DataFrame:
     """W14 per folder: rank by RMSE inside each symbol's folder, all rows or the best ``k``."""
     if k:
         return topk.top_k_per_key(children, ["coin_folder"], ["rmse", "run_id"], k, rank_col="folder_rank")
-    df = children.withColumn("_chunk", F.floor(F.col("rmse") / bucket_width).cast("long"))
-    ranked = ordered.add_sequence(df, ["coin_folder"], ["rmse", "run_id"], "_chunk", out="_seq")
-    return ranked.withColumn("folder_rank", (F.col("_seq") + 1).cast("int")).drop("_seq", "_chunk")
+    ranked = ordered.sequence(ordered.arrange(children, ["coin_folder"], ["rmse", "run_id"]), "_seq")
+    return ordered.drop_helpers(ranked.withColumn("folder_rank", (F.col("_seq") + 1).cast("int")).drop("_seq"))
 
 
-def leaderboard(children: DataFrame, bucket_width: float = 0.01) -> DataFrame:
-    """W14 global rank by RMSE + W16 badges (champion, fastest, R2 above threshold)."""
-    df = children.withColumn("_chunk", F.floor(F.col("rmse") / bucket_width).cast("long"))
-    ranked = ordered.add_sequence(df, [], ["rmse", "run_id"], "_chunk", out="_seq")
-    ranked = ranked.withColumn("rank", F.col("_seq") + 1).drop("_seq", "_chunk")
-    stats = children.agg(F.min("duration_ms").alias("_fastest"))
+def leaderboard(children: DataFrame) -> DataFrame:
+    """W14 global rank by RMSE + W16 badges (champion, fastest, R2 above threshold).
+
+    The rank is a row's place in the range-partitioned order plus the rows of the ranges before.
+    """
+    placed = ordered.arrange(children, [], ["rmse", "run_id"])
+    ranked = ordered.drop_helpers(placed.withColumn("rank", F.col("_g") + 1))
+    stats = placed.agg(F.min("duration_ms").alias("_fastest"))
     r = with_stats(ranked, stats)
     badges = F.concat_ws(" ",
                          F.when(F.col("rank") == 1, F.lit(BADGE_CHAMPION)),

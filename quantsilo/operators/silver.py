@@ -109,15 +109,13 @@ def anomaly_flags(windows: DataFrame, key: str = "symbol", order: str = "window_
                   volume: str = "volume_usd", imbalance: str = "wall_imbalance",
                   history: int = C.ANOMALY_HISTORY, min_rows: int = C.ANOMALY_MIN_ROWS,
                   z: float = C.ANOMALY_Z, eps: float = C.ANOMALY_EPS,
-                  chunk_seconds: int = ordered.DEFAULT_CHUNK_SECONDS,
                   block_rows: int = ordered.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Z-scores against the last ``history`` windows (current included).
 
     Population std + eps; flags need more than five rows of history.
     wash = vol_z > z; spoof = |imb_z| > z and volume < half the mean; score = max |z|.
     """
-    df = windows.withColumn("_chunk", ordered.time_chunk(order, chunk_seconds))
-    df = ordered.add_sequence(df, [key], [order], "_chunk", out="_seq", block_rows=block_rows, keep_blocks=True)
+    df = ordered.arrange(windows, [key], [order], block_rows)
 
     def build(w):
         f = w.rowsBetween(-(history - 1), 0)
@@ -125,7 +123,7 @@ def anomaly_flags(windows: DataFrame, key: str = "symbol", order: str = "window_
                 F.avg(volume).over(f).alias("_vm"), F.stddev_pop(volume).over(f).alias("_vs"),
                 F.avg(imbalance).over(f).alias("_im"), F.stddev_pop(imbalance).over(f).alias("_is")]
 
-    r = ordered.rolling(df, [key], "_seq", build, lookback=history - 1, block_rows=block_rows)
+    r = ordered.rolling(df, build, lookback=history - 1)
     vol_z = (F.col(volume) - F.col("_vm")) / (F.col("_vs") + eps)
     imb_z = (F.col(imbalance) - F.col("_im")) / (F.col("_is") + eps)
     enough = F.col("_n") >= min_rows
@@ -136,7 +134,7 @@ def anomaly_flags(windows: DataFrame, key: str = "symbol", order: str = "window_
                         .otherwise(F.lit(False)))
             .withColumn("anomaly_score",
                         F.when(enough, F.greatest(F.abs(F.col("_vz")), F.abs(F.col("_iz")))).otherwise(F.lit(0.0)))
-            .drop("_chunk", "_seq", "_n", "_vm", "_vs", "_im", "_is", "_vz", "_iz", *ordered.PLAN_COLS))
+            .drop("_n", "_vm", "_vs", "_im", "_is", "_vz", "_iz", *ordered.HELPERS))
 
 
 def silver(ticks: DataFrame, predictions: DataFrame | None = None, **kw) -> DataFrame:

@@ -1,288 +1,195 @@
 """Skew-safe ordered computations per key.
 
-Market data has few keys (symbols) and one may hold a third of all rows, so a
-window ``partitionBy(symbol)`` would put that third in one task.  The helpers
-here never partition row-scale data by the key alone:
-
-* ``chunk`` - a time bucket (default one day) that is non-decreasing in the
-  order.  A *block plan* is computed from row counts per ``(key, chunk)``
-  (one partial aggregate; #keys x #chunks rows): chunk offsets by prefix
-  sums, and chunks merged into *blocks* of about ``block_rows`` rows.  The
-  plan is cached, counted (one small job) and broadcast only when that
-  measured size is small; otherwise it is shuffle-joined.
-* ``add_sequence`` - exact 0-based ordinal per key: every row learns its
-  block from the plan *before* the shuffle, then one shuffle by
-  ``(key, block)`` and ``row_number`` + the block's start offset.
-* ``rolling`` - bounded row frames (lags, leads, moving averages, z-scores)
-  in the same ``(key, block)`` partitioning.  Only the rows within
-  ``lookback`` of the next block (``lookahead`` of the previous one) are
-  copied and shuffled; they are unioned with the already partitioned rows,
-  which Spark keeps co-partitioned, so the frames need no second full
-  shuffle.  Since blocks start in distinct ``block_rows`` intervals, a row
-  is context for at most two neighbouring blocks.
-* ``block_apply`` - the same blocks for sequential recursions in pandas.
-* ``fill_forward`` / ``fill_backward`` - last / next non-null value (as-of
-  semantics) per ``(key, chunk)`` with the carry across chunks from a
-  summary table; ``running`` - running max / min / sum likewise.
-
-A task never holds more than one block plus its context (bounded by
-``block_rows`` and the largest chunk), whatever the key skew.  Inputs of
-every size take this one path.  Keys and the chunk are matched null-safely,
-so no row is lost.
+Market data has few keys (symbols) and one may hold a third of all rows, all of them on one day, so a
+window ``partitionBy(symbol)`` or ``partitionBy(symbol, day)`` would put that third in one task.  The
+helpers here know no key and no calendar when they cut the rows:
+
+* ``arrange`` evaluates its input once: rows are range-partitioned by (keys, order) with splitters that
+  Spark samples, sorted, and written to the shared folder of ``spark.checkpoint.dir``.  A row's place in
+  its file plus the rows of the files before give its global ordinal ``_g``, and ``_g`` divided by
+  ``block_rows`` its block ``_blk``: all blocks have the same number of rows, whatever the keys.
+* ``rolling`` evaluates bounded frames (lags, leads, moving averages, z-scores).  The last ``lookback``
+  rows before a block and the first ``lookahead`` after it are copied into it, which ``_g`` alone
+  decides; one shuffle by (key, block) then serves any number of windows.  A frame may reach over
+  several blocks.
+* ``fill_forward`` / ``fill_backward`` (last / next non-null value) and ``running`` (max, min, sum) have
+  unbounded frames: windows inside (key, block), and what enters a block from the key's earlier blocks
+  from a summary with one row for each key and block, joined on the windows' own partitioning.
+* ``scan`` composes maps over a key's blocks by doubling, for recursions (see ``plans.recursion``).
+
+Keys may be null.  ``order`` must be a total order within a key; on true ties any order may come out,
+but one only, since the rows are written.
 """
 
 from __future__ import annotations
 
-from collections import deque
+import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_SECONDS = 86400
-DEFAULT_BLOCK_ROWS = 262144
-# plan rows above which the plan is shuffle-joined instead of broadcast (~80 bytes a row)
-PLAN_BROADCAST_ROWS = 400_000
+from quantsilo.session import scratch_path
 
-_PLANS: deque = deque(maxlen=32)   # cached block plans, oldest released first
+DEFAULT_BLOCK_ROWS = 131072
 
-PLAN_COLS = ["_blk", "_bs", "_n1b", "_n1s", "_n2b", "_n2s", "_p1b", "_p1s", "_p2b"]
+#: Columns that ``arrange`` adds: the key as one value that is never null, the global ordinal, the block.
+HELPERS = ["_key", "_g", "_blk"]
 
 _U = Window.unboundedPreceding
+_LOCAL = 33     # bits of a row's place in its partition, as in monotonically_increasing_id
 
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _ns_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``on`` with NULL-safe equality; keeps the left copy of the key columns."""
-    r = right.select(*[F.col(c).alias(f"_jk{i}") for i, c in enumerate(on)],
-                     *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r[f"_jk{i}"]) for i, c in enumerate(on)]
-    return left.join(r, cond, how).drop(*[f"_jk{i}" for i in range(len(on))])
+def _key(keys: Sequence[str]) -> Column:
+    """The key columns as one struct: never null itself, and equal where the same columns are null."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
 
 
-def time_chunk(ts: str | Column, seconds: int = DEFAULT_CHUNK_SECONDS) -> Column:
-    """Integer time bucket of ``seconds`` width (works for timestamp and timestamp_ntz)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+def arrange(df: DataFrame, keys: Sequence[str], order: Sequence, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``df`` sorted by (keys, order) with the columns ``_key``, ``_g`` (from 0 over all rows) and ``_blk``.
 
-
-def block_plan(df: DataFrame, keys: Sequence[str], chunk: str, block_rows: int) -> DataFrame:
-    """Per (key, chunk): its block and the block's neighbours (start offsets and ids).
-
-    The plan is small (#keys x #chunks rows) and cached, so its measured size
-    decides the join strategy and it is computed once; a lost cache block is
-    recomputed from lineage.
-    """
-    keys = list(keys)
-    counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_cn"))
-    wk = Window.partitionBy(*keys).orderBy(chunk)
-    off = counts.select(*keys, chunk, F.coalesce(F.sum("_cn").over(wk.rowsBetween(_U, -1)),
-                                                 F.lit(0)).cast("long").alias("_coff"))
-    off = off.withColumn("_blk", F.floor(F.col("_coff") / F.lit(block_rows)).cast("long"))
-    blocks = off.groupBy(*keys, "_blk").agg(F.min("_coff").alias("_bs"))
-    wb = Window.partitionBy(*keys).orderBy("_blk")
-    blocks = blocks.select(
-        *keys, "_blk", "_bs",
-        F.lead("_blk", 1).over(wb).alias("_n1b"), F.lead("_bs", 1).over(wb).alias("_n1s"),
-        F.lead("_blk", 2).over(wb).alias("_n2b"), F.lead("_bs", 2).over(wb).alias("_n2s"),
-        F.lag("_blk", 1).over(wb).alias("_p1b"), F.lag("_bs", 1).over(wb).alias("_p1s"),
-        F.lag("_blk", 2).over(wb).alias("_p2b"))
-    plan = _ns_join(off.select(*keys, chunk, "_blk"), blocks, [*keys, "_blk"]).persist(StorageLevel.MEMORY_AND_DISK)
-    if len(_PLANS) == _PLANS.maxlen:
-        _PLANS[0].unpersist(blocking=False)      # a later use recomputes it from lineage
-    _PLANS.append(plan)
-    return plan
-
-
-def _join_plan(df: DataFrame, plan: DataFrame, on: list[str]) -> DataFrame:
-    small = F.broadcast(plan) if plan.count() <= PLAN_BROADCAST_ROWS else plan
-    return _ns_join(df, small.select(*on, *PLAN_COLS), on)
-
-
-def add_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
-                 out: str = "seq", block_rows: int = DEFAULT_BLOCK_ROWS,
-                 keep_blocks: bool = False) -> DataFrame:
-    """Add an exact 0-based ordinal per ``keys`` in ``order`` (order must be total).
-
-    ``chunk`` names a column that is non-decreasing in ``order``.  With
-    ``keep_blocks`` the block columns stay on the rows (and the rows stay
-    partitioned by (key, block)) for ``rolling`` / ``block_apply``.
+    The input is evaluated once, here.  The driver gets one count for each partition.
     """
-    keys = list(keys)
-    plan = block_plan(df, keys, chunk, block_rows)
-    x = _join_plan(df, plan, [*keys, chunk])
-    x = x.withColumn("_blk", F.col("_blk").alias("_blk", metadata={"block_rows": block_rows}))
-    w = Window.partitionBy(*keys, "_blk").orderBy(*_cols(order))
-    x = x.withColumn(out, (F.col("_bs") + F.row_number().over(w) - 1).cast("long"))
-    return x if keep_blocks else x.drop(*PLAN_COLS)
-
-
-def drop_plan(df: DataFrame) -> DataFrame:
-    """Remove the helper columns (block plan and surrogate keys) once a pipeline is done."""
-    return drop_surrogates(df.drop(*[c for c in PLAN_COLS if c in df.columns]))
-
-
-def _with_context(df: DataFrame, keys: list[str], seq: str, lookback: int, lookahead: int) -> DataFrame:
-    """Rows of ``df`` (``_home`` = True) plus the context copies neighbouring blocks need."""
-    if "_blk" not in df.columns:
-        raise ValueError("rows need block columns: add_sequence(..., keep_blocks=True)")
-    planned = df.schema["_blk"].metadata.get("block_rows")
-    if planned is not None and max(lookback, lookahead) > planned:
-        raise ValueError("frame reach exceeds the block size of the plan")
-    s = F.col(seq)
-    targets = []
-    if lookback:
-        targets.append(F.when(s >= F.col("_n1s") - lookback, F.col("_n1b")))
-        targets.append(F.when(s >= F.col("_n2s") - lookback, F.col("_n2b")))
-    if lookahead:
-        targets.append(F.when(s < F.col("_bs") + lookahead, F.col("_p1b")))
-        targets.append(F.when(s < F.col("_p1s") + lookahead, F.col("_p2b")))
-    home = df.withColumn("_home", F.lit(True))
-    if not targets:
-        return home
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one pass picks the (at most four) neighbour blocks each row is context for; only
-    # those copies move, and the union keeps the (key, block) partitioning of the rest
-    pick = F.filter(F.array(*targets), lambda b: b.isNotNull())
-    ctx = (df.select("*", F.explode(pick).alias("_to")).withColumn("_blk", F.col("_to")).drop("_to")
-           .withColumn("_home", F.lit(False)).repartition(n, *keys, "_blk"))
-    return home.unionByName(ctx)
-
-
-def rolling(df: DataFrame, keys: Sequence[str], seq: str,
-            build: Callable[[Window], list[Column]] | Sequence[Callable[[Window], list[Column]]],
-            lookback: int = 0, lookahead: int = 0,
-            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Evaluate bounded-frame window columns per key without a per-key partition.
-
-    ``df`` comes from ``add_sequence(..., keep_blocks=True)``.  ``build(w)``
-    receives ``Window.partitionBy(keys, block).orderBy(seq)`` and returns the
-    columns to add; frames may reach ``lookback`` rows back and
-    ``lookahead`` rows ahead (at most the plan's ``block_rows``).  ``build``
-    may be a list of stages, each seeing the columns of the previous ones
-    (same partitioning, no extra shuffle); ``lookback`` must then cover the
-    summed reach.  Unbounded frames are not exact here; use ``running`` /
-    ``fill_*``.
+    spark = df.sparkSession
+    keys, order = list(keys), _cols(order)
+    path = scratch_path(spark, "arranged")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [*_cols(keys), *order]
+    rows = (df.drop(*HELPERS).repartitionByRange(n, *by).sortWithinPartitions(*by)
+            .withColumn("_at", F.monotonically_increasing_id()))
+    rows.write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    part = F.shiftright("_at", _LOCAL).cast("int")
+    counts = sorted(stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, total = [], 0
+    for p, size in counts:
+        starts.append((p, total))
+        total += size
+    first = spark.createDataFrame(starts or [(0, 0)], "_p int, _first long")   # one row a partition
+    g = F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << _LOCAL) - 1))
+    return (stored.join(F.broadcast(first), part == F.col("_p"))
+            .withColumn("_g", g)
+            .select(*df.drop(*HELPERS).columns, _key(keys).alias("_key"), "_g",
+                    F.floor(F.col("_g") / block_rows).cast("long").alias("_blk"))
+            .withMetadata("_blk", {"block_rows": block_rows, "rows": total}))
+
+
+def plan_of(df: DataFrame) -> tuple[int, int]:
+    """(rows of a block, rows in all) as ``arrange`` measured them."""
+    meta = df.schema["_blk"].metadata
+    if "block_rows" not in meta:
+        raise ValueError("rows need the columns of ordered.arrange")
+    return meta["block_rows"], meta["rows"]
+
+
+def drop_helpers(df: DataFrame) -> DataFrame:
+    return df.drop(*HELPERS)
+
+
+def block_window(*more: str) -> Window:
+    """Rows of a (key, block) in order."""
+    return Window.partitionBy("_key", "_blk", *more).orderBy("_g")
+
+
+def rolling(df: DataFrame, build: Callable[[Window], list[Column]] | Sequence[Callable[[Window], list[Column]]],
+            lookback: int = 0, lookahead: int = 0) -> DataFrame:
+    """Evaluate bounded-frame window columns per key over rows of ``arrange``.
+
+    ``build(w)`` receives the window of a (key, block) in order and returns the columns to add; frames may
+    reach ``lookback`` rows back and ``lookahead`` rows ahead.  ``build`` may be a list of stages, each
+    seeing the columns of those before (same partitioning, no extra shuffle); ``lookback`` must then cover
+    the summed reach.  Unbounded frames are not exact here; use ``running`` / ``fill_*``.
     """
-    keys = list(keys)
-    rows = _with_context(df, keys, seq, lookback, lookahead)
-    w = Window.partitionBy(*keys, "_blk").orderBy(seq)
+    size, _ = plan_of(df)
+    meta = df.schema["_blk"].metadata
+    rows = df
+    if lookback or lookahead:
+        # a row serves every block from that of the row ``lookahead`` before it to that ``lookback`` after it
+        to = F.sequence(F.greatest(F.floor((F.col("_g") - lookahead) / size), F.lit(0)).cast("long"),
+                        F.floor((F.col("_g") + lookback) / size).cast("long"))
+        rows = (df.withColumn("_home", F.col("_blk")).withColumn("_to", F.explode(to))
+                .withColumn("_blk", F.col("_to")).drop("_to"))
+    w = block_window()
     for stage in (build if isinstance(build, (list, tuple)) else [build]):
         rows = rows.select("*", *stage(w))
-    return rows.filter(F.col("_home")).drop("_home")
-
-
-def block_apply(df: DataFrame, keys: Sequence[str], seq: str, fn, new_fields: str,
-                lookback: int = 0, lookahead: int = 0, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Sequential per-key computations (recursions) with pandas, block by block.
-
-    Rows are grouped by (keys, block) with the same context rows as
-    ``rolling``; ``fn(pdf)`` gets one block sorted by ``seq`` and returns it
-    with the columns named in ``new_fields`` (a DDL string) added.  Groups
-    are bounded by one block plus its context whatever the key skew.
-    """
-    keys = list(keys)
-    rows = _with_context(df, keys, seq, lookback, lookahead)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", " + new_fields
-    out_cols = [f.name for f in df.schema.fields] + [x.strip().split()[0].strip("`") for x in new_fields.split(",")]
-
-    def run(pdf):
-        pdf = pdf.sort_values(seq, kind="stable").reset_index(drop=True)
-        res = fn(pdf)
-        return res.loc[pdf["_home"].values, out_cols]
-
-    out = rows.groupBy(*keys, "_blk").applyInPandas(run, schema)
-    # the pandas output schema carries no column metadata: restore the block plan's
-    return out.withColumn("_blk", F.col("_blk").alias("_blk", metadata=df.schema["_blk"].metadata))
+    if lookback or lookahead:
+        rows = rows.filter(F.col("_home") == F.col("_blk")).drop("_home").withMetadata("_blk", meta)
+    return rows
 
 
-def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
-                 cols: Sequence[str], suffix: str = "") -> DataFrame:
+def fill_forward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Last non-null value of each column at or before the row (as-of backward)."""
-    return _fill(df, list(keys), order, chunk, list(cols), suffix, forward=True)
+    return _fill(df, list(cols), suffix, forward=True)
 
 
-def fill_backward(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
-                  cols: Sequence[str], suffix: str = "") -> DataFrame:
+def fill_backward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Next non-null value of each column at or after the row (as-of forward)."""
-    return _fill(df, list(keys), order, chunk, list(cols), suffix, forward=False)
+    return _fill(df, list(cols), suffix, forward=False)
 
 
-def _surrogates(df: DataFrame, keys: list[str], chunk: str) -> tuple[DataFrame, list[str]]:
-    """Non-null stand-ins for the key and chunk columns (value as string + is-null flag).
+def carry(df: DataFrame, summary: DataFrame) -> DataFrame:
+    """Rows with what enters their block; a row of the summary for each (key, block)."""
+    right = summary.withColumnsRenamed({"_key": "_ckey", "_blk": "_cblk"})
+    return df.join(right, (df["_key"] == right["_ckey"]) & (df["_blk"] == right["_cblk"]), "left").drop("_ckey", "_cblk")
 
-    Windows partition by them and carry tables join on them with plain
-    equality, so NULL keys keep their carry and the join reuses the
-    windows' hash partitioning (NULL-safe join keys would not).  They stay on
-    the output so a following step over the same keys needs no new shuffle;
-    ``drop_plan`` removes them.
-    """
-    src = [*keys, chunk]
-    names = [n for i in range(len(src)) for n in (f"_sk{i}", f"_sn{i}")]
-    if all(n in df.columns for n in names) and \
-            [df.schema[f"_sk{i}"].metadata.get("src") for i in range(len(src))] == src and \
-            f"_sk{len(src)}" not in df.columns:
-        return df, names           # same keys as the previous step: keep its partitioning
-    df = drop_surrogates(df)
-    cols = []
-    for i, c in enumerate(src):
-        cols += [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_sk{i}", metadata={"src": c}),
-                 F.col(c).isNull().alias(f"_sn{i}")]
-    return df.select("*", *cols), names
-
-
-def drop_surrogates(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c[:3] in ("_sk", "_sn") and c[3:].isdigit()])
-
-
-def _fill(df, keys, order, chunk, cols, suffix, forward):
-    order_cols = _cols(order)
-    x, sk = _surrogates(df, keys, chunk)
-    part_keys = sk[:-2]
+
+def _fill(df: DataFrame, cols: list[str], suffix: str, forward: bool) -> DataFrame:
     # backward is forward in descending order: a frame that grows, never one that shrinks (quadratic)
-    turn = (lambda c: c.asc()) if forward else (lambda c: c.desc())
-    w_in = Window.partitionBy(*sk).orderBy(*map(turn, order_cols)).rowsBetween(_U, 0)
-    filled = x.select("*", *[F.last(c, ignorenulls=True).over(w_in).alias(f"_in_{c}") for c in cols])
-    # chunk summary: the chunk's own last (first) non-null value; carried in chunk order
+    turn = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
     take = F.max_by if forward else F.min_by
-    summ = x.groupBy(*sk).agg(
-        F.first(chunk).alias("_ch"),
-        *[take(c, F.when(F.col(c).isNotNull(), F.struct(*order_cols))).alias(f"_s_{c}") for c in cols])
-    w_c = Window.partitionBy(*part_keys).orderBy(turn(F.col("_ch"))).rowsBetween(_U, -1)
-    carry = summ.select(*sk, *[F.last(f"_s_{c}", ignorenulls=True).over(w_c).alias(f"_c_{c}") for c in cols])
-    out = filled.join(carry, sk, "left")
+    inside = Window.partitionBy("_key", "_blk").orderBy(turn("_g")).rowsBetween(_U, 0)
+    before = Window.partitionBy("_key").orderBy(turn("_blk")).rowsBetween(_U, -1)
+    at = [F.when(F.col(c).isNotNull(), F.col("_g")) for c in cols]
+    summary = (df.groupBy("_key", "_blk").agg(*[take(F.col(c), g).alias(f"_s_{c}") for c, g in zip(cols, at)])
+               .select("_key", "_blk", *[F.last(f"_s_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols]))
+    filled = df.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{c}") for c in cols])
+    out = carry(filled, summary)
     value = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}")) for c in cols}
-    base = [c for c in x.columns if c not in sk]
     if suffix:
-        return out.select(*base, *[value[c].alias(f"{c}{suffix}") for c in cols], *sk)
-    return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in base], *sk)
+        return out.select(*df.columns, *[value[c].alias(f"{c}{suffix}") for c in cols])
+    return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns])
 
 
 _RUN = {
-    "max": (F.max, F.max, lambda a, b: F.greatest(a, b)),
-    "min": (F.min, F.min, lambda a, b: F.least(a, b)),
-    "sum": (F.sum, F.sum, lambda a, b: a + b),
+    "max": (F.max, lambda a, b: F.greatest(a, b)),
+    "min": (F.min, lambda a, b: F.least(a, b)),
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
 }
 
 
-def running(df: DataFrame, keys: Sequence[str], order: Sequence, chunk: str,
-            col: str, how: str, out: str) -> DataFrame:
-    """Running max / min / sum of ``col`` per key in ``order`` (inclusive)."""
-    inner, outer, combine = _RUN[how]
-    x, sk = _surrogates(df, list(keys), chunk)
-    part_keys = sk[:-2]
-    w_in = Window.partitionBy(*sk).orderBy(*_cols(order)).rowsBetween(_U, 0)
-    part = x.withColumn("_run_in", inner(col).over(w_in))
-    summ = x.groupBy(*sk).agg(F.first(chunk).alias("_ch"), outer(col).alias("_tot"))
-    carry = summ.select(*sk, outer("_tot").over(
-        Window.partitionBy(*part_keys).orderBy("_ch").rowsBetween(_U, -1)).alias("_carry"))
-    res = part.join(carry, sk, "left")
-    val = F.when(F.col("_carry").isNull(), F.col("_run_in")).otherwise(
-        combine(F.col("_carry"), F.col("_run_in")))
-    base = [c for c in x.columns if c not in sk and c != out]
-    return res.withColumn(out, val).select(*base, out, *sk)
+def running(df: DataFrame, col: str | Column, how: str, out: str) -> DataFrame:
+    """Running max / min / sum of ``col`` per key in order (inclusive); nulls are passed over."""
+    fold, combine = _RUN[how]
+    value = F.col(col) if isinstance(col, str) else col
+    before = Window.partitionBy("_key").orderBy("_blk").rowsBetween(_U, -1)
+    summary = (df.groupBy("_key", "_blk").agg(fold(value).alias("_tot"))
+               .select("_key", "_blk", fold("_tot").over(before).alias("_c")))
+    part = df.withColumn("_in", fold(value).over(block_window().rowsBetween(_U, 0)))
+    base = [c for c in df.columns if c != out]
+    return carry(part, summary).select(*base, combine(F.col("_c"), F.col("_in")).alias(out))
+
+
+def sequence(df: DataFrame, out: str = "seq") -> DataFrame:
+    """The exact 0-based ordinal of every row within its key."""
+    return running(df, F.lit(1).cast("long"), "sum", out).withColumn(out, F.col(out) - 1)
+
+
+def scan(maps: DataFrame, state: Sequence[str], compose: Callable[[dict, dict], dict], blocks: int) -> DataFrame:
+    """Inclusive composition of maps over each key's blocks, in the order of ``_blk``.
+
+    ``maps`` has one row for each (key, block) and the columns ``state``; ``compose(first, second)`` gives
+    their composition as columns.  Each of the log2(blocks) rounds doubles the reach; all share one
+    partitioning of the maps, a small table.
+    """
+    w = Window.partitionBy("_key").orderBy("_blk")
+    for r in range(math.ceil(math.log2(blocks)) if blocks > 1 else 0):
+        reach = F.lag(F.lit(True), 1 << r).over(w).alias("_has")
+        maps = maps.select("*", reach, *[F.lag(c, 1 << r).over(w).alias(f"_l_{c}") for c in state])
+        both = compose({c: F.col(f"_l_{c}") for c in state}, {c: F.col(c) for c in state})
+        maps = maps.select(*[F.when(F.col("_has"), both[c]).otherwise(F.col(c)).alias(c) if c in state else F.col(c)
+                             for c in maps.columns if not c.startswith("_l_") and c != "_has"])
+    return maps

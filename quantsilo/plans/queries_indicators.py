@@ -94,11 +94,14 @@ def q_history_indicators(spark, sf):
 
 @register("seasonality_pivot", "A22 F5",
           sql=SQL_HISTORY + """
-SELECT * FROM (
+SELECT s.symbol, m.month, m.month_no, "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"
+FROM (SELECT DISTINCT symbol FROM hist_clean) s
+CROSS JOIN (SELECT CAST(k AS INTEGER) AS month_no, monthname(make_date(2000, k, 1)) AS month FROM range(1, 13) AS r(k)) m
+LEFT JOIN (SELECT * FROM (
   PIVOT (SELECT symbol, monthname("timestamp") AS month, dayname("timestamp") AS wd, "returns" * 100.0 AS rx
          FROM hist_clean)
   ON wd IN ('Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday')
-  USING avg(rx) GROUP BY symbol, month)""",
+  USING avg(rx) GROUP BY symbol, month)) p ON p.symbol = s.symbol AND p.month = m.month""",
           doubles="Monday Tuesday Wednesday Thursday Friday Saturday Sunday", digits=4)
 def q_seasonality(spark, sf):
     return analysis.seasonality(indicators.history_indicators(fx.daily_bars(spark, sf)))
@@ -145,8 +148,37 @@ live AS (
   FROM r)
 """
 
-_LAST = ["predicted_price", "Bollinger_Upper", "Bollinger_Lower", "MACD", "Signal_Line", "RSI", "SMA_20",
-         "trade_side"]
+_LAST = ["predicted_price", "Bollinger_Upper", "Bollinger_Lower", "MACD", "Signal_Line", "RSI", "volatility", "SMA_20",
+         "trade_side", "is_buyer_maker", "cvd"]
+
+# the page's rows are the silver windows; ties of the last tick's time go by the window's start
+SQL_LIVE_WINDOWS = "WITH RECURSIVE " + fx.SQL_TICKS + ",\n" + SQL_WINDOWS + """,
+b AS (SELECT symbol, average_price, mark_price AS predicted_price, processed_time, volume_usd, trade_side, is_buyer_maker,
+             volatility, cvd, vpin_score, window_start,
+             row_number() OVER (PARTITION BY symbol ORDER BY processed_time, window_start) - 1 AS seq FROM win),
+""" + _ema_sql("b", "average_price") + f""",
+f AS (
+  SELECT *, {_ma('average_price', 20)} AS "SMA_20", {_sd('average_price', 20)} AS "Std_Dev",
+    CASE WHEN average_price - lag(average_price) OVER w > 0 THEN average_price - lag(average_price) OVER w ELSE 0.0 END AS gain,
+    CASE WHEN average_price - lag(average_price) OVER w < 0 THEN -(average_price - lag(average_price) OVER w) ELSE 0.0 END AS loss
+  FROM ms WINDOW w AS (PARTITION BY symbol ORDER BY seq)),
+r AS (SELECT *, {_ma('gain', 14)} AS g, {_ma('loss', 14)} AS l FROM f),
+live AS (
+  SELECT symbol, average_price, predicted_price, processed_time, volume_usd, trade_side, is_buyer_maker, volatility, cvd,
+         vpin_score, window_start, coalesce("SMA_20", 0) AS "SMA_20", coalesce("Std_Dev", 0) AS "Std_Dev",
+         "EMA12", "EMA26", coalesce({_RSI}, 0) AS "RSI", "MACD", sig AS "Signal_Line",
+         coalesce("SMA_20" + "Std_Dev" * 2.0, 0) AS "Bollinger_Upper",
+         coalesce("SMA_20" - "Std_Dev" * 2.0, 0) AS "Bollinger_Lower"
+  FROM r)
+"""
+
+
+def live_windows(spark, sf):
+    """Silver windows with the live page's indicators."""
+    w = silver.window_metrics(fx.ticks(spark, sf)).select(
+        "symbol", "average_price", F.col("mark_price").alias("predicted_price"), "processed_time", "volume_usd",
+        "trade_side", "is_buyer_maker", "volatility", "cvd", "vpin_score", "window_start")
+    return indicators.live_indicators(w, order=("processed_time", "window_start"))
 
 
 def _live_rows(spark, sf):
@@ -163,21 +195,20 @@ def q_live_indicators(spark, sf):
     return indicators.live_indicators(_live_rows(spark, sf))
 
 
-_LAST_SQL = ", ".join(f'arg_max("{c}", (processed_time, event_id)) AS "{c}"' for c in _LAST)
+_LAST_SQL = ", ".join(f'arg_max("{c}", (processed_time, window_start)) AS "{c}"' for c in _LAST)
 
 
 @register("live_candles_1m", "A8 A9 P5 J7",
-          sql=SQL_LIVE + f"""
+          sql=SQL_LIVE_WINDOWS + f"""
 SELECT symbol, time_bucket(INTERVAL '1 minute', processed_time) AS processed_time,
-       arg_min(average_price, (processed_time, event_id)) AS open, max(average_price) AS high,
-       min(average_price) AS low, arg_max(average_price, (processed_time, event_id)) AS close,
+       arg_min(average_price, (processed_time, window_start)) AS open, max(average_price) AS high,
+       min(average_price) AS low, arg_max(average_price, (processed_time, window_start)) AS close,
        {_LAST_SQL}, sum(volume_usd) AS volume_usd_sum
 FROM live GROUP BY symbol, time_bucket(INTERVAL '1 minute', processed_time)""",
           doubles="open high low close predicted_price Bollinger_Upper Bollinger_Lower MACD Signal_Line RSI "
-                  "SMA_20 volume_usd_sum")
+                  "volatility SMA_20 cvd volume_usd_sum")
 def q_live_candles(spark, sf):
-    live = indicators.live_indicators(_live_rows(spark, sf))
-    return bars.ohlc(live, "1m", last_cols=_LAST)
+    return bars.ohlc(live_windows(spark, sf), "1m", tie="window_start", last_cols=_LAST)
 
 
 @register("ohlc_5s", "A8",
@@ -246,6 +277,15 @@ def q_bt_recent(spark, sf):
     return backtest.backtest(bars.five_minute_buckets(rows, tie="window_start"), "cvd_bullish")
 
 
+@register("backtest_vpin_recent_symbol", "A12 A13 W3",
+          sql=_bt_sql(f"peak_vpin > {C.VPIN_TOXIC_MIN}", ">", SQL_BUCKETS.replace(
+              "FROM win GROUP BY", f"""FROM win WHERE symbol = 'click' AND processed_time >
+    (SELECT max(processed_time) FROM win) - INTERVAL '{C.BACKTEST_DAYS} days' GROUP BY""")))
+def q_bt_vpin_recent(spark, sf):
+    rows = backtest.recent(silver.window_metrics(fx.ticks(spark, sf)), symbol="click")
+    return backtest.backtest(bars.five_minute_buckets(rows, tie="window_start"), "vpin_toxic")
+
+
 # ------------------------------------------------ features / split ----------
 SQL_FEATURES = SQL_WINDOWS + """,
 feat AS (
@@ -268,9 +308,9 @@ _FEAT_DOUBLES = _WIN = ("average_price volatility volume_usd cvd vpin_score wall
                         "lag_1 lag_3 ma_5 ma_10 momentum volatility_change target_price")
 
 
-def _features(spark, sf):
+def _features(spark, sf, keep=False):
     w = silver.window_metrics(fx.ticks(spark, sf))
-    return indicators.training_features(w, order="window_start")
+    return indicators.training_features(w, order="window_start", keep=keep)
 
 
 @register("training_features", "M3 W1 W2 W4 W10 P6",
@@ -287,7 +327,7 @@ SELECT * EXCLUDE (rn, n), rn < floor(n * 0.8) AS is_train FROM (
          count(*) OVER (PARTITION BY symbol) AS n FROM features)""",
           doubles=_FEAT_DOUBLES)
 def q_split(spark, sf):
-    return indicators.chronological_split(_features(spark, sf), order="window_start")
+    return indicators.chronological_split(_features(spark, sf, keep=True))
 
 
 @register("change_points", "W17",

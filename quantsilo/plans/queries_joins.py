@@ -115,14 +115,15 @@ def q_books(spark, sf):
 # --------------------------------------------------------------- options ----
 @register("max_pain", "A14 J5 F1 U2",
           sql=with_ctes(fx.SQL_OPTIONS) + """,
-strikes AS (SELECT DISTINCT coin, strike FROM options),
+exact AS (SELECT coin, type, CAST(strike AS DECIMAL(12, 4)) AS strike, CAST(oi AS DECIMAL(12, 4)) AS oi FROM options),
+strikes AS (SELECT DISTINCT coin, strike FROM exact),
 pain AS (
   SELECT s.coin, s.strike,
          sum(CASE WHEN o.type = 'C' AND s.strike > o.strike THEN (s.strike - o.strike) * o.oi
                   WHEN o.type = 'P' AND s.strike < o.strike THEN (o.strike - s.strike) * o.oi
-                  ELSE 0.0 END) AS pain
-  FROM strikes s JOIN options o ON o.coin = s.coin GROUP BY 1, 2)
-SELECT coin, arg_min(strike, (round(pain, 4), strike)) AS max_pain_strike, min(pain) AS min_pain,
+                  ELSE 0 END) AS pain
+  FROM strikes s JOIN exact o ON o.coin = s.coin GROUP BY 1, 2)
+SELECT coin, CAST(arg_min(strike, (pain, strike)) AS DOUBLE) AS max_pain_strike, CAST(min(pain) AS DOUBLE) AS min_pain,
        count(*) AS strikes
 FROM pain GROUP BY coin""", doubles="max_pain_strike min_pain", digits=4)
 def q_max_pain(spark, sf):
@@ -158,14 +159,25 @@ def _venue_prices(spark, sf):
     return derivatives.latest_quotes(fx.venue_quotes(spark, sf))
 
 
-@register("arbitrage", "A15 P30 F9",
+@register("price_board", "A15 P30 T4",
+          sql=SQL_ARB + """
+SELECT vp.symbol, vp.venue, vp.price, row_number() OVER (PARTITION BY vp.symbol ORDER BY vp.price DESC, vp.venue) AS place,
+       CASE WHEN vp.venue = min_exchange THEN 'BEST BUY' WHEN vp.venue = max_exchange THEN 'BEST SELL' END AS price_tag,
+       spread_pct, tier
+FROM vp JOIN arb USING (symbol)""", doubles="price spread_pct")
+def q_price_board(spark, sf):
+    vp = _venue_prices(spark, sf)
+    return derivatives.price_board(vp, derivatives.arbitrage(vp))
+
+
+@register("arbitrage", "A15 F9",
           sql=SQL_ARB + "\nSELECT * FROM arb",
           doubles="min_price max_price spread_usd spread_pct")
 def q_arbitrage(spark, sf):
     return derivatives.arbitrage(_venue_prices(spark, sf))
 
 
-@register("top_spreads", "T3 T4",
+@register("top_spreads", "T3",
           sql=SQL_ARB + """,
 top AS (SELECT symbol, spread_pct FROM arb ORDER BY spread_pct DESC, symbol LIMIT 6)
 SELECT * FROM (

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantsilo import config as C
-from quantsilo.operators import alerts, indicators, ops, quotas, runs, silver
-from quantsilo.plans.catalog import register
-from quantsilo.plans.queries_indicators import SQL_HISTORY, SQL_LIVE, _live_rows
+from quantsilo.operators import alerts, derivatives, gold, indicators, ops, quotas, runs, silver
+from quantsilo.plans.catalog import register, spark_round_sql
+from quantsilo.plans.queries_indicators import SQL_HISTORY, SQL_LIVE_WINDOWS, live_windows
 from quantsilo.plans.queries_market import SQL_SILVER, SQL_WINDOWS, market_rows
 from quantsilo.sources import fixtures as fx
 from quantsilo.sources.fixtures import with_ctes
@@ -128,38 +128,74 @@ def q_folder_ranks(spark, sf):
 
 
 # ---------------------------------------------------------------- quotas ----
+# a burst: time 32768 times as fast, all requests of three users;  a busy day: 96 times, four addresses
+_BURST, _BUSY = (32768, 3, 20), (96, 200, 4)
+
+
 @register("per_second_violations", "R8",
-          sql=with_ctes(fx.SQL_REQUESTS, fx.SQL_USERS) + """
-SELECT c.user_id, c.second, c.requests, u.tier, l.per_second_limit
-FROM (SELECT user_id, time_bucket(INTERVAL '1 second', ts) AS second, count(*) AS requests
-      FROM requests GROUP BY 1, 2) c
-JOIN users u USING (user_id)
-JOIN (VALUES ('VIP', 50), ('PREMIUM', 10)) AS l(tier, per_second_limit) ON l.tier = u.tier
-WHERE c.requests > l.per_second_limit""")
+          sql=with_ctes("RECURSIVE " + fx.sql_busy(*_BURST), fx.SQL_USERS) + """,
+limits AS (SELECT user_id, tier, per_second_limit FROM users JOIN (VALUES ('VIP', 50), ('PREMIUM', 10)) AS l(tier, per_second_limit) USING (tier)),
+q AS (SELECT r.user_id, ts, row_number() OVER (PARTITION BY r.user_id ORDER BY ts, event_id) AS i
+      FROM requests r JOIN limits USING (user_id)),
+w AS (
+  SELECT user_id, ts AS began, ts AS last_ts, i, 1 AS n FROM q WHERE i = 1
+  UNION ALL
+  SELECT q.user_id, CASE WHEN q.ts >= w.began + INTERVAL '1 second' THEN q.ts ELSE w.began END, q.ts, q.i,
+         CASE WHEN q.ts >= w.began + INTERVAL '1 second' THEN 1 ELSE w.n + 1 END
+  FROM w JOIN q ON q.user_id = w.user_id AND q.i = w.i + 1),
+windows AS (SELECT user_id, began, max(i) - min(i) + 1 AS requests,
+                   row_number() OVER () AS k FROM (
+  SELECT *, sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY i) AS window_no FROM w)
+  GROUP BY user_id, began, window_no)
+SELECT user_id, began AS second, CAST(requests AS BIGINT) AS requests, tier, per_second_limit
+FROM windows JOIN limits USING (user_id) WHERE requests > per_second_limit""")
 def q_per_second(spark, sf):
-    return quotas.per_second_violations(fx.request_log(spark, sf), fx.users(spark, sf)).select(
-        "user_id", "second", "requests", "tier", "per_second_limit")
+    return quotas.per_second_violations(fx.busy_log(spark, sf, *_BURST), fx.users(spark, sf))
 
 
 @register("free_daily_bans", "R9",
-          sql=with_ctes(fx.SQL_REQUESTS, fx.SQL_USERS) + f"""
+          sql=with_ctes(fx.sql_busy(*_BURST), fx.SQL_USERS) + f"""
 SELECT user_id, min(ts) AS banned_at, min(day) AS ban_day FROM (
   SELECT user_id, ts, date_trunc('day', ts) AS day,
          row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS n
   FROM requests WHERE user_id IN (SELECT user_id FROM users WHERE tier = 'FREE'))
 WHERE n = {C.FREE_DAILY_CAP} GROUP BY user_id""")
 def q_free_bans(spark, sf):
-    return quotas.free_daily_bans(fx.request_log(spark, sf), fx.users(spark, sf))
+    return quotas.free_daily_bans(fx.busy_log(spark, sf, *_BURST), fx.users(spark, sf))
+
+
+def _counter_sql(actions: str, success: str, limit: int, ttl: int) -> str:
+    """The counter attempt by attempt: blocked is decided on what stands before the attempt."""
+    return with_ctes("RECURSIVE " + fx.sql_busy(*_BUSY)) + f""",
+a AS (SELECT ip AS key, ts, event_id, {success} AS ok, row_number() OVER (PARTITION BY ip ORDER BY ts, event_id) AS i
+      FROM requests WHERE action IN ({actions})),
+b AS (SELECT *, lag(ts) OVER (PARTITION BY key ORDER BY i) AS before FROM a),
+e AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL '{ttl} seconds' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY key ORDER BY i) AS episode FROM b),
+s AS (
+  SELECT key, i, episode, ts, event_id, false AS blocked, CASE WHEN ok THEN 0 ELSE 1 END AS n,
+         CASE WHEN ok THEN NULL ELSE ts + INTERVAL '{ttl} seconds' END AS expiry
+  FROM e WHERE i = 1
+  UNION ALL
+  SELECT e.key, e.i, e.episode, e.ts, e.event_id, x.n0 >= {limit},
+         CASE WHEN x.n0 >= {limit} THEN x.n0 WHEN e.ok THEN 0 ELSE x.n0 + 1 END,
+         CASE WHEN x.n0 >= {limit} THEN x.expiry WHEN e.ok THEN NULL ELSE e.ts + INTERVAL '{ttl} seconds' END
+  FROM (SELECT s.*, nxt.ts AS next_ts, CASE WHEN s.expiry IS NOT NULL AND nxt.ts > s.expiry THEN 0 ELSE s.n END AS n0
+        FROM s JOIN e nxt ON nxt.key = s.key AND nxt.i = s.i + 1) x
+  JOIN e ON e.key = x.key AND e.i = x.i + 1)
+SELECT key, CAST(episode AS BIGINT) AS episode, ts, event_id, blocked, CAST(n AS INTEGER) AS count_after FROM s WHERE blocked"""
 
 
-@register("login_locks", "R10")
+@register("login_locks", "R10",
+          sql=_counter_sql("'error', 'signup'", "action = 'signup'", C.LOGIN_MAX_FAILURES, C.LOGIN_LOCK_SECONDS))
 def q_login_locks(spark, sf):
-    return quotas.login_locks(fx.request_log(spark, sf))
+    return quotas.login_locks(fx.busy_log(spark, sf, *_BUSY))
 
 
-@register("registration_blocks", "R11")
+@register("registration_blocks", "R11",
+          sql=_counter_sql("'signup'", "false", C.REGISTRATION_MAX_PER_IP, C.REGISTRATION_WINDOW_SECONDS))
 def q_registration_blocks(spark, sf):
-    return quotas.registration_blocks(fx.request_log(spark, sf))
+    return quotas.registration_blocks(fx.busy_log(spark, sf, *_BUSY))
 
 
 @register("users_per_tier", "A24",
@@ -226,21 +262,19 @@ def q_flow_tags(spark, sf):
 
 
 @register("dashboard_signals", "P24 P25",
-          sql=SQL_LIVE + f"""
+          sql=SQL_LIVE_WINDOWS + f"""
 SELECT *,
   CASE WHEN predicted_price > average_price THEN 'BUY' ELSE 'SELL' END AS model_signal,
   CASE WHEN "RSI" > {C.RSI_OVERBOUGHT} THEN 'OVERBOUGHT' WHEN "RSI" < {C.RSI_OVERSOLD} THEN 'OVERSOLD'
        ELSE 'NEUTRAL' END AS rsi_state,
-  CASE WHEN abs(CASE WHEN trade_side = 'BUY' THEN volume_usd ELSE -volume_usd END) / (volume_usd + 1)
-            > {C.VPIN_FLOW_RISK} THEN 'TOXIC' ELSE 'CLEAN' END AS vpin_state,
-  CASE WHEN (CASE WHEN trade_side = 'BUY' THEN volume_usd ELSE -volume_usd END) > 0 THEN 'BUY_PRESSURE'
-       ELSE 'SELL_PRESSURE' END AS cvd_state,
+  CASE WHEN vpin_score > {C.VPIN_FLOW_RISK} THEN 'TOXIC' ELSE 'CLEAN' END AS vpin_state,
+  CASE WHEN cvd > 0 THEN 'BUY_PRESSURE' ELSE 'SELL_PRESSURE' END AS cvd_state,
   CASE WHEN "Bollinger_Upper" - average_price < average_price - "Bollinger_Lower" THEN 'NEAR_UPPER'
        ELSE 'NEAR_LOWER' END AS band_side
-FROM live""", doubles="average_price predicted_price volume_usd SMA_20 Std_Dev EMA12 EMA26 RSI MACD Signal_Line "
-                      "Bollinger_Upper Bollinger_Lower")
+FROM live""", doubles="average_price predicted_price volume_usd volatility cvd vpin_score SMA_20 Std_Dev EMA12 EMA26 RSI "
+                      "MACD Signal_Line Bollinger_Upper Bollinger_Lower")
 def q_dashboard_signals(spark, sf):
-    return ops.dashboard_signals(indicators.live_indicators(_live_rows(spark, sf)))
+    return ops.dashboard_signals(live_windows(spark, sf))
 
 
 @register("trend_flags", "P26",
@@ -278,7 +312,7 @@ def q_prediction_delta(spark, sf):
                     (F.col("predicted_price") - F.col("average_price")).alias("delta")))
 
 
-@register("newest_rows", "S7 T1 T6",
+@register("newest_rows", "S7 T1",
           sql=with_ctes(fx.SQL_TICKS) + """
 SELECT symbol, price AS average_price, ts AS processed_time, event_id FROM ticks
 ORDER BY ts DESC, event_id DESC LIMIT 1000""", doubles="average_price")
@@ -325,7 +359,15 @@ def q_readiness(spark, sf):
 
 
 @register("daily_digest", "A26",
-          sql=with_ctes(fx.SQL_TICKS, SQL_SILVER, fx.SQL_RUNS) + f""",
+          sql=with_ctes(fx.SQL_TICKS, SQL_SILVER, fx.SQL_RUNS, fx.SQL_QUOTES) + f""",
+day_prices AS (SELECT day, symbol, venue, arg_max(price, quote_id) AS price FROM quotes GROUP BY ALL),
+day_spreads AS (
+  SELECT day, symbol, {spark_round_sql("(max(price) - min(price)) / min(price) * 100", 4)} AS spread_pct,
+         arg_min(venue, (price, venue)) AS best_buy, arg_max(venue, (price, venue)) AS best_sell
+  FROM day_prices GROUP BY ALL HAVING count(*) >= 2),
+spreads AS (
+  SELECT day, symbol AS best_arbitrage, spread_pct AS best_spread_pct, best_buy, best_sell FROM (
+    SELECT *, row_number() OVER (PARTITION BY day ORDER BY spread_pct DESC, symbol) AS k FROM day_spreads) WHERE k = 1),
 parents AS (SELECT run_id AS parent_run_id, symbol AS coin_folder FROM runs WHERE parent_run_id IS NULL),
 children AS (
   SELECT r.run_id, coalesce(TRY_CAST(r.rmse AS DOUBLE), 9999.0) AS rmse, coalesce(TRY_CAST(r.r2 AS DOUBLE), 0.0) AS r2,
@@ -343,18 +385,19 @@ models AS (SELECT date_trunc('day', start_time) AS day, count(*) AS ml_update_co
                   arg_min(model_name, (rmse, run_id)) AS champion_model, arg_min(r2, (rmse, run_id)) AS champion_r2
            FROM children GROUP BY 1)
 SELECT day, coalesce(total_signals, 0) AS total_signals, coalesce(whale_events, 0) AS whale_events, top_symbol,
-       coalesce(ml_update_count, 0) AS ml_update_count, champion_model, champion_r2
-FROM market FULL OUTER JOIN models USING (day)""", doubles="champion_r2")
+       coalesce(ml_update_count, 0) AS ml_update_count, champion_model, champion_r2,
+       best_arbitrage, best_spread_pct, best_buy, best_sell
+FROM market FULL OUTER JOIN models USING (day) FULL OUTER JOIN spreads USING (day)""", doubles="champion_r2 best_spread_pct")
 def q_daily_digest(spark, sf):
-    return ops.daily_digest(silver.silver(fx.ticks(spark, sf)), _children(spark, sf))
+    return ops.daily_digest(silver.silver(fx.ticks(spark, sf)), _children(spark, sf),
+                            derivatives.daily_best_spread(fx.venue_quotes(spark, sf)))
 
 
 # -------------------------------------------------------------------- ML ----
 @register("prediction_metrics", "A27",
           sql=with_ctes(fx.SQL_TICKS) + """
 SELECT symbol, count(*) AS n, sqrt(sum((price - mark_price) * (price - mark_price)) / count(*)) AS rmse,
-       1.0 - sum((price - mark_price) * (price - mark_price))
-             / (sum(price * price) - sum(price) * sum(price) / count(*)) AS r2
+       1.0 - avg((price - mark_price) * (price - mark_price)) / var_pop(price) AS r2
 FROM ticks GROUP BY symbol""", doubles="rmse r2", digits=4)
 def q_prediction_metrics(spark, sf):
     from quantsilo.operators import ml
@@ -367,8 +410,8 @@ def q_model_league(spark, sf):
     from quantsilo.operators import ml
     w = silver.window_metrics(fx.ticks(spark, sf))
     ready = ops.rows_per_symbol(w)
-    feats = indicators.chronological_split(indicators.training_features(ops.trainable_rows(w), order="window_start"),
-                                           order="window_start")
+    feats = indicators.chronological_split(
+        indicators.training_features(ops.trainable_rows(w), order="window_start", keep=True))
     symbols = sorted(r.symbol for r in ready.select("symbol").collect())   # the gate's small symbol list
     runs_df, _ = ml.train_league(feats, symbols)
     return runs_df
@@ -385,6 +428,27 @@ def q_recent_export(spark, sf):
     return io.recent_export(silver.window_metrics(fx.ticks(spark, sf)), "PREMIUM")
 
 
+@register("recent_export_tiers", "P18",
+          sql=with_ctes(fx.SQL_TICKS, SQL_WINDOWS, fx.SQL_USERS) + """
+SELECT t.tier, symbol, average_price AS price, volume_usd, cvd, vpin_score AS vpin
+FROM win, (SELECT DISTINCT tier FROM users) t JOIN (VALUES ('PREMIUM', 12), ('VIP', 24)) AS l(tier, hours) USING (tier)
+WHERE processed_time >= (SELECT max(processed_time) FROM win) - to_hours(hours)""",
+          doubles="price volume_usd cvd vpin")
+def q_recent_export_tiers(spark, sf):
+    from quantsilo.sources import io
+    return io.recent_export_by_tier(silver.window_metrics(fx.ticks(spark, sf)), fx.users(spark, sf))
+
+
+@register("newest_buckets", "T6 A6",
+          sql=with_ctes(fx.SQL_TICKS) + """
+SELECT row_number() OVER (ORDER BY minute DESC, symbol) AS position, * FROM (
+  SELECT symbol, date_trunc('minute', ts) AS minute, avg(price) AS avg_price, max(price) AS max_price,
+         min(price) AS min_price, count(*) AS trade_count FROM ticks GROUP BY 1, 2)""",
+          doubles="avg_price max_price min_price")
+def q_newest_buckets(spark, sf):
+    return gold.newest_first(gold.minute_summary(market_rows(spark, sf)))
+
+
 @register("free_panel", "A29",
           sql=with_ctes(fx.SQL_TICKS) + """,
 now_t AS (SELECT max(ts) AS now_ts FROM ticks)
@@ -398,19 +462,29 @@ def q_free_panel(spark, sf):
     return ops.free_panel(fx.ticks(spark, sf))
 
 
+def _vendor_frame(bars_df, keep):
+    """Bars of the symbols with an odd (or even) first digit as a vendor delivers them."""
+    odd = F.substring("symbol", 1, 1).cast("int") % 2 == 1
+    b = bars_df.filter(odd if keep == "odd" else ~odd)
+    return b.select(
+        F.col("timestamp").alias("Date"), F.concat(F.lit("C"), F.substring("symbol", 1, 1), F.lit("-USD")).alias("ticker"),
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")])
+
+
 @register("bar_union", "U1 F3 F4",
           sql=with_ctes(fx.SQL_BARS) + """
 SELECT "timestamp", regexp_replace('C' || substr(symbol, 1, 1) || '-USD', '-USD$', 'USDT') AS symbol,
-       open, high, low, close, volume, year("timestamp") AS year FROM bars""",
-          doubles="open high low close volume")
+       open, high, low, close, CASE WHEN CAST(substr(symbol, 1, 1) AS INTEGER) % 2 = 1 THEN volume END AS volume,
+       year("timestamp") AS year,
+       CASE WHEN CAST(substr(symbol, 1, 1) AS INTEGER) % 2 = 0 THEN close * 0.5 END AS adjusted FROM bars""",
+          doubles="open high low close volume adjusted")
 def q_bar_union(spark, sf):
     from quantsilo.operators import bars
     b = fx.daily_bars(spark, sf)
-    # the vendor's frames of all instruments in one scan: each row carries its own ticker
-    frames = b.select(
-        F.col("timestamp").alias("Date"), F.concat(F.lit("C"), F.substring("symbol", 1, 1), F.lit("-USD")).alias("ticker"),
-        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close", "volume")])
-    return bars.normalize_bars(frames).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    # one vendor sends no adjusted close, the other no volume
+    one = bars.normalize_bars(_vendor_frame(b, "odd"))
+    two = bars.normalize_bars(_vendor_frame(b, "even")).withColumn("adjusted", F.col("close") * 0.5).drop("volume")
+    return bars.union_bars([one, two]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 _TR_HEADERS = ["Müşteri No", "Adı Soyadı", "Ülke Kodu", "Bakiye (₺)", "Sektör"]
@@ -430,7 +504,7 @@ def q_clean_headers(spark, sf):
     return clean.withColumn("sektor", io.clean_values("sektor"))
 
 
-@register("adhoc_sql", "S21 S22 S24",
+@register("adhoc_sql", "S21 S22",
           sql=with_ctes(fx.SQL_TICKS) + """
 SELECT symbol, count(*) AS trades, sum(volume_usd) AS notional FROM ticks GROUP BY symbol""",
           doubles="notional")
@@ -438,4 +512,4 @@ def q_adhoc_sql(spark, sf):
     from quantsilo.sources import io
     io.materialize(fx.ticks(spark, sf), "qs_ticks")                         # S21: view
     return io.run_sql(spark, "SELECT symbol, count(*) AS trades, sum(volume_usd) AS notional "
-                             "FROM qs_ticks GROUP BY symbol")               # S22 / S24
+                             "FROM qs_ticks GROUP BY symbol")               # S22

@@ -175,6 +175,7 @@ def venue_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("V"), F.col("l_suppkey").cast("string")).alias("venue"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("quote_id"),
+        F.date_trunc("day", "l_shipdate").alias("day"),
     )
 
 
@@ -182,7 +183,7 @@ SQL_QUOTES = """quotes AS (
   SELECT 'P' || CAST(l_partkey AS VARCHAR) AS symbol,
          'V' || CAST(l_suppkey AS VARCHAR) AS venue,
          l_extendedprice / l_quantity AS price,
-         l_orderkey * 1000 + l_linenumber AS quote_id
+         l_orderkey * 1000 + l_linenumber AS quote_id, date_trunc('day', l_shipdate) AS day
   FROM lineitem)"""
 
 
@@ -285,6 +286,25 @@ SQL_REQUESTS = """requests AS (
   FROM events)"""
 
 
+def busy_log(spark: SparkSession, sf_dir: str, squeeze: int, users: int, ips: int) -> DataFrame:
+    """The request log of a busy day: time runs ``squeeze`` times as fast, over few users and addresses."""
+    start = F.lit("2024-01-01").cast("timestamp")
+    e = table(spark, sf_dir, "events")
+    t = F.unix_micros(start) + F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(start)) / squeeze)
+    return e.select(
+        (F.col("user_id") % users + 1).alias("user_id"), F.timestamp_micros(t.cast("long")).cast("timestamp_ntz").alias("ts"),
+        "event_id", F.col("event_type").alias("action"),
+        F.concat(F.lit("10.0.0."), (F.col("user_id") % ips).cast("string")).alias("ip"))
+
+
+def sql_busy(squeeze: int, users: int, ips: int) -> str:
+    return f"""requests AS (
+  SELECT user_id % {users} + 1 AS user_id,
+         make_timestamp(CAST(epoch_us(TIMESTAMP '2024-01-01') + floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / {squeeze}) AS BIGINT)) AS ts,
+         event_id, event_type AS action, '10.0.0.' || CAST(user_id % {ips} AS VARCHAR) AS ip
+  FROM events)"""
+
+
 # ------------------------------------------------------------- model runs ----
 _RUN_NAMES = ("Deep_Forest", "Quick_Forest", "Plain_Line")
 

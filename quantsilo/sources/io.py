@@ -69,7 +69,7 @@ def recent_export(market: DataFrame, tier: str, time_col: str = "processed_time"
 
     'Now' is the newest row of the table, so history exports are reproducible.
     """
-    hours = {"PREMIUM": 12, "VIP": 24}.get(tier)
+    hours = dict(C.EXPORT_HOURS).get(tier)
     if hours is None:
         raise PermissionError("FREE tier cannot export")
     m = with_stats(market, market.agg(F.max(time_col).alias("_now")))
@@ -78,6 +78,21 @@ def recent_export(market: DataFrame, tier: str, time_col: str = "processed_time"
                     F.col("vpin_score").alias("vpin")))
 
 
+def recent_export_by_tier(market: DataFrame, users: DataFrame, time_col: str = "processed_time",
+                          hours=C.EXPORT_HOURS) -> DataFrame:
+    """S19 + P18: the export rows of every tier that users hold and that may export (PREMIUM, VIP).
+
+    Each row is copied to the tiers whose interval holds it, a fixed list, and tiers without a user drop
+    out by a semi-join with the distinct tiers, at most as many rows as there are tiers.
+    """
+    m = with_stats(market, market.agg(F.max(time_col).alias("_now")))
+    tiers = F.array(*[F.when(F.col(time_col) >= F.col("_now") - F.expr(f"INTERVAL {h} HOURS"), F.lit(t)) for t, h in hours])
+    rows = m.select(F.explode(F.array_compact(tiers)).alias("tier"), "symbol", F.col("average_price").alias("price"),
+                    "volume_usd", "cvd", F.col("vpin_score").alias("vpin"))
+    held = users.filter(F.col("tier").isin([t for t, _ in hours])).select("tier").distinct()
+    return rows.join(F.broadcast(held), "tier", "left_semi")
+
+
 # ------------------------------------------------------------- lake IO ----
 def read_lake(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Table scan (Delta or Parquet); filters on partition columns prune directories."""
@@ -96,10 +111,10 @@ def write_lake(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite
 NOT_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if there is none; other errors are raised."""
+def read_if_there(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if there is none; other errors are raised."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() not in NOT_THERE:
             raise

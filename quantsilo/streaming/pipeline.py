@@ -125,12 +125,10 @@ class SilverSink:
             return batch.select(*self.KEYS)
         keys = batch.select(*self.KEYS, F.lit(1).alias("_new")).unionByName(
             hist.select(*self.KEYS, F.lit(0).alias("_new")))
-        keys = keys.withColumn("_chunk", ordered.time_chunk("window_start"))
-        keys = ordered.add_sequence(keys, ["symbol"], ["window_start"], "_chunk", out="_seq", keep_blocks=True)
         reach = self.history - 1
-        keys = ordered.rolling(keys, ["symbol"], "_seq", lambda w: [
+        keys = ordered.rolling(ordered.arrange(keys, ["symbol"], ["window_start"]), lambda w: [
             F.max("_new").over(w.rowsBetween(-reach, 0)).alias("_hit")], lookback=reach)
-        return ordered.drop_plan(keys.filter("_hit = 1")).select(*self.KEYS)
+        return keys.filter("_hit = 1").select(*self.KEYS)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession

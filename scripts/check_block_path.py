@@ -17,8 +17,8 @@ w = silver.window_metrics(fx.ticks(spark, sf))
 base = {"anomaly": rows(silver.anomaly_flags(w)),
         "live": rows(indicators.live_indicators(_live_rows(spark, sf))),
         "history": rows(indicators.history_indicators(fx.daily_bars(spark, sf)))}
-multi = {"anomaly": rows(silver.anomaly_flags(w, block_rows=500, chunk_seconds=3600)),
-         "live": rows(indicators.live_indicators(_live_rows(spark, sf), block_rows=1000, chunk_seconds=3600)),
-         "history": rows(indicators.history_indicators(fx.daily_bars(spark, sf), block_rows=800, chunk_seconds=30 * 86400))}
+multi = {"anomaly": rows(silver.anomaly_flags(w, block_rows=500)),
+         "live": rows(indicators.live_indicators(_live_rows(spark, sf), block_rows=1000)),
+         "history": rows(indicators.history_indicators(fx.daily_bars(spark, sf), block_rows=800))}
 for k in base:
     print(k, len(base[k]), "equal" if base[k] == multi[k] else "DIFFER")

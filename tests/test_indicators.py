@@ -4,10 +4,12 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quantsilo.operators import indicators
+from quantsilo.plans import ordered, recursion
 
 
 def _bars(spark, prices, symbol="A"):
@@ -49,14 +51,32 @@ def test_history_indicators_match_pandas(spark):
         assert np.allclose(a[~np.isnan(a)], b[~np.isnan(b)], rtol=1e-9, atol=1e-9), c
 
 
-def test_ema_exact_across_blocks(spark):
-    prices = [float(100 + (i * 37) % 23) for i in range(2500)]
-    df = indicators._sequenced(_bars(spark, prices), "symbol", ["timestamp"], 86400 * 7, block_rows=700)
-    got = indicators.ema_columns(df, "symbol", "_seq", "close", block_rows=700).orderBy("_seq").toPandas()
-    s = pd.Series(prices)
-    e12, e26 = s.ewm(span=12, adjust=False).mean(), s.ewm(span=26, adjust=False).mean()
-    assert np.allclose(got["MACD"], e12 - e26, rtol=0, atol=1e-9)
-    assert np.allclose(got["Signal"], (e12 - e26).ewm(span=9, adjust=False).mean(), rtol=0, atol=1e-9)
+@pytest.mark.parametrize("block_rows,piece", [(700, 2048), (64, 16), (5000, 300), (5, 2048)])
+def test_ema_exact_across_blocks_and_pieces(spark, monkeypatch, block_rows, piece):
+    monkeypatch.setattr(recursion, "PIECE", piece)
+    prices = {"A": [float(100 + (i * 37) % 23) for i in range(900)], "B": [5.0], None: [float(i) for i in range(40)]}
+    bars = None
+    for sym, p in prices.items():
+        bars = _bars(spark, p, sym) if bars is None else bars.unionByName(_bars(spark, p, sym))
+    df = ordered.arrange(bars, ["symbol"], ["timestamp"], block_rows)
+    got = recursion.ema_columns(df, "close", indicators.EMA_SPANS).orderBy("_g").toPandas()
+    for sym, p in prices.items():
+        mine = got[got["symbol"].isna()] if sym is None else got[got["symbol"] == sym]
+        s = pd.Series(p)
+        e12, e26 = s.ewm(span=12, adjust=False).mean(), s.ewm(span=26, adjust=False).mean()
+        for name, want in (("EMA12", e12), ("EMA26", e26), ("MACD", e12 - e26),
+                           ("Signal", (e12 - e26).ewm(span=9, adjust=False).mean())):
+            assert np.allclose(mine[name], want, rtol=1e-11, atol=1e-9), (sym, name)
+
+
+def test_ema_passes_over_missing_prices(spark):
+    prices = [None, None, 3.0, 4.0, None, 7.0, 2.0, None]
+    df = ordered.arrange(_bars(spark, [0.0] * 8).drop("close").join(
+        spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(days=i), p) for i, p in enumerate(prices)],
+                              "timestamp timestamp_ntz, close double"), "timestamp"), ["symbol"], ["timestamp"], 3)
+    got = recursion.ema_columns(df, "close", indicators.EMA_SPANS).orderBy("_g").toPandas()["EMA12"]
+    want = pd.Series(prices).ewm(span=12, adjust=False, ignore_na=True).mean()
+    assert np.allclose(got, want, equal_nan=True)
 
 
 def test_rsi_edge_cases(spark):
@@ -74,7 +94,7 @@ def test_training_features_and_split(spark):
     rows = [("A", t0 + dt.timedelta(seconds=5 * i), float(i), float(i % 3)) for i in range(30)]
     df = spark.createDataFrame(rows, "symbol string, processed_time timestamp_ntz, average_price double, "
                                      "volatility double")
-    f = indicators.training_features(df, block_rows=12)
+    f = indicators.training_features(df, block_rows=12, keep=True)
     pdf = f.orderBy("processed_time").toPandas()
     # first 9 rows lack ma_10, the last lacks a target
     assert len(pdf) == 30 - 9 - 1
