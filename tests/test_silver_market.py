@@ -100,7 +100,7 @@ def test_enrich_trades_state_and_interval_sums(spark):
             msg(7, 5, "trade")]                                  # same instant: mark applies first
     schema = ("raw_symbol string, kind string, kind_rank int, ts timestamp_ntz, event_id long, p string, "
               "q string, m boolean, T long, bid_wall double, ask_wall double, r double, liq_side string")
-    out = {r.event_id: r for r in exchange.enrich_trades(spark.createDataFrame(rows, schema), chunk_seconds=2).collect()}
+    out = {r.event_id: r for r in exchange.enrich_trades(spark.createDataFrame(rows, schema), block_rows=2).collect()}
     assert out[1].buy_wall_usd == 0.0 and out[1].liq_buy_usd == 0.0
     assert out[5].liq_buy_usd == 10.0 and out[5].liq_sell_usd == 1.0 and out[5].imbalance_ratio == 0.5
     assert out[7].liq_buy_usd == 0.0 and out[7].mark_price == 11.0 and out[7].symbol == "S1"
