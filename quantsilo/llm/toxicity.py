@@ -28,8 +28,8 @@ SMOOTH = 0.5
 SAMPLE_PARTS = 16
 SLICES = 16
 L2 = 1.0
-#: Bytes hashed at once.
-BLOCK = 1 << 16
+#: Bytes hashed at once, and features of training rows that the fit widens at once.
+BLOCK, FIT_BLOCK = 1 << 16, 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += np.uint64(32)
@@ -101,21 +101,38 @@ def fit(sets: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, ratios: np.nd
     y = np.asarray(y, bool)
     if not len(y) or y.all() or not y.any():
         return Model(np.zeros(buckets, np.float32), 0.0, ngrams, known=False)
-    n_rows, k = len(y), len(chosen)
-    row = np.repeat(np.arange(n_rows), [len(c) for c in sets])
-    col = np.concatenate(sets).astype(np.int64)
-    x = ratios[col]
+    k = len(chosen)
+    sizes = np.array([len(c) for c in sets], np.int64)
+    # places in ``chosen`` stay as narrow as they come; rows are widened in groups of about FIT_BLOCK places
+    ends = np.cumsum(sizes)
+    first = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]) + 1, FIT_BLOCK), "right")).tolist()
+    groups = [(a, z, np.concatenate(sets[a:z])) for a, z in zip(first, [*first[1:], len(y)]) if a < z and sizes[a:z].any()]
+
+    def each():
+        for a, z, places in groups:
+            col = places.astype(np.int64)
+            yield a, z, np.repeat(np.arange(z - a), sizes[a:z]), col, ratios[col]
+
     w, b, t = np.zeros(k), float(np.log(y.sum() / (~y).sum())), y.astype(float)
     # a bound of the logistic loss's curvature gives each coordinate its step; Nesterov momentum
-    wide = np.bincount(row, np.abs(x), n_rows)
-    step = 1 / (0.25 * np.bincount(col, np.abs(x) * (wide[row] + 1), k) + l2)
+    wide, curve = np.zeros(len(y)), np.zeros(k)
+    for a, z, row, col, x in each():
+        wide[a:z] = np.bincount(row, np.abs(x), z - a)
+        curve += np.bincount(col, np.abs(x) * (wide[a:z][row] + 1), k)
+    step = 1 / (0.25 * curve + l2)
     step_b = 1 / (0.25 * (wide + 1).sum())
     v, vb = w, b
     for i in range(steps):
-        z = np.bincount(row, x * v[col], n_rows) + vb
-        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - t
-        w2 = v - step * (np.bincount(col, x * e[row], k) + l2 * v)
-        b2 = vb - step_b * e.sum()
+        slope, total = l2 * v, 0.0
+        seen = np.zeros(len(y), bool)
+        for a, z, row, col, x in each():
+            e = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * v[col], z - a) + vb, -30, 30))) - t[a:z]
+            slope += np.bincount(col, x * e[row], k)
+            total += e.sum()
+            seen[a:z] = True
+        total += (1 / (1 + np.exp(-vb)) - t[~seen]).sum()       # rows without any chosen feature
+        w2 = v - step * slope
+        b2 = vb - step_b * total
         f = i / (i + 3)
         v, vb, w, b = w2 + f * (w2 - w), b2 + f * (b2 - b), w2, b2
     weights = np.zeros(buckets, np.float32)
