@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantsilo.session import ensure_checkpoint_dir
+from quantsilo.session import ensure_checkpoint_dir, scratch_path
 
 #: Words are runs of characters outside these (space, \t, \n, \v, \f, \r).
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -31,6 +31,13 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once into a compressed table in that folder: for rows that are many or read by columns."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches handed to Python by bytes, unless the session sets its own bound."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -12,7 +12,8 @@ candidates few.  The order is cut into fragments of equal mass.
    one that it meets most often, so a group of near copies has as many candidates as members.
 3. Candidates are checked exactly: overlaps are counted in each fragment apart and summed by pair.
 4. What shares a prefix shingle and is not connected yet is checked as well, so no link between
-   different components is lost; components follow by alternating large-star and small-star steps.
+   different components is lost; a pair comes up once for each stretch of shingles that its prefixes
+   share.  Components follow by alternating large-star and small-star steps.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantsilo.llm.common import (SPACES, byte_set, mix, plain_text, reliable, shuffle_partitions, small_batches,
+from quantsilo.llm.common import (SPACES, byte_set, mix, plain_text, shuffle_partitions, small_batches, stored,
                                   text_buffer, word_hashes, word_spans)
 
 #: Counters of the frequency sketch, 2 ** SKETCH_BITS.
@@ -122,7 +123,7 @@ def _star(schema: pa.Schema):
 
     A run may go on in the next partition, so the first and the last run of a partition always stay.
     """
-    cols = ("token", "node", "n", "p")
+    cols = ("token", "node", "n", "p", "prev")
 
     def run(batches):
         held, head, first_run = None, None, True     # held: last row, while its run has only this one
@@ -130,14 +131,14 @@ def _star(schema: pa.Schema):
         for b in batches:
             if not b.num_rows:
                 continue
-            t, node, n, p = (b.column(c).to_numpy() for c in cols)
+            t, node, n, p, prev = (b.column(c).to_numpy() for c in cols)
             new = np.ones(len(t), bool)
             new[1:] = t[1:] != t[:-1]
             new[0] = head is None or t[0] != head[0]
             at = np.maximum.accumulate(np.where(new, np.arange(len(t)), -1))
             lead = {c: np.where(at >= 0, x[np.maximum(at, 0)], 0) for c, x in zip(cols, (t, node, n, p))}
             if not new[0]:
-                for i, c in enumerate(cols):
+                for i, c in enumerate(cols[:4]):
                     lead[c][at < 0] = head[i]
             last_of_run = np.ones(len(t), bool)
             last_of_run[:-1] = new[1:]
@@ -152,10 +153,10 @@ def _star(schema: pa.Schema):
             held = None
             rows = np.flatnonzero(keep)
             if len(rows):
-                yield _rows(schema, t, node, n, p, lead, rows)
+                yield _rows(schema, t, node, n, p, prev, lead, rows)
             last = len(t) - 1
             alone = bool(new[last])
-            tail = _rows(schema, t, node, n, p, lead, np.array([last]))
+            tail = _rows(schema, t, node, n, p, prev, lead, np.array([last]))
             head = tuple(x[at[last]] for x in (t, node, n, p)) if at[last] >= 0 else head
             if alone and not first_run:
                 held = tail
@@ -167,9 +168,9 @@ def _star(schema: pa.Schema):
     return run
 
 
-def _rows(schema, t, node, n, p, lead, rows):
+def _rows(schema, t, node, n, p, prev, lead, rows):
     return pa.RecordBatch.from_arrays(
-        [pa.array(x[rows]) for x in (t, node, n, p, lead["node"], lead["n"], lead["p"])], schema=schema)
+        [pa.array(x[rows]) for x in (t, node, n, p, prev, lead["node"], lead["n"], lead["p"])], schema=schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,7 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    e = reliable(low(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))))
+    e = stored(low(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))))
     seen = state(e)
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -194,14 +195,14 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
-        e = reliable(low(small))
+        e = stored(low(small))
         now = state(e)
         if now == seen:
             break
         seen = now
     ends = e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("comp"))
-    return reliable(ends.unionByName(roots).distinct())
+    return stored(ends.unionByName(roots).distinct())
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
@@ -237,14 +238,17 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
                 [b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64()))], ["id", "n", "node", "node2", "prefix"])
 
-    rows = reliable(texts.mapInArrow(sets, f"id {id_type}, n long, node long, node2 long, prefix array<long>"))
-    classes = reliable(rows.where("n > 0").groupBy("node", "node2", "n")
-                       .agg(F.min("id").alias("min_id"), F.first("prefix").alias("prefix")))
-
-    schema = pa.schema([(c, pa.int64()) for c in ("token", "node", "n", "p", "c_node", "c_n", "c_p")])
-    prefix_rows = classes.select("node", "n", F.posexplode("prefix").alias("p", "token")).select(
-        "token", "node", "n", F.col("p").cast("long").alias("p"))
-    runs = reliable(prefix_rows.repartitionByRange(shuffle_partitions(spark), "token", "p", "node")
+    rows = stored(texts.mapInArrow(sets, f"id {id_type}, n long, node long, node2 long, prefix array<long>"))
+    classes = stored(rows.where("n > 0").groupBy("node", "node2", "n")
+                     .agg(F.min("id").alias("min_id"), F.first("prefix").alias("prefix")))
+
+    schema = pa.schema([(c, pa.int64()) for c in ("token", "node", "n", "p", "prev", "c_node", "c_n", "c_p")])
+    # every prefix shingle with the one before it in the order (-1: none)
+    steps = F.transform("prefix", lambda t, i: F.struct(t.alias("token"), F.when(i > 0, F.element_at(
+        "prefix", F.greatest(i, F.lit(1)))).otherwise(F.lit(-1)).alias("prev")))
+    prefix_rows = classes.select("node", "n", F.posexplode(steps).alias("p", "x")).select(
+        "x.token", "node", "n", F.col("p").cast("long").alias("p"), "x.prev")
+    runs = stored(prefix_rows.repartitionByRange(shuffle_partitions(spark), "token", "p", "node")
                     .sortWithinPartitions("token", "p", "node")
                     .mapInArrow(_star(schema), ", ".join(f"{f.name} long" for f in schema)))
 
@@ -272,18 +276,20 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     labels = components(found)
 
     # runs that still hold several components: all but the most frequent one meet everything in the run
-    known = (runs.select("token", "node", "n", "p").join(labels, "node", "left")
+    known = (runs.select("token", "node", "n", "p", "prev").join(labels, "node", "left")
              .withColumn("comp", F.coalesce("comp", "node")))
     mixed = (known.groupBy("token", "comp").agg(F.count("*").alias("k"), F.min("n").alias("n"))
              .groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("comps"),
                                    F.min("n").alias("least_n")).where("comps > 1"))
     # a row whose shingle stands too far back for any partner of the run cannot link through it
     smallest = F.greatest(c("least_n"), F.ceil(num * c("n") / F.lit(float(den)) - 1e-9))
-    rest = reliable(known.join(mixed, "token").where(c("p") <= c("n") - least_overlap(c("n"), smallest))
-                    .select("token", "node", "n", "p", "comp", "main"))
+    rest = stored(known.join(mixed, "token").where(c("p") <= c("n") - least_overlap(c("n"), smallest))
+                  .select("token", "node", "n", "p", "prev", "comp", "main"))
     x, y = rest.where("comp <> main").alias("x"), rest.alias("y")
     cross = x.join(y, c("x.token") == c("y.token")).where(
         (c("x.comp") != c("y.comp")) & ((c("y.comp") == c("y.main")) | (c("x.node") < c("y.node")))
+        # two sets that also share the shingle before this one meet there, where they stand further ahead
+        & ((c("x.prev") != c("y.prev")) | (c("x.prev") < 0))
         & may_link(c("x.n"), c("x.p"), c("y.n"), c("y.p")))
     more = _verified(texts, classes, as_pairs(cross, c("x.node"), c("x.n"), c("y.node"), c("y.n")), order, words, num,
                      den, fragments)
@@ -291,7 +297,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
 
     named = classes.select("node", "node2", "min_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = named.groupBy("comp").agg(F.min("min_id").alias("component_id"))
-    placed = reliable(named.join(lowest, "comp").select("node", "node2", "component_id"))
+    placed = stored(named.join(lowest, "comp").select("node", "node2", "component_id"))
     # a class may hold a large part of all rows: two plain sides, which adaptive execution can split
     full = rows.where("n > 0").select("id", "n", "node", "node2").join(placed, ["node", "node2"])
     empty = rows.where("n = 0").select("id", "n", c("id").alias("component_id"))
@@ -311,12 +317,12 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, wor
     c = F.size(F.array_intersect("pa", "pb"))
     a_ends_first = F.element_at("pa", -1) <= F.element_at("pb", -1)
     most = F.when(a_ends_first, F.col("na") - F.size("pa") + c).otherwise(F.col("nb") - F.size("pb") + c)
-    pairs = reliable(
+    pairs = stored(
         pairs.join(heads.select(F.col("node").alias("a"), F.col("prefix").alias("pa")), "a")
         .join(heads.select(F.col("node").alias("b"), F.col("prefix").alias("pb")), "b")
         .where(most * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = reliable(classes.join(wanted, "node", "left_semi").select(F.col("min_id").alias("id")).distinct())
+    ids = stored(classes.join(wanted, "node", "left_semi").select(F.col("min_id").alias("id")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     fetched = texts.join(chosen, "id", "left_semi").unionByName(texts.where("id IS NULL"))
 
@@ -339,7 +345,7 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, wor
 
     segments = (fetched.select("id", "t").mapInArrow(cut, "node long, part int, tokens array<long>")
                 .join(wanted, "node", "left_semi"))
-    segments = reliable(segments)
+    segments = stored(segments)
     one = segments.select(F.col("node").alias("a"), "part", F.col("tokens").alias("ta"))
     two = segments.select(F.col("node").alias("b"), "part", F.col("tokens").alias("tb"))
     overlap = (pairs.withColumn("part", F.explode(F.array(*map(F.lit, range(fragments)))))
@@ -347,5 +353,5 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, wor
                .select("a", "b", "na", "nb", "part", F.size(F.array_intersect("ta", "tb")).cast("long").alias("k")))
     # rows that repeat an id give their set more than once, and the same overlaps
     overlap = overlap.groupBy("a", "b", "na", "nb", "part").agg(F.max("k").alias("k"))
-    return reliable(overlap.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
+    return stored(overlap.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
                     .where(den * F.col("k") >= num * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b"))
