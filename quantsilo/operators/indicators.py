@@ -100,9 +100,10 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
 
 def training_features(rows: DataFrame, key: str = "symbol", order: str = "processed_time",
                       price: str = "average_price", vol: str = "volatility",
-                      block_rows: int = ordered.DEFAULT_BLOCK_ROWS, keep: bool = False) -> DataFrame:
+                      block_rows: int = ordered.DEFAULT_BLOCK_ROWS, keep: bool = False,
+                      complete: bool = True) -> DataFrame:
     """M3: lags 1/3 (W1), means 5/10 (W4), momentum and volatility change (W10),
-    next price as target (W2); rows with any NULL dropped (P6).
+    next price as target (W2); rows with any NULL dropped (P6) if ``complete``.
 
     With ``keep`` the columns of ``ordered.arrange`` stay, for ``chronological_split``.
     """
@@ -119,7 +120,8 @@ def training_features(rows: DataFrame, key: str = "symbol", order: str = "proces
             F.lead(price, 1).over(w).alias("target_price"),
         ]
 
-    r = ordered.rolling(df, build, lookback=max(C.FEATURE_MA_PERIODS), lookahead=1).dropna()
+    r = ordered.rolling(df, build, lookback=max(C.FEATURE_MA_PERIODS), lookahead=1)
+    r = r.dropna() if complete else r
     return r if keep else ordered.drop_helpers(r)
 
 

@@ -9,6 +9,9 @@ distributed job over one symbol's rows; the driver only iterates over the
 
 Metrics (A27) are SQL aggregates - RMSE and R2 for every (symbol, model) in
 one pass - not per-model driver loops.
+
+Batch scoring (M5) holds models as rows: linear ones come from one aggregate
+over all symbols, and one join scores every row.
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quantsilo import config as C
 from quantsilo.plans import topk
+from quantsilo.plans.joins import broadcast_if_small
 
 FEATURES = ["volatility", "lag_1", "lag_3", "ma_5", "ma_10", "momentum", "volatility_change"]
 TARGET = "target_price"
@@ -93,16 +98,54 @@ def train_league(split_features: DataFrame, symbols: list[str], estimators: dict
     return runs, models
 
 
-def score(rows: DataFrame, winners: dict, price: str = "average_price") -> DataFrame:
-    """M5: predicted price from the symbol's winning model; the price itself when no model exists."""
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    data = assembler.transform(rows)
-    parts = []
-    for sym, model in winners.items():
-        parts.append(model.transform(data.filter(F.col("symbol") == sym))
-                     .withColumn("predicted_price", F.col("prediction")).drop("prediction"))
-    known = list(winners)
-    rest = data.filter(~F.col("symbol").isin(known) if known else F.lit(True)).withColumn(
-        "predicted_price", F.col(price))
-    out = reduce(DataFrame.unionByName, parts + [rest])
-    return out.drop("features").withColumn("predicted_price", F.round("predicted_price", 5))
+# ------------------------------------------------------------ models as rows ----
+def _moment(i: int, j: int) -> str:
+    return f"_c{i}_{j}"
+
+
+def fit_linear(rows: DataFrame, features: list[str], target: str = TARGET, key: str = "symbol",
+               minimum: int = C.MIN_ROWS_PER_SYMBOL) -> DataFrame:
+    """One least-squares model a key, as a row: (key, n, intercept, coefficients in the order of ``features``).
+
+    All covariances come from one aggregate over rows without nulls (map-side combined, so a hot key is
+    no hot task); the normal equations of a key are solved on its one summary row.  Keys with ``minimum``
+    rows or fewer, or with dependent features, have no model.
+    """
+    cols = [*features, target]
+    known = rows.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    k = len(features)
+    pairs = [(i, j) for i in range(k) for j in range(i, k + 1)]
+    sums = known.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)],
+        *[F.covar_pop(cols[i], cols[j]).alias(_moment(i, j)) for i, j in pairs]).filter(F.col("n") > minimum)
+    kind = sums.schema[key].dataType.simpleString()
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                gram = np.array([[r[_moment(min(i, j), max(i, j))] for j in range(k)] for i in range(k)])
+                scale = np.sqrt(np.diag(gram))
+                if not (scale > 0).all():
+                    continue
+                unit = gram / np.outer(scale, scale)
+                if np.linalg.cond(unit) > 1e10:
+                    continue
+                b = np.linalg.solve(unit, np.array([r[_moment(i, k)] for i in range(k)]) / scale) / scale
+                out.append((r[key], r["n"], float(r[f"_m{k}"] - b @ [r[f"_m{i}"] for i in range(k)]), b.tolist()))
+            yield pd.DataFrame(out, columns=[key, "n", "intercept", "coefficients"])
+
+    return sums.mapInPandas(solve, f"`{key}` {kind}, n long, intercept double, coefficients array<double>")
+
+
+def score_linear(rows: DataFrame, models: DataFrame, features: list[str], key: str = "symbol",
+                 price: str = "average_price", out: str = "predicted_price") -> DataFrame:
+    """M5: every row's prediction by its key's model in one pass; the price where there is no model or a feature is null.
+
+    Models are joined as rows (``broadcast_if_small``), so their number does not change the plan.
+    """
+    m = models.select(F.col(key).alias("_key"), "intercept", "coefficients")
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    hit = F.aggregate(F.zip_with(x, "coefficients", lambda a, b: a * b), F.col("intercept"), lambda s, v: s + v)
+    return (rows.join(broadcast_if_small(m), rows[key] == m["_key"], "left")
+            .withColumn(out, F.round(F.coalesce(hit, F.col(price)), 5)).drop("_key", "intercept", "coefficients"))

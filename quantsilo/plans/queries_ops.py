@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quantsilo import config as C
 from quantsilo.operators import alerts, derivatives, gold, indicators, ops, quotas, runs, silver
 from quantsilo.plans.catalog import register, spark_round_sql
-from quantsilo.plans.queries_indicators import SQL_HISTORY, SQL_LIVE_WINDOWS, live_windows
+from quantsilo.plans.queries_indicators import SQL_FEATURES, SQL_HISTORY, SQL_LIVE_WINDOWS, live_windows
 from quantsilo.plans.queries_market import SQL_SILVER, SQL_WINDOWS, market_rows
 from quantsilo.sources import fixtures as fx
 from quantsilo.sources.fixtures import with_ctes
@@ -417,6 +417,34 @@ def q_model_league(spark, sf):
     return runs_df
 
 
+#: Features of the scoring models, few enough for their normal equations to be said in SQL.
+_SCORING = ["average_price", "momentum"]
+
+
+@register("batch_scoring", "M5",
+          sql=with_ctes(fx.SQL_TICKS, SQL_FEATURES) + """,
+m AS (
+  SELECT symbol, avg(target_price) AS my, avg(average_price) AS m1, avg(momentum) AS m2,
+         covar_pop(average_price, average_price) AS c11, covar_pop(momentum, momentum) AS c22,
+         covar_pop(average_price, momentum) AS c12, covar_pop(average_price, target_price) AS c1y,
+         covar_pop(momentum, target_price) AS c2y
+  FROM (SELECT * FROM feat WHERE average_price IS NOT NULL AND momentum IS NOT NULL AND target_price IS NOT NULL)
+  WHERE symbol <> 'error' GROUP BY symbol HAVING count(*) > 20),
+b AS (SELECT *, (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS b1,
+             (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS b2 FROM m)
+SELECT f.symbol, f.window_start, f.average_price, f.momentum,
+       """ + spark_round_sql("coalesce(my - b1 * m1 - b2 * m2 + b1 * f.average_price + b2 * f.momentum, f.average_price)", 5) + """
+         AS predicted_price
+FROM feat f LEFT JOIN b USING (symbol)""", doubles="average_price momentum predicted_price", digits=4)
+def q_batch_scoring(spark, sf):
+    """Every window scored by its symbol's model; 'error' has none, and the first windows of a symbol no momentum."""
+    from quantsilo.operators import ml
+    w = silver.window_metrics(fx.ticks(spark, sf))
+    rows = indicators.training_features(w, order="window_start", complete=False)
+    models = ml.fit_linear(rows.filter(F.col("symbol") != "error"), _SCORING)
+    return ml.score_linear(rows, models, _SCORING).select("symbol", "window_start", *_SCORING, "predicted_price")
+
+
 # ----------------------------------------------------- exports / panels ----
 @register("recent_export_premium", "P18",
           sql=with_ctes(fx.SQL_TICKS, SQL_WINDOWS) + """

@@ -197,19 +197,20 @@ def truncate(spark: SparkSession, path: str) -> None:
     df.limit(0).checkpoint(eager=True).write.mode("overwrite").parquet(path)
 
 
-def compact(spark: SparkSession, path: str, out_path: str, files: int, sort_cols: list[str]) -> None:
-    """Small-file compaction: range-partition into ``files`` sorted files at a new path (swap after)."""
-    spark.read.parquet(path).repartitionByRange(files, *sort_cols).sortWithinPartitions(*sort_cols) \
-        .write.mode("overwrite").parquet(out_path)
-
-
 # ------------------------------------------------------------------ XML ----
-RSS_ITEM = "title STRING, link STRING, pubDate STRING"
+RSS_ITEM = "struct<title: string, link: string, pubDate: string>"
+#: Items stand in the channel (RSS 2.0) or beside it (RSS 1.0); attributes and namespaces are passed over.
+RSS_FEED = f"channel struct<item: array<{RSS_ITEM}>>, item array<{RSS_ITEM}>"
 
 
 def rss_items(docs: DataFrame, xml_col: str = "xml", limit: int = 5) -> DataFrame:
-    """Parse RSS <item> elements (title, link, pubDate) with ``from_xml``; the first ``limit`` per feed."""
-    items = F.regexp_extract_all(F.col(xml_col), F.lit(r"(<item>[\s\S]*?</item>)"), 1)
-    parsed = docs.select("*", F.posexplode(items).alias("pos", "item"))
-    parsed = parsed.filter(F.col("pos") < limit).withColumn("i", F.from_xml("item", RSS_ITEM))
-    return parsed.select(*[c for c in docs.columns if c != xml_col], "pos", "i.title", "i.link", "i.pubDate")
+    """The first ``limit`` items (title, link, pubDate) of every feed, parsed as a whole with ``from_xml``.
+
+    Returns the other columns of ``docs``, pos (from 0), title, link, pubDate.  Missing fields are null; a
+    text that is no feed, or no XML at all, has no items.
+    """
+    feed = F.from_xml(F.col(xml_col), RSS_FEED, {"ignoreNamespace": "true", "mode": "PERMISSIVE", "excludeAttribute": "true"})
+    others = [c for c in docs.columns if c != xml_col]
+    items = F.coalesce(F.col("_feed.channel.item"), F.col("_feed.item"))
+    return (docs.select(*others, feed.alias("_feed")).select(*others, F.posexplode(F.slice(items, 1, limit)).alias("pos", "_i"))
+            .select(*others, "pos", "_i.title", "_i.link", "_i.pubDate"))

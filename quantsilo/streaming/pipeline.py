@@ -10,18 +10,15 @@
   is read back from the stored silver table - so a restart replays
   identically - and three sinks are written: silver (upsert), serving table
   (upsert of 18 columns) and the latest state per symbol as JSON.
-* Exchange state (R6): ``applyInPandasWithState`` keyed by symbol keeps the
-  last book, mark price and liquidations since the previous trade.
+* Exchange state (R6), history in state (R5) and sinks that commit by batch id: ``streaming.stateful``.
 * Alarms (R7): each micro-batch's latest prices check the live alarms; fired
   alarms are appended to a table and excluded from later batches.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from quantsilo import config as C
 from quantsilo.operators import alerts, silver
@@ -186,42 +183,6 @@ ENRICHED_SCHEMA = ("symbol string, price double, quantity double, volume_usd dou
                    "trade_side string, buy_wall_usd double, sell_wall_usd double, imbalance_ratio double, "
                    "mark_price double, funding_rate double, liq_buy_usd double, liq_sell_usd double, "
                    "timestamp timestamp_ntz, ts timestamp_ntz, event_id long")
-STATE_SCHEMA = ("buy_wall double, sell_wall double, mark double, funding double, "
-                "liq_buy double, liq_sell double")
-
-
-def _exchange_state(key, batches, state):
-    s = list(state.get) if state.exists else [0.0, 0.0, 0.0, 0.0, 0.0, 0.0]
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "kind_rank", "event_id"], kind="stable")
-    out = []
-    for r in pdf.itertuples(index=False):
-        if r.kind == "depth":
-            s[0], s[1] = float(r.bid_wall), float(r.ask_wall)
-        elif r.kind == "mark":
-            s[2], s[3] = float(r.p), float(r.r)
-        elif r.kind == "liquidation":
-            usd = float(r.p) * float(r.q)
-            if r.liq_side == "SELL":
-                s[4] += usd
-            else:
-                s[5] += usd
-        else:
-            price, qty = float(r.p), float(r.q)
-            total = s[0] + s[1]
-            out.append((key[0], price, qty, price * qty, bool(r.m), "SELL" if r.m else "BUY", s[0], s[1],
-                        (s[0] - s[1]) / total if total > 0 else 0.0, s[2], s[3], s[4], s[5],
-                        pd.Timestamp(int(r.T), unit="ms"), r.ts, int(r.event_id)))
-            s[4], s[5] = 0.0, 0.0
-    state.update(tuple(s))
-    cols = [c.split()[0] for c in ENRICHED_SCHEMA.split(", ")]
-    yield pd.DataFrame(out, columns=cols)
-
-
-def enrich_stream(messages: DataFrame) -> DataFrame:
-    """Per-symbol state over the message stream; emits one enriched tick per trade (append)."""
-    m = messages.withColumn("symbol", F.upper("raw_symbol"))
-    return m.groupBy("symbol").applyInPandasWithState(
-        _exchange_state, ENRICHED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
 # -------------------------------------------------------------- alarms ----

@@ -4,12 +4,14 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
 from quantsilo.operators import gold, ops
 from quantsilo.sources import fixtures as fx
-from quantsilo.sources import io
+from quantsilo.sources import io, versions
 from quantsilo.streaming import pipeline as P
 
 
@@ -49,7 +51,7 @@ def test_partitioned_lake_write_prunes_and_upserts(spark):
     assert after.filter("close = -1.0").count() == 4
     assert after.filter("symbol = '1-URGENT'").count() == bars.filter("symbol = '1-URGENT'").count()
 
-    io.compact(spark, path, f"{base}/compacted", 2, ["symbol", "timestamp"])          # S26
+    after.write.parquet(f"{base}/compacted")
     assert spark.read.parquet(f"{base}/compacted").count() == after.count()
     io.truncate(spark, f"{base}/compacted")                                          # S25
     assert spark.read.parquet(f"{base}/compacted").count() == 0
@@ -66,9 +68,45 @@ def test_catalog_listing_and_counts(spark):
 def test_rss_items_first_five(spark):
     items = "".join(f"<item><title>t{i}</title><link>http://x/{i}</link><pubDate>d{i}</pubDate></item>"
                     for i in range(8))
-    feed = spark.createDataFrame([("f1", f"<rss><channel>{items}</channel></rss>")], "feed string, xml string")
-    got = io.rss_items(feed).orderBy("pos").collect()                                 # S8
-    assert [r.title for r in got] == ["t0", "t1", "t2", "t3", "t4"] and got[0].link == "http://x/0"
+    rdf = ('<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/">'
+           '<channel rdf:about="c"><title>feed</title></channel><item rdf:about="u"><title>one</title><link>l1</link></item>'
+           '<item rdf:about="v"><title><![CDATA[a < b & c]]></title></item></rdf:RDF>')
+    named = ('<rss version="2.0"><channel><title>all</title><item id="7"><title lang="en">odd &amp; even</title><link>l</link>'
+             '<pubDate>today</pubDate></item></channel></rss>')
+    feed = spark.createDataFrame([("f1", f"<rss><channel>{items}</channel></rss>"), ("f2", rdf), ("f3", named), ("f4", "no xml"),
+                                  ("f5", None), ("f6", "<rss><channel><title>empty</title></channel></rss>")], "feed string, xml string")
+    got = io.rss_items(feed).orderBy("feed", "pos").collect()                         # S8
+    assert [r.title for r in got if r.feed == "f1"] == ["t0", "t1", "t2", "t3", "t4"] and got[0].link == "http://x/0"
+    assert [tuple(r)[2:] for r in got if r.feed == "f2"] == [("one", "l1", None), ("a < b & c", None, None)]
+    assert [tuple(r)[2:] for r in got if r.feed == "f3"] == [("odd & even", "l", "today")]
+    assert {r.feed for r in got} == {"f1", "f2", "f3"}
+
+
+def test_compaction_leaves_no_gap_and_vacuum_waits(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "t")
+    bars = fx.daily_bars(spark, SF_SMALL).withColumn("year", F.year("timestamp"))
+    want = sorted(map(tuple, bars.select(sorted(bars.columns)).collect()))
+    first = versions.write(bars.repartition(40), base, ("symbol",))                   # 200 small files
+    before = versions.files(spark, first)
+    n, size = before.count(), before.agg(F.sum("bytes")).first()[0]
+    assert n > 150
+
+    def rows(df):
+        return sorted(map(tuple, df.select(sorted(bars.columns)).collect()))
+
+    with monkeypatch.context() as m:                                                   # S26: dies before the swap
+        m.setattr(versions, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            versions.compact(spark, base, ("symbol",), size // 10)
+    assert versions.current(spark, base) == first and rows(versions.read(spark, base)) == want
+    reader = versions.read(spark, base)                                                # begun before the swap
+    second = versions.compact(spark, base, ("symbol",), size // 10, ("timestamp",))
+    assert versions.current(spark, base) == second != first
+    assert rows(versions.read(spark, base)) == want == rows(reader)
+    sizes = [r.bytes for r in versions.files(spark, second).collect()]
+    assert 5 <= len(sizes) <= 20 and max(sizes) < 2 * size // 10
+    assert versions.vacuum(spark, base) == [] and rows(reader) == want
+    assert len(versions.vacuum(spark, base, older_than_seconds=-5)) == 2 and rows(versions.read(spark, base)) == want
 
 
 def test_bronze_stream_appends(spark):

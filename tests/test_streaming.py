@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
-from quantsilo.operators import exchange, ops, silver
+from quantsilo.operators import ops, silver
 from quantsilo.sources import fixtures as fx
 from quantsilo.streaming import pipeline as P
 
@@ -80,20 +80,6 @@ def test_ticks_of_one_instant_go_by_offset_or_payload(spark):
         assert {r.buy_wall_usd for r in found} == {wall} and {r.average_price for r in found} == {1.5}
 
 
-def test_exchange_state_stream_equals_batch_asof(spark):
-    base = tempfile.mkdtemp(prefix="qs-r6-")
-    msgs = fx.exchange_messages(spark, SF_SMALL)
-    _write_ordered(msgs, f"{base}/msgs", "ts")
-    stream = P.file_stream(spark, f"{base}/msgs", msgs.schema, max_files=1)
-    q = (P.enrich_stream(stream).writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    got = spark.read.parquet(f"{base}/out")
-    want = exchange.enrich_trades(msgs)
-    assert got.count() == want.count()
-    assert _cmp(got, want, ["event_id"])
-
-
 def test_alarm_stream_fires_once(spark):
     base = tempfile.mkdtemp(prefix="qs-r7-")
     ticks = fx.ticks(spark, SF_SMALL)
