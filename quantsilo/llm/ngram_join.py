@@ -252,6 +252,12 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
                     .sortWithinPartitions("token", "p", "node")
                     .mapInArrow(_star(schema), ", ".join(f"{f.name} long" for f in schema)))
 
+    # a run that partitions cut has a first row in each; all its rows take that of the whole run
+    cut = (runs.where("node = c_node").groupBy("token")
+           .agg(F.min(F.struct("c_p", "c_node", "c_n")).alias("lead"), F.count("*").alias("parts")).where("parts > 1"))
+    runs = (runs.join(F.broadcast(cut.select("token", "lead")), "token", "left")      # at most one for each partition
+            .withColumns({k: F.coalesce(F.col(f"lead.{k}"), F.col(k)) for k in ("c_p", "c_node", "c_n")}).drop("lead"))
+
     def least_overlap(n, m):
         return F.ceil(num * (n + m) / F.lit(float(den + num)) - 1e-9)
 
