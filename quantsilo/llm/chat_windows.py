@@ -1,11 +1,12 @@
 """Chat formatting in budgeted windows.
 
 Prefix sums of turn tokens give every turn its place in the conversation.  The places are cut into
-cells of ``budget`` tokens: the turns that lie inside a cell form one window, a turn that runs
-over the cell's end forms one of its own.  So windows are made of whole turns, stay within the
-budget unless a single turn exceeds it, and are known without reading a conversation in one task.
-Each window repeats the system turn and up to ``history`` tokens of turns before it; the loss mask
-covers assistant texts of new turns only, so each is a target exactly once.
+cells of what the budget leaves beside the conversation's system turn and ``history``: the turns that
+lie inside a cell form one window, a turn that runs over the cell's end forms one of its own.  So
+windows are made of whole turns and are known without reading a conversation in one task.  Each window
+repeats the system turn and as much of up to ``history`` tokens of turns before it as the budget then
+leaves, so it stays within the budget unless the system turn and one single turn exceed it together.
+The loss mask covers assistant texts of new turns only, so each is a target exactly once.
 """
 
 from __future__ import annotations
@@ -58,21 +59,21 @@ def _places(conv: pa.DataType):
     """Token counts and running sums of a sorted partition; conversations may go on in the next one."""
     schema = pa.schema([("conv", conv), ("part", pa.int32()), ("role", pa.string()), ("text", pa.string()),
                         ("tokens", pa.int64()), ("before", pa.int64()), ("turns_before", pa.int64()),
-                        ("summary", pa.bool_())])
+                        ("system", pa.int64()), ("summary", pa.bool_())])
 
     def run(batches):
         part = TaskContext.get().partitionId()
         enc = bpe.encoding()
-        current, started, segment, tokens, turns = None, False, 0, 0, 0
+        current, started, segment, tokens, turns, system = None, False, 0, 0, 0, 0
 
         def total():
             return pa.RecordBatch.from_arrays(
                 [pa.array([current], conv), pa.array([part], pa.int32()), pa.nulls(1, pa.string()),
                  pa.nulls(1, pa.string()), pa.array([tokens], pa.int64()), pa.array([0], pa.int64()),
-                 pa.array([turns], pa.int64()), pa.array([True])], schema=schema)
+                 pa.array([turns], pa.int64()), pa.array([system], pa.int64()), pa.array([True])], schema=schema)
 
         for b in batches:
-            n_tokens, before, at = [], [], []
+            n_tokens, before, at, systems = [], [], [], []
             for c, role, text in zip(b.column("conv").to_pylist(), b.column("role").to_pylist(),
                                      b.column("text").to_pylist()):
                 if started and c != current:
@@ -81,6 +82,9 @@ def _places(conv: pa.DataType):
                     segment, tokens, turns = segment + 1, 0, 0
                 started, current = True, c
                 n = TURN_TOKENS + len(bpe.encode(enc, text))
+                if not turns:       # the first of its conversation, unless that began in an earlier partition
+                    system = n if role == "system" else 0
+                systems.append(system)
                 n_tokens.append(n)
                 before.append(tokens)
                 at.append(turns)
@@ -89,7 +93,7 @@ def _places(conv: pa.DataType):
             yield pa.RecordBatch.from_arrays(
                 [b.column("conv"), pa.array([part] * k, pa.int32()), b.column("role"), b.column("text"),
                  pa.array(n_tokens, pa.int64()), pa.array(before, pa.int64()), pa.array(at, pa.int64()),
-                 pa.array([False] * k)], schema=schema)
+                 pa.array(systems, pa.int64()), pa.array([False] * k)], schema=schema)
         if started:
             yield total()
 
@@ -126,8 +130,8 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     as empty (an empty assistant text is an empty span), a null conversation id as a conversation.
     The system turn is the first one, if its role is ``system``.  An empty table gives no windows.
     """
-    if not 0 <= history <= budget:
-        raise ValueError("history must lie between 0 and budget")
+    if not 0 <= history < budget:
+        raise ValueError("history must be less than the budget")
     spark = turns.sparkSession
     small_batches(spark)
     from pyspark.sql.pandas.types import to_arrow_type
@@ -142,29 +146,36 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
         rows.repartitionByRange(shuffle_partitions(spark), "conv", "turn", "role", tie)
         .sortWithinPartitions("conv", "turn", "role", tie, "text").select("conv", "role", "text")
         .mapInArrow(_places(conv_arrow), f"conv {conv_ddl}, part int, role string, text string, tokens long, "
-                                               "before long, turns_before long, summary boolean"))
+                                               "before long, turns_before long, system long, summary boolean"))
     # at most two rows for each partition: what a conversation has had in the partitions before
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carry = placed.where("summary").select(
         F.col("conv").alias("c"), F.col("part").alias("p"),
         F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("carry"),
-        F.coalesce(F.sum("turns_before").over(earlier), F.lit(0)).alias("carry_turns"))
+        F.coalesce(F.sum("turns_before").over(earlier), F.lit(0)).alias("carry_turns"),
+        F.first("system").over(earlier).alias("carry_system"))
     start = F.col("before") + F.coalesce("carry", F.lit(0))
     located = (placed.where("NOT summary")
                .join(F.broadcast(carry), F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), "left")
                .select("conv", "role", "text", start.alias("s"), (start + F.col("tokens")).alias("e"),
-                       (F.col("turns_before") + F.coalesce("carry_turns", F.lit(0))).alias("pos")))
-    cell = F.floor(F.col("s") / budget)
-    located = located.withColumn("cell", cell).withColumn(
-        "sub", (F.col("e") > (F.col("cell") + 1) * budget).cast("int"))
+                       (F.col("turns_before") + F.coalesce("carry_turns", F.lit(0))).alias("pos"),
+                       F.when(F.col("carry_turns") > 0, F.col("carry_system")).otherwise(F.col("system")).alias("system")))
+    located = located.withColumn("width", F.greatest(F.lit(budget - history) - F.col("system"), F.lit(1)))
+    located = located.withColumn("cell", F.floor(F.col("s") / F.col("width"))).withColumn(
+        "sub", (F.col("e") > (F.col("cell") + 1) * F.col("width")).cast("int"))
     new = located.select("conv", "cell", "sub", "pos", F.lit(0).alias("repeated"), "role", "text")
-    windows = located.groupBy("conv", "cell", "sub").agg(F.min("s").alias("ws"), F.min("pos").alias("wp"))
+    windows = located.groupBy("conv", "cell", "sub").agg(
+        F.min("s").alias("ws"), F.min("pos").alias("wp"), F.sum(F.col("e") - F.col("s")).alias("new"), F.max("system").alias("ws_system"))
+    # history that fits beside the new turns and, where it is repeated, the system turn
+    left = F.lit(budget) - F.col("new") - F.when(F.col("wp") > 0, F.col("ws_system")).otherwise(F.lit(0))
+    windows = windows.withColumn("reach", F.greatest(F.least(left, F.lit(history)), F.lit(0))).drop("new", "ws_system")
     is_system = (F.col("pos") == 0) & (F.col("role") == "system")
     seen = (located.where((F.col("e") <= F.col("s") + history) & ~is_system)
             .select(F.col("conv").alias("c"), "s", "e", "pos", "role", "text",
-                    F.explode(F.sequence(F.floor(F.col("e") / budget), F.floor((F.col("s") + history) / budget))).alias("k")))
+                    F.explode(F.sequence(F.floor(F.col("e") / F.col("width")),
+                                         F.floor((F.col("s") + history) / F.col("width")))).alias("k")))
     past = (seen.join(windows, seen.c.eqNullSafe(windows.conv) & (seen.k == windows.cell)
-                      & (windows.ws >= seen.e) & (windows.ws <= seen.s + history))
+                      & (windows.ws >= seen.e) & (windows.ws <= seen.s + windows.reach))
             .select("conv", "cell", "sub", "pos", F.lit(1).alias("repeated"), "role", "text"))
     system = located.where(is_system).select(F.col("conv").alias("c"), "role", "text")
     kept = (windows.where("wp > 0").join(system, F.col("conv").eqNullSafe(F.col("c")))

@@ -22,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark's parsers take it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free(name: str, taken) -> str:
+    """``name``, with underscores after it until no name of ``taken`` begins with it."""
+    low = [t.lower() for t in taken]
+    while any(t.startswith(name.lower()) for t in low):
+        name += "_"
+    return name
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder of ``spark.checkpoint.dir``; lineage is cut.
 

@@ -14,12 +14,11 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantsilo.llm.common import small_batches
+from quantsilo.llm.common import free, quoted, small_batches
 
-#: Bound of the training sample: so many documents of each language, in the order of a hash of
-#: the id, of each at most TRAIN_CHARS characters, up to DICT_BYTES bytes for a dictionary.
-TRAIN_DOCS = 64
-TRAIN_CHARS = 8000
+#: Bound of the training sample: so many documents of each language at most, whole ones, in the order
+#: of a hash of the id, while they fit into DICT_BYTES bytes.
+TRAIN_DOCS = 256
 DICT_BYTES = 1 << 16
 LEVEL = 6
 #: Where the best two differ by less than MIN_GAP bytes, sizes are added up over a slower level and over so many
@@ -30,9 +29,7 @@ MIN_GAP = 1
 #: Bytes of letters that are compressed at once, about.
 BLOCK = 1 << 14
 #: A text is rejected when the best language saves less than this part of the runner-up's size.
-#: Texts under SHORT bytes of letters are not: one byte, the least difference there is, is more.
 MIN_MARGIN = 0.005
-SHORT = 48
 
 
 def blocks(raw: bytes) -> list[bytes]:
@@ -52,9 +49,11 @@ class Compressors:
     def __init__(self, samples: dict[str, bytes], min_margin: float = MIN_MARGIN):
         #: in the order that settles ties
         self.samples, self.min_margin, self._ready = samples, min_margin, {}
+        #: documents in each dictionary, where ``train`` has made it
+        self.used: dict[str, int] = {}
 
     def __getstate__(self):
-        return {"samples": self.samples, "min_margin": self.min_margin, "_ready": {}}
+        return {"samples": self.samples, "min_margin": self.min_margin, "used": self.used, "_ready": {}}
 
     def _sizes(self, texts: list[bytes], level: int, part: int | None = None) -> list[int]:
         """Compressed size of all blocks for each language, with its dictionary or a part of it."""
@@ -89,33 +88,40 @@ class Compressors:
             sizes = [sum(x) for x in zip(sizes, *more)]
             rank = sorted(range(len(names)), key=sizes.__getitem__)
         margin = 1 - sizes[rank[0]] / sizes[rank[1]]
-        return names[rank[0]], margin, margin < self.min_margin and len(raw) >= SHORT
+        return names[rank[0]], margin, margin < self.min_margin
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           train_docs: int = TRAIN_DOCS, dict_bytes: int = DICT_BYTES, min_margin: float = MIN_MARGIN) -> Compressors:
     """Dictionaries from the rows where ``learn`` holds and text and language are known.
 
-    The documents of a language are chosen by the order of a hash of the id: a partition passes on
-    its own ``train_docs`` smallest of each language, so a frequent language is no burden for one
-    task.  What reaches the driver is bounded by languages x ``train_docs`` x TRAIN_CHARS.  Ties in
-    size go to the language with more training documents, then by name.
+    The documents of a language are chosen by the order of a hash of the id, among those whose letters fit
+    into a dictionary: a partition passes on its own ``train_docs`` smallest of each language, so a
+    frequent language is no burden for one task.  In that order they are joined whole, as long as all
+    fit into ``dict_bytes``, which for each language bounds what the driver gets.  Rows that
+    repeat an id and a language stand in once.  Null and empty texts teach nothing; without rows to learn
+    from there are no languages.  Ties in size go to the language with more training rows, then by name.
+    ``Compressors.used`` tells how many documents each dictionary holds.
     """
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-        F.substring(letters(F.col(text_col)), 1, TRAIN_CHARS).alias("t"))
-    keys = rows.select("id", "lang", F.xxhash64("id").alias("h"), F.length("t").alias("n"))
-    first = Window.partitionBy("lang").orderBy("h", "id", "n")
-    picked = (keys.where("n > 0").withColumn("k", F.row_number().over(first)).where(F.col("k") <= train_docs)
-              .select("id", "lang").distinct())
+        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), letters(F.col(text_col)).alias("t"))
+    keys = rows.select("id", "lang", F.xxhash64("id").alias("h"), (F.octet_length("t") + 3).alias("n"),
+                       F.xxhash64("t").alias("d"))          # with the separator
+    first = Window.partitionBy("lang").orderBy("h", "id", "n", "d")
+    few = keys.where((F.col("n") > 3) & (F.col("n") <= dict_bytes)).withColumn("k", F.row_number().over(first)).where(
+        F.col("k") <= train_docs)
+    fits = F.sum("n").over(first.rowsBetween(Window.unboundedPreceding, Window.currentRow)) <= dict_bytes
+    picked = few.withColumn("fits", fits).where("fits").select("id", "lang", "d").distinct()
     sizes = dict(rows.groupBy("lang").count().collect())
-    got = (rows.join(F.broadcast(picked), ["id", "lang"], "left_semi")
-           .select("lang", F.xxhash64("id").alias("h"), "t").collect())
+    got = (rows.withColumn("d", F.xxhash64("t")).join(F.broadcast(picked), ["id", "lang", "d"], "left_semi")
+           .select("lang", F.xxhash64("id").alias("h"), "t").distinct().collect())
     text: dict[str, list[str]] = {}
     for r in sorted(got):
         text.setdefault(r["lang"], []).append(r["t"])
     order = sorted(text, key=lambda x: (-sizes[x], x))
-    return Compressors({x: " \n ".join(text[x]).encode()[:dict_bytes] for x in order}, min_margin)
+    model = Compressors({x: " \n ".join(text[x]).encode() for x in order}, min_margin)
+    model.used = {x: len(text[x]) for x in order}
+    return model
 
 
 def classify(docs: DataFrame, model: Compressors, keep: tuple[str, ...] = (), text_col: str = "text",
@@ -129,7 +135,7 @@ def classify(docs: DataFrame, model: Compressors, keep: tuple[str, ...] = (), te
     """
     small_batches(docs.sparkSession)
     fields = [docs.schema[c] for c in keep]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    ddl = ", ".join([f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields]
                     + [f"{prefix}lang_pred string", f"{prefix}score double", f"{prefix}rejected boolean"])
 
     def run(batches):
@@ -141,4 +147,4 @@ def classify(docs: DataFrame, model: Compressors, keep: tuple[str, ...] = (), te
             yield pa.RecordBatch.from_arrays(
                 cols, [*keep, f"{prefix}lang_pred", f"{prefix}score", f"{prefix}rejected"])
 
-    return docs.select(*keep, letters(F.col(text_col)).alias("__letters")).mapInArrow(run, ddl)
+    return docs.select(*map(quoted, keep), letters(F.col(text_col)).alias(free("__letters", keep))).mapInArrow(run, ddl)

@@ -29,8 +29,8 @@ from quantsilo.llm.common import (SPACES, byte_set, mix, plain_text, shuffle_par
 #: Counters of the frequency sketch, 2 ** SKETCH_BITS.
 SKETCH_BITS = 20
 FRAGMENTS = 4
-#: Up to so many ids (8 MB) are broadcast to fetch their texts; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Ids of up to so many bytes are broadcast to fetch their texts; more are joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
 _SLICES = 16
 _IS_WORD = ~byte_set(SPACES)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -329,7 +329,8 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, wor
         .where(most * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = stored(classes.join(wanted, "node", "left_semi").select(F.col("min_id").alias("id")).distinct())
-    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    size = ids.agg(F.sum(F.octet_length(F.col("id").cast("string")) + 16)).first()[0] or 0
+    chosen = F.broadcast(ids) if size <= BROADCAST_BYTES else ids
     fetched = texts.join(chosen, "id", "left_semi").unionByName(texts.where("id IS NULL"))
 
     def cut(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantsilo.llm.common import mix, plain_text, reliable, small_batches, text_buffer
+from quantsilo.llm.common import free, mix, plain_text, quoted, reliable, small_batches, text_buffer
 
 #: Lengths of the character n-grams, in bytes of the lower-cased UTF-8.
 NGRAMS = (4, 5, 6)
@@ -148,15 +148,19 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     The ids of the sample, the smallest by hash, are broadcast (bounded by ``train_rows``); its texts
     go to a checkpoint of SAMPLE_PARTS partitions.  Counts are added by slices of the buckets; the
     driver gets those sums and, for each sampled row, the chosen features it has.  Rows without a
-    label are left out; an id with several labels counts as toxic if one says so.
+    label or an id are left out; a label above 0 is toxic, and an id with several labels is if one says
+    so.  An id that repeats counts once, null texts as empty; with no labelled rows, or of one kind
+    only, the model knows nothing and scores 0.
     """
     spark = docs.sparkSession
     small_batches(spark)
     sample = (labels.where(learn & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
+              .groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col).cast("double") > 0).cast("int")).alias("y"))
               .orderBy(F.xxhash64("id"), "id").limit(train_rows))
-    rows = reliable(docs.select(F.col(id_col).alias("id"), plain_text(text_col).alias("t"))
-                    .join(F.broadcast(sample), "id").select("t", "y").repartition(SAMPLE_PARTS))
+    # an id that repeats brings one of its texts, the first in the order of a digest
+    texts = docs.select(F.col(id_col).alias("id"), plain_text(text_col).alias("t")).join(F.broadcast(sample), "id")
+    rows = reliable(texts.groupBy("id").agg(F.min_by(F.struct("t", "y"), F.xxhash64("t")).alias("x")).select("x.t", "x.y")
+                    .repartition(SAMPLE_PARTS))
     width = -(-buckets // SLICES)
 
     def count(batches):
@@ -212,7 +216,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)   # of a fixed size: BUCKETS weights
     fields = [docs.schema[c] for c in keep]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    ddl = ", ".join([f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields]
                     + [f"{prefix}score double", f"{prefix}predicted int"])
 
     def run(batches):
@@ -224,4 +228,4 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
             yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                              [*keep, f"{prefix}score", f"{prefix}predicted"])
 
-    return docs.select(*keep, plain_text(text_col).alias("__text")).mapInArrow(run, ddl)
+    return docs.select(*map(quoted, keep), plain_text(text_col).alias(free("__text", keep))).mapInArrow(run, ddl)

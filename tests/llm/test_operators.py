@@ -100,6 +100,85 @@ def test_toxicity_learns_and_takes_odd_rows(spark, odd):
     assert {r["score"] for r in rows(toxicity.score(odd, none))} == {0.0}
 
 
+def plain_ngrams(text, sizes, buckets):
+    """The n-gram buckets of a text, one n-gram at a time, in Python integers."""
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    letter = [mixed(((b + 32 if 65 <= b <= 90 else b) * 0x9E3779B97F4A7C15 + 1) & mask) for b in range(256)]
+    raw, found = text.encode(), set()
+    for n in sizes:
+        for i in range(len(raw) - n + 1):
+            h = 0
+            for b in raw[i:i + n]:
+                h = (h * 0x100000001B3 + letter[b]) & mask
+            found.add((mixed(h) >> 7) % buckets)
+    return found
+
+
+def test_toxicity_scores_equal_a_plain_sum_of_weights(spark, docs):
+    model = toxicity.train(docs, table(spark, SF, "labels"), fold("doc_id", 5) != 0)
+    got = {r["doc_id"]: r for r in rows(toxicity.score(docs, model))}
+    for r in rows(docs.orderBy("doc_id").limit(25)):
+        z = model.bias + sum(float(model.weights[f]) for f in plain_ngrams(r["text"] or "", model.ngrams, len(model.weights)))
+        want = 1 / (1 + np.exp(-z))
+        assert got[r["doc_id"]]["score"] == pytest.approx(want, abs=1e-5)
+        assert got[r["doc_id"]]["predicted"] == (want >= 0.5)
+
+
+def test_toxicity_takes_any_labels_and_repeated_ids(spark, docs):
+    labels = table(spark, SF, "labels")
+    a = toxicity.train(docs, labels, fold("doc_id", 5) != 0)
+    odd = labels.select("doc_id", (F.col("toxic") * 2).alias("toxic")).unionByName(labels.select("doc_id", "toxic"))
+    b = toxicity.train(docs.unionByName(docs), odd, fold("doc_id", 5) != 0)
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+    none = toxicity.train(docs, labels.withColumn("toxic", F.lit(None).cast("int")), fold("doc_id", 5) != 0)
+    assert none.score(np.frombuffer(b"anything", np.uint8)) == 0.0
+
+
+def plain_langid(samples, text):
+    """The language whose dictionary makes the text smallest, with zstandard's plain calls."""
+    import zstandard as zstd
+
+    raw = f" {text} ".encode()
+    n = max(1, (len(raw) + langid_zstd.BLOCK // 2) // langid_zstd.BLOCK)
+    pieces = [raw[len(raw) * k // n:len(raw) * (k + 1) // n] for k in range(n)]
+
+    def size(sample, level):
+        d = zstd.ZstdCompressionDict(sample, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        c = zstd.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(c.compress(p)) for p in pieces)
+
+    sizes = {x: size(s, langid_zstd.LEVEL) for x, s in samples.items()}
+    if len(set(sorted(sizes.values())[:2])) == 1:
+        step = {x: -(-len(s) // langid_zstd.PARTS) for x, s in samples.items()}
+        for x, s in samples.items():
+            sizes[x] += size(s, langid_zstd.SLOW_LEVEL) + sum(
+                size(s[k * step[x]:(k + 1) * step[x]], langid_zstd.LEVEL) for k in range(langid_zstd.PARTS))
+    best = min(sizes, key=sizes.get)
+    return best, 1 - sizes[best] / min(v for x, v in sizes.items() if x != best)
+
+
+def test_langid_equals_plain_compression(spark, docs):
+    model = langid_zstd.train(docs, fold("doc_id", 4) != 2)
+    assert all(len(s) <= langid_zstd.DICT_BYTES and model.used[x] > 3 for x, s in model.samples.items())
+    some = docs.orderBy("doc_id").limit(60).select("doc_id", langid_zstd.letters(F.col("text")).alias("l"))
+    text = {r["doc_id"]: r["l"] for r in some.collect()}
+    got = {r["doc_id"]: r for r in rows(langid_zstd.classify(docs, model, keep=("doc_id",)))}
+    for i, t in text.items():
+        if t:
+            lang, margin = plain_langid(model.samples, t)
+            assert (got[i]["lang_pred"], got[i]["score"], got[i]["rejected"]) == (
+                lang, pytest.approx(margin), margin < langid_zstd.MIN_MARGIN)
+
+
 # ---- 3 -----------------------------------------------------------------------------------------
 
 def check_pieces(got, texts):
@@ -190,6 +269,23 @@ def test_chat_windows_read_back(spark, budget, history):
         assert got[k]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in t).encode()).hexdigest()
         assert (got[k]["loss_chars"], got[k]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert rows(chat_windows.read_back(chat_windows.format_windows(empty(turns)))) == []
+    # within the budget, unless the system turn and one new turn are more
+    enc = bpe.encoding()
+    for r in rows(w):
+        size = [chat_windows.TURN_TOKENS + len(bpe.encode(enc, t)) for _, t in chat_windows.parse(r["text"])]
+        system = size[0] if r["n_repeated"] and chat_windows.parse(r["text"])[0][0] == "system" else 0
+        alone = len(size) - r["n_repeated"] == 1
+        assert sum(size) <= budget or alone and sum(size) == system + size[-1], (budget, size)
+
+
+def test_chat_windows_leave_room_for_a_long_system_turn(spark):
+    turns = [(1, 0, "system", "be kind " * 60)] + [(1, k, ("user", "assistant")[k % 2], f"word {k} " * 12) for k in range(1, 60)]
+    d = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    enc = bpe.encoding()
+    w = rows(chat_windows.format_windows(d.repartition(5), 400, 64))
+    sizes = [sum(chat_windows.TURN_TOKENS + len(bpe.encode(enc, t)) for _, t in chat_windows.parse(r["text"])) for r in w]
+    assert len(w) > 3 and max(sizes) <= 400
+    assert all(chat_windows.parse(r["text"])[0][0] == "system" for r in w) and sum(r["n_repeated"] > 1 for r in w) > 2
 
 
 def test_escape_is_reversible_and_hides_control_strings():

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from quantsilo.llm.common import table
 
@@ -35,11 +37,36 @@ def test_stages_keep_documents_and_take_effect(spark, components_of, tmp_path):
     assert [n for n, _ in C.STAGES] == ["language", "toxicity", "exact", "near", "pack"]
 
 
+def awkward(df):
+    """Columns whose names clash with what stages add, or that parsers stumble over."""
+    names = ["a.b", "__letters", "__text", "__stage_rejected", "__stage_row", "n_chars", "node", "tick`ed", "row"]
+    return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names) if c not in df.columns])
+
+
 def test_odd_and_empty_tables(spark, odd):
-    for d in (odd, odd.limit(0)):
+    for d in (odd, awkward(odd), awkward(odd).limit(0)):
         for name, stage in C.STAGES[:4]:
             out = stage(spark, d, SF)
             assert out.columns == d.columns
             ids = [r["doc_id"] for r in out.collect()]
             assert len(ids) <= d.count()
     assert sorted(r["doc_id"] or 0 for r in C.exact(spark, odd, SF).collect()) == [0, 2, 5, 6, 8, 10, 11, 12]
+
+
+def test_rows_that_repeat_an_id_are_told_apart_by_their_texts(spark):
+    long = " ".join(f"word{k}" for k in range(40))
+    d = spark.createDataFrame([(1, long), (2, long + " more"), (2, "quite another text of its own, with words enough"),
+                               (None, long + " else")], "doc_id long, text string")
+    kept = sorted((r["doc_id"], r["text"][:5]) for r in C.near(spark, d, SF).collect())
+    assert kept == [(1, "word0"), (2, "quite")]
+
+
+def test_run_equals_its_stages(spark, tmp_path):
+    docs = table(spark, SF, "documents")
+    for k, (_, stage) in enumerate(C.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+    got = C.run(spark, SF)
+    cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]        # how pieces are dealt to sequences is open
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, docs.select(cols).collect()))
+    assert got.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
