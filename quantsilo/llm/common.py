@@ -35,6 +35,23 @@ def free(name: str, taken) -> str:
     return name
 
 
+def map_rows(df: DataFrame, keep, value: Column, fn, added: list[tuple[str, str]]) -> DataFrame:
+    """Columns ``keep`` of ``df``, whatever their names, and those that ``fn`` makes of ``value``.
+
+    ``fn`` takes an Arrow array and returns one for each of ``added`` (name, type).  One narrow pass.
+    """
+    kinds = [df.schema[c].dataType.simpleString() for c in keep]
+    names = [f"c{i}" for i in range(len(keep) + len(added))]
+    ddl = ", ".join(f"{n} {k}" for n, k in zip(names, [*kinds, *(k for _, k in added)]))
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fn(b.columns[-1])], names)
+
+    rows = df.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, names)], value.alias("value"))
+    return rows.mapInArrow(run, ddl).toDF(*keep, *(n for n, _ in added))
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder of ``spark.checkpoint.dir``; lineage is cut.
 

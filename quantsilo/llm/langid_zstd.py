@@ -14,7 +14,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantsilo.llm.common import free, quoted, small_batches
+from quantsilo.llm.common import map_rows, small_batches
 
 #: Bound of the training sample: so many documents of each language at most, whole ones, in the order
 #: of a hash of the id, while they fit into DICT_BYTES bytes.
@@ -134,17 +134,11 @@ def classify(docs: DataFrame, model: Compressors, keep: tuple[str, ...] = (), te
     One narrow pass, no shuffle; repeated rows get the same answer.
     """
     small_batches(docs.sparkSession)
-    fields = [docs.schema[c] for c in keep]
-    ddl = ", ".join([f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields]
-                    + [f"{prefix}lang_pred string", f"{prefix}score double", f"{prefix}rejected boolean"])
-
-    def run(batches):
-        for b in batches:
-            out = [model.classify(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
-            cols += [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()),
-                     pa.array([x[2] for x in out], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(
-                cols, [*keep, f"{prefix}lang_pred", f"{prefix}score", f"{prefix}rejected"])
-
-    return docs.select(*map(quoted, keep), letters(F.col(text_col)).alias(free("__letters", keep))).mapInArrow(run, ddl)
+
+    def decide(texts):
+        out = [model.classify(t) for t in texts.to_pylist()]
+        return (pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()),
+                pa.array([x[2] for x in out], pa.bool_()))
+
+    return map_rows(docs, keep, letters(F.col(text_col)), decide, [
+        (f"{prefix}lang_pred", "string"), (f"{prefix}score", "double"), (f"{prefix}rejected", "boolean")])

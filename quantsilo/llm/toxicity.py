@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantsilo.llm.common import free, mix, plain_text, quoted, reliable, small_batches, text_buffer
+from quantsilo.llm.common import map_rows, mix, plain_text, reliable, small_batches, text_buffer
 
 #: Lengths of the character n-grams, in bytes of the lower-cased UTF-8.
 NGRAMS = (4, 5, 6)
@@ -215,17 +215,10 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)   # of a fixed size: BUCKETS weights
-    fields = [docs.schema[c] for c in keep]
-    ddl = ", ".join([f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields]
-                    + [f"{prefix}score double", f"{prefix}predicted int"])
 
-    def run(batches):
-        m = shared.value
-        for b in batches:
-            data, off = text_buffer(b.column(b.num_columns - 1))
-            s = np.array([m.score(data[off[i]:off[i + 1]]) for i in range(b.num_rows)], float)
-            cols = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
-                                             [*keep, f"{prefix}score", f"{prefix}predicted"])
+    def decide(texts):
+        data, off = text_buffer(texts)
+        p = np.array([shared.value.score(data[off[i]:off[i + 1]]) for i in range(len(texts))], float)
+        return pa.array(p), pa.array((p >= 0.5).astype(np.int32))
 
-    return docs.select(*map(quoted, keep), plain_text(text_col).alias(free("__text", keep))).mapInArrow(run, ddl)
+    return map_rows(docs, keep, plain_text(text_col), decide, [(f"{prefix}score", "double"), (f"{prefix}predicted", "int")])
