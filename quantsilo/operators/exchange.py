@@ -58,8 +58,7 @@ def enrich_trades(messages: DataFrame, block_rows: int = ordered.DEFAULT_BLOCK_R
          .withColumn("fr", F.when(kind == "mark", F.col("r")))
          .withColumn("next_trade", F.when(kind == "trade", F.col("event_id"))))
     m = ordered.arrange(m, ["symbol"], ORDER, block_rows)
-    m = ordered.fill_forward(m, ["bw", "aw", "mp", "fr"])     # J1
-    m = ordered.fill_backward(m, ["next_trade"])              # J2
+    m = ordered.fill(m, forward=["bw", "aw", "mp", "fr"], backward=["next_trade"])      # J1, J2
     liq = (liquidation_notional(m.filter((kind == "liquidation") & F.col("next_trade").isNotNull()))
            .groupBy("symbol", F.col("next_trade").alias("event_id"))
            .agg(F.sum("liq_buy").alias("liq_buy_usd"), F.sum("liq_sell").alias("liq_sell_usd")))

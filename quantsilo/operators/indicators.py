@@ -60,7 +60,7 @@ def history_indicators(bars: DataFrame, key: str = "symbol", order: str = "times
                                rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]       # W7
 
     r = ordered.rolling(df, [stage1, stage2], lookback=max(C.MA_PERIODS) + C.RSI_PERIOD)
-    r = recursion.ema_columns(r, price, EMA_SPANS, names=("_e12", "_e26", "MACD", "Signal")).drop("_e12", "_e26")  # W8
+    r = recursion.ema_columns(r, price, EMA_SPANS, names=("_e12", "_e26", "MACD", "Signal"), source=df).drop("_e12", "_e26")  # W8
     r = (r.withColumn("BB_upper", F.col("BB_mid") + F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("BB_lower", F.col("BB_mid") - F.col("BB_std") * C.BOLLINGER_K)
           .withColumn("MACD_Hist", F.col("MACD") - F.col("Signal")))
@@ -91,7 +91,7 @@ def live_indicators(rows: DataFrame, key: str = "symbol", order: tuple = ("proce
                                rolling_mean("_loss", C.RSI_PERIOD, w)).alias("RSI")]
 
     r = ordered.rolling(df, [stage1, stage2], lookback=C.BOLLINGER_PERIOD + C.RSI_PERIOD)
-    r = recursion.ema_columns(r, price, EMA_SPANS, names=("EMA12", "EMA26", "MACD", "Signal_Line"))
+    r = recursion.ema_columns(r, price, EMA_SPANS, names=("EMA12", "EMA26", "MACD", "Signal_Line"), source=df)
     r = (r.withColumn("Bollinger_Upper", F.col("SMA_20") + F.col("Std_Dev") * C.BOLLINGER_K)
           .withColumn("Bollinger_Lower", F.col("SMA_20") - F.col("Std_Dev") * C.BOLLINGER_K)
           .drop("_gain", "_loss", *ordered.HELPERS))

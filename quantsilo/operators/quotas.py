@@ -61,8 +61,8 @@ def per_second_violations(requests: DataFrame, users: DataFrame, limits=C.QUOTA_
     r = ordered.arrange(r.select("user_id", "ts", "event_id", "tier", "per_second_limit", "_t"), ["user_id"],
                         ["ts", "event_id"], block_rows)
     r = _episodes(r, 1_000_000, at_gap=True).withColumn("_end", F.col("_t") + 1_000_000)
-    r = ordered.running(r, F.col("_new").cast("long"), "sum", "episode")
-    succ = orbits.next_at(r, "_t", "_end", inclusive=True)
+    r = ordered.stored(ordered.running(r, F.col("_new").cast("long"), "sum", "episode"))
+    succ = ordered.stored(orbits.next_at(r, "_t", "_end", inclusive=True))
     opened = orbits.mark(r.join(succ, "_g", "left"), "_new", "successor", _longest(r))
     # requests of a window: up to the successor, or the key's end
     first = r.join(opened, "_g").join(succ, "_g", "left")
@@ -104,13 +104,14 @@ def renewable_counter_blocks(events: DataFrame, key: str, limit: int, ttl_second
 
     e = ordered.rolling(e, ahead, lookahead=limit - 1)
     locks = F.col("_cleared").isNull() & F.col("_last_t").isNotNull()
-    e = e.withColumn("_expiry", F.when(locks, F.col("_last_t") + ttl))
+    e = ordered.stored(e.withColumn("_expiry", F.when(locks, F.col("_last_t") + ttl)))
     after_lock = orbits.next_at(e, "_t", "_expiry", inclusive=False)
     e = e.join(after_lock, "_g", "left")
     e = e.withColumn("_succ", F.when(F.col("_cleared").isNotNull(), F.col("_g") + F.col("_cleared") + 1)
                      .otherwise(F.col("successor"))).drop("successor")
+    e = ordered.stored(e)
     # a success may be a key's last attempt; the row after it is then another key's, which begins anyway
-    empty = orbits.mark(e, "_new", "_succ", _longest(e)).distinct()
+    empty = orbits.mark(e, "_new", "_succ", _longest(e))
     e = e.join(empty.withColumn("_empty", F.lit(True)), "_g", "left")
     e = ordered.fill_forward(
         e.withColumn("_from", F.when(F.col("_empty"), F.struct(F.col("_g").alias("g"), F.col("_expiry").isNotNull().alias("locks")))),

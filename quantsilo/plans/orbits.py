@@ -79,9 +79,10 @@ def mark(rows: DataFrame, start: str, successor: str, longest: int) -> DataFrame
     ``rows`` are of ``ordered.arrange``, successors stay within the key and point forward.  ``longest`` is
     the most rows that a chain from one start can span, so that it crosses that many blocks at most.
     """
-    size, _ = ordered.plan_of(rows)
+    size, total = ordered.plan_of(rows)
     slim = rows.select("_key", "_blk", "_g", F.col(successor).alias("successor"), F.col(start).alias("on"))
-    rounds = math.ceil(math.log2(1 + longest / size)) if longest > size else (1 if longest > 1 else 0)
+    # a chain crosses no border of blocks when there is one block
+    rounds = math.ceil(math.log2(1 + longest / size)) + 1 if total > size and longest > 1 else 0
     starts = slim.filter("on").select("_g")
     entered = starts
     if rounds:
@@ -91,24 +92,19 @@ def mark(rows: DataFrame, start: str, successor: str, longest: int) -> DataFrame
             return pd.DataFrame({"_g": g[left], "to": out[left]})
 
         # rows whose path leaves the block; starts among them enter later blocks
-        ptr = _written(_by_block(exits, "_g long, to long")(slim), "exits")
+        ptr = ordered.stored(_by_block(exits, "_g long, to long")(slim))
         for _ in range(rounds):
             if ptr.isEmpty():
                 break
-            entered = _written(entered.unionByName(entered.join(ptr, "_g").select(F.col("to").alias("_g"))).distinct(), "entered")
+            entered = ordered.stored(entered.unionByName(entered.join(ptr, "_g").select(F.col("to").alias("_g"))).distinct())
             two = ptr.select(F.col("_g").alias("to"), F.col("to").alias("_then"))
-            ptr = _written(ptr.join(two, "to").select("_g", F.col("_then").alias("to")), "exits")
+            ptr = ordered.stored(ptr.join(two, "to").select("_g", F.col("_then").alias("to")))
 
     def paths(g, succ, on):
         return pd.DataFrame({"_g": g[_paths(int(g[0]), succ, on)]})
 
-    known = slim.join(entered.select("_g", F.lit(True).alias("_in")), "_g", "left").withColumn("on", F.coalesce("_in", "on"))
-    return _by_block(paths, "_g long")(known.drop("_in"))
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once, into the shared folder."""
-    spark = df.sparkSession
-    path = ordered.scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    known = slim
+    if rounds:
+        inside = entered.select("_g", F.lit(True).alias("_in"))
+        known = slim.join(inside, "_g", "left").withColumn("on", F.coalesce("_in", "on")).drop("_in")
+    return _by_block(paths, "_g long")(known)

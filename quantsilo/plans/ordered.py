@@ -121,14 +121,11 @@ def rolling(df: DataFrame, build: Callable[[Window], list[Column]] | Sequence[Ca
     return rows
 
 
-def fill_forward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Last non-null value of each column at or before the row (as-of backward)."""
-    return _fill(df, list(cols), suffix, forward=True)
-
-
-def fill_backward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Next non-null value of each column at or after the row (as-of forward)."""
-    return _fill(df, list(cols), suffix, forward=False)
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder: for rows that several later steps read."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def carry(df: DataFrame, summary: DataFrame) -> DataFrame:
@@ -137,20 +134,33 @@ def carry(df: DataFrame, summary: DataFrame) -> DataFrame:
     return df.join(right, (df["_key"] == right["_ckey"]) & (df["_blk"] == right["_cblk"]), "left").drop("_ckey", "_cblk")
 
 
-def _fill(df: DataFrame, cols: list[str], suffix: str, forward: bool) -> DataFrame:
+def fill_forward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
+    """Last non-null value of each column at or before the row (as-of backward)."""
+    return fill(df, forward=cols, suffix=suffix)
+
+
+def fill_backward(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
+    """Next non-null value of each column at or after the row (as-of forward)."""
+    return fill(df, backward=cols, suffix=suffix)
+
+
+def fill(df: DataFrame, forward: Sequence[str] = (), backward: Sequence[str] = (), suffix: str = "") -> DataFrame:
+    """``fill_forward`` and ``fill_backward`` of different columns, with one summary and one join."""
     # backward is forward in descending order: a frame that grows, never one that shrinks (quadratic)
-    turn = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
-    take = F.max_by if forward else F.min_by
-    inside = Window.partitionBy("_key", "_blk").orderBy(turn("_g")).rowsBetween(_U, 0)
-    before = Window.partitionBy("_key").orderBy(turn("_blk")).rowsBetween(_U, -1)
-    at = [F.when(F.col(c).isNotNull(), F.col("_g")) for c in cols]
-    summary = (df.groupBy("_key", "_blk").agg(*[take(F.col(c), g).alias(f"_s_{c}") for c, g in zip(cols, at)])
-               .select("_key", "_blk", *[F.last(f"_s_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in cols]))
-    filled = df.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_in_{c}") for c in cols])
-    out = carry(filled, summary)
-    value = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}")) for c in cols}
+    ways = [(list(forward), F.max_by, "asc"), (list(backward), F.min_by, "desc")]
+    inside, before, summed, value = [], [], [], {}
+    for cols, take, turn in ways:
+        rows = Window.partitionBy("_key", "_blk").orderBy(getattr(F, turn)("_g")).rowsBetween(_U, 0)
+        blocks = Window.partitionBy("_key").orderBy(getattr(F, turn)("_blk")).rowsBetween(_U, -1)
+        for c in cols:
+            summed.append(take(F.col(c), F.when(F.col(c).isNotNull(), F.col("_g"))).alias(f"_s_{c}"))
+            before.append(F.last(f"_s_{c}", ignorenulls=True).over(blocks).alias(f"_c_{c}"))
+            inside.append(F.last(c, ignorenulls=True).over(rows).alias(f"_in_{c}"))
+            value[c] = F.coalesce(F.col(f"_in_{c}"), F.col(f"_c_{c}"))
+    summary = df.groupBy("_key", "_blk").agg(*summed).select("_key", "_blk", *before)
+    out = carry(df.select("*", *inside), summary)
     if suffix:
-        return out.select(*df.columns, *[value[c].alias(f"{c}{suffix}") for c in cols])
+        return out.select(*df.columns, *[v.alias(f"{c}{suffix}") for c, v in value.items()])
     return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns])
 
 
@@ -182,14 +192,13 @@ def scan(maps: DataFrame, state: Sequence[str], compose: Callable[[dict, dict],
     """Inclusive composition of maps over each key's blocks, in the order of ``_blk``.
 
     ``maps`` has one row for each (key, block) and the columns ``state``; ``compose(first, second)`` gives
-    their composition as columns.  Each of the log2(blocks) rounds doubles the reach; all share one
-    partitioning of the maps, a small table.
+    their composition as SQL expressions.  Each of the log2(blocks) rounds doubles the reach; all share
+    one partitioning of the maps, a small table.
     """
-    w = Window.partitionBy("_key").orderBy("_blk")
+    w = "OVER (PARTITION BY _key ORDER BY _blk)"
     for r in range(math.ceil(math.log2(blocks)) if blocks > 1 else 0):
-        reach = F.lag(F.lit(True), 1 << r).over(w).alias("_has")
-        maps = maps.select("*", reach, *[F.lag(c, 1 << r).over(w).alias(f"_l_{c}") for c in state])
-        both = compose({c: F.col(f"_l_{c}") for c in state}, {c: F.col(c) for c in state})
-        maps = maps.select(*[F.when(F.col("_has"), both[c]).otherwise(F.col(c)).alias(c) if c in state else F.col(c)
-                             for c in maps.columns if not c.startswith("_l_") and c != "_has"])
+        cols = maps.columns
+        maps = maps.selectExpr("*", f"lag(true, {1 << r}) {w} AS _has", *[f"lag({c}, {1 << r}) {w} AS _l_{c}" for c in state])
+        both = compose({c: f"_l_{c}" for c in state}, {c: c for c in state})
+        maps = maps.selectExpr(*[f"CASE WHEN _has THEN {both[c]} ELSE {c} END AS {c}" if c in state else c for c in cols])
     return maps

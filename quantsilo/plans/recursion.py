@@ -14,8 +14,7 @@ constant of how far to look back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from quantsilo.plans import ordered
 
@@ -23,85 +22,89 @@ from quantsilo.plans import ordered
 PIECE = 2048
 
 _STATE = ["_n", "_fast", "_slow", "_sig"]
+_ZERO = {"_n": "0L", "_fast": "0D", "_slow": "0D", "_sig": "0D"}
 
 
 class _Spans:
+    """The recurrence of three spans, as SQL expressions."""
+
     def __init__(self, fast: int, slow: int, signal: int):
         self.u, self.v, self.w = (1 - 2.0 / (s + 1) for s in (fast, slow, signal))
 
-    def towards_signal(self, decay: float, k: Column) -> Column:
+    def towards_signal(self, decay: float, k: str) -> str:
         """What a unit of an average before k rows has added to the signal after them."""
-        return (1 - self.w) * decay * (F.pow(F.lit(decay), k) - F.pow(F.lit(self.w), k)) / (decay - self.w)
+        return f"{(1 - self.w) * decay / (decay - self.w)!r}D * (pow({decay!r}D, {k}) - pow({self.w!r}D, {k}))"
 
-    def after(self, k: Column, fast: Column, slow: Column, signal: Column) -> tuple[Column, Column, Column]:
+    def after(self, k: str, fast: str, slow: str, signal: str) -> tuple[str, str, str]:
         """The state (fast, slow, signal) after k rows of zeros."""
-        return (F.pow(F.lit(self.u), k) * fast, F.pow(F.lit(self.v), k) * slow,
-                F.pow(F.lit(self.w), k) * signal + self.towards_signal(self.u, k) * fast
-                - self.towards_signal(self.v, k) * slow)
+        return (f"pow({self.u!r}D, {k}) * ({fast})", f"pow({self.v!r}D, {k}) * ({slow})",
+                f"pow({self.w!r}D, {k}) * ({signal}) + {self.towards_signal(self.u, k)} * ({fast}) "
+                f"- {self.towards_signal(self.v, k)} * ({slow})")
+
+    def compose(self, one: dict, two: dict) -> dict:
+        state = self.after(two["_n"], *(one[c] for c in _STATE[1:]))
+        return {"_n": f"{one['_n']} + {two['_n']}", **{c: f"{x} + {two[c]}" for c, x in zip(_STATE[1:], state)}}
 
-    def fold(self, maps, start: dict) -> Column:
+    def fold(self, maps: str, start: dict) -> str:
         """The state after the maps of an array, in order."""
-        return F.aggregate(maps, _record(start), lambda acc, m: _record(
-            self.compose({c: acc[c] for c in _STATE}, {c: m[c] for c in _STATE})))
+        step = self.compose({c: f"acc.{c}" for c in _STATE}, {c: f"m.{c}" for c in _STATE})
+        return f"aggregate({maps}, {_record(start)}, (acc, m) -> {_record(step)})"
 
-    def compose(self, one: dict, two: dict) -> dict:
-        fast, slow, sig = self.after(two["_n"], one["_fast"], one["_slow"], one["_sig"])
-        return {"_n": one["_n"] + two["_n"], "_fast": fast + two["_fast"], "_slow": slow + two["_slow"],
-                "_sig": sig + two["_sig"]}
+
+def _record(x: dict) -> str:
+    return "named_struct(" + ", ".join(f"'{c}', {x[c]}" for c in _STATE) + ")"
 
 
 def _pieces(df: DataFrame, price: str, s: _Spans) -> DataFrame:
     """Rows with their place ``_n`` in the piece ``_piece`` and the state from zero."""
-    upto = ordered.block_window("_piece").rowsBetween(Window.unboundedPreceding, 0)
-    x, k = F.col(price).cast("double"), F.col("_n")
-    rows = df.withColumn("_piece", F.floor(F.col("_g") / PIECE)).withColumn("_n", F.count(price).over(upto))
-    for name, decay in (("_fast", s.u), ("_slow", s.v)):
-        rows = rows.withColumn(name, F.sum((1 - decay) * x * F.pow(F.lit(decay), -k)).over(upto) * F.pow(F.lit(decay), k))
-    gap = F.when(x.isNotNull(), F.col("_fast") - F.col("_slow"))
-    return rows.withColumn("_sig", F.sum((1 - s.w) * gap * F.pow(F.lit(s.w), -k)).over(upto) * F.pow(F.lit(s.w), k))
+    upto = "OVER (PARTITION BY _key, _blk, _piece ORDER BY _g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def average(decay: float, x: str) -> str:
+        return f"sum({1 - decay!r}D * {x} * pow({decay!r}D, -_n)) {upto} * pow({decay!r}D, _n)"
+
+    return (df.selectExpr("*", f"floor(_g / {PIECE}) AS _piece").selectExpr("*", f"count({price}) {upto} AS _n")
+            .selectExpr("*", f"{average(s.u, price)} AS _fast", f"{average(s.v, price)} AS _slow")
+            .selectExpr("*", f"{average(s.w, f'CASE WHEN {price} IS NOT NULL THEN _fast - _slow END')} AS _sig"))
 
 
 def ema_columns(df: DataFrame, price: str, spans: tuple[int, int, int],
-                names=("EMA12", "EMA26", "MACD", "Signal")) -> DataFrame:
+                names=("EMA12", "EMA26", "MACD", "Signal"), source: DataFrame | None = None) -> DataFrame:
     """pandas ``ewm(span, adjust=False).mean()`` of ``price`` per key: fast, slow, their difference, its signal.
 
     ``df`` holds rows of ``ordered.arrange``.  The first price of a key starts both averages and the signal
     starts at 0.  Rows without a price repeat the averages of the row before (null before the first).
+    ``source`` may hold the same rows before other columns were added: maps of pieces are then made from it.
     """
     size, total = ordered.plan_of(df)
     s = _Spans(*spans)
-    rows = _pieces(df, price, s)
-    slim = _pieces(df.select("_key", "_blk", "_g", price), price, s)
-    priced = F.when(F.col(price).isNotNull(), F.col("_g"))
-    one = slim.groupBy("_key", "_blk", "_piece").agg(
-        F.max("_n").alias("_n"), *[F.coalesce(F.max_by(c, priced), F.lit(0.0)).alias(c) for c in _STATE[1:]],
-        F.min_by(F.col(price).cast("double"), priced).alias("_first"), F.min(priced).alias("_first_g"))
-    blocks = one.groupBy("_key", "_blk").agg(
-        F.sort_array(F.collect_list(F.struct("_piece", *_STATE))).alias("_maps"),       # at most block / PIECE + 1
-        F.min_by("_first", "_first_g").alias("_first"), F.min("_first_g").alias("_first_g"))
-    zero = {"_n": F.lit(0).cast("long"), **{c: F.lit(0.0) for c in _STATE[1:]}}
-    maps = blocks.withColumn("_all", s.fold("_maps", zero)).select(
-        "_key", "_blk", "_maps", "_first", "_first_g", *[F.col(f"_all.{c}") for c in _STATE])
+    x = f"CAST(`{price}` AS DOUBLE)"
+    rows = _pieces(df, x, s)
+    slim = _pieces((df if source is None else source).select("_key", "_blk", "_g", price), x, s)
+    priced = f"CASE WHEN {x} IS NOT NULL THEN _g END"
+    ends = ", ".join(f"coalesce(max_by({c}, {priced}), 0D) AS {c}" for c in _STATE[1:])
+    one = slim.sparkSession.sql(
+        f"SELECT _key, _blk, _piece, max(_n) AS _n, {ends}, min_by({x}, {priced}) AS _first, min({priced}) AS _first_g "
+        "FROM {slim} GROUP BY _key, _blk, _piece", slim=slim)
+    record = _record({c: c for c in _STATE})[:-1] + ", '_piece', _piece)"
+    maps = one.sparkSession.sql(       # at most block / PIECE + 1 pieces in an array
+        f"SELECT _key, _blk, _maps, _first, _first_g, _all.* FROM (SELECT *, {s.fold('_maps', _ZERO)} AS _all FROM ("
+        f"SELECT _key, _blk, array_sort(collect_list({record}), (a, b) -> CAST(a._piece - b._piece AS INT)) AS _maps, "
+        "min_by(_first, _first_g) AS _first, min(_first_g) AS _first_g FROM {one} GROUP BY _key, _blk))", one=one)
     maps = ordered.scan(maps, _STATE, s.compose, -(-total // size))
     # the state that enters a block: from zero up to the block before, on top of the key's first price
-    w = Window.partitionBy("_key").orderBy("_blk")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    maps = maps.select("_key", "_blk", "_maps", F.first("_first", ignorenulls=True).over(whole).alias("_start"),
-                       F.min("_first_g").over(whole).alias("_start_g"),
-                       *[F.coalesce(F.lag(c).over(w), F.lit(0)).alias(c) for c in _STATE])
-    began = s.after(F.col("_n"), F.col("_start"), F.col("_start"), F.lit(0.0))
-    entering = {"_n": zero["_n"], **{c: x + F.col(c) for c, x in zip(_STATE[1:], began)}}
-    maps = maps.select("_key", "_blk", "_start_g", F.col("_maps")[0]["_piece"].alias("_piece0"), F.transform(
-        "_maps", lambda m, i: s.fold(F.slice("_maps", F.lit(1), i), entering)).alias("_states"))
-    rows = ordered.carry(rows, maps).withColumn(
-        "_e", F.get("_states", (F.col("_piece") - F.col("_piece0")).cast("int")))
-    add = s.after(F.col("_n"), F.col("_e._fast"), F.col("_e._slow"), F.col("_e._sig"))
-    out = [F.when(F.col("_g") >= F.col("_start_g"), F.coalesce(F.col(c), F.lit(0.0)) + x) for c, x in zip(_STATE[1:], add)]
-    keep = df.columns
-    rows = rows.select(*keep, *[c.alias(f"_o{i}") for i, c in enumerate(out)])
-    return rows.select(*keep, F.col("_o0").alias(names[0]), F.col("_o1").alias(names[1]),
-                       (F.col("_o0") - F.col("_o1")).alias(names[2]), F.col("_o2").alias(names[3]))
-
-
-def _record(x: dict) -> Column:
-    return F.struct(*[x[c].alias(c) for c in _STATE])
+    w = "OVER (PARTITION BY _key ORDER BY _blk)"
+    whole = "OVER (PARTITION BY _key ORDER BY _blk ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    maps = maps.selectExpr("_key", "_blk", "_maps", f"first(_first, true) {whole} AS _start", f"min(_first_g) {whole} AS _start_g",
+                           *[f"coalesce(lag({c}) {w}, {_ZERO[c]}) AS {c}" for c in _STATE])
+    began = s.after("_n", "_start", "_start", "0D")
+    entering = {"_n": "0L", **{c: f"{b} + {c}" for c, b in zip(_STATE[1:], began)}}
+    maps = maps.selectExpr("_key", "_blk", "_start_g", "_maps[0]._piece AS _piece0", "_maps", f"{_record(entering)} AS _enter")
+    maps = maps.selectExpr("_key", "_blk", "_start_g", "_piece0", "transform(_maps, (x, i) -> " + s.fold(
+        "slice(_maps, 1, i)", {c: f"_enter.{c}" for c in _STATE}) + ") AS _states")
+    keep = [f"`{c}`" for c in df.columns]
+    rows = ordered.carry(rows, maps).selectExpr(*keep, *_STATE, "_start_g", "get(_states, CAST(_piece - _piece0 AS INT)) AS _e")
+    add = s.after("_n", "_e._fast", "_e._slow", "_e._sig")
+    rows = rows.selectExpr(*keep, *[f"CASE WHEN _g >= _start_g THEN coalesce({c}, 0D) + {y} END AS _o{c}"
+                                    for c, y in zip(_STATE[1:], add)])
+    return rows.selectExpr(*keep, f"_o_fast AS `{names[0]}`", f"_o_slow AS `{names[1]}`", f"_o_fast - _o_slow AS `{names[2]}`",
+                           f"_o_sig AS `{names[3]}`")

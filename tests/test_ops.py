@@ -1,6 +1,9 @@
 """Alarms, quotas, runs and small operators."""
 
 import datetime as dt
+import random
+
+import pytest
 
 from quantsilo.functions import scalar as S
 from quantsilo.operators import alerts, ops, quotas, runs
@@ -68,6 +71,48 @@ def test_registration_cap(spark):
     assert got == want == [3, 4]
 
 
+@pytest.mark.parametrize("block_rows", [5, 64, 10_000])
+@pytest.mark.parametrize("limit,ttl,with_success", [(5, 900, True), (3, 3600, False)])
+def test_counters_split_in_blocks_match_the_loop(spark, block_rows, limit, ttl, with_success):
+    rnd = random.Random(block_rows + limit)
+    rows, want = [], []
+    for ip, gap in (("a", 60), ("b", 700), ("c", 5)):               # 'c' is one endless episode
+        at, times, oks = 0, [], []
+        for _ in range(300):
+            at += rnd.choice([0, 1, gap, gap, 2 * gap])
+            times.append(T0 + dt.timedelta(seconds=at))
+            oks.append(with_success and rnd.random() < 0.15)
+        base = len(rows)
+        rows += [(ip, t, base + i, "ok" if k else "no") for i, (t, k) in enumerate(zip(times, oks))]
+        blocked = _replay_python(times, oks, limit, dt.timedelta(seconds=ttl))
+        want += [base + i for i, b in enumerate(blocked) if b]
+    d = spark.createDataFrame(rows, "ip string, ts timestamp_ntz, event_id long, action string")
+    got = quotas.renewable_counter_blocks(d, "ip", limit, ttl, F.col("action") == "ok", block_rows=block_rows)
+    assert sorted(r.event_id for r in got.collect()) == want and len(want) > 100
+
+
+@pytest.mark.parametrize("block_rows", [7, 10_000])
+def test_windows_open_at_the_first_hit(spark, block_rows):
+    rnd, rows, want = random.Random(1), [], []
+    for user in (1, 2, 3):
+        at, times = 0, []
+        for _ in range(250):
+            at += rnd.choice([0, 30, 60, 90, 1000] if user < 3 else [20, 50])
+            times.append(at)
+        rows += [(user, T0 + dt.timedelta(milliseconds=t), 1000 * user + i) for i, t in enumerate(times)]
+        began, n = times[0], 0
+        for t in [*times, 10 ** 9]:
+            if t >= began + 1000:
+                if n > 10:
+                    want.append((user, began, n))
+                began, n = t, 0
+            n += 1
+    d = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_id long")
+    users = spark.createDataFrame([(k, "PREMIUM") for k in (1, 2, 3)], "user_id long, tier string")
+    got = quotas.per_second_violations(d, users, block_rows=block_rows).collect()
+    assert sorted((r.user_id, round((r.second - T0).total_seconds() * 1000), r.requests) for r in got) == want and len(want) > 10
+
+
 def test_free_daily_ban_and_per_second(spark):
     users = spark.createDataFrame([(1, "FREE"), (2, "PREMIUM")], "user_id long, tier string")
     rows = [(1, T0 + dt.timedelta(milliseconds=10 * i), i, "view", "ip") for i in range(1002)]

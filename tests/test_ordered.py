@@ -77,7 +77,7 @@ def test_running_max_and_sum(spark, block_rows):
 def test_scan_composes_in_order(spark):
     rows = [("a", b, 1.0 + b / 10, b * 1.0) for b in range(13)] + [("b", b, 2.0, 1.0) for b in range(3)]
     maps = spark.createDataFrame(rows, "_key string, _blk long, a double, b double")
-    got = ordered.scan(maps, ["a", "b"], lambda p, q: {"a": p["a"] * q["a"], "b": q["a"] * p["b"] + q["b"]}, 13)
+    got = ordered.scan(maps, ["a", "b"], lambda p, q: {"a": f"{p['a']} * {q['a']}", "b": f"{q['a']} * {p['b']} + {q['b']}"}, 13)
     for key in "ab":
         x, y, want = 1.0, 0.0, []
         for k, _, a, b in rows:
