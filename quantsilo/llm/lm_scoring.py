@@ -102,7 +102,8 @@ def contexts(classes: np.ndarray, to: np.ndarray, start: int) -> tuple[np.ndarra
 
 def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows, and the sums of the values that belong to each."""
-    order = np.argsort(rows, kind="stable")
+    narrow = rows.astype(np.min_scalar_type(int(rows.max())))      # 16 bits and less are sorted by radix
+    order = np.argsort(narrow, kind="stable")
     s = rows[order]
     first = np.append(0, np.flatnonzero(s[1:] != s[:-1]) + 1)
     return s[first], np.add.reduceat(values.take(order, 0), first, axis=0)
@@ -113,8 +114,9 @@ class LogBilinear:
         v, rng = vocabulary.size, np.random.default_rng(seed)
         self.v = v
         self.noise = vocabulary.unigram()
-        self.p = {"R": rng.normal(0, 0.1, (v + 1, dim)), "Q": rng.normal(0, 0.1, (v, dim)),
-                  "C1": np.eye(dim), "C2": np.eye(dim) * 0.5, "b": np.log(self.noise)}
+        p = {"R": rng.normal(0, 0.1, (v + 1, dim)), "Q": rng.normal(0, 0.1, (v, dim)),
+             "C1": np.eye(dim), "C2": np.eye(dim) * 0.5, "b": np.log(self.noise)}
+        self.p = {n: x.astype(np.float32) for n, x in p.items()}        # trained in single precision, scored in double
 
     def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, rng: np.random.Generator,
               squares: dict[str, np.ndarray]) -> None:
@@ -123,7 +125,7 @@ class LogBilinear:
         Only rows with a gradient are touched: Adagrad leaves the others as they are.
         """
         p, k = self.p, NOISE
-        log_kp = np.log(k * self.noise)
+        log_kp = np.log(k * self.noise).astype(np.float32)
         cdf = np.cumsum(self.noise)
         for a in range(0, len(word), BATCH):
             c1, c2, w = one[a:a + BATCH], two[a:a + BATCH], word[a:a + BATCH]
@@ -134,7 +136,7 @@ class LogBilinear:
             gt = 1 / (1 + np.exp(-np.clip((h * qw).sum(1) + p["b"][w] - log_kp[w], -30, 30))) - 1
             gn = 1 / (1 + np.exp(-np.clip(h @ qn.T + (p["b"] - log_kp)[ns], -30, 30)))
             dh = gt[:, None] * qw + gn @ qn
-            wide = np.empty((len(w) + k, h.shape[1] + 1))         # gradients of Q and, last, of b
+            wide = np.empty((len(w) + k, h.shape[1] + 1), np.float32)     # gradients of Q and, last, of b
             np.multiply(h, gt[:, None], out=wide[:len(w), :-1])
             wide[:len(w), -1], wide[len(w):, -1] = gt, gn.sum(0)
             np.matmul(gn.T, h, out=wide[len(w):, :-1])
@@ -142,10 +144,10 @@ class LogBilinear:
             context, by_context = _row_sums(np.concatenate([c1, c2]), np.concatenate([dh @ p["C1"].T, dh @ p["C2"].T]))
             for n, at, g in (("Q", rows, by_row[:, :-1]), ("b", rows, by_row[:, -1]), ("R", context, by_context),
                              ("C1", slice(None), r1.T @ dh), ("C2", slice(None), r2.T @ dh)):
-                g = g / len(w)
+                g = g / np.float32(len(w))
                 sq = squares[n][at] + g * g
                 squares[n][at] = sq
-                p[n][at] -= RATE * g / np.sqrt(sq + 1e-8)
+                p[n][at] -= np.float32(RATE) * g / np.sqrt(sq + np.float32(1e-8))
 
     def normalisers(self) -> np.ndarray:
         """log sum exp of all words' scores for every pair of contexts, by batched matrix products."""
@@ -160,7 +162,7 @@ class LogBilinear:
         return out
 
     def log_probabilities(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, z: np.ndarray) -> np.ndarray:
-        p = self.p
+        p = {n: x.astype(float) for n, x in self.p.items()}
         first, second = p["R"] @ p["C1"], p["R"] @ p["C2"]
         out = np.empty(len(word))
         for a in range(0, len(word), 1 << 17):
@@ -267,7 +269,7 @@ def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> LogBiline
                 used += len(w)
             if used:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key % _AVERAGES], pa.int32()), pa.array([(flat(m.p) * used).tobytes()], pa.binary()),
+                    [pa.array([key % _AVERAGES], pa.int32()), pa.array([(flat(m.p).astype(float) * used).tobytes()], pa.binary()),
                      pa.array([used], pa.int64())], ["part", "p", "n"])
 
         def add(t: pa.Table) -> pa.Table:
@@ -283,7 +285,7 @@ def _trained(texts: DataFrame, vocabulary: Vocabulary, rounds: int) -> LogBiline
         at = 0
         for n in names:
             size = int(np.prod(shapes[n]))
-            model.p[n] = mean[at:at + size].reshape(shapes[n])
+            model.p[n] = mean[at:at + size].reshape(shapes[n]).astype(np.float32)
             at += size
     return model
 
