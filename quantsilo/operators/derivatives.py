@@ -72,8 +72,8 @@ def max_pain(options: DataFrame) -> DataFrame:
 
 
 def latest_quotes(quotes: DataFrame, order: str = "quote_id") -> DataFrame:
-    """Last quote per (symbol, venue): the venue -> price map of the reference."""
-    return quotes.groupBy("symbol", "venue").agg(F.max_by("price", order).alias("price"))
+    """Last quote per (symbol, venue), the dearer of two with one id: the venue -> price map of the reference."""
+    return quotes.groupBy("symbol", "venue").agg(F.max(F.struct(order, "price"))["price"].alias("price"))
 
 
 def arbitrage(venue_prices: DataFrame, min_venues: int = 2,
@@ -111,7 +111,7 @@ def price_board(venue_prices: DataFrame, arb: DataFrame) -> DataFrame:
 
 def daily_best_spread(quotes: DataFrame) -> DataFrame:
     """The widest spread of each day (A26): the last quote of each venue that day, best symbol by percent, then name."""
-    last = quotes.groupBy("day", "symbol", "venue").agg(F.max_by("price", "quote_id").alias("price"))
+    last = quotes.groupBy("day", "symbol", "venue").agg(F.max(F.struct("quote_id", "price"))["price"].alias("price"))
     day = arbitrage(last, keys=("day", "symbol"))
     first = F.min_by(F.struct("symbol", "spread_pct", "min_exchange", "max_exchange"), F.struct(-F.col("spread_pct"), F.col("symbol")))
     return day.groupBy("day").agg(first.alias("b")).select(

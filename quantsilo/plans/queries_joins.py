@@ -141,7 +141,7 @@ _SPREAD = spark_round_sql("max_price - min_price", 4)
 _PCT = spark_round_sql("(max_price - min_price) / min_price * 100", 4)
 
 SQL_ARB = with_ctes(fx.SQL_QUOTES) + f""",
-vp AS (SELECT symbol, venue, arg_max(price, quote_id) AS price FROM quotes GROUP BY 1, 2),
+vp AS (SELECT symbol, venue, arg_max(price, (quote_id, price)) AS price FROM quotes GROUP BY 1, 2),
 agg AS (SELECT symbol, count(*) AS venues, arg_min(venue, (price, venue)) AS min_exchange,
                arg_max(venue, (price, venue)) AS max_exchange, min(price) AS min_price, max(price) AS max_price
         FROM vp GROUP BY symbol HAVING count(*) >= 2),

@@ -360,7 +360,7 @@ def q_readiness(spark, sf):
 
 @register("daily_digest", "A26",
           sql=with_ctes(fx.SQL_TICKS, SQL_SILVER, fx.SQL_RUNS, fx.SQL_QUOTES) + f""",
-day_prices AS (SELECT day, symbol, venue, arg_max(price, quote_id) AS price FROM quotes GROUP BY ALL),
+day_prices AS (SELECT day, symbol, venue, arg_max(price, (quote_id, price)) AS price FROM quotes GROUP BY ALL),
 day_spreads AS (
   SELECT day, symbol, {spark_round_sql("(max(price) - min(price)) / min(price) * 100", 4)} AS spread_pct,
          arg_min(venue, (price, venue)) AS best_buy, arg_max(venue, (price, venue)) AS best_sell
