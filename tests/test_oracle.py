@@ -5,12 +5,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from quantsilo.plans import catalog
 from quantsilo.sources.tables import TABLES
-
 from paths import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+# the market queries; those of the optional subpackage have their tests beside it
+QUERIES = {name: E.queries()[name] for name in catalog.queries()}
+SQL = {name: sql for name, sql in E.oracle_sql().items() if name in QUERIES}
 
 
 def _norm(df: pd.DataFrame) -> pd.DataFrame:
