@@ -57,9 +57,9 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence, block_rows: int
     spark = df.sparkSession
     keys, order = list(keys), _cols(order)
     path = scratch_path(spark, "arranged")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [*_cols(keys), *order]
-    rows = (df.drop(*HELPERS).repartitionByRange(n, *by).sortWithinPartitions(*by)
+    # without a number, adaptive execution may merge small neighbouring ranges
+    rows = (df.drop(*HELPERS).repartitionByRange(*by).sortWithinPartitions(*by)
             .withColumn("_at", F.monotonically_increasing_id()))
     rows.write.parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path)
