@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from quantsilo import config as C
 from quantsilo.functions.scalar import clamp, trunc_time
 from quantsilo.operators.silver import TICK_SCHEMA
+from quantsilo.plans import ordered
 
 
 # ------------------------------------------------------------- routing ------
@@ -112,8 +113,9 @@ def rows_per_symbol(df: DataFrame, minimum: int = C.MIN_ROWS_PER_SYMBOL) -> Data
 
 
 def trainable_rows(df: DataFrame, minimum: int = C.MIN_ROWS_PER_SYMBOL) -> DataFrame:
-    """Rows of symbols with enough history (left semi join)."""
-    return df.join(rows_per_symbol(df, minimum).select("symbol"), "symbol", "left_semi")
+    """Rows of symbols with enough history (left semi join); ``df`` is evaluated once."""
+    rows = ordered.stored(df)
+    return rows.join(rows_per_symbol(rows, minimum).select("symbol"), "symbol", "left_semi")
 
 
 def training_readiness(df: DataFrame, minimum: int = C.MIN_ROWS_PER_SYMBOL) -> DataFrame:
