@@ -10,6 +10,7 @@ length, so that every task places its pieces by itself.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -116,7 +118,75 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+#: Longest run of white space that ``RankEncoder`` takes.
+_RUN = 1 << 16
+_LONG_SPACE = re.compile(r"\s{64,}")
+
+
+def merge_ranks(path: str = TOKENIZER) -> dict[bytes, int] | None:
+    """Bytes of each token to its id, when ids alone say what the file's tokenizer does; else None.
+
+    That holds for byte-level BPE on plain text if every merge makes a token of its own and merges come
+    in the order of ids: then the pair to merge next is the one whose token has the least id.  A pair
+    that gives a token's bytes without being its merge never meets: inside a token's bytes no merge
+    crosses their ends, so they go the way of the token alone, by its own merge.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback",
+           "ignore_merges")
+    if (model.get("type") != "BPE" or any(map(model.get, odd)) or spec.get("normalizer") or spec.get("truncation")
+            or spec.get("padding") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space", True)
+            or not cut.get("use_regex", True)):
+        return None
+    vocabulary = model["vocab"]
+    merged = [vocabulary.get("".join(m.split(" ", 1) if isinstance(m, str) else m), -1) for m in model["merges"]]
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    other = [b for b in range(256) if b not in kept]
+    byte_of = {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(other)}
+    special = {t["content"] for t in spec.get("added_tokens") or ()}
+    if any(not t.get("special") for t in spec.get("added_tokens") or ()):
+        return None
+    plain = {t: i for t, i in vocabulary.items() if t not in special}
+    single = {t for t in plain if len(t) == 1}
+    if (any(a >= b for a, b in zip(merged, merged[1:])) or min(merged, default=0) < 0 or single != set(byte_of)
+            or {*merged, *map(plain.get, single)} != set(plain.values()) or max(map(plain.get, single)) > min(merged)):
+        return None
+    return {bytes(map(byte_of.__getitem__, t)): i for t, i in plain.items()}
+
+
+class RankEncoder:
+    """Ids of whole texts as ``WordEncoder`` gives them, by the ranks of the same file in one compiled pass.
+
+    Texts with an endless run of white space, too much for its pattern, go to the ``tokenizers`` library.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], path: str = TOKENIZER):
+        self.path, self.words = path, None
+        self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _endless(self, text: str) -> bool:
+        return len(text) > _RUN and any(m.end() - m.start() > _RUN for m in _LONG_SPACE.finditer(text))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        out = []
+        for t in texts:
+            if self._endless(t):
+                self.words = self.words or WordEncoder(self.path)
+                out += self.words.encode([t])
+            else:
+                out.append(np.asarray(self.fast.encode_ordinary(t), "<u4").tobytes())
+        return out
+
+
+def encoder(path: str = TOKENIZER) -> RankEncoder | WordEncoder:
+    ranks = merge_ranks(path)
+    return WordEncoder(path) if ranks is None else RankEncoder(ranks, path)
+
+
+_ENCODERS: dict[str, RankEncoder | WordEncoder] = {}
 #: Characters of text handed to the encoder at once.
 _CHUNK = 1 << 18
 
@@ -128,7 +198,7 @@ def tokenise(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([END_ID], "<u4").tobytes()
 
-    def pieces(ids: pa.Array, texts: list[str], enc: WordEncoder) -> pa.RecordBatch:
+    def pieces(ids: pa.Array, texts: list[str], enc: RankEncoder | WordEncoder) -> pa.RecordBatch:
         row, start, length, crc, total = [], [], [], [], []
         for k, raw in enumerate(enc.encode(texts)):
             raw += end
@@ -146,7 +216,7 @@ def tokenise(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col
 
     def run(batches):
         if path not in _ENCODERS:
-            _ENCODERS[path] = WordEncoder(path)
+            _ENCODERS[path] = encoder(path)
         enc = _ENCODERS[path]
         for b in batches:
             texts = b.column(1).to_pylist()

@@ -1,6 +1,7 @@
 """Training-data operators against brute-force versions, round trips and held-out accuracy."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -318,6 +319,31 @@ def test_word_encoder_equals_tokenizers(docs):
         np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+def test_rank_encoder_equals_tokenizers(docs):
+    texts = [r["text"] for r in rows(docs.select("text"))] + [
+        "a  b\n c", "  x", "", " ", "<|endoftext|> y", "x" * 200_000, " \n" * 70_000 + "y", "x" + " " * 1_500_000,
+        *(f"a{chr(c)}b 1{chr(c)}2 .{chr(c)}. {chr(c)} {chr(c)}{chr(c)}x '{chr(c)}s" for c in
+          [*range(0x3100), *range(0x4E00, 0x4F00), *range(0xFB00, 0x10100), *range(0x1F300, 0x1F400)])]
+    tok = Tokenizer.from_file(packing.TOKENIZER)
+    tok.encode_special_tokens = True
+    enc = packing.encoder()
+    assert isinstance(enc, packing.RankEncoder)
+    assert enc.encode(texts) == [
+        np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("change", [
+    lambda s: s["model"]["merges"].reverse(), lambda s: s["model"].update(dropout=0.1),
+    lambda s: s["pre_tokenizer"].update(add_prefix_space=True), lambda s: s.update(normalizer={"type": "NFC"})])
+def test_other_tokenizers_are_not_said_by_ranks(tmp_path, change):
+    with open(packing.TOKENIZER, encoding="utf-8") as f:
+        spec = json.load(f)
+    change(spec)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    assert packing.merge_ranks(str(path)) is None
+
+
 # ---- 7 -----------------------------------------------------------------------------------------
 
 def test_vptree_is_exact_and_relaxes(spark):
