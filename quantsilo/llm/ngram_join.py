@@ -12,15 +12,16 @@ candidates few.  The order is cut into fragments of equal mass.
    one that it meets most often, so a group of near copies has as many candidates as members.
 3. Candidates are checked exactly: overlaps are counted in each fragment apart and summed by pair.
 4. What shares a prefix shingle and is not connected yet is checked as well, so no link between
-   different components is lost; a pair comes up once for each stretch of shingles that its prefixes
-   share.  Components follow by alternating large-star and small-star steps.
+   different components is lost; a pair comes up where it first meets, and again only when the last
+   ``BEFORE`` shingles of both that could bring links hold none in common.  Components follow by
+   alternating large-star and small-star steps.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantsilo.llm.common import (SPACES, byte_set, mix, plain_text, shuffle_partitions, small_batches, stored,
@@ -31,6 +32,8 @@ SKETCH_BITS = 20
 FRAGMENTS = 4
 #: Ids of up to so many bytes are broadcast to fetch their texts; more are joined by a shuffle.
 BROADCAST_BYTES = 8 << 20
+#: Shingles before its own by which a row knows that a pair has met already.
+BEFORE = 8
 _SLICES = 16
 _IS_WORD = ~byte_set(SPACES)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -123,7 +126,7 @@ def _star(schema: pa.Schema):
 
     A run may go on in the next partition, so the first and the last run of a partition always stay.
     """
-    cols = ("token", "node", "n", "p", "prev")
+    cols = ("token", "node", "n", "p")
 
     def run(batches):
         held, head, first_run = None, None, True     # held: last row, while its run has only this one
@@ -131,14 +134,14 @@ def _star(schema: pa.Schema):
         for b in batches:
             if not b.num_rows:
                 continue
-            t, node, n, p, prev = (b.column(c).to_numpy() for c in cols)
+            t, node, n, p = (b.column(c).to_numpy() for c in cols)
             new = np.ones(len(t), bool)
             new[1:] = t[1:] != t[:-1]
             new[0] = head is None or t[0] != head[0]
             at = np.maximum.accumulate(np.where(new, np.arange(len(t)), -1))
             lead = {c: np.where(at >= 0, x[np.maximum(at, 0)], 0) for c, x in zip(cols, (t, node, n, p))}
             if not new[0]:
-                for i, c in enumerate(cols[:4]):
+                for i, c in enumerate(cols):
                     lead[c][at < 0] = head[i]
             last_of_run = np.ones(len(t), bool)
             last_of_run[:-1] = new[1:]
@@ -153,10 +156,10 @@ def _star(schema: pa.Schema):
             held = None
             rows = np.flatnonzero(keep)
             if len(rows):
-                yield _rows(schema, t, node, n, p, prev, lead, rows)
+                yield _rows(schema, t, node, n, p, lead, rows)
             last = len(t) - 1
             alone = bool(new[last])
-            tail = _rows(schema, t, node, n, p, prev, lead, np.array([last]))
+            tail = _rows(schema, t, node, n, p, lead, np.array([last]))
             head = tuple(x[at[last]] for x in (t, node, n, p)) if at[last] >= 0 else head
             if alone and not first_run:
                 held = tail
@@ -168,9 +171,9 @@ def _star(schema: pa.Schema):
     return run
 
 
-def _rows(schema, t, node, n, p, prev, lead, rows):
+def _rows(schema, t, node, n, p, lead, rows):
     return pa.RecordBatch.from_arrays(
-        [pa.array(x[rows]) for x in (t, node, n, p, prev, lead["node"], lead["n"], lead["p"])], schema=schema)
+        [pa.array(x[rows]) for x in (t, node, n, p, lead["node"], lead["n"], lead["p"])], schema=schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,12 +245,9 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     classes = stored(rows.where("n > 0").groupBy("node", "node2", "n")
                      .agg(F.min("id").alias("min_id"), F.first("prefix").alias("prefix")))
 
-    schema = pa.schema([(c, pa.int64()) for c in ("token", "node", "n", "p", "prev", "c_node", "c_n", "c_p")])
-    # every prefix shingle with the one before it in the order (-1: none)
-    steps = F.transform("prefix", lambda t, i: F.struct(t.alias("token"), F.when(i > 0, F.element_at(
-        "prefix", F.greatest(i, F.lit(1)))).otherwise(F.lit(-1)).alias("prev")))
-    prefix_rows = classes.select("node", "n", F.posexplode(steps).alias("p", "x")).select(
-        "x.token", "node", "n", F.col("p").cast("long").alias("p"), "x.prev")
+    schema = pa.schema([(c, pa.int64()) for c in ("token", "node", "n", "p", "c_node", "c_n", "c_p")])
+    prefix_rows = classes.select("node", "n", F.posexplode("prefix").alias("p", "token")).select(
+        "token", "node", "n", F.col("p").cast("long").alias("p"))
     runs = stored(prefix_rows.repartitionByRange(shuffle_partitions(spark), "token", "p", "node")
                     .sortWithinPartitions("token", "p", "node")
                     .mapInArrow(_star(schema), ", ".join(f"{f.name} long" for f in schema)))
@@ -282,21 +282,15 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     labels = components(found)
 
     # runs that still hold several components: all but the most frequent one meet everything in the run
-    known = (runs.select("token", "node", "n", "p", "prev").join(labels, "node", "left")
+    known = (runs.select("token", "node", "n", "p").join(labels, "node", "left")
              .withColumn("comp", F.coalesce("comp", "node")))
     mixed = (known.groupBy("token", "comp").agg(F.count("*").alias("k"), F.min("n").alias("n"))
              .groupBy("token").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("comps"),
                                    F.min("n").alias("least_n")).where("comps > 1"))
     # a row whose shingle stands too far back for any partner of the run cannot link through it
     smallest = F.greatest(c("least_n"), F.ceil(num * c("n") / F.lit(float(den)) - 1e-9))
-    rest = stored(known.join(mixed, "token").where(c("p") <= c("n") - least_overlap(c("n"), smallest))
-                  .select("token", "node", "n", "p", "prev", "comp", "main"))
-    x, y = rest.where("comp <> main").alias("x"), rest.alias("y")
-    cross = x.join(y, c("x.token") == c("y.token")).where(
-        (c("x.comp") != c("y.comp")) & ((c("y.comp") == c("y.main")) | (c("x.node") < c("y.node")))
-        # two sets that also share the shingle before this one meet there, where they stand further ahead
-        & ((c("x.prev") != c("y.prev")) | (c("x.prev") < 0))
-        & may_link(c("x.n"), c("x.p"), c("y.n"), c("y.p")))
+    rest = stored(_with_before(known.join(mixed, "token").where(c("p") <= c("n") - least_overlap(c("n"), smallest))))
+    cross = _meetings(rest, may_link)
     more = _verified(texts, classes, as_pairs(cross, c("x.node"), c("x.n"), c("y.node"), c("y.n")), order, words, num,
                      den, fragments)
     labels = components(more.unionByName(labels.select(c("node").alias("a"), c("comp").alias("b"))))
@@ -311,6 +305,23 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         c("id").alias(id_col), c("n").alias("n_shingles"), "component_id")
 
 
+def _with_before(rest: DataFrame) -> DataFrame:
+    """Rows of mixed runs with the last ``BEFORE`` shingles of the same node that stand in such runs."""
+    last = Window.partitionBy("node").orderBy("p").rowsBetween(-BEFORE, -1)
+    return rest.select("token", "node", "n", "p", "comp", "main", F.collect_list("token").over(last).alias("before"))
+
+
+def _meetings(rest: DataFrame, may_link) -> DataFrame:
+    """Pairs of rows x, y of different components in one run, without those that also meet shortly before."""
+    c = F.col
+    x, y = rest.where("comp <> main").alias("x"), rest.alias("y")
+    return x.join(y, c("x.token") == c("y.token")).where(
+        (c("x.comp") != c("y.comp")) & ((c("y.comp") == c("y.main")) | (c("x.node") < c("y.node")))
+        # two sets that also share an earlier shingle meet there, where they stand further ahead
+        & ~F.arrays_overlap("x.before", "y.before")
+        & may_link(c("x.n"), c("x.p"), c("y.n"), c("y.p")))
+
+
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, order, words: int, num: int, den: int,
               fragments: int) -> DataFrame:
     """The pairs (a, b) that link, by partial overlaps of fragments summed for each pair.

@@ -425,6 +425,19 @@ def test_ngram_join_equals_all_pairs(spark, components_of, words, num):
     assert got == components_of(texts, words, num, 100)
 
 
+def test_ngram_join_meets_a_pair_once(spark):
+    # shingles 0, 10, ... shared by both, 3 more of each between them; other nodes share one shingle only
+    held = {1: [*range(0, 200, 10), *range(1, 200, 2)], 2: [*range(0, 200, 10), *range(2, 200, 4)], 3: [150], 4: [150]}
+    held = {node: sorted(set(tokens)) for node, tokens in held.items()}
+    times = Counter(t for tokens in held.values() for t in tokens)
+    rest = spark.createDataFrame([(t, node, len(tokens), p, node, 0) for node, tokens in held.items()
+                                  for p, t in enumerate(tokens) if times[t] > 1],
+                                 "token long, node long, n long, p long, comp long, main long")
+    met = Counter((r["a"], r["b"]) for r in rows(ngram_join._meetings(
+        ngram_join._with_before(rest), lambda n, p, m, q: F.lit(True)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))))
+    assert met == {(a, b): 1 for a in held for b in held if a < b}
+
+
 def test_ngram_join_odd_rows(odd):
     got = rows(ngram_join.jaccard_components(odd))
     by = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got}
