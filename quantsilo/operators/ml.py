@@ -21,18 +21,20 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantsilo import config as C
-from quantsilo.plans import topk
+from quantsilo.plans import ordered, topk
 from quantsilo.plans.joins import broadcast_if_small
+from quantsilo.session import ensure_checkpoint_dir
 
 FEATURES = ["volatility", "lag_1", "lag_3", "ma_5", "ma_10", "momentum", "volatility_change"]
 TARGET = "target_price"
+#: Rows of a symbol that one task of a fit takes, about.
+FIT_ROWS = 50_000
 
 
 def league_estimators(seed: int = 42) -> dict:
@@ -60,35 +62,41 @@ def regression_metrics(pred: DataFrame, keys: list[str], label: str = TARGET,
 
 
 def train_league(split_features: DataFrame, symbols: list[str], estimators: dict | None = None,
-                 parallelism: int = 8):
+                 parallelism: int = 8, fit_rows: int = FIT_ROWS):
     """M4: fit every contender per symbol on training rows, score the test rows.
 
-    The assembled features are persisted once (fits iterate over them); the
-    (symbol, model) fits are submitted concurrently so the cluster runs
-    several training jobs at a time.  Returns (runs, models): runs =
-    (symbol, model_name, n, rmse, r2, is_winner) (M6), models =
+    The features are computed once into the shared folder.  A fit is many small jobs (boosting has one for
+    each level of each tree), so a symbol's rows are checkpointed in as many partitions as they need, one for
+    each ``fit_rows``: a job has no tasks over other symbols' rows or over none, and its tasks carry no plan.
+    The (symbol, model) fits are submitted concurrently so the cluster runs several training jobs at a time.
+    Returns (runs, models): runs = (symbol, model_name, n, rmse, r2, is_winner) (M6), models =
     {(symbol, model_name): fitted model}.
     """
     estimators = estimators or league_estimators()
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    data = assembler.transform(split_features).select("symbol", "is_train", "features", TARGET)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(split_features.sparkSession)
+    stored = ordered.stored(split_features.select("symbol", "is_train", *FEATURES, TARGET))
+    sizes = {r["symbol"]: r["count"] for r in stored.where(F.col("symbol").isin(symbols)).groupBy("symbol").count().collect()}
+    data = {}
+    for sym in symbols:
+        parts = -(-sizes.get(sym, 1) // fit_rows)
+        data[sym] = (assembler.transform(stored.where(F.col("symbol") == sym).coalesce(parts))
+                     .select("symbol", "is_train", "features", TARGET).checkpoint())
 
     def fit(job):
         sym, name = job
-        rows = data.filter(F.col("symbol") == sym)
+        rows = data[sym]
         m = estimators[name].copy().fit(rows.filter("is_train"))
         pred = m.transform(rows.filter("NOT is_train")).select(
             "symbol", F.lit(name).alias("model_name"), TARGET, "prediction")
         return (sym, name), m, pred
 
-    jobs = [(s, n) for s in symbols for n in estimators]
+    jobs = [(s, n) for n in estimators for s in symbols]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         done = list(pool.map(fit, jobs))
     models = {k: m for k, m, _ in done}
     preds = [p for _, _, p in done]
     if not preds:
-        data.unpersist()
         return None, models
     scored = reduce(DataFrame.unionByName, preds)
     runs = regression_metrics(scored, ["symbol", "model_name"])

@@ -408,11 +408,9 @@ def q_prediction_metrics(spark, sf):
 def q_model_league(spark, sf):
     """Train the league on the silver features of every trainable symbol; the run table (M6)."""
     from quantsilo.operators import ml
-    w = silver.window_metrics(fx.ticks(spark, sf))
-    ready = ops.rows_per_symbol(w)
-    feats = indicators.chronological_split(
-        indicators.training_features(ops.trainable_rows(w), order="window_start", keep=True))
-    symbols = sorted(r.symbol for r in ready.select("symbol").collect())   # the gate's small symbol list
+    ready = ops.trainable_rows(silver.window_metrics(fx.ticks(spark, sf)))
+    feats = indicators.chronological_split(indicators.training_features(ready, order="window_start", keep=True))
+    symbols = sorted(r.symbol for r in ready.select("symbol").distinct().collect())   # the gate's small symbol list
     runs_df, _ = ml.train_league(feats, symbols)
     return runs_df
 
