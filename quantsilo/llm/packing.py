@@ -181,12 +181,21 @@ class RankEncoder:
         return out
 
 
+_ENCODERS: dict[str, RankEncoder | WordEncoder] = {}
+
+
 def encoder(path: str = TOKENIZER) -> RankEncoder | WordEncoder:
-    ranks = merge_ranks(path)
-    return WordEncoder(path) if ranks is None else RankEncoder(ranks, path)
+    """The encoder of a file, made once in a process.
+
+    A task's function must reach it by calling this: Spark sends such a function with copies of the module's
+    variables that it names itself, so a memory among them would begin empty in every task.
+    """
+    if path not in _ENCODERS:
+        ranks = merge_ranks(path)
+        _ENCODERS[path] = WordEncoder(path) if ranks is None else RankEncoder(ranks, path)
+    return _ENCODERS[path]
 
 
-_ENCODERS: dict[str, RankEncoder | WordEncoder] = {}
 #: Characters of text handed to the encoder at once.
 _CHUNK = 1 << 18
 
@@ -215,9 +224,7 @@ def tokenise(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col
             ["id", "start", "length", "ids_crc32", "doc_tokens"])
 
     def run(batches):
-        if path not in _ENCODERS:
-            _ENCODERS[path] = encoder(path)
-        enc = _ENCODERS[path]
+        enc = encoder(path)
         for b in batches:
             texts = b.column(1).to_pylist()
             a = 0

@@ -9,7 +9,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -332,6 +334,19 @@ def test_rank_encoder_equals_tokenizers(docs):
         np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_tasks_of_one_worker_share_an_encoder(odd, monkeypatch):
+    made, ranks = [], packing.merge_ranks
+    monkeypatch.setattr(packing, "merge_ranks", lambda path: made.append(path) or ranks(path))
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    with monkeypatch.context() as m:
+        m.setattr(type(odd), "mapInArrow", lambda self, run, schema: run)
+        sent = cloudpickle.dumps(packing.tokenise(odd))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "t": ["a text", ""]})
+    got = [[b.to_pydict() for b in cloudpickle.loads(sent)(iter([batch]))] for _ in range(3)]
+    assert got[0] == got[1] == got[2] and got[0][0]["doc_tokens"] == [3, 1]
+    assert made == [packing.TOKENIZER]
+
+
 @pytest.mark.parametrize("change", [
     lambda s: s["model"]["merges"].reverse(), lambda s: s["model"].update(dropout=0.1),
     lambda s: s["pre_tokenizer"].update(add_prefix_space=True), lambda s: s.update(normalizer={"type": "NFC"})])
