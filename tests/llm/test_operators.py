@@ -383,6 +383,47 @@ def test_vptree_is_exact_and_relaxes(spark):
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(exact, near)]) >= 0.9
 
 
+def test_vptree_no_copy_of_the_queries_for_each_shard(spark):
+    x = np.random.default_rng(1).normal(size=(600, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = vptree.nearest(df, df.where("vec_id % 10 = 0"), 10, shard_rows=20, query_rows=30)
+    plan = found._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    got = defaultdict(list)
+    for r in sorted(rows(found), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    for q in range(0, 600, 10):
+        d = vptree.distances(x[q:q + 1], x)[0]
+        assert got[q] == sorted((d[i], i) for i in range(600) if i != q)[:10]
+
+
+def _odd_vectors(kind: str, x: np.ndarray) -> np.ndarray:
+    rng = np.random.default_rng(7)
+    if kind == "copies":
+        x[50:300] = x[50]
+    return {"grid": np.round(x * 2), "far off": x * 1e-9 + 1e3, "clusters": np.round(x[rng.integers(0, 9, len(x))] * 50) + x * 1e-7,
+            "squares overflow": x * 1e200, "squares vanish": x * 1e-162, "all squares vanish": x * 1e-170,
+            "all sizes": x * 10.0 ** rng.integers(-200, 200, size=(len(x), 1))}.get(kind, x)
+
+
+@pytest.mark.parametrize("kind", ["plain", "copies", "grid", "far off", "clusters", "squares overflow", "squares vanish",
+                                  "all squares vanish", "all sizes"])
+@pytest.mark.parametrize("shard, leaf", [(90, 12), (400, 400), (7, 512)])
+@pytest.mark.filterwarnings("ignore:overflow", "ignore:invalid")
+def test_vptree_carries_the_nearest_from_tree_to_tree(kind, shard, leaf):
+    rng = np.random.default_rng(3)
+    x = _odd_vectors(kind, rng.normal(size=(400, 8)))
+    ids = np.arange(400) // 2                            # an id twice: both are candidates
+    near = vptree.Nearest(40, 10)
+    for at in np.split(rng.permutation(400), range(shard, 400, shard)):
+        vptree.VPTree(ids[at], x[at], leaf).search(ids[:40], x[:40], 10, found=near)
+    near.settle()
+    d = vptree.distances(x[:40], x)
+    for q in range(40):
+        want = sorted((d[q, i], ids[i]) for i in range(400) if ids[i] != ids[q])[:10]
+        assert list(zip(near.d[q], near.i[q])) == want
+
+
 # ---- 8 -----------------------------------------------------------------------------------------
 
 def test_langid_held_out_accuracy_and_odd_rows(spark, odd):
